@@ -32,12 +32,13 @@ def order_position(df: DataFrame, name: str) -> Column:
     raise TypeError(f"order column {name} must be a date, a timestamp or a number")
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], order: str, rows_per_slice: int) -> DataFrame:
+def hot_keys(df: DataFrame, keys: Sequence[str], order: str, rows_per_slice: int, positive: str | None = None) -> DataFrame:
     """Keys with more rows than one slice, with their order range. At most total / rows_per_slice rows."""
+    n = F.count_if(F.col(positive) > 0) if positive else F.count(F.lit(1))
     return (
-        df.select(*keys, order_position(df, order).alias(_POS))
+        df.withColumn(_POS, order_position(df, order))
         .groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias(_N), F.min(_POS).alias(_LO), F.max(_POS).alias(_HI))
+        .agg(n.alias(_N), F.min(_POS).alias(_LO), F.max(_POS).alias(_HI))
         .filter((F.col(_N) > rows_per_slice) & (F.col(_HI) > F.col(_LO)))
         .select(*[F.col(k).alias(f"__h_{k}") for k in keys], _N, _LO, _HI)
     )
@@ -55,14 +56,14 @@ def with_slices(
 ) -> DataFrame:
     """Add the slice number: 0 for ordinary keys, rising along the order for hot ones.
 
-    With no hot key the adaptive planner drops the join (and everything that hangs on an
-    inner one) once it has seen that `hot` is empty.
+    `hot` has at most total rows / rows_per_slice keys (half a million for 10^12 rows), which is
+    why it is broadcast: the rows are not shuffled to find their slice.
     """
     n_slices = F.least(F.lit(MAX_SLICES), F.ceil(F.col(_N) / rows_per_slice) * 4)
     share = (order_position(df, order) - F.col(_LO)) / (F.col(_HI) - F.col(_LO))
     cut = F.greatest(F.lit(0), F.least(n_slices - 1, F.floor(share * n_slices)))
     sliced = F.when(F.col(_N).isNotNull(), F.coalesce(cut, F.lit(0))).otherwise(0).cast("int")
-    return df.join(hot, _same_key(keys), how).select(*df.columns, sliced.alias(_SLICE))
+    return df.join(F.broadcast(hot), _same_key(keys), how).select(*df.columns, sliced.alias(_SLICE))
 
 
 def ordered(
@@ -77,17 +78,22 @@ def ordered(
     running_sum: Mapping[str, str] | None = None,
     running_max: Mapping[str, str] | None = None,
     last_value: Mapping[str, str] | None = None,
+    total: Mapping[str, str] | None = None,
     rows_per_slice: int = ROWS_PER_SLICE,
+    positive: str | None = None,
 ) -> DataFrame:
     """Window columns per key in ascending order; maps are output name -> input column.
 
     `running_*` include the current row, `last_value` is the latest non-NULL up to it,
-    `count` is the size of the key. The order should be unique within a key.
+    `count` is the size of the key, `total` the sum of a column over it. The order should be unique within a key.
+    `positive` names a column that is above zero in every row: where the input is an aggregate,
+    the search for hot keys counts that column, so all branches read the same shuffle.
     """
     lag, lead = lag or {}, lead or {}
-    running_sum, running_max, last_value = running_sum or {}, running_max or {}, last_value or {}
+    running_sum, running_max = dict(running_sum or {}), running_max or {}
+    last_value, total = last_value or {}, dict(total or {})
     names = list(keys)
-    hot = hot_keys(df, names, order[0], rows_per_slice)
+    hot = hot_keys(df, names, order[0], rows_per_slice, positive)
     sliced = with_slices(df, names, order[0], hot, rows_per_slice)
     w = W.partitionBy(*names, _SLICE).orderBy(*order)
     upto = w.rowsBetween(W.unboundedPreceding, W.currentRow)
@@ -97,6 +103,8 @@ def ordered(
         local["__last"] = F.lead(F.lit(1)).over(w).isNull()
     if count:
         local["__cnt"] = F.count(F.lit(1)).over(W.partitionBy(*names, _SLICE))
+    for out, c in total.items():
+        local[f"__l_{out}"] = F.sum(c).over(W.partitionBy(*names, _SLICE))
     for out, c in lag.items():
         local[f"__l_{out}"] = F.lag(c).over(w)
     for out, c in lead.items():
@@ -114,7 +122,7 @@ def ordered(
     aggs = [F.count(F.lit(1)).alias("__c_n")]
     aggs += [F.max_by(F.struct(c), at).alias(f"__c_{o}") for o, c in lag.items()]
     aggs += [F.min_by(F.struct(c), at).alias(f"__c_{o}") for o, c in lead.items()]
-    aggs += [F.sum(c).alias(f"__c_{o}") for o, c in running_sum.items()]
+    aggs += [F.sum(c).alias(f"__c_{o}") for o, c in (running_sum | total).items()]
     aggs += [F.max(c).alias(f"__c_{o}") for o, c in running_max.items()]
     aggs += [F.max_by(c, F.when(F.col(c).isNotNull(), at)).alias(f"__c_{o}") for o, c in last_value.items()]
     per_slice = with_slices(df, names, order[0], hot, rows_per_slice, "inner").groupBy(*names, _SLICE).agg(*aggs)
@@ -131,6 +139,8 @@ def ordered(
         carry_cols[f"__k_{o}"] = F.lead(f"__c_{o}").over(ws)
     for o in running_sum:
         carry_cols[f"__k_{o}"] = F.sum(f"__c_{o}").over(before)
+    for o in total:
+        carry_cols[f"__k_{o}"] = F.sum(f"__c_{o}").over(whole)
     for o in running_max:
         carry_cols[f"__k_{o}"] = F.max(f"__c_{o}").over(before)
     for o in last_value:
@@ -143,7 +153,8 @@ def ordered(
             *carry_cols,
         )
     )
-    joined = here.join(carry, _same_key(names) & (F.col(_SLICE) == F.col("__h_slice")), "left")
+    # one row per slice of a hot key, a small multiple of the rows of `hot`
+    joined = here.join(F.broadcast(carry), _same_key(names) & (F.col(_SLICE) == F.col("__h_slice")), "left")
 
     result: dict[str, Column] = {}
     if row_number:
@@ -157,6 +168,8 @@ def ordered(
     for o in running_sum:
         here_v, carry_v = F.col(f"__l_{o}"), F.col(f"__k_{o}")
         result[o] = F.coalesce(here_v + carry_v, here_v, carry_v)
+    for o in total:
+        result[o] = F.coalesce(F.col(f"__k_{o}"), F.col(f"__l_{o}"))
     for o in running_max:
         result[o] = F.greatest(F.col(f"__l_{o}"), F.col(f"__k_{o}"))
     for o in last_value:

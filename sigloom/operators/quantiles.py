@@ -113,15 +113,9 @@ def exact_quantiles(
         finite = finite.withColumn("__all", F.lit(1))
     parts = names or ["__all"]
     counts = value_counts(finite, parts, "__v", "__n")
-    totals = counts.groupBy(*parts).agg(F.sum("__n").alias("__total"))
     kw = {"rows_per_slice": rows_per_slice} if rows_per_slice else {}
-    run = ordered(counts, parts, ["__v"], running_sum={"__cum": "__n"}, **kw)
-    cond = F.lit(True)
-    t = totals.select(*[F.col(k).alias(f"__t_{k}") for k in parts], "__total")
-    for k in parts:
-        cond = cond & F.col(k).eqNullSafe(F.col(f"__t_{k}"))
-    run = run.join(t, cond, "inner")
-    aggs = [F.first("__total").alias(count)]
+    run = ordered(counts, parts, ["__v"], running_sum={"__cum": "__n"}, total={"__total": "__n"}, positive="__n", **kw)
+    aggs = [F.max("__total").alias(count)]
     for n, p in quantiles.items():
         h = (F.col("__total") - 1) * F.lit(float(p))
         aggs.append(F.min(F.when(F.col("__cum") > F.floor(h), F.col("__v"))).alias(f"__lo_{n}"))
