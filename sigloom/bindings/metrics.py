@@ -74,9 +74,9 @@ def backlog(v):
     return evm.open_backlog(spine(v), v.version, "entity_id", "effective_from", "target_date")
 
 
-@query("E1_planned_earned_value", with_(*VIEWS, extra=SNAP, body="SELECT entity_id, month, round(planned_value, 4) AS planned_value, round(earned_value, 4) AS earned_value FROM ev"))
+@query("E1_planned_earned_value", with_(*VIEWS, extra=SNAP, body="SELECT entity_id, month, round(planned_value, 6) AS planned_value, round(earned_value, 6) AS earned_value FROM ev"))
 def _(v):
-    return rounded(snapshot(v).select("entity_id", "month", "planned_value", "earned_value"), 4)
+    return rounded(snapshot(v).select("entity_id", "month", "planned_value", "earned_value"), 6)
 
 
 @query("E2_spi_bpi", with_(*VIEWS, extra=SNAP, body="SELECT entity_id, month, round(spi, 8) AS spi, round(bpi, 8) AS bpi FROM ix"))
@@ -108,10 +108,10 @@ RISK_SQL = """least(CAST(1 AS DOUBLE), greatest(CAST(0 AS DOUBLE), CAST(0.4 AS D
  + CAST(0.2 AS DOUBLE) * least(CAST(1 AS DOUBLE), open_items / greatest(CAST(1 AS DOUBLE), rate3 * 3))))"""
 
 
-@query("E5_composite_risk", with_(*VIEWS, extra=SNAP, body=f"SELECT entity_id, month, round({RISK_SQL}, 8) AS composite_risk FROM ix JOIN bl USING (entity_id, month)"))
+@query("E5_composite_risk", with_(*VIEWS, extra=SNAP, body=f"SELECT entity_id, month, round({RISK_SQL}, 12) AS composite_risk FROM ix JOIN bl USING (entity_id, month)"))
 def _(v):
     df = indexed(v).join(backlog(v), ["entity_id", "month"])
-    return df.select("entity_id", "month", F.round(evm.composite_risk("spi", "bpi", "open_items", "rate3"), 8).alias("composite_risk"))
+    return df.select("entity_id", "month", F.round(evm.composite_risk("spi", "bpi", "open_items", "rate3"), 12).alias("composite_risk"))
 
 
 @query("E6_spi_transitions", with_(*VIEWS, extra=SNAP, body="""

@@ -1,5 +1,7 @@
 """Rule checks on the test tables seen as generated ones. Some rows break the rules on purpose."""
 
+from collections.abc import Mapping
+
 from pyspark.sql import functions as F
 
 from sigloom.bindings.registry import query
@@ -24,60 +26,97 @@ vb AS (SELECT o_custkey AS entity_id, p_brand AS division, p_size AS cost_code,
  sum(l_extendedprice * (1 + l_tax - l_discount)) + sum(CASE WHEN l_quantity < 3 THEN 900 ELSE 0 END) AS amt_revised FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey GROUP BY 1, 2, 3, 4)"""
 
 
-def tables(v) -> dict:
-    ok = v.table("customer", "c_custkey", "c_acctbal").filter("c_acctbal > -900").select(F.col("c_custkey").alias("entity_id"))
-    project = v.project.join(ok, "entity_id", "left_semi")
-
-    def code(order, extra=None):
-        tail = F.when(order % 3 == 0, "-BL").otherwise("-RB")
-        return F.concat(order.cast("string"), F.when(extra, "-XX").otherwise(tail) if extra is not None else tail)
-
-    schedule = v.version.select(
-        "entity_id", code(F.col("code")).alias("code"), "effective_from", F.date_add("effective_from", 90).alias("effective_to"),
-        F.col("effective_from").alias("dt_ntp"), F.col("target_date").alias("dt_tco"), "is_active",
-    )
-    rebaseline = schedule.filter(~F.col("code").endswith("-BL") & ~F.col("code").endswith("7-RB")).select("entity_id", F.col("effective_from").alias("occurred"))
-    orders = v.table("orders", "o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate")
-    open_line = F.col("l_linestatus") != "F"
-    lines = v.table("lineitem", "l_orderkey", "l_partkey", "l_linestatus", "l_returnflag", "l_shipdate").join(
-        v.table("part", "p_partkey", "p_type"), F.col("l_partkey") == F.col("p_partkey")
-    )
-    work = lines.groupBy("l_orderkey", "p_type").agg(
-        F.count(F.lit(1)).alias("n_total"), F.count_if(~open_line).alias("n_completed"), F.count_if(open_line & (F.col("l_returnflag") == "R")).alias("n_active"),
-        F.count_if(open_line & (F.col("l_returnflag") != "R")).alias("k"), F.to_date(F.min("l_shipdate")).alias("sow_start"), F.to_date(F.max("l_shipdate")).alias("sow_finish"),
-    )
-    o = F.col("o_orderkey")
-    task = work.join(orders, F.col("l_orderkey") == o).select(
-        F.col("o_custkey").alias("entity_id"), code(o, o % 97 == 0).alias("code"), F.col("p_type").alias("sow"), (F.col("o_orderstatus") == "O").alias("is_active"),
-        F.to_date("o_orderdate").alias("effective_from"), "n_total", "n_completed", "n_active",
-        (F.col("k") - F.when(o % 50 == 0, 1).otherwise(0)).alias("n_not_started"), "sow_start", "sow_finish",
-    )
-    n, q = F.col("l_linenumber"), F.col("l_quantity")
-    event = (
-        v.table("lineitem", "l_orderkey", "l_linenumber", "l_quantity", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate")
-        .join(orders, F.col("l_orderkey") == o)
-        .select(
-            F.concat_ws("-", F.col("l_orderkey").cast("string"), n.cast("string")).alias("event_id"), F.col("o_custkey").alias("entity_id"),
-            F.to_date("o_orderdate").alias("created"), F.to_date("l_shipdate").alias("due"), F.when(~open_line, F.to_date("l_shipdate")).alias("resolved"),
+class Generated(Mapping):
+    """The six tables by name, each planned when a check asks for it."""
+
+    NAMES = ("project", "schedule", "rebaseline", "task", "event", "budget")
+
+    def __init__(self, v):
+        self.v, self.made = v, {}
+
+    def __getitem__(self, name):
+        if name not in self.NAMES:
+            raise KeyError(name)
+        if name not in self.made:
+            self.made[name] = getattr(self, name)()
+        return self.made[name]
+
+    def __iter__(self):
+        return iter(self.NAMES)
+
+    def __len__(self):
+        return len(self.NAMES)
+
+    def project(self):
+        ok = self.v.table("customer", "c_custkey", "c_acctbal").filter("c_acctbal > -900").select(F.col("c_custkey").alias("entity_id"))
+        return self.v.project.join(ok, "entity_id", "left_semi")
+
+    def schedule(self):
+        return self.v.version.select(
+            "entity_id", code(F.col("code")).alias("code"), "effective_from", F.date_add("effective_from", 90).alias("effective_to"),
+            F.col("effective_from").alias("dt_ntp"), F.col("target_date").alias("dt_tco"), "is_active",
+        )
+
+    def rebaseline(self):
+        kept = ~F.col("code").endswith("-BL") & ~F.col("code").endswith("7-RB")
+        return self["schedule"].filter(kept).select("entity_id", F.col("effective_from").alias("occurred"))
+
+    def orders(self):
+        return self.v.table("orders", "o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate")
+
+    def task(self):
+        lines = self.v.table("lineitem", "l_orderkey", "l_partkey", "l_linestatus", "l_returnflag", "l_shipdate").join(
+            self.v.table("part", "p_partkey", "p_type"), F.col("l_partkey") == F.col("p_partkey")
+        )
+        work = lines.groupBy("l_orderkey", "p_type").agg(
+            F.count(F.lit(1)).alias("n_total"), F.count_if(~_open()).alias("n_completed"), F.count_if(_open() & (F.col("l_returnflag") == "R")).alias("n_active"),
+            F.count_if(_open() & (F.col("l_returnflag") != "R")).alias("k"), F.to_date(F.min("l_shipdate")).alias("sow_start"), F.to_date(F.max("l_shipdate")).alias("sow_finish"),
+        )
+        o = F.col("o_orderkey")
+        return work.join(self.orders(), F.col("l_orderkey") == o).select(
+            F.col("o_custkey").alias("entity_id"), code(o, o % 97 == 0).alias("code"), F.col("p_type").alias("sow"), (F.col("o_orderstatus") == "O").alias("is_active"),
+            F.to_date("o_orderdate").alias("effective_from"), "n_total", "n_completed", "n_active",
+            (F.col("k") - F.when(o % 50 == 0, 1).otherwise(0)).alias("n_not_started"), "sow_start", "sow_finish",
+        )
+
+    def event(self):
+        n, q, key = F.col("l_linenumber"), F.col("l_quantity"), F.col("l_orderkey").cast("string")
+        lines = self.v.table("lineitem", "l_orderkey", "l_linenumber", "l_quantity", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate")
+        return lines.join(self.orders(), F.col("l_orderkey") == F.col("o_orderkey")).select(
+            F.concat_ws("-", key, n.cast("string")).alias("event_id"), F.col("o_custkey").alias("entity_id"),
+            F.to_date("o_orderdate").alias("created"), F.to_date("l_shipdate").alias("due"), F.when(~_open(), F.to_date("l_shipdate")).alias("resolved"),
             F.when(F.col("l_returnflag") == "A", "closed").when(F.col("l_returnflag") == "N", "open").otherwise("overdue").alias("status"),
             F.when(n == 1, "A SUBSTRUCTURE").when(n < 4, "D SERVICES").when(n < 7, "C INTERIORS").otherwise("OTHER").alias("trade"),
             F.when(q < 10, "Pre-SOW").when(q < 40, "During").when(q < 49, "Post-SOW").otherwise("Later").alias("timing"),
-            (F.col("l_tax") == 0.05).alias("is_near"), F.when(n == 2, F.concat(F.col("l_orderkey").cast("string"), F.lit("-1"))).alias("parent_id"),
+            (F.col("l_tax") == 0.05).alias("is_near"), F.when(n == 2, F.concat(key, F.lit("-1"))).alias("parent_id"),
         )
-    )
-    x, tax, disc = F.col("l_extendedprice"), F.col("l_tax"), F.col("l_discount")
-    budget = (
-        v.table("lineitem", "l_orderkey", "l_partkey", "l_extendedprice", "l_quantity", "l_tax", "l_discount", "l_shipdate")
-        .join(v.table("part", "p_partkey", "p_brand", "p_size"), F.col("l_partkey") == F.col("p_partkey"))
-        .join(orders.select("o_orderkey", "o_custkey"), F.col("l_orderkey") == o)
-        .groupBy(F.col("o_custkey").alias("entity_id"), F.col("p_brand").alias("division"), F.col("p_size").alias("cost_code"), F.to_date("l_shipdate").alias("dt_budget"))
-        .agg(
-            F.sum(x).alias("amt_jtd"), F.sum(x * (1 + tax)).alias("amt_ecac"), F.sum(x).alias("amt_projected"),
-            (F.sum(x * tax) - F.sum(F.when(disc > 0.09, 5000).otherwise(0))).alias("amt_ftc"), F.sum(x).alias("amt_original"), F.sum(x * tax).alias("amt_in"),
-            (-F.sum(x * disc)).alias("amt_out"), (F.sum(x * (1 + tax - disc)) + F.sum(F.when(q < 3, 900).otherwise(0))).alias("amt_revised"),
+
+    def budget(self):
+        x, tax, disc = F.col("l_extendedprice"), F.col("l_tax"), F.col("l_discount")
+        return (
+            self.v.table("lineitem", "l_orderkey", "l_partkey", "l_extendedprice", "l_quantity", "l_tax", "l_discount", "l_shipdate")
+            .join(self.v.table("part", "p_partkey", "p_brand", "p_size"), F.col("l_partkey") == F.col("p_partkey"))
+            .join(self.orders().select("o_orderkey", "o_custkey"), F.col("l_orderkey") == F.col("o_orderkey"))
+            .groupBy(F.col("o_custkey").alias("entity_id"), F.col("p_brand").alias("division"), F.col("p_size").alias("cost_code"), F.to_date("l_shipdate").alias("dt_budget"))
+            .agg(
+                F.sum(x).alias("amt_jtd"), F.sum(x * (1 + tax)).alias("amt_ecac"), F.sum(x).alias("amt_projected"),
+                (F.sum(x * tax) - F.sum(F.when(disc > 0.09, 5000).otherwise(0))).alias("amt_ftc"), F.sum(x).alias("amt_original"), F.sum(x * tax).alias("amt_in"),
+                (-F.sum(x * disc)).alias("amt_out"), (F.sum(x * (1 + tax - disc)) + F.sum(F.when(F.col("l_quantity") < 3, 900).otherwise(0))).alias("amt_revised"),
+            )
         )
-    )
-    return {"project": project, "schedule": schedule, "rebaseline": rebaseline, "task": task, "event": event, "budget": budget}
+
+
+def tables(v) -> Generated:
+    return Generated(v)
+
+
+def _open():
+    return F.col("l_linestatus") != "F"
+
+
+def code(order, extra=None):
+    tail = F.when(order % 3 == 0, "-BL").otherwise("-RB")
+    return F.concat(order.cast("string"), F.when(extra, "-XX").otherwise(tail) if extra is not None else tail)
 
 
 BL = "code LIKE '%-BL'"

@@ -6,6 +6,7 @@ columns; the SQL text is only used to check the DataFrame results.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 from functools import cached_property
 
@@ -13,7 +14,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sigloom.functions import buckets
-from sigloom.sources.tables import scan
+from sigloom.session import ensure_checkpoint_dir
+from sigloom.sources.tables import overwrite, scan
+
+_STORED: dict[tuple[str, str, str], str] = {}
 
 # role parameters of the test tables
 AREA_EDGES = (500.0, 1000.0, 1500.0)
@@ -26,6 +30,15 @@ class Views:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir
 
+    def stored(self, name: str, make) -> DataFrame:
+        """A profile table: computed and written once per session, then read, as generation does."""
+        key = (self.spark.sparkContext.applicationId, self.sf_dir, name)
+        if key not in _STORED:
+            where = f"{ensure_checkpoint_dir(self.spark).rstrip('/')}/sigloom-{name}-{uuid.uuid4().hex}"
+            overwrite(make(), where)
+            _STORED[key] = where
+        return scan(self.spark, _STORED[key])
+
     def table(self, name: str, *columns: str) -> DataFrame:
         return scan(self.spark, f"{self.sf_dir}/{name}.parquet", columns or None)
 

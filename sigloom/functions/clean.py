@@ -212,15 +212,21 @@ def short_code(x, length: int = 3, default: str = "GEN") -> Column:
     return F.when(v.isNull() | (v == ""), default).otherwise(v)
 
 
+def zero_filled(x, width: int) -> Column:
+    """Digits with leading zeros; longer numbers stay whole."""
+    v = col(x).cast("string")
+    return F.when(F.length(v) < width, F.lpad(v, width, "0")).otherwise(v)
+
+
 def readable_key(prefix: str, group, number, width: int = 6) -> Column:
-    return F.concat_ws("-", F.lit(prefix), short_code(group), F.lpad(col(number).cast("string"), width, "0"))
+    return F.concat_ws("-", F.lit(prefix), short_code(group), zero_filled(number, width))
 
 
 def version_code(entity, version, baseline: int = 0) -> Column:
     """`<entity>-000.01-BL` for the baseline, `<entity>-00n.MO-RB` after it."""
     e, v = col(entity).cast("string"), col(version)
     return F.when(v == baseline, F.concat(e, F.lit("-000.01-BL"))).otherwise(
-        F.concat(e, F.lit("-"), F.lpad(v.cast("string"), 3, "0"), F.lit(".MO-RB"))
+        F.concat(e, F.lit("-"), zero_filled(v, 3), F.lit(".MO-RB"))
     )
 
 

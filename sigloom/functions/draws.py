@@ -13,6 +13,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 from sigloom.functions.clean import col
 
@@ -116,7 +117,7 @@ def beta_parameters(p10, p25, median, p75, p90) -> dict[str, Column]:
     }
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def beta_quantile(u: pd.Series, alpha: pd.Series, beta: pd.Series) -> pd.Series:
     """Inverse Beta CDF for shapes of at least one half.
 

@@ -9,6 +9,7 @@ from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from sigloom.functions import draws
@@ -219,16 +220,16 @@ def choose_depth(df: DataFrame, features: Sequence[str], label: str, grid: Seque
     return grid[means.index(max(means))]
 
 
-def trtr(df: DataFrame, key: str, features: Sequence[str], label: str, k: int = 5, grid: Sequence[int] = (3,)) -> DataFrame:
+def trtr(df: DataFrame, key: str, features: Sequence[str], label: str, k: int = 5, grid: Sequence[int] = (3,), rounds: int = 20) -> DataFrame:
     """Cross-validated AUC on real rows: mean, standard deviation and normal interval."""
     df = folds(df.select(key, *features, label), key, label, k).withColumn("fold_key", F.pmod(F.xxhash64(F.col(key), F.lit("inner")), F.lit(1_000_000)))
     df = cut_lineage(df)
     parts = []
     for f in range(k):
         train = df.filter(F.col("fold") != f)
-        model = fit_classifier(train, features, label, depth=choose_depth(train, features, label, grid))
+        model = fit_classifier(train, features, label, depth=choose_depth(train, features, label, grid), rounds=rounds)
         parts.append(scored(model, df.filter(F.col("fold") == f), features, ["fold", label]))
-    per = auc(union_all(parts), "score", label, ["fold"])
+    per = auc(cut_lineage(union_all(parts)), "score", label, ["fold"])
     half = 1.96 * F.stddev_pop("auc") / F.sqrt(F.count(F.lit(1)))
     return per.agg(
         F.count(F.lit(1)).alias("n_folds"), F.avg("auc").alias("auc"), F.stddev_pop("auc").alias("auc_std"),
@@ -236,9 +237,9 @@ def trtr(df: DataFrame, key: str, features: Sequence[str], label: str, k: int =
     )
 
 
-def tstr(real: DataFrame, synth: DataFrame, features: Sequence[str], label: str, keep: Sequence[str] = ()) -> DataFrame:
+def tstr(real: DataFrame, synth: DataFrame, features: Sequence[str], label: str, keep: Sequence[str] = (), rounds: int = 20) -> DataFrame:
     """Real rows scored by a model that saw synthetic rows only."""
-    model = fit_classifier(cut_lineage(synth.select(*features, label)), features, label)
+    model = fit_classifier(cut_lineage(synth.select(*features, label)), features, label, rounds=rounds)
     return scored(model, real, features, [*keep, label])
 
 
@@ -262,10 +263,8 @@ def importance_preservation(real: DataFrame, synth: DataFrame, features: Sequenc
 def spearman(df: DataFrame, name: str, a: str, b: str, target: float = 0.70) -> DataFrame:
     """Average ranks of two short vectors and their correlation on every row."""
     def rank(x: str) -> Column:
-        arr = df.agg(F.collect_list(x)).scalar()
-        above = F.size(F.filter(arr, lambda y: y > F.col(x)))
-        same = F.size(F.filter(arr, lambda y: y == F.col(x)))
-        return above + (same + 1) / 2
+        w = W.orderBy(F.desc(x))  # one row per feature of a model
+        return F.rank().over(w) + (F.count(F.lit(1)).over(W.partitionBy(x)) - 1) / 2
 
     ranked = df.withColumns({f"{a}_rank": rank(a), f"{b}_rank": rank(b)})
     rho = ranked.agg(F.corr(f"{a}_rank", f"{b}_rank")).scalar()
