@@ -15,6 +15,7 @@ from sigloom.functions import clean, draws, values
 from sigloom.operators.aggregates import pmf, quotas
 from sigloom.operators.ordered import ordered
 from sigloom.operators.quantiles import exact_quantiles
+from sigloom.session import cut_lineage
 
 GRID = 200
 CHUNK = 10_000
@@ -187,7 +188,7 @@ def generate(real: DataFrame, total: int, start_year_grid: str = "start_day") ->
     start = F.date_from_unix_date(F.round("start_day").cast("int"))
     rows = rows.withColumns({"dt_start": start, "dt_end": F.date_add(start, F.round("duration").cast("int"))}).drop("start_day", "duration")
     rows = business_rules(field_chain(rows, field_stats(base), key), key).drop("inflation_factor")
-    rows = fill_quota(rows)
+    rows = fill_quota(cut_lineage(rows))  # the quota looks at the rows more than once
     rows = rows.withColumn("entity_id", clean.readable_key("SYN", "sbu", "draw"))
     cols = ("entity_id", "sbu", "region", "asset", "n_floors", "gross_area", "amt_contract", "amt_cost", "dt_start", "dt_end")
     return rows.select(*[F.round(c, 2).alias(c) if c.startswith("amt") else F.col(c) for c in cols])
