@@ -13,7 +13,10 @@ SF = "/root/testdata/sf0.001"
 
 @pytest.fixture(scope="session")
 def spark():
-    s = local_session("sigloom-tests", cores="8", shuffle_partitions=4)
+    s = local_session("sigloom-tests", cores="8", shuffle_partitions=2)
+    # tiny inputs: interpreting an expression is faster than compiling it
+    s.conf.set("spark.sql.codegen.wholeStage", "false")
+    s.conf.set("spark.sql.codegen.factoryMode", "NO_CODEGEN")
     s.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="sigloom-test-ckpt-"))
     return s
 
