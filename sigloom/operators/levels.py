@@ -70,6 +70,28 @@ def profile_levels(
     return out.filter(keep).select(name.alias("level"), *keys, count, *extra, *cols)
 
 
+def profile_fields(
+    df: DataFrame,
+    levels: Sequence[Level],
+    fields: Sequence[str],
+    quantiles: Mapping[str, float],
+    basics: Sequence[str],
+    *,
+    count: str = "n_total",
+) -> DataFrame:
+    """Statistics of several fields: one row per level, group and field.
+
+    The fields are aggregated side by side and the few result rows are turned into long form;
+    unpivoting the input first would multiply its rows by the number of fields.
+    """
+    wide = df.select(*level_keys(levels), *[F.col(f).cast("double").alias(f) for f in fields])
+    stats = [Stats(f, quantiles, ("n_nonnull", *basics), prefix=f"{f}::") for f in fields]
+    out = profile_levels(wide, levels, stats, count=count)
+    names = ("n_nonnull", *quantiles, *basics)
+    rows = [F.struct(F.lit(f).alias("field"), *[F.col(f"`{f}::{n}`").alias(n) for n in names]) for f in fields]
+    return out.select("level", *level_keys(levels), count, F.inline(F.array(*rows)))
+
+
 def unpivot_fields(df: DataFrame, keep: Sequence[str], fields: Sequence[str], value: str = "value") -> DataFrame:
     """One row per (row, field), values as double."""
     doubles = df.select(*keep, *[F.col(f).cast("double").alias(f) for f in fields])

@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 from sigloom.functions import clean
 from sigloom.operators.aggregates import bounds_json
-from sigloom.operators.levels import Level, level_keys, profile_levels, unpivot_fields
-from sigloom.operators.quantiles import Stats, percents
+from sigloom.operators.levels import Level, level_keys, profile_fields
+from sigloom.operators.quantiles import percents
 
 FIELDS = (
     "duration_days", "n_floors", "gross_area", "amt_contract", "amt_cost",
@@ -48,10 +48,8 @@ def prepare(df: DataFrame) -> DataFrame:
 def numeric_profile(
     df: DataFrame, levels: Sequence[Level] = LEVELS, fields: Sequence[str] = FIELDS, digits: int = 2
 ) -> DataFrame:
-    """One row per level, group and field. One scan: fields are unpivoted, levels are grouping sets."""
-    long = unpivot_fields(df, level_keys(levels), fields)
-    stats = Stats("value", percents("p1", "p5", "p25", "median", "p75", "p95", "p99"), ("n_nonnull", "min", "max", "mean", "stddev"))
-    out = profile_levels(long, levels, [stats], common=["field"], count="n_total")
+    """One row per level, group and field. One scan and one aggregate: levels are grouping sets."""
+    out = profile_fields(df, levels, fields, percents("p1", "p5", "p25", "median", "p75", "p95", "p99"), ("min", "max", "mean", "stddev"))
     out = out.withColumn("pct_missing", F.round((F.col("n_total") - F.col("n_nonnull")) / F.col("n_total") * 100.0, 2))
     numeric = ("min", "p1", "p5", "p25", "median", "p75", "p95", "p99", "max", "mean", "stddev")
     return out.select(
@@ -62,8 +60,6 @@ def numeric_profile(
 
 def bounds(df: DataFrame, levels: Sequence[Level] = LEVELS, fields: Sequence[str] = FIELDS) -> DataFrame:
     """Nine quantiles, minimum and maximum of each field as a JSON map."""
-    long = unpivot_fields(df, level_keys(levels), fields)
-    stats = Stats("value", BOUNDS, ("min", "max"))
-    out = profile_levels(long, levels, [stats], common=["field"])
+    out = profile_fields(df, levels, fields, BOUNDS, ("min", "max"), count="n")
     names = {"min": "min", **{("p50" if n == "median" else n): n for n in BOUNDS}, "max": "max"}
     return out.select("level", *level_keys(levels), "field", "n", bounds_json(names).alias("bounds_json"))

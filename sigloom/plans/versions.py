@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from sigloom.functions import buckets, clean
 from sigloom.operators.aggregates import bounds_json
 from sigloom.operators.joins import share_of_all
-from sigloom.operators.levels import Level, level_keys, profile_levels, unpivot_fields
+from sigloom.operators.levels import Level, profile_fields, profile_levels
 from sigloom.operators.quantiles import Stats, group_stats, percents
 from sigloom.operators.setops import union_all
 
@@ -111,8 +111,9 @@ def milestone_profile(
     quantiles: Sequence[str] = tuple(SEVEN), basics: Sequence[str] = ("min", "max", "mean", "stddev"),
 ) -> DataFrame:
     """Offsets of zero or more days; negative ones are a wrong date order and stay out."""
-    long = unpivot_fields(df, level_keys(levels), fields).filter("value >= 0")
-    return profile_levels(long, levels, [Stats("value", percents(*quantiles), tuple(basics))], common=["field"])
+    kept = df.withColumns({f: F.when(F.col(f) >= 0, F.col(f)) for f in fields})
+    out = profile_fields(kept, levels, fields, percents(*quantiles), tuple(basics)).filter("n_nonnull > 0")
+    return out.drop("n_total").withColumnRenamed("n_nonnull", "n")
 
 
 PROFILE_SCHEMA = {
