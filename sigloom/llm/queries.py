@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import repeats
+from . import contamination, repeats, shingle_join
 from .shared import importable
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -29,6 +29,12 @@ def query(name: str, sql: str | None = None):
     return wrap
 
 
+@query("op3_shingle_join")
+def near_duplicates(table):
+    """Each document's class of near duplicates (five-word shingles, similarity 0.8) and its number of links."""
+    return shingle_join.links(table("documents"))
+
+
 OP4_SQL = r"""
 WITH words AS (
   SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
@@ -53,3 +59,9 @@ def substring_dedup(table):
     """Words covered by a 13-word window that a document with a smaller id also has are removed."""
     cut = repeats.remove_repeats(table("documents"))
     return cut.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query("op9_decontamination")
+def decontamination(table):
+    """Benchmark items that documents hold, with the place of the best window and its similarity."""
+    return contamination.leaks(table("documents"), table("benchmark"))
