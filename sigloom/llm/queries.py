@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import contamination, repeats, shingle_join
+from . import contamination, packing, quality, repeats, shingle_join
 from .shared import importable
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -61,6 +61,31 @@ def substring_dedup(table):
     return cut.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def fitted_quality(documents: DataFrame, labels: DataFrame) -> quality.Network:
+    """The network fitted on labelled rows whose crc32(doc_id) is no multiple of 5."""
+    seen = labels.filter(~held_out(5, 0)).select("doc_id", F.col("quality").alias("label"))
+    return quality.train(documents.select("doc_id", "text").join(seen, "doc_id"))
+
+
+def held_out(folds: int, fold: int):
+    return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % folds == fold, F.lit(False))
+
+
+@query("op5_quality")
+def text_quality(table):
+    """The network's score of every document; 1 is predicted from 0.3 on."""
+    documents = table("documents")
+    scored = quality.score(documents.select("doc_id", "text"), fitted_quality(documents, table("labels")))
+    return scored.select("doc_id", held_out(5, 0).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
+@query("op8_packing")
+def sequence_packing(table):
+    """Pieces of documents in sequences of 2,048 ids."""
+    made = packing.pack(table("documents"), packing.tokenizer_path("byte_bpe_50k.json"))
+    return made.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
 @query("op9_decontamination")
 def decontamination(table):
     """Benchmark items that documents hold, with the place of the best window and its similarity."""
