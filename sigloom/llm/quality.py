@@ -28,7 +28,7 @@ DIMENSIONS = 8
 FILTERS = 24
 SAMPLE = 1500
 SAMPLE_CHUNKS = 3
-EPOCHS = 6
+STEPS = 700
 BATCH = 64
 RATE = 0.004
 DECAY = 1e-4
@@ -105,7 +105,7 @@ def score_rows(model: Network, data: np.ndarray, offsets: np.ndarray) -> np.ndar
     return 1 / (1 + np.exp(-np.clip(mean, -40, 40)))
 
 
-def fit(chunks: np.ndarray, of: np.ndarray, label: np.ndarray, prior: float = 0.5, epochs: int = EPOCHS, seed: int = 11) -> Network:
+def fit(chunks: np.ndarray, of: np.ndarray, label: np.ndarray, prior: float = 0.5, steps: int = STEPS, seed: int = 11) -> Network:
     """Adam on the mean loss of chunks, documents weighted alike; scores are calibrated for a share `prior` of label 1.
 
     chunks: (n, HOP + OVERLAP) bytes, 0 behind a text's end; of: each chunk's document; label: each document's.
@@ -120,37 +120,38 @@ def fit(chunks: np.ndarray, of: np.ndarray, label: np.ndarray, prior: float = 0.
     again = repeated(chunks[:, :HOP], np.minimum((chunks != 0).sum(1), HOP))
     places = (chunks.shape[1] - WIDTH) // STRIDE + 1
     window = np.arange(places)[:, None] * STRIDE + np.arange(WIDTH)[None, :]
-    for epoch in range(epochs):
-        order = r.permutation(len(chunks))
-        for i in range(0, len(order), BATCH):
-            at = order[i : i + BATCH]
-            b = len(at)
-            rows = chunks[at]
-            # a random start, so that filters don't learn one alignment
-            rows = np.roll(rows, -int(r.integers(STRIDE)), axis=1) if epoch else rows
-            seen = rows[:, window]  # b, places, width
-            x = p[0][seen].reshape(b * places, WIDTH * DIMENSIONS)
-            act = (x @ p[1]).reshape(b, places, FILTERS)
-            act[seen[:, :, 0] == 0] = -1e9
-            best = act.argmax(1)
-            value = np.take_along_axis(act, best[:, None, :], 1)[:, 0] + p[2]
-            hidden = np.concatenate([np.maximum(value, 0), again[at][:, None]], axis=1)
-            z = hidden @ p[3] + p[4]
-            g = (1 / (1 + np.exp(-z)) - y[at]) / share[at]
-            g /= max(1e-6, (1 / share[at]).sum())
-            back = np.where(value > 0, g[:, None] * p[3][:FILTERS], 0)  # b, filters
-            chosen = x.reshape(b, places, -1)[np.arange(b)[:, None], best]  # b, filters, width * dimensions
-            down = np.einsum("bf,kf->bfk", back, p[1])
-            table = np.zeros_like(p[0])
-            np.add.at(table, seen[np.arange(b)[:, None], best].reshape(-1), down.reshape(-1, DIMENSIONS))
-            table[0] = 0
-            grads = [table, np.einsum("bfk,bf->kf", chosen, back), back.sum(0), hidden.T @ g, g.sum(keepdims=True)]
-            step += 1
-            rate = RATE * min(1, step / 30) * (1 - 0.8 * epoch / epochs)
-            for k, d in enumerate(grads):
-                m[k] = 0.9 * m[k] + 0.1 * d
-                v[k] = 0.99 * v[k] + 0.01 * d * d
-                p[k] = (p[k] - rate * (m[k] / (1 - 0.9**step) / (np.sqrt(v[k] / (1 - 0.99**step)) + 1e-7) + DECAY * p[k])).astype(np.float32)
+    order = np.zeros(0, np.int64)
+    while step < steps:
+        while len(order) < BATCH:
+            order = np.concatenate([order, r.permutation(len(chunks))])
+        at, order = order[:BATCH], order[BATCH:]
+        b = len(at)
+        rows = chunks[at]
+        # a random start, so that filters don't learn one alignment
+        rows = np.roll(rows, -int(r.integers(STRIDE)), axis=1)
+        seen = rows[:, window]  # b, places, width
+        x = p[0][seen].reshape(b * places, WIDTH * DIMENSIONS)
+        act = (x @ p[1]).reshape(b, places, FILTERS)
+        act[seen[:, :, 0] == 0] = -1e9
+        best = act.argmax(1)
+        value = np.take_along_axis(act, best[:, None, :], 1)[:, 0] + p[2]
+        hidden = np.concatenate([np.maximum(value, 0), again[at][:, None]], axis=1)
+        z = hidden @ p[3] + p[4]
+        g = (1 / (1 + np.exp(-z)) - y[at]) / share[at]
+        g /= max(1e-6, (1 / share[at]).sum())
+        back = np.where(value > 0, g[:, None] * p[3][:FILTERS], 0)  # b, filters
+        chosen = x.reshape(b, places, -1)[np.arange(b)[:, None], best]  # b, filters, width * dimensions
+        down = np.einsum("bf,kf->bfk", back, p[1])
+        table = np.zeros_like(p[0])
+        np.add.at(table, seen[np.arange(b)[:, None], best].reshape(-1), down.reshape(-1, DIMENSIONS))
+        table[0] = 0
+        grads = [table, np.einsum("bfk,bf->kf", chosen, back), back.sum(0), hidden.T @ g, g.sum(keepdims=True)]
+        step += 1
+        rate = RATE * min(1, step / 30) * (1 - 0.8 * step / steps)
+        for k, d in enumerate(grads):
+            m[k] = 0.9 * m[k] + 0.1 * d
+            v[k] = 0.99 * v[k] + 0.01 * d * d
+            p[k] = (p[k] - rate * (m[k] / (1 - 0.9**step) / (np.sqrt(v[k] / (1 - 0.99**step)) + 1e-7) + DECAY * p[k])).astype(np.float32)
     own = min(max(label.mean(), 1e-3), 1 - 1e-3)
     shift = np.log(prior / (1 - prior)) - np.log(own / (1 - own))
     return Network(p[0], p[1], p[2], p[3], p[4] + np.float32(shift))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import contamination, packing, quality, repeats, shingle_join
+from . import contamination, language, licenses, main_text, packing, quality, repeats, shingle_join
 from .shared import importable
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -29,6 +29,21 @@ def query(name: str, sql: str | None = None):
     return wrap
 
 
+@query("op1_license_scan")
+def license_scan(table):
+    """Licence notices and expressions of every document."""
+    columns = ["doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score"]
+    return licenses.scan(table("documents")).select(*columns, "n_notices", "expressions")
+
+
+@query("op2_language_id")
+def language_id(table):
+    """The language of every document, by dictionaries of the documents whose crc32(doc_id) modulo 3 isn't 1."""
+    documents = table("documents")
+    made = language.learn(documents.filter(~held_out(3, 1)).select("doc_id", "text", "lang"))
+    return language.identify(documents.select("doc_id", "text"), made).select("doc_id", held_out(3, 1).alias("held_out"), "lang_pred", "score", "rejected", "runner_up")
+
+
 @query("op3_shingle_join")
 def near_duplicates(table):
     """Each document's class of near duplicates (five-word shingles, similarity 0.8) and its number of links."""
@@ -90,3 +105,9 @@ def sequence_packing(table):
 def decontamination(table):
     """Benchmark items that documents hold, with the place of the best window and its similarity."""
     return contamination.leaks(table("documents"), table("benchmark"))
+
+
+@query("op10_main_text")
+def page_text(table):
+    """The main text of every page."""
+    return main_text.extract(table("pages")).select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"), "path")
