@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import contamination, language, licenses, main_text, packing, quality, repeats, shingle_join
+from . import contamination, language, licenses, main_text, neighbours, packing, quality, repeats, shingle_join, token_counts
 from .shared import importable
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -94,6 +94,43 @@ def text_quality(table):
     return scored.select("doc_id", held_out(5, 0).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
 
+@query("op6_token_counts")
+def edited_token_counts(table):
+    """Token counts of every document before and after three edits made from its own text: the middle upper-cased, a word's length deleted
+    at a place given by the doc_id, a line inserted."""
+    n = F.char_length("text")
+    place = F.pmod(F.xxhash64("doc_id"), F.greatest(n, F.lit(1))).cast("long")
+    middle = F.floor(n / 2)
+    edit = lambda start, length, insert: F.struct(start.cast("long").alias("start"), length.cast("long").alias("length"), insert.alias("insert"))
+    edits = F.array(
+        edit(middle, F.lit(40), F.upper(F.substring("text", (middle + 1).cast("int"), F.lit(40)))),
+        edit(place, F.lit(7), F.lit("")),
+        edit(F.floor(place / 2), F.lit(0), F.concat(F.lit(" revised,\n"), F.substring("text", 1, 30))),
+    )
+    documents = table("documents").select("doc_id", "text", F.when(F.col("text").isNotNull(), edits).alias("edits"))
+    counted = token_counts.recount(documents, "edits", packing.tokenizer_path("byte_bpe_50k.json"))
+    return counted.select("doc_id", "n_tokens", "n_tokens_after", "n_chars", "n_chars_after", "n_edits", "n_encoded_chars")
+
+
+OP7_SQL = """
+WITH usable AS (
+  SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), pairs AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.v, c.v) AS score FROM usable q JOIN usable c ON q.vec_id <> c.vec_id WHERE q.vec_id % 20 = 0
+), ranked AS (
+  SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank, vec_id, score FROM pairs
+)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20
+"""
+
+
+@query("op7_nearest_neighbours", OP7_SQL)
+def nearest_neighbours(table):
+    """The 20 nearest vectors of every vector whose id is divisible by 20."""
+    return neighbours.nearest(table("embeddings"), F.col("vec_id") % 20 == 0, 20)
+
+
 @query("op8_packing")
 def sequence_packing(table):
     """Pieces of documents in sequences of 2,048 ids."""
