@@ -28,7 +28,7 @@ CAPACITY = 2048
 END_ID = 1
 BLOCK_SEQUENCES = 256
 PIECE = 512
-CACHE_SIZE = 900_000
+CACHE_SIZE = 400_000
 #: fixed value: how a byte-level tokenizer of this kind splits text before it merges
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 TOKENIZER = "byte_bpe_50k.json"

@@ -93,6 +93,7 @@ def signed(x: np.ndarray) -> pa.Array:
 
 
 def _read(table, window: int, seed: int) -> Suffixes:
+    spans.give_back()
     data, at = spans.column_bytes(table.column("text"))
     return Suffixes(data, at, spans.integers(table.column("doc_id"), NO_ID), window, seed)
 

@@ -124,6 +124,8 @@ def links(docs: DataFrame, similarity: float = SIMILARITY, shingle: int = SHINGL
     pairs = text.withColumnRenamed("doc_id", "rep").join(member, "rep")
 
     def verify(table: pa.Table) -> pa.Table:
+        if table.nbytes > spans.CHUNK_BYTES:
+            spans.give_back()
         data, at = spans.column_bytes(table.column("text"))
         sets, to = shingle_sets(data, at, shingle)
         a, b = fingerprints(sets, to)

@@ -7,6 +7,7 @@ the length of words) and combined into hashes of n consecutive words of one row.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -66,6 +67,14 @@ def chunks(table, column: str, limit: int = CHUNK_BYTES) -> Iterator[tuple]:
         to = max(row + 1, int(np.searchsorted(at, at[row] + limit, "right")) - 1)
         yield table.slice(row, to - row), data[at[row] : at[to]], at[row : to + 1] - at[row]
         row = to
+    give_back()
+
+
+def give_back() -> None:
+    """Returns freed memory to the machine: a worker process serves many tasks, and its peak would stay with it."""
+    pa.default_memory_pool().release_unused()
+    if hasattr(_C, "malloc_trim"):
+        _C.malloc_trim(0)
 
 
 def words(data: np.ndarray, offsets: np.ndarray, table: np.ndarray) -> Words:
@@ -87,6 +96,7 @@ def words(data: np.ndarray, offsets: np.ndarray, table: np.ndarray) -> Words:
     return Words(start, end, np.searchsorted(start, offsets).astype(np.int64))
 
 
+_C = ctypes.CDLL(None)
 _powers = np.ones(1, np.uint64)
 
 
