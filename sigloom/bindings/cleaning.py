@@ -155,10 +155,10 @@ def _(v):
 
 @query("P17_usable_code", with_(body="""
 SELECT p_partkey, code FROM (SELECT p_partkey, upper(substr(p_type, 1, 1)) || CAST(p_size AS VARCHAR) ||
-  CASE WHEN p_size % 7 = 0 THEN '?' ELSE '' END AS code FROM part WHERE p_size % 2 = 0 OR p_type <> 'PROMO')
+  CASE WHEN p_size % 7 = 0 THEN '?' ELSE '' END AS code FROM part)
 WHERE regexp_matches(code, '^[A-Z][0-9]') AND length(code) <= 60 AND NOT regexp_matches(code, '[?!@#$%]')"""))
 def _(v):
-    p = v.table("part", "p_partkey", "p_type", "p_size").filter((F.col("p_size") % 2 == 0) | (F.col("p_type") != "PROMO"))
+    p = v.table("part", "p_partkey", "p_type", "p_size")
     tail = F.when(F.col("p_size") % 7 == 0, "?").otherwise("")
     p = p.withColumn("code", F.concat(F.upper(F.substring("p_type", 1, 1)), F.col("p_size").cast("string"), tail))
     return p.filter(clean.usable_code("code")).select("p_partkey", "code")

@@ -127,7 +127,7 @@ def _(v):
 @query("F10_bootstrap_interval")
 def _(v):
     d = v.table("documents", "doc_id", "n_chars").join(v.table("labels", "doc_id", "quality"), "doc_id")
-    return rounded(fi.bootstrap_auc(d, "n_chars", "quality", replicates=200))
+    return rounded(fi.bootstrap_auc(d, "n_chars", "quality"))
 
 
 @query("F11_balanced_weights", "SELECT doc_id, quality, round((SELECT count(*) FROM labels) / ((SELECT count(DISTINCT quality) FROM labels) * CAST(count(*) OVER (PARTITION BY quality) AS DOUBLE)), 8) AS weight FROM labels")

@@ -473,8 +473,8 @@ r AS (SELECT p_partkey, p_name, p_type, p_brand, 'Question on ' || p_name || ' f
 
 
 @query("G37_reply_cleaning", "WITH " + REPLIES + """
-SELECT p_partkey, position, CASE WHEN good THEN subj ELSE 'Clarification required: ' || p_type || ' — ' || p_brand END AS str_rfi_subject, CASE WHEN good THEN descr ELSE 'Field condition requires clarification for ' || p_type || ' work in ' || p_brand || '.' END AS str_rfi_description,
- CASE WHEN good THEN 'Use detail ' || p_brand ELSE 'Design team to provide clarification per RFI protocol.' END AS str_rfi_response, NOT good AS is_stub
+SELECT p_partkey, position, CASE WHEN good THEN subj ELSE 'Clarification required: ' || p_type || ' — ' || p_brand END AS str_rfi_subject, CASE WHEN good THEN descr ELSE 'A question from the site about ' || p_type || ' work in ' || p_brand || '.' END AS str_rfi_description,
+ CASE WHEN good THEN 'Use detail ' || p_brand ELSE 'An answer from the designers is awaited.' END AS str_rfi_response, NOT good AS is_stub
 FROM (SELECT *, position = 1 AND p_partkey % 5 <> 3 AND length(descr) >= 40 AND NOT (p_partkey % 5 = 2) AS good FROM (SELECT r.*, CAST(unnest([1, 2]) AS INTEGER) AS position FROM r))""")
 def _(v):
     p = v.table("part", "p_partkey", "p_name", "p_type", "p_brand")

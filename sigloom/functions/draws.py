@@ -143,12 +143,22 @@ def beta(keys, purpose: str, p10, p25, median, p75, p90, seed: int = SEED) -> Co
     return F.least(F.greatest(p["low"] + x * p["width"], p["low"]), p["top"])
 
 
-def poisson(u: Column, mean, cap, limit: int = 64) -> Column:
-    """Poisson draw by walking the PMF up to `limit` terms, capped at `cap`; 0 for a mean of 0 or less."""
+def poisson(u: Column, mean, cap) -> Column:
+    """Poisson draw by walking the distribution function up to `u`, capped at `cap`; 0 for a null mean or one of 0 or less.
+
+    The walk covers the mean and 12 standard deviations (and 40) on each side, outside of which there is no mass a
+    double can tell; where that leaves out small numbers it starts from Stirling's series.
+    """
     lam = col(mean).cast("double")
-    start = F.struct(
-        F.exp(-lam).alias("pmf"), F.exp(-lam).alias("cdf"), F.lit(0).alias("n"), (u < F.exp(-lam)).alias("done")
-    )
+    reach = 12.0 * F.sqrt(F.greatest(lam, F.lit(0.0))) + 40.0
+    low = F.floor(lam - reach)
+    low = F.when(low < 10, F.lit(0)).otherwise(low).cast("int")
+    capped, high = F.floor(col(cap)).cast("int"), F.ceil(lam + reach).cast("int")
+    high = F.when(capped.isNull(), high).otherwise(F.least(high, F.greatest(capped, low + 1)))
+    k = F.greatest(low, F.lit(1)).cast("double")
+    log_factorial = k * F.log(k) - k + 0.5 * F.log(2 * math.pi * k) + 1 / (12 * k) - 1 / (360 * k**3) + 1 / (1260 * k**5)
+    first = F.when(low == 0, F.exp(-lam)).otherwise(F.exp(low * F.log(lam) - lam - log_factorial))
+    start = F.struct(first.alias("pmf"), first.alias("cdf"), low.alias("n"), (u < first).alias("done"))
 
     def step(acc: Column, k: Column) -> Column:
         pmf = acc["pmf"] * lam / k.cast("double")
@@ -160,8 +170,8 @@ def poisson(u: Column, mean, cap, limit: int = 64) -> Column:
             (acc["done"] | (u < cdf)).alias("done"),
         )
 
-    n = F.aggregate(F.sequence(F.lit(1), F.lit(limit)), start, step)["n"]
-    n = F.when(lam <= 0, 0).otherwise(n)
+    n = F.aggregate(F.sequence(low + 1, high), start, step)["n"]
+    n = F.when(lam > 0, n).otherwise(F.lit(0))
     return F.greatest(F.lit(0), F.coalesce(F.least(n, F.floor(col(cap)).cast("int")), n)).cast("int")
 
 

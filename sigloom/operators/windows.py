@@ -115,13 +115,14 @@ def thirds(df: DataFrame, keys: Sequence[str], order: Sequence[str], labels: Seq
     return got.withColumn(out, phase).drop("__i", "__n")
 
 
-def inversions(df: DataFrame, key: str, order: str, x: str, max_bits: int = 40, **kw) -> DataFrame:
+def inversions(df: DataFrame, key: str, order: str, x: str, **kw) -> DataFrame:
     """(key, n_rows, n_pairs, n_inversions): pairs in order whose values go down.
 
     Counted bit by bit instead of pair by pair: two values compare by their highest differing
     bit, so within rows that share the bits above b, every 1 at bit b that stands before a 0 is
     one inversion. That is rows x bits work, and the running counts are sliced for hot keys.
-    `order` and `x` must be whole numbers or dates; rows with equal order make no pair.
+    `order` and `x` must be whole numbers or dates, the range of `x` in a key below 2 ** 63; rows with equal
+    order make no pair.
     """
     def number(name: str):
         return F.unix_date(name).cast("long") if dict(df.dtypes)[name] == "date" else F.col(name).cast("long")
@@ -129,17 +130,16 @@ def inversions(df: DataFrame, key: str, order: str, x: str, max_bits: int = 40,
     base = df.select(key, number(order).alias("__o"), number(x).alias("__x")).dropna()
     lows = base.groupBy(key).agg(F.min("__x").alias("__lo"), F.max("__x").alias("__hi"), F.count(F.lit(1)).alias("n_rows"))
     base = base.join(lows.select(key, "__lo", "__hi"), key)
-    bits = F.least(F.lit(max_bits), F.ceil(F.log2(F.col("__hi") - F.col("__lo") + 1.0)).cast("int"))
+    bits = F.length(F.bin(F.col("__hi") - F.col("__lo")))
     v = F.col("__x") - F.col("__lo")
     exploded = base.filter(F.col("__hi") > F.col("__lo")).select(
         key, "__o", v.alias("__v"), F.explode(F.sequence(F.lit(0), F.greatest(bits - 1, F.lit(0)))).alias("__b")
     )
-    power = F.pow(F.lit(2.0), F.col("__b")).cast("long")
     cells = (
         exploded.select(
             key, "__b", "__o",
-            F.floor(F.col("__v") / (power * 2)).alias("__p"),
-            (F.floor(F.col("__v") / power) % 2).alias("__bit"),
+            F.expr("shiftright(__v, __b + 1)").alias("__p"),
+            F.expr("shiftright(__v, __b) & 1").alias("__bit"),
         )
         .groupBy(key, "__b", "__p", "__o")
         .agg(F.sum("__bit").alias("__ones"), F.sum(1 - F.col("__bit")).alias("__zeros"))

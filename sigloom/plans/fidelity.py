@@ -157,10 +157,7 @@ def bootstrap_auc(df: DataFrame, score: str, label: str, replicates: int = 1000,
 
     def redraw(n: str) -> Column:
         u = draws.uniform(["rep", "score"], f"boot:{n}", seed=seed)
-        small = draws.poisson(u, F.least(F.col(n), F.lit(30)), F.lit(None).cast("int"), limit=80)
-        mean = F.col(n).cast("double")
-        large = F.greatest(F.lit(0), F.round(mean + F.sqrt(mean) * draws.normal(["rep", "score"], f"boot:{n}:z", seed=seed))).cast("int")
-        return F.when(F.col(n) <= 30, small).otherwise(large)
+        return draws.poisson(u, F.col(n), F.lit(None).cast("int"))
 
     boot = reps.select("rep", "score", "k", redraw("pos").alias("pos"), redraw("neg").alias("neg"))
     aucs = auc_from_counts(boot, ["rep"])

@@ -94,7 +94,8 @@ def generate(
     default_zone = draws.categorical(draws.uniform(key, "zone"), values.DEFAULT_ZONE_SHARES, None)
     df = df.withColumns(
         {
-            "lifecycle_pct": F.coalesce(pct, F.lit(50.0)),
+            # a trade without a profile: a symmetric draw over the whole span
+            "lifecycle_pct": F.coalesce(pct, 165.0 * draws.beta_quantile(draws.uniform(key, "lifecycle"), F.lit(2.0), F.lit(2.0))),
             "zone": F.coalesce(_draw(F.col("__zw"), draws.uniform(key, "zone")), default_zone),
             "__fit": matching_sows(F.col("trade"), F.coalesce(F.col("__sows"), F.array().cast("array<struct<sow:string,sow_start:date,sow_finish:date>>")), mapping or values.TRADE_TO_SOW),
         }

@@ -15,14 +15,13 @@ SLACK_MARGIN = 0.20
 BASELINE_LEAD_DAYS = 90
 GAP, LAST_TIMING = 0.05, 0.95
 NEXT_TARGET_SHARE = 0.35
-MAX_VERSIONS = 64
 
 
 def rebaseline_count(entities: DataFrame, profile: DataFrame, entity: str = "entity_id") -> DataFrame:
     """Poisson count with the group's mean, capped at its p99 and maximum."""
     got = fallback(entities, profile, "n_rebaselines", ["mean", "p99", "max"], count="n_projects", prefix="__")
     cap = F.least("__p99", "__max")
-    n = draws.poisson(draws.uniform([entity], "n_rebaselines"), F.coalesce("__mean", F.lit(0.0)), cap, limit=MAX_VERSIONS)
+    n = draws.poisson(draws.uniform([entity], "n_rebaselines"), F.coalesce("__mean", F.lit(0.0)), cap)
     return got.withColumn("n_rebaselines", n).select(*entities.columns, "n_rebaselines")
 
 

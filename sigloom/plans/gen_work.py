@@ -49,7 +49,9 @@ def choose(entities: DataFrame, profile: DataFrame, frequency: DataFrame) -> Dat
     n = F.least(F.lit(40), F.greatest(F.lit(5), F.round(F.coalesce(n, F.lit(20.0))))).cast("int")
     e = e.withColumn("__n", n).drop(*[f"__{x}" for x in q], "__level_used")
     menu = frequency.groupBy("sbu").agg(F.collect_list(F.struct(S, F.col("pct_projects").alias("w"))).alias("__menu"))  # the vocabulary
-    rows = e.join(menu, "sbu").select("*", F.inline("__menu")).drop("__menu")
+    # a unit that the profile doesn't know, or none, chooses from the mean of all units
+    overall = frequency.groupBy(S).agg(F.avg("pct_projects").alias("w")).agg(F.collect_list(F.struct(S, "w"))).scalar()
+    rows = e.join(menu, "sbu", "left").withColumn("__menu", F.coalesce("__menu", overall)).select("*", F.inline("__menu")).drop("__menu")
     rank = F.row_number().over(W.partitionBy(E).orderBy(draws.sampling_key(KEY, "choose", "w"), S))
     return rows.withColumn("__r", rank).filter("__r <= __n").drop("__r", "__n", "w")
 

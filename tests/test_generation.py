@@ -150,3 +150,19 @@ def test_entity_generator_fills_its_quota(views):
     assert out.filter("dt_end < dt_start OR gross_area <= 0 OR n_floors < 1 OR amt_contract <= 0").count() == 0
     r = out.agg(F.min(F.col("amt_cost") / F.col("amt_contract")), F.max(F.col("amt_cost") / F.col("amt_contract"))).first()
     assert 0.92 < r[0] <= r[1] < 1.03
+
+
+def test_poisson_has_no_ceiling_of_its_own(spark):
+    for mean in (100.0, 2000.0):
+        df = spark.range(4000).select(draws.poisson(draws.uniform(["id"], f"p{mean}"), F.lit(mean), F.lit(None).cast("int")).alias("n"))
+        got = df.agg(F.avg("n").alias("m"), F.var_samp("n").alias("v")).first()
+        assert abs(got["m"] / mean - 1) < 0.02 and abs(got["v"] / mean - 1) < 0.15
+
+
+def test_entities_of_an_unknown_unit_keep_their_rows(spark):
+    from sigloom.plans import gen_budget
+
+    presence = spark.createDataFrame([("GLOBAL", None, "01", 1.0), ("GLOBAL", None, "02", 1.0), ("SBU", "a", "01", 1.0)], "level string, sbu string, division string, presence_prob double")
+    entities = spark.createDataFrame([(1, "a"), (2, "never seen"), (3, None)], "entity_id long, sbu string")
+    got = gen_budget.present_divisions(entities, presence).groupBy("entity_id").count().collect()
+    assert {r["entity_id"]: r["count"] for r in got} == {1: 2, 2: 2, 3: 2}

@@ -103,3 +103,9 @@ def test_closing_dates_and_countdown(spark):
     assert got == {1: "2020-01-01", 2: "2020-02-29", 3: "2099-12-31", 4: "2099-12-31"}
     cd = {r["id"]: (r["n_recent"], r["is_active"]) for r in win.countdown(df, ["e"], ["d", "id"]).collect()}
     assert cd == {1: (3, False), 2: (2, False), 3: (1, True), 4: (1, True)}
+
+
+def test_inversions_of_a_wide_range(spark):
+    df = spark.createDataFrame([(1, i, x) for i, x in enumerate([2**45, 5, 2**44, 7, 2**61])], "k long, t long, x long")
+    got = win.inversions(df, "k", "t", "x").first()
+    assert (got["n_pairs"], got["n_inversions"]) == (10, 4)
