@@ -192,14 +192,16 @@ def extract(pages: DataFrame) -> DataFrame:
 
     def vote(batches):
         for batch in batches:
-            sums: dict[tuple[str, str], float] = {}
+            sums: dict[tuple[str, str], int] = {}
             for name, source in zip(batch.column("host").to_pylist(), batch.column("html").to_pylist(), strict=True):
                 if source:
-                    for path, score in Page(source).scores().items():
-                        # a page counts the same whatever its length
-                        sums[name, path] = sums.get((name, path), 0.0) + round(1000 * score / max(1, len(source)))
+                    page = Page(source)
+                    scores, top = page.scores(), page.best()
+                    for path, score in scores.items():
+                        # a page counts the same whatever its length, and its best path twice
+                        sums[name, path] = sums.get((name, path), 0) + round(1000 * score / scores[top]) + 1000 * (path == top)
             if sums:
-                yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in sums]), pa.array([k[1] for k in sums]), pa.array([int(v) for v in sums.values()], pa.int64())], names=["host", "path", "votes"])
+                yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in sums]), pa.array([k[1] for k in sums]), pa.array(list(sums.values()), pa.int64())], names=["host", "path", "votes"])
 
     votes = rows.select("host", "html").mapInArrow(vote, "host string, path string, votes long").groupBy("host", "path").agg(F.sum("votes").alias("votes"))
     won = votes.groupBy("host").agg(F.max(F.struct("votes", "path"))["path"].alias("won"))
