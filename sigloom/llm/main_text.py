@@ -170,18 +170,18 @@ class Page:
         return out
 
     def text(self, path: str) -> str:
-        """The blocks inside containers of this path, one a line."""
+        """The blocks inside containers of this path, an empty line between them."""
         inside = [False] * len(self.paths)
         for k, own in enumerate(self.paths):
             inside[k] = own == path or (self.parents[k] >= 0 and inside[self.parents[k]])
-        return "\n".join(text for container, text, _ in self.blocks if inside[container])
+        return "\n\n".join(text for container, text, _ in self.blocks if inside[container])
 
     def best(self) -> str:
         return min(self.scores().items(), key=lambda x: (-x[1], x[0]), default=("", 0.0))[0]
 
 
 def extract(pages: DataFrame) -> DataFrame:
-    """One row for each row of pages (page_id, url, html): page_id, url, host, path (the one used), text (blocks joined by line breaks).
+    """One row for each row of pages (page_id, url, html): page_id, url, host, path (the one used), text (blocks joined by two line breaks).
 
     Character references are decoded, white space inside a block becomes one blank. Null and empty pages have an empty text and an
     empty path. Pages with a null or odd url form hosts of their own by what is there (null: one host). Rows that repeat are read

@@ -216,7 +216,7 @@ PAGE = """<html><head><title>T</title><style>p{}</style></head><body><header><h1
 <div class="cookie-notice">Cookies</div><div class="wrap has-sidebar"><div class="post-content"><h2>Title &amp; more</h2><p>First  para <a href=y>link</a>
 text, number %d.<p>Second &eacute; para, rather long so that it counts<ul><li>one<li>two</ul></div><div class="sidebar"><p>Side stuff</p></div>
 <div class="comments"><p>Nice post!</p></div></div><form><p>f</p></form><aside>a</aside><footer>c</footer><script>var x="<p>no</p>";</script></body></html>"""
-TEXT = "Title & more\nFirst para link text, number %d.\nSecond é para, rather long so that it counts\none\ntwo"
+TEXT = "Title & more\n\nFirst para link text, number %d.\n\nSecond é para, rather long so that it counts\n\none\n\ntwo"
 
 
 def test_main_text(table):
@@ -228,7 +228,7 @@ def test_main_text(table):
     assert len(got) == len(rows) + len(other)
     text = {x.page_id: x.text for x in got}
     assert all(text[i] == TEXT % i for i in range(6)) and text[None] == TEXT % 9
-    assert (text[10], text[11], text[12], text[13], text[14]) == ("", "", "plain text", "cut off here", "x y") and text[15].count("\n") == 2999
+    assert (text[10], text[11], text[12], text[13], text[14]) == ("", "", "plain text", "cut off here", "x y") and text[15].count("\n\n") == 2999
     assert {x.path for x in got if x.page_id in range(6)} == {"/html/body/div.wrap/div.post-content"}
     assert main_text.extract(table([], "page_id long, url string, html string")).count() == 0
 
@@ -241,7 +241,7 @@ def test_main_text_of_the_given_pages(spark):
     for x in got:
         inside = re.sub(r"</?b>", "", re.search(r"<article>(.*?)</article>", x.html, re.DOTALL)[1])
         blocks = (re.sub(r"\s+", " ", html.unescape(re.sub(r"<[^>]*>", " ", b))).strip() for b in re.split(r"</?h1>|</?p>", inside))
-        assert x.text == "\n".join(b for b in blocks if b) and x.n_chars == len(x.text)
+        assert x.text == "\n\n".join(b for b in blocks if b) and x.n_chars == len(x.text)
 
 
 def test_pipeline_stages(spark, tmp_path):
