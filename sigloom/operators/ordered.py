@@ -1,8 +1,10 @@
 """Window functions over a long ordered chain of one key.
 
 A window partitioned by an entity puts the whole entity in one task. Here a key with
-more than `rows_per_slice` rows is cut into slices of its order range; the window runs
+more than `rows_per_slice` rows is cut into slices of its order; the window runs
 inside each slice, and what crosses a slice border (one row per slice) is carried over.
+Slices begin at sampled rows, compared by all order columns, so they are of like size
+however the values are spread and however many rows share the first order column.
 Keys below the limit have one slice, so for them this is the plain window.
 """
 
@@ -13,35 +15,37 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 ROWS_PER_SLICE = 2_000_000
-MAX_SLICES = 8192
-_SLICE, _POS, _LO, _HI, _N = "__ow_slice", "__ow_pos", "__ow_lo", "__ow_hi", "__ow_rows"
+#: sampled rows for each slice of a hot key
+SAMPLES = 32
+_SLICE, _AT, _N, _BORDERS, _STEPS = "__ow_slice", "__ow_at", "__ow_rows", "__ow_borders", "__ow_steps"
 
 
-def order_position(df: DataFrame, name: str) -> Column:
-    """Order column as a number that rises with it."""
-    t = df.schema[name].dataType
-    if isinstance(t, T.DateType):
-        return F.unix_date(name).cast("double")
-    if isinstance(t, (T.TimestampType, T.TimestampNTZType)):
-        return F.unix_micros(F.col(name).cast("timestamp")).cast("double")
-    if isinstance(t, T.NumericType):
-        return F.col(name).cast("double")
-    raise TypeError(f"order column {name} must be a date, a timestamp or a number")
+def hot_keys(df: DataFrame, keys: Sequence[str], order: Sequence[str], rows_per_slice: int, positive: str | None = None) -> DataFrame:
+    """Keys with more rows than one slice, with the rows at which their slices begin.
 
-
-def hot_keys(df: DataFrame, keys: Sequence[str], order: str, rows_per_slice: int, positive: str | None = None) -> DataFrame:
-    """Keys with more rows than one slice, with their order range. At most total / rows_per_slice rows."""
+    One aggregate counts the rows of a key and, apart, of each sampled place in it; a place is sampled by its hash.
+    Of a hot key's places every `SAMPLES`-th is a border, which makes about one border for `rows_per_slice` rows.
+    """
+    one_of = max(1, rows_per_slice // SAMPLES)
     n = F.count_if(F.col(positive) > 0) if positive else F.count(F.lit(1))
-    return (
-        df.withColumn(_POS, order_position(df, order))
-        .groupBy(*keys)
-        .agg(n.alias(_N), F.min(_POS).alias(_LO), F.max(_POS).alias(_HI))
-        .filter((F.col(_N) > rows_per_slice) & (F.col(_HI) > F.col(_LO)))
-        .select(*[F.col(k).alias(f"__h_{k}") for k in keys], _N, _LO, _HI)
+    drawn = F.pmod(F.xxhash64(*order, *keys), F.lit(one_of)) == 0
+    places = df.groupBy(*keys, F.when(drawn, F.struct(*order)).alias(_AT)).agg(n.alias(_N))
+    key = W.partitionBy(*keys)
+    borders = places.withColumns({"__total": F.sum(_N).over(key), "__i": F.row_number().over(key.orderBy(_AT))}).filter(
+        (F.col("__total") > rows_per_slice) & F.col(_AT).isNotNull() & (F.col("__i") % SAMPLES == 0)
     )
+    found = borders.groupBy(*keys).agg(F.sort_array(F.collect_list(_AT)).alias(_BORDERS))
+    # the powers of two of a binary search among the borders
+    bits = F.length(F.bin(F.size(_BORDERS)))
+    steps = F.transform(F.sequence(bits - 1, F.lit(0), F.lit(-1)), lambda b: F.pow(F.lit(2), b).cast("int"))
+    return found.select(*[F.col(k).alias(f"__h_{k}") for k in keys], _BORDERS, steps.alias(_STEPS))
+
+
+def one_key(column: str) -> Column:
+    """The key 0 for every row. A literal would fold away and leave a join without a key."""
+    return F.pmod(F.hash(column), F.lit(1))
 
 
 def _same_key(keys: Sequence[str]) -> Column:
@@ -51,19 +55,20 @@ def _same_key(keys: Sequence[str]) -> Column:
     return cond
 
 
-def with_slices(
-    df: DataFrame, keys: Sequence[str], order: str, hot: DataFrame, rows_per_slice: int, how: str = "left"
-) -> DataFrame:
-    """Add the slice number: 0 for ordinary keys, rising along the order for hot ones.
+def with_slices(df: DataFrame, keys: Sequence[str], order: Sequence[str], hot: DataFrame, how: str = "left") -> DataFrame:
+    """Add the slice number: 0 for ordinary keys, the number of borders up to the row for hot ones.
 
-    `hot` has at most total rows / rows_per_slice keys (half a million for 10^12 rows), which is
-    why it is broadcast: the rows are not shuffled to find their slice.
+    `hot` holds at most one border for `rows_per_slice` rows (half a million for 10^12 rows), which
+    is why it is broadcast: the rows are not shuffled to find their slice.
     """
-    n_slices = F.least(F.lit(MAX_SLICES), F.ceil(F.col(_N) / rows_per_slice) * 4)
-    share = (order_position(df, order) - F.col(_LO)) / (F.col(_HI) - F.col(_LO))
-    cut = F.greatest(F.lit(0), F.least(n_slices - 1, F.floor(share * n_slices)))
-    sliced = F.when(F.col(_N).isNotNull(), F.coalesce(cut, F.lit(0))).otherwise(0).cast("int")
-    return df.join(F.broadcast(hot), _same_key(keys), how).select(*df.columns, sliced.alias(_SLICE))
+    at = F.struct(*order)
+
+    def search(passed: Column, step: Column) -> Column:
+        reached = passed + step
+        return F.when((reached <= F.size(_BORDERS)) & (F.get(_BORDERS, reached - 1) <= at), reached).otherwise(passed)
+
+    passed = F.when(F.col(_BORDERS).isNotNull(), F.aggregate(_STEPS, F.lit(0), search)).otherwise(0)
+    return df.join(F.broadcast(hot), _same_key(keys), how).select(*df.columns, passed.alias(_SLICE))
 
 
 def ordered(
@@ -85,7 +90,8 @@ def ordered(
     """Window columns per key in ascending order; maps are output name -> input column.
 
     `running_*` include the current row, `last_value` is the latest non-NULL up to it,
-    `count` is the size of the key, `total` the sum of a column over it. The order should be unique within a key.
+    `count` is the size of the key, `total` the sum of a column over it. The order should be unique within a key; rows
+    that are equal in all order columns share a slice.
     `positive` names a column that is above zero in every row: where the input is an aggregate,
     the search for hot keys counts that column, so all branches read the same shuffle.
     """
@@ -93,8 +99,8 @@ def ordered(
     running_sum, running_max = dict(running_sum or {}), running_max or {}
     last_value, total = last_value or {}, dict(total or {})
     names = list(keys)
-    hot = hot_keys(df, names, order[0], rows_per_slice, positive)
-    sliced = with_slices(df, names, order[0], hot, rows_per_slice)
+    hot = hot_keys(df, names, order, rows_per_slice, positive)
+    sliced = with_slices(df, names, order, hot)
     w = W.partitionBy(*names, _SLICE).orderBy(*order)
     upto = w.rowsBetween(W.unboundedPreceding, W.currentRow)
 
@@ -125,7 +131,7 @@ def ordered(
     aggs += [F.sum(c).alias(f"__c_{o}") for o, c in (running_sum | total).items()]
     aggs += [F.max(c).alias(f"__c_{o}") for o, c in running_max.items()]
     aggs += [F.max_by(c, F.when(F.col(c).isNotNull(), at)).alias(f"__c_{o}") for o, c in last_value.items()]
-    per_slice = with_slices(df, names, order[0], hot, rows_per_slice, "inner").groupBy(*names, _SLICE).agg(*aggs)
+    per_slice = with_slices(df, names, order, hot, "inner").groupBy(*names, _SLICE).agg(*aggs)
     ws = W.partitionBy(*names).orderBy(_SLICE)
     before = ws.rowsBetween(W.unboundedPreceding, -1)
     whole = W.partitionBy(*names)

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sigloom.functions.clean import col
-from sigloom.operators.ordered import ordered
+from sigloom.operators.ordered import one_key, ordered
 
 ACCURACY = 50_000  # exact for groups up to about half as many rows; beyond, the rank is off by at most 1/ACCURACY
 
@@ -110,7 +110,7 @@ def exact_quantiles(
         F.col("__v").isNotNull() & ~F.isnan("__v") & (F.abs("__v") != float("inf"))
     )
     if not names:
-        finite = finite.withColumn("__all", F.lit(1))
+        finite = finite.withColumn("__all", one_key("__v"))
     parts = names or ["__all"]
     counts = value_counts(finite, parts, "__v", "__n")
     kw = {"rows_per_slice": rows_per_slice} if rows_per_slice else {}

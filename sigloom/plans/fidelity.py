@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from sigloom.functions import draws
 from sigloom.operators.levels import unpivot_fields
-from sigloom.operators.ordered import ordered
+from sigloom.operators.ordered import one_key, ordered
 from sigloom.operators.quantiles import exact_quantiles
 from sigloom.operators.setops import union_all
 from sigloom.operators.windows import changes
@@ -131,7 +131,7 @@ def auc_from_counts(counts: DataFrame, keys: Sequence[str], min_rows: int = 0, m
     """Mann-Whitney AUC; equal scores count one half. One class only gives no row."""
     names = list(keys)
     if not names:
-        counts, names = counts.withColumn("__all", F.lit(1)), ["__all"]
+        counts, names = counts.withColumn("__all", one_key("score")), ["__all"]
     run = ordered(counts, names, ["score"], running_sum={"cn": "neg"}, positive="k", **kw)
     out = run.groupBy(*names).agg(
         F.sum("pos").alias("n_pos"), F.sum("neg").alias("n_neg"), F.sum("k").alias("n"),

@@ -41,13 +41,33 @@ def test_sliced_equals_plain(chain, limit):
     assert a == b
 
 
-def test_hot_key_is_really_cut(chain):
+def sizes_of_slices(df, limit, order):
     from sigloom.operators.ordered import hot_keys, with_slices
 
-    hot = hot_keys(chain, ["k"], "t", 100)
-    assert [r["__h_k"] for r in hot.collect()] == ["hot"]
-    sizes = with_slices(chain, ["k"], "t", hot, 100).groupBy("k", "__ow_slice").count().filter("k = 'hot'").collect()
-    assert len(sizes) > 50 and max(r["count"] for r in sizes) < 200
+    hot = hot_keys(df, ["k"], order, limit)
+    return [r["k"] for r in hot.select(F.col("__h_k").alias("k")).collect()], with_slices(df, ["k"], order, hot).filter("k = 'hot'").groupBy("__ow_slice").count().collect()
+
+
+def test_hot_key_is_really_cut(chain):
+    hot, sizes = sizes_of_slices(chain, 100, ["t", "id"])
+    assert hot == ["hot"]
+    assert len(sizes) > 20 and max(r["count"] for r in sizes) < 250
+
+
+@pytest.mark.parametrize("spread", ["exp(3 * randn(5))", "cast(id % 3 as double)", "if(id % 4 = 0, null, 1.0)"])
+def test_slices_of_skewed_and_tied_orders(spark, spread):
+    df = spark.range(200_000).select(F.lit("hot").alias("k"), F.expr(spread).alias("t"), "id")
+    _, sizes = sizes_of_slices(df, 1000, ["t", "id"])
+    assert sum(r["count"] for r in sizes) == 200_000 and len(sizes) > 120 and max(r["count"] for r in sizes) < 2500
+
+
+def test_no_keys_no_nested_loop(spark):
+    from sigloom.plans.fidelity import auc
+
+    df = spark.range(5000).selectExpr("id * 1.0 AS score", "cast(id % 7 = 0 as int) AS label")
+    cut = auc(df, "score", "label", rows_per_slice=200)
+    assert "NestedLoop" not in cut._jdf.queryExecution().executedPlan().toString()
+    assert cut.first()["auc"] == pytest.approx(auc(df, "score", "label").first()["auc"])
 
 
 @pytest.mark.parametrize("limit", [25, 10**9])
