@@ -6,7 +6,8 @@
    page: the innermost container with nearly all of the text wins, an article before others.
 2. Spark adds up the scores by host and path (with partial sums, so one host with a third of all pages is no burden) and
    keeps each host's best path: a few bytes a host.
-3. Pages are joined with their host's path and read again: the main text is what the containers with that path hold. A page
+3. Pages are joined with their host's path (those of a very large host are spread) and read again: the main text is what the
+   containers with that path hold. A page
    that has none of it, or less than half of its own best container's text there, is taken by its own best path.
 """
 
@@ -45,6 +46,9 @@ HEADING = re.compile(r"\S*header\S*", re.IGNORECASE)
 LAYOUT = re.compile(r"\S*(?:\b|[_-])(?:has|with|no|without)[_-]\S*", re.IGNORECASE)
 SPACE = re.compile(r"\s+")
 DIGITS = re.compile(r"\d+")
+#: pages from which on a host's are spread, and over how many keys
+LARGE_HOST = 10_000
+SPREAD = 4096
 HOST = r"^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)"
 
 
@@ -180,12 +184,12 @@ class Page:
         return min(self.scores().items(), key=lambda x: (-x[1], x[0]), default=("", 0.0))[0]
 
 
-def extract(pages: DataFrame) -> DataFrame:
+def extract(pages: DataFrame, large_host: int = LARGE_HOST) -> DataFrame:
     """One row for each row of pages (page_id, url, html): page_id, url, host, path (the one used), text (blocks joined by two line breaks).
 
     Character references are decoded, white space inside a block becomes one blank. Null and empty pages have an empty text and an
     empty path. Pages with a null or odd url form hosts of their own by what is there (null: one host). Rows that repeat are read
-    each; other columns are ignored.
+    each; other columns are ignored. Hosts with `large_host` pages or more are broadcast with their path (a row for so many pages at most).
     """
     host = F.lower(F.regexp_extract(F.coalesce("url", F.lit("")), HOST, 1))
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url"), host.alias("host"), F.col("html"))
@@ -225,4 +229,11 @@ def extract(pages: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column("page_id"), batch.column("url"), batch.column("host"), pa.array(paths, pa.string()), pa.array(texts, pa.string())], names=["page_id", "url", "host", "path", "text"])
 
     schema = StructType([StructField("page_id", LongType()), StructField("url", StringType()), StructField("host", StringType()), StructField("path", StringType()), StructField("text", StringType())])
-    return rows.join(won, "host", "left").select("page_id", "url", "host", "html", "won").mapInArrow(read, schema)
+    # pages of a host with very many go by a key of their own, so that they spread; their path comes with the list of such hosts
+    large = rows.groupBy("host").agg(F.count("*").alias("n")).filter(F.col("n") >= large_host).select("host")
+    large = won.join(large, "host").withColumnRenamed("won", "known")
+    dealt = rows.join(F.broadcast(large), "host", "left")
+    apart = F.concat_ws("/", "host", F.pmod(F.xxhash64("page_id", "url"), F.lit(SPREAD)).cast("string"))
+    dealt = dealt.withColumn("dealt", F.when(F.col("known").isNotNull(), apart).otherwise(F.col("host")))
+    dealt = dealt.join(won.withColumnRenamed("host", "dealt"), "dealt", "left").withColumn("won", F.coalesce("known", "won"))
+    return dealt.select("page_id", "url", "host", "html", "won").mapInArrow(read, schema)

@@ -230,6 +230,8 @@ def test_main_text(table):
     assert all(text[i] == TEXT % i for i in range(6)) and text[None] == TEXT % 9
     assert (text[10], text[11], text[12], text[13], text[14]) == ("", "", "plain text", "cut off here", "x y") and text[15].count("\n\n") == 2999
     assert {x.path for x in got if x.page_id in range(6)} == {"/html/body/div.wrap/div.post-content"}
+    spread = main_text.extract(table(rows + other, "page_id long, url string, html string", "known", "dealt"), large_host=5).collect()
+    assert sorted(map(repr, spread)) == sorted(map(repr, got))
     assert main_text.extract(table([], "page_id long, url string, html string")).count() == 0
 
 
