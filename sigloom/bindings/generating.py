@@ -270,9 +270,15 @@ w AS (SELECT t.entity_id, t.sow, min(t.task_start) AS sow_start, max(t.task_end)
  FROM task t JOIN project p USING (entity_id) WHERE sow IS NOT NULL GROUP BY 1, 2)"""
 
 
-def placed(v):
+def placed(v, days=1500):
     w = work.windows(v.task, "entity_id", "sow", "task_start", "task_end").join(v.project.select("entity_id", "dt_start"), "entity_id")
-    return w.withColumn("boundary", F.date_add("dt_start", 1500))
+    return w.withColumn("boundary", F.date_add("dt_start", days))
+
+
+STRETCHED = """
+SELECT entity_id, sow, s AS sow_start, d AS sow_days, s + d AS sow_finish FROM (SELECT entity_id, sow, CASE WHEN f <> 1 THEN dt_start + CAST(trunc(date_diff('day', dt_start, sow_start) * f) AS INTEGER) ELSE sow_start END AS s,
+ CASE WHEN f <> 1 THEN greatest(7, CAST(trunc(sow_days * f) AS INTEGER)) ELSE CAST(sow_days AS INTEGER) END AS d
+ FROM (SELECT *, CASE WHEN date_diff('day', last, boundary) > 60 AND date_diff('day', dt_start, last) > 0 THEN least(3500 / CAST(date_diff('day', dt_start, last) AS DOUBLE), 2.5::DOUBLE) ELSE 1 END AS f FROM (SELECT *, max(sow_finish) OVER (PARTITION BY entity_id) AS last FROM w)))"""
 
 
 @query("G19_scale_to_boundary", with_("task", "project", extra=PLACED, body="""
@@ -283,6 +289,11 @@ def _(v):
     return gen_work.scale_to_boundary(placed(v)).select("entity_id", "sow", "sow_start", "sow_days", "sow_finish")
 
 
+@query("G19_stretch_to_boundary", with_("task", "project", extra=PLACED.replace("1500", "3500"), body=STRETCHED))
+def _(v):
+    return gen_work.stretch_to_boundary(placed(v, 3500)).select("entity_id", "sow", "sow_start", "sow_days", "sow_finish")
+
+
 @query("G20_overrun_or_clip")
 def _(v):
     t = work_tables(v)
@@ -472,11 +483,7 @@ REPLIES = """
 r AS (SELECT p_partkey, p_name, p_type, p_brand, 'Question on ' || p_name || ' fittings' AS subj, 'The ' || p_name || ' does not match the drawing at the level stated.' AS descr FROM part)"""
 
 
-@query("G37_reply_cleaning", "WITH " + REPLIES + """
-SELECT p_partkey, position, CASE WHEN good THEN subj ELSE 'Clarification required: ' || p_type || ' — ' || p_brand END AS str_rfi_subject, CASE WHEN good THEN descr ELSE 'A question from the site about ' || p_type || ' work in ' || p_brand || '.' END AS str_rfi_description,
- CASE WHEN good THEN 'Use detail ' || p_brand ELSE 'An answer from the designers is awaited.' END AS str_rfi_response, NOT good AS is_stub
-FROM (SELECT *, position = 1 AND p_partkey % 5 <> 3 AND length(descr) >= 40 AND NOT (p_partkey % 5 = 2) AS good FROM (SELECT r.*, CAST(unnest([1, 2]) AS INTEGER) AS position FROM r))""")
-def _(v):
+def cleaned_replies(v):
     p = v.table("part", "p_partkey", "p_name", "p_type", "p_brand")
     k = F.col("p_partkey")
     subj = F.when(k % 5 == 2, F.lit("Too short")).otherwise(F.concat(F.lit("Question on "), "p_name", F.lit(" fittings")))
@@ -492,6 +499,20 @@ def _(v):
     return text.clean_replies(df, ["p_partkey"], "raw", "wanted", "p_type", "p_brand")
 
 
+@query("G37_reply_cleaning", "WITH " + REPLIES + """
+SELECT p_partkey, position, CASE WHEN good THEN subj ELSE 'Clarification required: ' || p_type || ' — ' || p_brand END AS str_rfi_subject, CASE WHEN good THEN descr ELSE 'A question from the site about ' || p_type || ' work in ' || p_brand || '.' END AS str_rfi_description,
+ CASE WHEN good THEN 'Use detail ' || p_brand ELSE 'An answer from the designers is awaited.' END AS str_rfi_response, NOT good AS is_stub
+FROM (SELECT *, position = 1 AND p_partkey % 5 <> 3 AND length(descr) >= 40 AND NOT (p_partkey % 5 = 2) AS good FROM (SELECT r.*, CAST(unnest([1, 2]) AS INTEGER) AS position FROM r))""")
+def _(v):
+    return cleaned_replies(v)
+
+
+@query("G37_stub_rate", """
+SELECT count(*) * 2 AS n_rows, round(sum(CASE WHEN p_partkey % 5 IN (2, 3) OR length('The ' || p_name || ' does not match the drawing at the level stated.') < 40 THEN 2 ELSE 1 END) * 100.0::DOUBLE / (count(*) * 2), 4) AS pct_stub FROM part""")
+def _(v):
+    return text.stub_rate(cleaned_replies(v))
+
+
 # budgets
 
 

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sigloom.functions import buckets, clean
-from sigloom.operators.aggregates import bounds_json, dedup
+from sigloom.operators.aggregates import bounds_json
 from sigloom.operators.joins import share_of_all, share_of_group, window_counts
 from sigloom.operators.levels import Level, profile_levels
 from sigloom.operators.quantiles import Stats, group_stats, percents
@@ -120,11 +120,16 @@ def subcategory_frequency(events: DataFrame, codes: str, group: str = "trade", m
 def example_pool(
     df: DataFrame, cell: Sequence[str], text: str, note: str, tie: str, k: int = 10, min_length: int = 50
 ) -> DataFrame:
-    """The k longest distinct texts per cell, whole, as JSON with their note."""
+    """The k longest distinct texts per cell, whole, as JSON with their note.
+
+    Equal texts are found by hash and length; only the chosen rows' texts leave the scan. `tie` is unique.
+    """
     df = df.filter(F.col(text).isNotNull() & (F.length(text) > min_length)).select(*cell, text, note, tie)
-    one = dedup(df, [*cell, text], [tie])
-    ranked = top_k(one.withColumn("__len", F.length(text)), cell, [F.desc("__len"), F.col(tie)], k)
-    return ranked.select(
+    short = df.select(*cell, tie, F.sha2(text, 256).alias("__hash"), F.length(text).alias("__len"))
+    one = short.groupBy(*cell, "__hash", "__len").agg(F.min(tie).alias(tie))
+    chosen = top_k(one, cell, [F.desc("__len"), F.col(tie)], k).select(*cell, "rank", tie)
+    whole = chosen.join(df.select(tie, text, note), tie)
+    return whole.select(
         *cell, "rank", tie, F.to_json(F.struct(F.col(text).alias("lesson"), F.col(note).alias("root_cause"))).alias("bounds_json")
     )
 
