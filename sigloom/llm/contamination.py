@@ -31,6 +31,8 @@ RADIUS = 22
 BLOCKS = 11
 FLIPS = RADIUS // BLOCKS
 ITEM_BLOCK = 20_000
+#: bounds what is looked up at once: windows times items of one length, or windows times 256 bytes of running sums
+LOOKED_UP = 1 << 24
 WIDTHS = [6] * 9 + [5] * 2
 LEAKS = "doc_id long, item_id long, n_windows long, first_word long, n_words long, hamming long, similarity double"
 
@@ -153,15 +155,18 @@ def find(h: np.ndarray, hit: np.ndarray, lengths: np.ndarray, n_of: dict[int, It
         starts = np.flatnonzero(np.cumsum(mark)[: len(h) - length + 1] > 0)
         if not len(starts):
             continue
-        for piece in np.split(starts, np.flatnonzero(np.diff(starts) > length) + 1):
-            for item, start, bits, score in search(n_of[int(length)], h, int(length), piece, similarity):
-                old = out.get(item)
-                if old is None:
-                    out[item] = [1, start, int(length), bits, score]
-                else:
-                    old[0] += 1
-                    if score > old[4]:
-                        old[1:] = [start, int(length), bits, score]
+        items = n_of[int(length)]
+        at_once = max(int(length), LOOKED_UP // max(256, len(items.ids)))
+        for stretch in np.split(starts, np.flatnonzero(np.diff(starts) > length) + 1):
+            for i in range(0, len(stretch), at_once):
+                for item, start, bits, score in search(items, h, int(length), stretch[i : i + at_once], similarity):
+                    old = out.get(item)
+                    if old is None:
+                        out[item] = [1, start, int(length), bits, score]
+                    else:
+                        old[0] += 1
+                        if score > old[4]:
+                            old[1:] = [start, int(length), bits, score]
     return out
 
 

@@ -159,6 +159,7 @@ def plain_leaks(docs, items):
 @pytest.mark.parametrize("block", [20_000, 7])
 def test_leaks(table, monkeypatch, block):
     monkeypatch.setattr(contamination, "ITEM_BLOCK", block)
+    monkeypatch.setattr(contamination, "LOOKED_UP", block)
     r = random.Random(9)
     words = [f"w{i}" for i in range(200)]
     items = [(i, " ".join(r.choice(words) for _ in range(r.choice([2, 4, 15, 30, 59])))) for i in range(20)]
