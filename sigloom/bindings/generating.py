@@ -8,7 +8,7 @@ from sigloom.bindings import profiling_ledger as pl
 from sigloom.bindings import profiling_versions as pv
 from sigloom.bindings import profiling_work as pw
 from sigloom.bindings.aggregating import rounded
-from sigloom.bindings.joining import order_count_profile
+from sigloom.bindings.joining import FALLBACK_FROM, PROFILE_SQL, order_count_profile
 from sigloom.bindings.registry import query
 from sigloom.bindings.views import with_
 from sigloom.functions import draws, text, values
@@ -25,6 +25,7 @@ def key_uniform(key, mod=997):
     return (F.col(key) * 7919 % mod + 0.5) / float(mod)
 
 
+usql, nsql = draws.uniform_sql, draws.normal_sql
 U = "((o_orderkey * 7919 % 997 + CAST(0.5 AS DOUBLE)) / 997)"
 
 
@@ -43,7 +44,9 @@ def bounds(v):
     return fallback(rows, v.stored("order_counts", lambda: order_count_profile(v)), "n_orders", ["p25", "median", "p75"], min_n=30)
 
 
-@query("G2_lognormal_draw")
+@query("G2_lognormal_draw", with_("project", extra=PROFILE_SQL, body=f"""
+SELECT entity_id, CAST(greatest(1, least(floor(exp(ln(m + 1) + (ln(z + 1) - ln(a + 1)) / (2 * 0.6745::DOUBLE) * {nsql(['entity_id'], 'count')})), floor(z * 1.15::DOUBLE))) AS INTEGER) AS n FROM (
+SELECT p.entity_id, coalesce(a.p25, b.p25, c.p25, d.p25, e.p25)::DOUBLE AS a, coalesce(a.median, b.median, c.median, d.median, e.median)::DOUBLE AS m, coalesce(a.p75, b.p75, c.p75, d.p75, e.p75)::DOUBLE AS z {FALLBACK_FROM.format(n=30)})"""))
 def _(v):
     n = draws.count_from_quartiles(["entity_id"], "count", "p25", "median", "p75")
     return bounds(v).select("entity_id", n.alias("n"))
@@ -74,7 +77,8 @@ def _(v):
     return v.table("orders", "o_orderkey").select("o_orderkey", draws.categorical(key_uniform("o_orderkey"), values.DELAY_SHARES, None).alias("category"))
 
 
-@query("G6_weighted_sample")
+@query("G6_weighted_sample", f"""
+SELECT p_brand, p_type, p_partkey, CAST(r AS INTEGER) AS rank FROM (SELECT *, row_number() OVER (PARTITION BY p_brand, p_type ORDER BY -ln({usql(['p_partkey'], 'sample')}) / p_size, p_partkey) AS r FROM part) WHERE r <= 3""")
 def _(v):
     """Three parts per brand and type, by size, without repeats: a bounded top-k over sampling keys."""
     p = v.table("part", "p_partkey", "p_brand", "p_type", "p_size")
@@ -82,7 +86,12 @@ def _(v):
     return win.top_k(p, ["p_brand", "p_type"], ["key", "p_partkey"], 3).select("p_brand", "p_type", "p_partkey", "rank")
 
 
-@query("G7_smoothed_pmf_draw")
+@query("G7_smoothed_pmf_draw", with_("entity", body=f"""
+SELECT e.entity_id, CAST(least(8, 1 + count(*) FILTER (WHERE c.cum <= {usql(['e.entity_id'], 'floors')} * c.total)) AS INTEGER) AS n_floors FROM entity e JOIN cu c USING (sbu) GROUP BY e.entity_id""", extra="""
+fl AS (SELECT sbu, n_floors, count(*) AS n FROM entity WHERE n_floors IS NOT NULL GROUP BY 1, 2),
+pm AS (SELECT sbu, n_floors, round(n / CAST(sum(n) OVER (PARTITION BY sbu) AS DOUBLE), 6) AS prob FROM fl),
+wt AS (SELECT s.sbu, k.k, coalesce(pm.prob, 0) + 0.001::DOUBLE AS w FROM (SELECT DISTINCT sbu FROM fl) s CROSS JOIN (SELECT unnest(generate_series(1, 8)) AS k) k LEFT JOIN pm ON pm.sbu = s.sbu AND pm.n_floors = k.k),
+cu AS (SELECT *, sum(w) OVER (PARTITION BY sbu ORDER BY k) AS cum, sum(w) OVER (PARTITION BY sbu) AS total FROM wt)"""))
 def _(v):
     from sigloom.operators.aggregates import pmf
 
@@ -100,7 +109,9 @@ def _(v):
     return o.withColumn("q", q).select("o_orderkey", F.round(draws.tail_clamp("o_totalprice", F.col("q")[0], F.col("q")[1], F.col("q")[2]), 6).alias("x"))
 
 
-@query("G8_soft_bounds")
+@query("G8_soft_bounds", with_("project", extra=PROFILE_SQL, body=f"""
+SELECT entity_id, round(least(CASE WHEN n_orders > p75 THEN p75 * (1 + 0.2::DOUBLE * {usql(['entity_id'], 'soft:over')}) ELSE n_orders * (1 + (-0.06::DOUBLE + 0.12::DOUBLE * {usql(['entity_id'], 'soft:jitter')})) END, p75 * 1.5::DOUBLE), 6) AS x
+FROM project p JOIN prof d ON d.level = 'SBU' AND d.sbu = p.sbu"""))
 def _(v):
     b = order_count_profile(v).filter("level = 'SBU'").select("sbu", F.col("p75").alias("soft"), (F.col("p75") * 1.5).alias("hard"))
     df = v.project.select("entity_id", "sbu", "n_orders").join(b, "sbu")
@@ -328,7 +339,10 @@ def _(v):
     return deltas(v).select("entity_id", "sow", "version", "pct_complete", "n_tasks", "sow_start", "sow_finish", "sow_days")
 
 
-@query("G24_drift_cap")
+@query("G24_drift_cap", with_("task", "project", extra=PLACED, body=f"""
+SELECT entity_id, sow, s AS sow_start, f AS sow_finish, CAST(date_diff('day', s, f) AS INTEGER) AS sow_days FROM (
+ SELECT entity_id, sow, CASE WHEN sow_finish > top AND sow_start >= top THEN top - 30 ELSE sow_start END AS s, CASE WHEN sow_finish > top THEN top ELSE sow_finish END AS f FROM (
+ SELECT *, boundary + CAST(trunc(180 * (1 + (1.15::DOUBLE - 1) * {usql(['entity_id', 'sow'], 'drift')})) AS INTEGER) AS top FROM w))"""))
 def _(v):
     return gen_work.cap_drift(placed(v), keys=("entity_id", "sow")).select("entity_id", "sow", "sow_start", "sow_finish", "sow_days")
 
@@ -342,7 +356,19 @@ def _(v):
     return generated_work(v)
 
 
-@query("G26_dependency_metrics")
+def dependency_sql(name, bands):
+    whens = " ".join(f"WHEN x < {edge} THEN {b}::DOUBLE + {w}::DOUBLE * u" for edge, (b, w) in zip((0.25, 0.5, 0.75, 2), bands))
+    return f"(SELECT round(CASE {whens} END, 2) FROM (SELECT seq / CAST(n AS DOUBLE) AS x, {usql(['entity_id', 'sow'], name)} AS u)) AS {name}"
+
+
+BANDS = {
+    "avg_n_predecessors": ((0.5, 1.5), (1.5, 2.0), (2.0, 2.0), (2.5, 2.5)), "avg_n_successors": ((2.0, 3.0), (1.5, 2.0), (0.5, 1.5), (0.2, 1.0)),
+    "pct_critical_path": ((2.0, 4.0), (3.0, 6.0), (1.5, 3.5), (1.0, 3.0)),
+}
+
+
+@query("G26_dependency_metrics", with_("task", "project", extra=pw.WORK, body=f"""
+SELECT entity_id, sow, {', '.join(dependency_sql(k, b) for k, b in BANDS.items())} FROM (SELECT entity_id, sow, row_number() OVER (PARTITION BY entity_id ORDER BY sow_start, sow) AS seq, count(*) OVER (PARTITION BY entity_id) AS n FROM w)"""))
 def _(v):
     s = pw.seq(v).withColumn("n", F.count(F.lit(1)).over(W.partitionBy("entity_id")))
     return s.select("entity_id", "sow", *[c.alias(n) for n, c in gen_work.dependency_metrics(F.col("seq") / F.col("n"), ["entity_id", "sow"]).items()])
@@ -448,7 +474,9 @@ def _(v):
     return gen_events.text_batches(df, ["entity_id"], "event_id").select("event_id", "is_catchall", "group_zone", "group_sow", "batch")
 
 
-@query("G35_example_retrieval")
+@query("G35_example_retrieval", f"""
+WITH pool AS ({pe.POOL_SQL}), cells AS (SELECT c.trade, c.sbu, p.doc_id AS example_id, c.sbu = p.sbu AS is_own FROM (SELECT DISTINCT source AS trade, lang AS sbu FROM documents) c JOIN pool p ON c.trade = p.trade)
+SELECT trade, sbu, CAST(r AS INTEGER) AS rank, example_id, is_own FROM (SELECT *, row_number() OVER (PARTITION BY trade, sbu ORDER BY is_own DESC NULLS LAST, {usql(['trade', 'sbu', 'example_id'], 'example')}, example_id) AS r FROM cells) WHERE r <= 12""")
 def _(v):
     cells = v.table("documents", "source", "lang").select(F.col("source").alias("trade"), F.col("lang").alias("sbu")).distinct()
     pool = pe.pool(v).select("trade", "sbu", F.col("doc_id").alias("example_id"))

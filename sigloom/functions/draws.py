@@ -1,6 +1,6 @@
 """Random draws as Column expressions.
 
-Every draw hashes (seed, row key, purpose), so a row gets the same value in any
+Every draw hashes (seed, row key, purpose) with MD5, so a row gets the same value in any
 partitioning, on any executor and on every retry. One purpose per draw.
 """
 
@@ -22,14 +22,29 @@ _STEPS = 2**52
 
 
 def uniform(keys: Sequence, purpose: str, low=0.0, high=1.0, seed: int = SEED) -> Column:
-    """Uniform in the open interval, from a 64-bit hash of seed, keys and purpose."""
-    h = F.xxhash64(F.lit(seed), *[col(k) for k in keys], F.lit(purpose))
-    u = (F.pmod(h, F.lit(_STEPS)).cast("double") + 0.5) / float(_STEPS)
+    """Uniform in the open interval, from the first 13 hex digits of the MD5 of `seed|keys|purpose`.
+
+    Any engine with MD5 can repeat the draw (see `uniform_sql`).
+    """
+    text = F.concat_ws("|", F.lit(str(seed)), *[col(k).cast("string") for k in keys], F.lit(purpose))
+    h = F.conv(F.substring(F.md5(text), 1, 13), 16, 10)
+    u = (h.cast("double") + 0.5) / float(_STEPS)
     return u if (isinstance(low, float) and isinstance(high, float) and (low, high) == (0.0, 1.0)) else (
         F.lit(low) + (F.lit(high) - F.lit(low)) * u
     )
 
 
+def uniform_sql(keys: Sequence[str], purpose: str, seed: int = SEED) -> str:
+    """The same draw as SQL text."""
+    text = ", ".join([f"'{seed}'", *keys, f"'{purpose}'"])
+    return f"((CAST('0x' || substr(md5(concat_ws('|', {text})), 1, 13) AS BIGINT) + CAST(0.5 AS DOUBLE)) / {_STEPS})"
+
+
+def normal_sql(keys: Sequence[str], purpose: str, seed: int = SEED) -> str:
+    u, t = uniform_sql(keys, purpose + ":r", seed), uniform_sql(keys, purpose + ":t", seed)
+    return f"(sqrt(-2 * ln({u})) * cos({2.0 * math.pi!r}::DOUBLE * {t}))"
+
+
 def chance(keys, purpose: str, probability, seed: int = SEED) -> Column:
     return uniform(keys, purpose, seed=seed) < (probability if isinstance(probability, Column) else F.lit(probability))
 
@@ -146,15 +161,17 @@ def beta(keys, purpose: str, p10, p25, median, p75, p90, seed: int = SEED) -> Co
 def poisson(u: Column, mean, cap) -> Column:
     """Poisson draw by walking the distribution function up to `u`, capped at `cap`; 0 for a null mean or one of 0 or less.
 
-    The walk covers the mean and 12 standard deviations (and 40) on each side, outside of which there is no mass a
-    double can tell; where that leaves out small numbers it starts from Stirling's series.
+    The walk starts 12 standard deviations (and 40) below the mean, where there is no mass a double can tell (from Stirling's
+    series, if that leaves out small numbers), and ends where Bernstein's inequality leaves less than 1 - u above.
     """
     lam = col(mean).cast("double")
     reach = 12.0 * F.sqrt(F.greatest(lam, F.lit(0.0))) + 40.0
+    left = -F.log(F.greatest(1.0 - u, F.lit(1e-17)))
+    above = left / 3 + F.sqrt(left * left / 9 + 2.0 * left * F.greatest(lam, F.lit(0.0)))
     low = F.floor(lam - reach)
     low = F.when(low < 10, F.lit(0)).otherwise(low).cast("int")
-    capped, high = F.floor(col(cap)).cast("int"), F.ceil(lam + reach).cast("int")
-    high = F.when(capped.isNull(), high).otherwise(F.least(high, F.greatest(capped, low + 1)))
+    capped, high = F.floor(col(cap)).cast("int"), F.ceil(lam + above).cast("int") + 2
+    high = F.greatest(low + 1, F.when(capped.isNull(), high).otherwise(F.least(high, capped)))
     k = F.greatest(low, F.lit(1)).cast("double")
     log_factorial = k * F.log(k) - k + 0.5 * F.log(2 * math.pi * k) + 1 / (12 * k) - 1 / (360 * k**3) + 1 / (1260 * k**5)
     first = F.when(low == 0, F.exp(-lam)).otherwise(F.exp(low * F.log(lam) - lam - log_factorial))

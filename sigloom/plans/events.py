@@ -14,6 +14,7 @@ from sigloom.functions import buckets, clean
 from sigloom.operators.aggregates import bounds_json
 from sigloom.operators.joins import share_of_all, share_of_group, window_counts
 from sigloom.operators.levels import Level, profile_levels
+from sigloom.operators.ordered import one_key, ordered
 from sigloom.operators.quantiles import Stats, group_stats, percents
 from sigloom.operators.setops import union_all
 from sigloom.operators.windows import top_k
@@ -99,15 +100,22 @@ def spike_ratios(
     before: tuple[int, int] = (-60, -31), keep: tuple[float, float] = (0.5, 5.0),
 ) -> DataFrame:
     """Events after an anchor over events before it. An anchor needs both windows filled;
-    several anchors on one day count as often as they occur."""
+    several anchors on one day count as often as they occur, by the weight `n_anchor`."""
     both = window_counts(event_days, anchor_days, entity, {"n_before": before, "n_after": after})
     both = both.filter((F.col("n_before") > 0) & (F.col("n_after") > 0))
-    both = both.withColumn("spike_ratio", F.col("n_after") / F.col("n_before")).filter(F.col("spike_ratio").between(*keep))
-    return both.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("n_anchor").cast("int")))).drop("__copy")
+    return both.withColumn("spike_ratio", F.col("n_after") / F.col("n_before")).filter(F.col("spike_ratio").between(*keep))
 
 
 def spike_profile(ratios: DataFrame) -> DataFrame:
-    return group_stats(ratios, [], [Stats("spike_ratio", percents("p25", "median", "p75"), ("mean", "stddev"))], count="n_events")
+    """Quartiles, mean and deviation of the ratios, each counted `n_anchor` times. Equal ratios are added up before they are ordered."""
+    counts = ratios.groupBy("spike_ratio").agg(F.sum("n_anchor").alias("__n")).withColumn("__all", one_key("spike_ratio"))
+    run = ordered(counts, ["__all"], ["spike_ratio"], running_sum={"__cum": "__n"}, total={"n_events": "__n"}, positive="__n")
+    x, w = F.col("spike_ratio"), F.col("__n")
+    quartiles = [F.min(F.when(F.col("__cum") >= F.ceil(F.col("n_events") * F.lit(p)), x)).alias(n) for n, p in percents("p25", "median", "p75").items()]
+    out = run.agg(F.coalesce(F.max("n_events"), F.lit(0)).cast("long").alias("n_events"), *quartiles, F.sum(w * x).alias("__s"), F.sum(w * x * x).alias("__q"))
+    n = F.col("n_events")
+    deviation = F.when(n > 1, F.sqrt(F.greatest(F.lit(0.0), F.col("__q") - F.col("__s") * F.col("__s") / n) / (n - 1)))
+    return out.select("n_events", "p25", "median", "p75", F.when(n > 0, F.col("__s") / n).alias("mean"), deviation.alias("stddev"))
 
 
 def subcategory_frequency(events: DataFrame, codes: str, group: str = "trade", min_rows: int = 5, **rules) -> DataFrame:

@@ -177,8 +177,8 @@ def balanced_weights(df: DataFrame, label: str, out: str = "weight") -> DataFram
 
 
 def folds(df: DataFrame, key: str, label: str, k: int = 5, seed: int = draws.SEED) -> DataFrame:
-    """Fold number by key hash; large classes fall evenly into the folds."""
-    return df.withColumn("fold", F.pmod(F.xxhash64(F.lit(seed), F.col(key), F.col(label)), F.lit(k)).cast("int"))
+    """Fold number by a draw from the key; large classes fall evenly into the folds."""
+    return df.withColumn("fold", F.floor(draws.uniform([key], "fold", seed=seed) * k).cast("int"))
 
 
 def _assembled(df: DataFrame, features: Sequence[str]) -> DataFrame:

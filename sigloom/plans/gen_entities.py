@@ -119,9 +119,27 @@ def field_stats(real: DataFrame, group: str = "sbu") -> DataFrame:
     return out.join(edge, group).join(floors, group)
 
 
+def with_overall(rows: DataFrame, stats: DataFrame, group: str) -> DataFrame:
+    """Rows with their group's statistics; those of all groups together where there are none."""
+    middles = [f"{m}_{e}" for m in ("apf", "cps", "rat") for e in ("lo", "mid", "hi")]
+    bounds = ["n_floors_b", "gross_area_b", "amt_contract_b", "amt_cost_b"]
+    stats = cut_lineage(stats)  # a row per group, used five times
+    n = stats.agg(F.count(F.lit(1))).scalar()
+    shares = stats.select(F.explode("floor_pmf").alias("k", "p")).groupBy("k").agg((F.sum("p") / n).alias("p"))
+    floors = shares.agg(F.map_from_entries(F.collect_list(F.struct("k", "p")))).scalar()
+    every = stats.agg(*[F.avg(c).alias(c) for c in middles], *[F.array(F.min(F.col(c)[0]), F.max(F.col(c)[1])).alias(c) for c in bounds]).withColumn("floor_pmf", floors)
+    every = every.withColumn("__unit", F.lit(None).cast(stats.schema[group].dataType))
+    both = stats.withColumnRenamed(group, "__unit").unionByName(every)
+    unit = rows.join(stats.select(F.col(group).alias("__known")), F.col(group) == F.col("__known"), "left")
+    return unit.join(both, F.col("__known").eqNullSafe(F.col("__unit"))).drop("__known", "__unit")
+
+
 def field_chain(rows: DataFrame, stats: DataFrame, key: Sequence[str], group: str = "sbu", capped_unit: str = "mission critical", cap: int = 3) -> DataFrame:
-    """Floors -> area -> contract -> cost, each drawn around its group's ratio and softly bounded."""
-    df = rows.join(stats, group)
+    """Floors -> area -> contract -> cost, each drawn around its group's ratio and softly bounded.
+
+    Rows of a group that `stats` doesn't know, or of none, are drawn by the mean of all groups, within their widest bounds.
+    """
+    df = with_overall(rows, stats, group)
     u = lambda p: draws.uniform(key, p)
     capped = F.lower(F.trim(F.col(group))) == capped_unit
     lo, hi = F.floor(F.col("n_floors_b")[0]), F.ceil(F.col("n_floors_b")[1])

@@ -166,3 +166,48 @@ def test_entities_of_an_unknown_unit_keep_their_rows(spark):
     entities = spark.createDataFrame([(1, "a"), (2, "never seen"), (3, None)], "entity_id long, sbu string")
     got = gen_budget.present_divisions(entities, presence).groupBy("entity_id").count().collect()
     assert {r["entity_id"]: r["count"] for r in got} == {1: 2, 2: 2, 3: 2}
+
+
+def test_draws_can_be_repeated_in_sql(spark):
+    import duckdb
+
+    df = spark.sql("SELECT id, CASE WHEN id % 3 > 0 THEN concat('n', id) END AS name FROM range(200)").select("id", "name", draws.uniform(["id", "name"], "x").alias("u"))
+    con = duckdb.connect()
+    for r in df.collect():
+        name = "NULL" if r["name"] is None else f"'{r['name']}'"
+        assert con.execute(f"SELECT {draws.uniform_sql([str(r['id']), name], 'x')}").fetchone()[0] == r["u"]
+
+
+def test_poisson_walk_ends_late_enough(spark):
+    us = [1e-12, 1e-3, 0.2, 0.5, 0.9, 0.999, 1 - 1e-9]
+    for mean in (0.01, 1.0, 7.5, 60.0):
+        got = spark.createDataFrame([(u,) for u in us], "u double").select("u", draws.poisson(F.col("u"), F.lit(mean), F.lit(None).cast("int")).alias("n")).collect()
+        for r in got:
+            p, cdf, n = np.exp(-mean), np.exp(-mean), 0
+            while cdf <= r["u"]:
+                n += 1
+                p *= mean / n
+                cdf += p
+            assert r["n"] == n, (mean, r["u"])
+
+
+def test_fields_of_an_unknown_unit(views):
+    from sigloom.plans import gen_entities
+
+    stats = gen_entities.field_stats(g.real(views))
+    rows = views.entity.limit(3).select("entity_id", "n_floors", "gross_area").withColumn("sbu", F.when(F.col("entity_id") % 2 == 0, "never seen"))
+    out = gen_entities.field_chain(rows, stats, ["entity_id"]).collect()
+    assert len(out) == 3 and all(r["amt_contract"] > 0 and r["amt_cost"] > 0 and r["n_floors"] >= 1 for r in out)
+
+
+def test_spikes_are_weighted_by_their_anchors(spark):
+    from sigloom.plans import events
+
+    rows = [(0.5, 3), (1.0, 1), (2.0, 4), (4.0, 2), (1.0, 2)]
+    got = events.spike_profile(spark.createDataFrame(rows, "spike_ratio double, n_anchor long")).first()
+    x = np.repeat([r[0] for r in rows], [r[1] for r in rows])
+    want = [np.quantile(x, p, method="inverted_cdf") for p in (0.25, 0.5, 0.75)]
+    assert [got["n_events"], got["p25"], got["median"], got["p75"]] == [len(x), *want]
+    assert got["mean"] == pytest.approx(x.mean()) and got["stddev"] == pytest.approx(x.std(ddof=1))
+    none = events.spike_profile(spark.createDataFrame([], "spike_ratio double, n_anchor long")).first()
+    assert none["n_events"] == 0 and none["mean"] is None

@@ -8,8 +8,8 @@ import pytest
 import __spark_entry__ as entry
 
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
-PYTHON_ALLOWED = {"G3_beta_draw", "G27_structured_events", "G32_follow_ups"}
-SAMPLE = ["P19_lifecycle_share", "J12_event_window_join", "J15_fallback_profile", "A22_collapsed_mix", "A27_quota_allocation", "W14_minimum_gap", "W20_inversions", "D9_scurve_shape", "D39_overlaps", "E10_rebaseline_audit", "T8_monthly_timeline", "F3_ks_statistic", "G34_text_batches"]
+PYTHON_ALLOWED = {"G3_beta_draw", "G3_beta_range", "G27_structured_events", "G27_event_rules", "G32_follow_ups", "G32_follow_up_rules"}
+SAMPLE = ["P19_lifecycle_share", "J12_event_window_join", "J15_fallback_profile", "A22_collapsed_mix", "A27_quota_allocation", "W14_minimum_gap", "W20_inversions", "D9_scurve_shape", "D39_overlaps", "E10_rebaseline_audit", "T8_monthly_timeline", "F3_ks_statistic", "G34_text_batches", "G8_soft_bounds", "G24_drift_cap", "G35_example_retrieval", "F7_fold_sizes"]
 
 
 def test_entry_and_names(spark):
