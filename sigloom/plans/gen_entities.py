@@ -123,7 +123,6 @@ def with_overall(rows: DataFrame, stats: DataFrame, group: str) -> DataFrame:
     """Rows with their group's statistics; those of all groups together where there are none."""
     middles = [f"{m}_{e}" for m in ("apf", "cps", "rat") for e in ("lo", "mid", "hi")]
     bounds = ["n_floors_b", "gross_area_b", "amt_contract_b", "amt_cost_b"]
-    stats = cut_lineage(stats)  # a row per group, used five times
     n = stats.agg(F.count(F.lit(1))).scalar()
     shares = stats.select(F.explode("floor_pmf").alias("k", "p")).groupBy("k").agg((F.sum("p") / n).alias("p"))
     floors = shares.agg(F.map_from_entries(F.collect_list(F.struct("k", "p")))).scalar()
