@@ -1,8 +1,9 @@
 """Main text of web pages by consensus paths of their hosts.
 
 1. Every page is cut into tags and text. Each container has a generalised path: the tags from the body down, each with its first
-   class, digits replaced. Text inside menus, headers, footers, sidebars, notices, adverts, forms, comments and the like
-   counts for no container. A container's score is the text in and below it, less twice that of links, weighted by its share of the
+   class, digits replaced. Text inside menus, headers, footers, sidebars, adverts, forms, comments and the like
+   counts for no container. Where a class or id only looks like such a part (related-work), its text outside <article> and <main>
+   doesn't count either, but is kept if the container around it wins. A container's score is the text in and below it, less twice that of links, weighted by its share of the
    page: the innermost container with nearly all of the text wins, an article before others.
 2. Spark adds up the scores by host and path (with partial sums, so one host with a third of all pages is no burden) and
    keeps each host's best path: a few bytes a host.
@@ -24,24 +25,32 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType
 TAG = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*>", re.DOTALL)
 ATTRIBUTE = re.compile(r"([a-zA-Z_:-]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))")
 #: elements whose content is no text
-RAW = {"script", "style", "noscript", "template", "svg", "iframe", "object", "canvas", "textarea", "select", "title", "math", "video", "audio"}
+RAW = {"script", "style", "noscript", "template", "svg", "iframe", "object", "canvas", "textarea", "select", "title", "video", "audio"}
 #: elements that never hold main text
 APART = {"nav", "footer", "aside", "form", "button", "menu", "dialog", "head", "label", "input", "fieldset"}
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
 INLINE = {"a", "abbr", "b", "bdi", "bdo", "big", "br", "cite", "code", "data", "del", "dfn", "em", "font", "i", "img", "ins", "kbd", "mark", "q", "rp", "rt", "ruby", "s", "samp", "small", "span", "strike", "strong", "sub", "sup", "time", "tt", "u", "var", "wbr"}
+INLINE |= {"math", "mi", "mn", "mo", "ms", "mtext", "mspace", "mrow", "mstyle", "mpadded", "mphantom", "mfrac", "msqrt", "mroot", "msub", "msup", "msubsup", "munder", "mover", "munderover", "mmultiscripts", "mtable", "mtr", "mtd", "menclose", "mfenced", "semantics", "annotation", "annotation-xml"}
 #: elements that an opening tag of the key closes first
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 CONTAINERS = {"body", "main", "article", "section", "div", "td", "blockquote", "html"}
-#: words of class, id or role that mark a part as no main text
+HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
+#: words of class, id or role that make a part outside <article> and <main> count for no container; inside the winning container its text is kept
 MARKS = re.compile(
     r"(?:^|[\s_-])(?:ads?|advert\w*|adsense|sponsor\w*|promo\w*|banner|nav\w*|menu\w*|breadcrumbs?|header|masthead|topbar|footer|foot|sidebar|side|widget\w*|related|recommend\w*"
     r"|comments?|commentlist|replies|reply|disqus|discussion|respond|cookies?|consent|gdpr|notice|alert|popup|modal|overlay|newsletter|subscribe|signup|login|share|sharing|social|search|pagination|pager"
     r"|copyright|disclaimer|toolbar|tags?|skip|contentinfo|complementary|navigation|dialog)(?:$|[\s_-])",
     re.IGNORECASE,
 )
+#: roles, and classes or whole ids with a word of the first kind and none but of both kinds, that are never main text. Slugs of headings (related-work, side-effects) aren't
+ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "dialog", "alertdialog", "menu", "menubar", "toolbar"}
+BOILERPLATE = re.compile(
+    r"ads?|advert\w*|adsense|sponsor\w*|promo|promos|promotions?|banners?|nav\w*|menus?|menubar|breadcrumbs?|masthead|topbar|footer|sidebars?|widgets?|related|recommended|recommendations?"
+    r"|comments?|commentlist|replies|disqus|respond|cookies?|consent|gdpr|popup|modal|overlay|newsletter|subscribe|signup|login|share|sharing|social|pagination|pager|copyright|toolbar|tags|skip|skiplinks?"
+)
+NEUTRAL = re.compile(r"\d*|posts?|pages?|site|main|entry|articles?|stories|blog|lists?|items?|box(?:es)?|bar|buttons?|btns?|icons?|links?|wrap|wrapper|container|inner|outer|area|section|block|slot|unit|top|bottom|left|right|header|side|media|form|follow|notice|reply|us|this|text|meta|primary|secondary|global|mobile|desktop")
 #: a tag that the page's end cuts off
 BROKEN = re.compile(r"<[/a-zA-Z!].*\Z", re.DOTALL)
-HEADING = re.compile(r"\S*header\S*", re.IGNORECASE)
 #: a class like has-sidebar speaks of the layout, not of the part
 LAYOUT = re.compile(r"\S*(?:\b|[_-])(?:has|with|no|without)[_-]\S*", re.IGNORECASE)
 SPACE = re.compile(r"\s+")
@@ -49,21 +58,29 @@ DIGITS = re.compile(r"\d+")
 #: pages from which on a host's are spread, and over how many keys
 LARGE_HOST = 10_000
 SPREAD = 4096
+SITE = {"header", "site-header", "page-header", "foot"}
+WORDS = re.compile(r"[_-]+")
 HOST = r"^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)"
 
 
+def boilerplate(token: str) -> bool:
+    """Whether a class, or a whole id, names a part that is never main text."""
+    words = WORDS.split(token.lower())
+    return any(BOILERPLATE.fullmatch(w) for w in words) and all(BOILERPLATE.fullmatch(w) or NEUTRAL.fullmatch(w) for w in words)
+
+
 class Page:
     """A page's blocks of text, each with the containers around it, and the containers' paths."""
 
     def __init__(self, source: str):
         self.paths: list[str] = [""]
         self.parents: list[int] = [-1]
-        self.blocks: list[tuple[int, str, int]] = []  # container, text, characters of links
+        self.blocks: list[tuple[int, str, int, int]] = []  # container, text, characters of links, container around a doubtful mark or -1
         self._read(source)
 
     def _read(self, source: str) -> None:
-        stack: list[tuple[str, int, bool]] = []  # tag, container, apart
-        container, apart, links = 0, False, 0
+        stack: list[tuple[str, int, bool, int]] = []  # tag, container, apart, doubt
+        container, apart, doubt, links = 0, False, -1, 0
         words: list[str] = []
         linked = 0
 
@@ -72,17 +89,17 @@ class Page:
             if words:
                 text = SPACE.sub(" ", entities.unescape("".join(words))).strip()
                 if text:
-                    self.blocks.append((container, text, linked))
+                    self.blocks.append((container, text, linked, doubt))
                 words, linked = [], 0
 
         def close(k: int):
-            nonlocal container, apart, links
-            _, container_, apart_ = stack[k]
+            nonlocal container, apart, doubt, links
+            _, container_, apart_, doubt_ = stack[k]
             if any(t[0] not in INLINE for t in stack[k:]):
                 end_block()
             links -= sum(t[0] == "a" for t in stack[k:])
             del stack[k:]
-            container, apart = container_, apart_
+            container, apart, doubt = container_, apart_, doubt_
 
         at, lower = 0, source.lower()
         for found in TAG.finditer(source):
@@ -132,19 +149,24 @@ class Page:
                     if k is not None and stack[k][0] == other:
                         close(k)
                 end_block()
-            stack.append((name, container, apart))
+            stack.append((name, container, apart, doubt))
             if name == "a":
                 links += 1
             if name not in INLINE:
                 marks = found[3]
                 named = dict((a.lower(), b or c or d) for a, b, c, d in ATTRIBUTE.findall(marks)) if marks.strip() else {}
-                known = " ".join(named.get(x, "") for x in ("class", "id", "role"))
                 within = any(t[0] in ("article", "main") for t in stack)
-                known = LAYOUT.sub(" ", known)
-                if within:
-                    known = HEADING.sub(" ", known)
-                if name in APART or (name == "header" and not within) or "hidden" in named or named.get("aria-hidden") == "true" or (known and name not in ("body", "html", "article", "main") and MARKS.search(known)):
+                whole = name in ("body", "html", "article", "main")
+                known = LAYOUT.sub(" ", named.get("class", ""))
+                marked = not whole and (any(boilerplate(c) for c in known.split()) or any(c in ROLES for c in named.get("role", "").lower().split()))
+                if not within and not whole and name != "section" and name not in HEADINGS:
+                    own = named.get("id", "").strip()
+                    marked = marked or boilerplate(own) or own.lower() in SITE
+                marked = marked or "site-header" in known.split()
+                if name in APART or (name == "header" and not within) or "hidden" in named or named.get("aria-hidden") == "true" or marked:
                     apart = True
+                elif not within and not whole and doubt < 0 and MARKS.search(" ".join([known, LAYOUT.sub(" ", named.get("id", "")), named.get("role", "")])):
+                    doubt = container
                 elif name in CONTAINERS:
                     first = DIGITS.sub("#", (named.get("class", "").split() or [""])[0].lower())
                     self.paths.append(f"{self.paths[container]}/{name}{'.' + first if first else ''}")
@@ -157,7 +179,9 @@ class Page:
     def scores(self) -> dict[str, float]:
         """Each path's score: text without links in and below its containers, weighted by how little they leave out and how deep they lie."""
         own = [0.0] * len(self.paths)
-        for container, text, linked in self.blocks:
+        for container, text, linked, doubt in self.blocks:
+            if doubt >= 0:
+                continue
             own[container] += len(text) - 2 * min(linked, len(text))
         total = own[:]
         for k in range(len(total) - 1, 0, -1):
@@ -178,7 +202,7 @@ class Page:
         inside = [False] * len(self.paths)
         for k, own in enumerate(self.paths):
             inside[k] = own == path or (self.parents[k] >= 0 and inside[self.parents[k]])
-        return "\n\n".join(text for container, text, _ in self.blocks if inside[container])
+        return "\n\n".join(text for container, text, _, doubt in self.blocks if inside[container] and (doubt < 0 or inside[doubt]))
 
     def best(self) -> str:
         return min(self.scores().items(), key=lambda x: (-x[1], x[0]), default=("", 0.0))[0]
