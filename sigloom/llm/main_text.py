@@ -8,8 +8,9 @@
 2. Spark adds up the scores by host and path (with partial sums, so one host with a third of all pages is no burden) and
    keeps each host's best path: a few bytes a host.
 3. Pages are joined with their host's path (those of a very large host are spread) and read again: the main text is what the
-   containers with that path hold. A page
-   that has none of it, or less than half of its own best container's text there, is taken by its own best path.
+   containers with that path hold, and in a page whose own best container is another one (the article goes on beside the
+   host's, or the layout is its own) also that one's blocks that are no more than half links. A page
+   that has none of the host's path, or less than half of its own best container's text there, is taken by its own best path.
 """
 
 from __future__ import annotations
@@ -197,12 +198,21 @@ class Page:
                 out[path] = max(out.get(path, 0.0), whole * (share**4 + 0.002 * depth + kind * share))
         return out
 
-    def text(self, path: str) -> str:
-        """The blocks inside containers of this path, an empty line between them."""
+    def _inside(self, path: str) -> list[bool]:
+        """Which blocks lie in containers of this path."""
         inside = [False] * len(self.paths)
         for k, own in enumerate(self.paths):
             inside[k] = own == path or (self.parents[k] >= 0 and inside[self.parents[k]])
-        return "\n\n".join(text for container, text, _, doubt in self.blocks if inside[container] and (doubt < 0 or inside[doubt]))
+        return [inside[container] and (doubt < 0 or inside[doubt]) for container, _, _, doubt in self.blocks]
+
+    def text(self, path: str, own: str | None = None) -> str:
+        """The blocks inside containers of this path, an empty line between them; with `own`, also those in containers of that
+        path that are no more than half links and not under a doubtful mark."""
+        kept = self._inside(path)
+        if own is not None:
+            more = self._inside(own)
+            kept = [k or (m and b[3] < 0 and 2 * b[2] <= len(b[1])) for k, m, b in zip(kept, more, self.blocks, strict=True)]
+        return "\n\n".join(b[1] for b, k in zip(self.blocks, kept, strict=True) if k)
 
     def best(self) -> str:
         return min(self.scores().items(), key=lambda x: (-x[1], x[0]), default=("", 0.0))[0]
@@ -242,12 +252,13 @@ def extract(pages: DataFrame, large_host: int = LARGE_HOST) -> DataFrame:
                 if source:
                     page = Page(source)
                     used = path if path is not None else page.best()
-                    text = page.text(used)
                     own = page.best()
-                    if own != used:
-                        other = page.text(own)
-                        if 2 * len(text) < len(other):
-                            text, used = other, own
+                    if own == used:
+                        text = page.text(used)
+                    elif 2 * len(page.text(used)) < len(other := page.text(own)):
+                        text, used = other, own
+                    else:
+                        text = page.text(used, own)
                 texts.append(text)
                 paths.append(used)
             yield pa.RecordBatch.from_arrays([batch.column("page_id"), batch.column("url"), batch.column("host"), pa.array(paths, pa.string()), pa.array(texts, pa.string())], names=["page_id", "url", "host", "path", "text"])

@@ -23,3 +23,16 @@ def test_known_parts_stay_out_and_formulas_stay_in(table):
     apart = '<div class="related-posts">r</div><ul class="share-buttons"><li>s</ul><div class="ad-slot">d</div><div role="navigation">n</div>'
     page = f'<html><body><div id="sidebar">side</div><article><h2 class="side-effects">Effects</h2><p>Where <math><mi>x</mi><mo>=</mo><mn>2</mn></math> holds.</p>{apart}</article></body></html>'
     assert texts(table, [(1, "http://a.example/1", page)])[1] == "Effects\n\nWhere x=2 holds."
+
+
+def test_an_article_that_goes_on_beside_the_winning_container(table):
+    usual = "<html><body><div class=wrap><div class=lead><p>Usual article %d with enough words to win the vote of its host.</p></div></div></body></html>"
+    first, rest = "The lead of a long article, which is most of its text here.", "What follows it beside the first one."
+    page = f"<html><body><div class=wrap><div class=lead><p>{first}</p></div><div class=more><p>{rest}</p><p><a href=x>Other page</a></p></div></div></body></html>"
+    # the other layout has the winning path too, with more than half as much text as its own article
+    both = f"<html><body><div class=wrap><div class=lead><p>{first}</p></div></div><article><p>{rest}</p></article></body></html>"
+    rows = [(i, "http://a.example/%d" % i, usual % i) for i in range(20)] + [(20, "http://a.example/20", page), (21, "http://a.example/21", both)]
+    got = texts(table, rows)
+    assert got == texts(table, rows, large_host=5)
+    assert got[3] == "Usual article 3 with enough words to win the vote of its host."
+    assert got[20] == got[21] == f"{first}\n\n{rest}"
