@@ -82,7 +82,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def sequence_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the documents in sequences of 2,048 ids."""
     importable(spark)
-    return packing.pack(docs, packing.tokenizer_path("byte_bpe_50k.json"))
+    return packing.pack(docs, packing.tokenizer_path("byte_bpe_50k.json"), encode_special_tokens=False)
 
 
 STAGES = [

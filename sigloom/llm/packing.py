@@ -51,10 +51,16 @@ class Encoder:
     A byte-level pre-token never goes on past a single blank between two characters that are no white space, so the
     stretches can be encoded apart. Each distinct one is encoded once, as little-endian 32-bit ids, and kept in a table of
     bounded size. The new ones of a batch are encoded as one text, cut again by the tokens' lengths in bytes.
+
+    As in `tokenizers`, a special token's text is encoded like any other with `encode_special_tokens` and is that token without
+    it (the default there). Texts are cut at such tokens first; what lies between two of them is encoded as a text of its own.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, encode_special_tokens: bool = True):
         self.codec = codec(path)
+        self.added = added_tokens(path, encode_special_tokens)
+        # the longest first: of tokens that begin alike the longest is meant
+        self.marks = re.compile("|".join(f"({re.escape(t)})" for t in sorted(self.added, key=len, reverse=True))) if self.added else None
         self.length = np.array([len(self.codec.decode_single_token_bytes(i)) for i in range(self.codec.max_token_value + 1)], np.int64)
         self.known: dict[str, bytes] = {}
 
@@ -90,6 +96,26 @@ class Encoder:
 
     def batch(self, texts: list[str]) -> list[bytes]:
         """The ids of each text, as little-endian 32-bit numbers."""
+        if self.marks is None or not any(map(self.marks.search, texts)):
+            return self._between(texts)
+        parts, ids = [], []
+        for text in texts:
+            at = 0
+            for found in self.marks.finditer(text):
+                parts.append(text[at : found.start()])
+                ids.append(np.array([self.added[found[0]]], np.uint32).tobytes())
+                at = found.end()
+            parts.append(text[at:])
+            ids.append(None)
+        out, now = [], b""
+        for between, mark in zip(self._between(parts), ids, strict=True):
+            now += between + (mark or b"")
+            if mark is None:
+                out.append(now)
+                now = b""
+        return out
+
+    def _between(self, texts: list[str]) -> list[bytes]:
         cut = [self.stretches(t) for t in texts]
         new = set().union(*[c[1:] for c in cut]).difference(self.known)
         if len(self.known) + len(new) > CACHE_SIZE:
@@ -104,9 +130,20 @@ class Encoder:
 
 
 @lru_cache(maxsize=1)
-def encoder(path: str) -> Encoder:
+def encoder(path: str, encode_special_tokens: bool = True) -> Encoder:
     """One encoder for all tasks of a worker process."""
-    return Encoder(path)
+    return Encoder(path, encode_special_tokens)
+
+
+def added_tokens(path: str, encode_special_tokens: bool) -> dict[str, int]:
+    """The tokens of a tokenizer file that are cut out of texts before they are encoded, with their ids."""
+    with open(path, encoding="utf-8") as f:
+        made = [t for t in json.load(f)["added_tokens"] if t["content"] and not (encode_special_tokens and t["special"])]
+    for t in made:
+        # a stretch or a leaf of an edit tree may end at a blank, and no context of a token is looked at
+        if re.search(r"\s", t["content"]) or t["single_word"] or t["lstrip"] or t["rstrip"]:
+            raise ValueError(f"can't read the added token {t['content']!r}: it has white space or looks at its context")
+    return {t["content"]: t["id"] for t in made}
 
 
 def codec(path: str):
@@ -166,15 +203,15 @@ def windows_of(sizes: list[int], capacity: int) -> list[list[int]]:
         count += 1
 
 
-def pack(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY, end_id: int = END_ID, piece: int = PIECE, block: int = BLOCK_SEQUENCES) -> DataFrame:
+def pack(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY, end_id: int = END_ID, piece: int = PIECE, block: int = BLOCK_SEQUENCES, encode_special_tokens: bool = True) -> DataFrame:
     """Rows (doc_id, start, length, ids, doc_tokens, sequence_id, offset), a piece each; ids are little-endian 32-bit.
 
     Every row of docs (doc_id, text) is encoded whole and ended with `end_id`; null and empty texts consist of that id. Each id is in exactly
     one piece; the pieces of a sequence lie without gaps from offset 0 and have `capacity` ids at most. Rows that repeat or
-    have a null doc_id are packed like others. Other columns are ignored.
+    have a null doc_id are packed like others. Other columns are ignored. `encode_special_tokens`: see `Encoder`.
     """
     def run(batches):
-        encoded = encoder(path or tokenizer_path()).batch
+        encoded = encoder(path or tokenizer_path(), encode_special_tokens).batch
         base, sequence = TaskContext.get().partitionId() << 32, 0
         end = np.array([end_id], np.uint32).tobytes()
         waiting, size = [], 0

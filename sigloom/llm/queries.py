@@ -108,7 +108,7 @@ def edited_token_counts(table):
         edit(F.floor(place / 2), F.lit(0), F.concat(F.lit(" revised,\n"), F.substring("text", 1, 30))),
     )
     documents = table("documents").select("doc_id", "text", F.when(F.col("text").isNotNull(), edits).alias("edits"))
-    counted = token_counts.recount(documents, "edits", packing.tokenizer_path("byte_bpe_50k.json"))
+    counted = token_counts.recount(documents, "edits", packing.tokenizer_path("byte_bpe_50k.json"), encode_special_tokens=False)
     return counted.select("doc_id", "n_tokens", "n_tokens_after", "n_chars", "n_chars_after", "n_edits", "n_encoded_chars")
 
 
@@ -134,7 +134,7 @@ def nearest_neighbours(table):
 @query("op8_packing")
 def sequence_packing(table):
     """Pieces of documents in sequences of 2,048 ids."""
-    made = packing.pack(table("documents"), packing.tokenizer_path("byte_bpe_50k.json"))
+    made = packing.pack(table("documents"), packing.tokenizer_path("byte_bpe_50k.json"), encode_special_tokens=False)
     return made.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 

@@ -139,18 +139,18 @@ def safe(text: str) -> bool:
     return len(text) > 1 and text[0] == " " and not text[1].isspace()
 
 
-def recount(docs: DataFrame, edits: str = "edits", path: str | None = None) -> DataFrame:
+def recount(docs: DataFrame, edits: str = "edits", path: str | None = None, encode_special_tokens: bool = True) -> DataFrame:
     """One row for each row of docs (doc_id, text, edits): doc_id, n_tokens before the edits and n_tokens_after, n_chars and n_chars_after,
     n_edits, n_encoded_chars (characters encoded again because of edits), text_after.
 
     `edits` names an array of structs (start, length, insert), done in order, each on the text as the one before left it:
     `length` characters from `start` on (from 0) are replaced by `insert`. Bounds outside the text are cut to it; null fields
     count as 0 or empty, null edits as none. Null and empty texts have 0 tokens before. Rows that repeat or have a null doc_id
-    are counted like others; other columns are ignored.
+    are counted like others; other columns are ignored. `encode_special_tokens`: see `packing.Encoder`.
     """
 
     def run(batches):
-        encode = encoder(path or tokenizer_path())
+        encode = encoder(path or tokenizer_path(), encode_special_tokens)
         for batch in batches:
             for part, _, _ in spans.chunks(batch, "text"):
                 rows = []
