@@ -8,6 +8,9 @@ each block with up to two bits flipped finds every fingerprint within that radiu
 similarity of 0.8 is 9.7 differing bits on average (deviation 2.9). What is found is verified by the exact weighted similarity
 of the shingles' counts.
 
+A document shorter than an item is the one window for it, as long as the item's length lets the similarity be reached. It is
+compared with all items of that length by counts of shared shingles, without fingerprints.
+
 A window that has no shingle of an item in common with it has similarity 0, so fingerprints are made for windows over shared
 shingles only; that leaves out nothing that verification would keep.
 """
@@ -46,6 +49,14 @@ class Items(NamedTuple):
     prints: np.ndarray
     tables: list[np.ndarray]
 
+    def shared(self, values: np.ndarray, counts: np.ndarray) -> np.ndarray:
+        """What each item has in common with shingles of these counts."""
+        of = np.repeat(np.arange(len(self.ids)), [len(x) for x in self.shingles])
+        every = np.concatenate(self.shingles)
+        place = np.minimum(np.searchsorted(values, every), len(values) - 1)
+        least = np.where(values[place] == every, np.minimum(counts[place], np.concatenate(self.counts)), 0)
+        return np.bincount(of, least, len(self.ids)).astype(np.int64)
+
 
 def signs(shingles: np.ndarray) -> np.ndarray:
     """A row of 64 values +1 or -1 for each shingle, from its bits."""
@@ -141,12 +152,34 @@ def search(items: Items, h: np.ndarray, length: int, starts: np.ndarray, similar
             yield int(items.ids[k]), int(starts[w]), bits, score
 
 
+def compare(items: Items, h: np.ndarray, length: int, similarity: float):
+    """Verified (item, 0, differing bits, similarity) of items of `length` words with the whole of a shorter document."""
+    n = min(SHINGLE, length)
+    here, there = len(h) - n + 1, length - n + 1
+    if here < similarity * there - 1e-9:  # not even if all of the document is in the item
+        return
+    values, counts = np.unique(spans.grams(h, n), return_counts=True)
+    least = items.shared(values, counts)
+    score = least / (here + there - least)
+    near = np.flatnonzero(score >= similarity - 1e-12)
+    if len(near):
+        own = packed((signs(values) * counts[:, None]).sum(0)[None])[0]
+        for k in near:
+            yield int(items.ids[k]), 0, int(own ^ items.prints[k]).bit_count(), float(score[k])
+
+
 def find(h: np.ndarray, hit: np.ndarray, lengths: np.ndarray, n_of: dict[int, Items], similarity: float) -> dict[int, list]:
     """Leaks in one document: item -> [windows, start of the best one, its words, its bits, its similarity]. hit: word positions of
     shared shingles, each with the length of an item that has it."""
     out: dict[int, list] = {}
     for length in np.unique(lengths):
         if length > len(h):
+            for item, start, bits, score in compare(n_of[int(length)], h, int(length), similarity):
+                # a repeated item is found each time and is one row; of equal windows the first stays
+                old = out.setdefault(item, [0, start, len(h), bits, score])
+                old[0] += 1
+                if score > old[4]:
+                    old[1:] = [start, len(h), bits, score]
             continue
         at, reach = hit[lengths == length], length - min(SHINGLE, length)
         mark = np.zeros(len(h) + 1, np.int64)
@@ -176,7 +209,8 @@ def leaks(docs: DataFrame, items: DataFrame, similarity: float = SIMILARITY) ->
     window, the first of equal ones.
 
     Null, empty and wordless texts and items match nothing; so do items with a null item_id. Items of fewer words than a
-    shingle have one shingle, all their words. A document shorter than an item doesn't hold it. Repeated items are found each;
+    shingle have one shingle, all their words. For a document shorter than an item its whole text is the only window (n_words is
+    then the document's; hamming may be above the radius, as fingerprints don't choose there). Repeated items are found each;
     repeated documents give a row each. Other columns are ignored.
     """
     bounds = items.select(F.col("item_id").cast("long").alias("item_id")).filter("item_id IS NOT NULL")
