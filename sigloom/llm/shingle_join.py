@@ -1,9 +1,9 @@
-"""Near-duplicate join on five-word shingles with a MinHash LSH forest and exact verification.
+"""Near-duplicate join on five-word shingles with MinHash banding of a fixed depth and exact verification.
 
 1. Texts with equal shingle sets are one class; the join goes on between one text of each class (the smallest doc_id).
-2. A class gets a MinHash signature for each tree of the forest. A tree is a trie over signatures of `LONGEST` values.
-   Matched prefixes are shortened from there, one value at a time, until two texts of the sought similarity share one
-   with at least the target recall in one of the trees (`prefix_length`); texts below one node are candidates.
+2. A class gets a MinHash signature for each of `TREES` bands. All have one depth, the largest up to `LONGEST` at which two texts
+   of the sought similarity share a band with the target recall (`prefix_length`; it doesn't depend on the data). Texts equal
+   in a band are candidates. This took the place of an LSH forest: there is no trie, and dense nodes aren't split by longer prefixes.
 3. Nodes with two texts or more become edges to their smallest text, so no pairs are made; connected components of
    these edges gather what has to be compared.
 4. A component's shingle sets meet in one task, or, from 1,024 texts or 4 million shingles on, each two of its parts meet in
