@@ -33,8 +33,10 @@ from .stretches import ByteLevel, buffers, byte_level, cuts, distinct, expand
 CHUNK_BYTES = 4 << 20
 #: rows that a join of one step makes, or those of one token of a group
 JOINED = 1 << 21
-#: stretches whose ids are written out at a time
-WRITTEN = 1 << 18
+#: bytes of groups that are written out at a time, or one stretch
+WRITTEN = 1 << 24
+
+EMPTY, BLANK = pa.scalar("", pa.large_string()), pa.scalar(" ", pa.large_string())
 
 #: a document, or (row null) a chunk's table of pairs and of the links of its stretches
 ROWS = (
@@ -74,7 +76,7 @@ class Vocabulary:
         self.encode_each = encoder.encode_each
         self.bytes = pa.array(encoder.entries, pa.large_binary())
         self.length = pc.binary_length(self.bytes).cast(pa.int64())
-        self.text = pa.array([str(i) for i in range(len(encoder.entries))], pa.large_string())
+        self.text = pa.array([str(i) for i in range(len(encoder.entries))], pa.string())
 
 
 @lru_cache(maxsize=1)
@@ -86,6 +88,10 @@ def lists(values, place: np.ndarray) -> pa.Array:
     return pa.LargeListArray.from_arrays(pa.array(place, pa.int64()), values if isinstance(values, pa.Array) else pa.array(values))
 
 
+def texts(values: pa.Array, place: np.ndarray, by: str) -> pa.Array:
+    return pc.binary_join(pa.ListArray.from_arrays(pa.array(place, pa.int32()), values), by)
+
+
 def joined(table: pa.Table, other: pa.Table, keys: list[str]) -> pa.Table:
     return table.join(other, keys, join_type="inner", use_threads=False)
 
@@ -134,22 +140,14 @@ class Aligned:
         self.n_groups = np.bincount(word, minlength=len(words))
         group_a = np.searchsorted(key, base[in_a.word.to_numpy()] + in_a.end.to_numpy())
         group_b = np.searchsorted(key, base[in_b.word.to_numpy()] + in_b.end.to_numpy())
-        # a stretch whose bytes are not those of its text may end without a group; its documents have no tokens at all
-        in_group_a, in_group_b = (self.right[t.word.to_numpy()] for t in (in_a, in_b))
-        self.text = self._text(in_a, in_b, group_a, group_b, len(word), word)
-        self.links = self._links(
-            pa.table({"group": group_a[in_group_a], "a": in_a.ids.filter(pa.array(in_group_a))}),
-            pa.table({"group": group_b[in_group_b], "b": in_b.ids.filter(pa.array(in_group_b))}),
-            word,
-        )
-
-    def _text(self, in_a: Tokens, in_b: Tokens, group_a: np.ndarray, group_b: np.ndarray, n: int, word: np.ndarray) -> pa.Array:
-        def side(tokens: Tokens, group: np.ndarray) -> pa.Array:
-            # tokens behind the last shared end of a stretch spelt otherwise fall to the next group; that stretch's text is never used
-            return pc.binary_join(lists(tokens.text, np.searchsorted(group, np.arange(n + 1))), ",")
-
-        groups = pc.binary_join_element_wise(side(in_a, group_a), side(in_b, group_b), "|")
-        return pc.binary_join(lists(groups, np.searchsorted(word, np.arange(len(self.right) + 1))), ";")
+        # a stretch that is spelt otherwise may end without a group; its documents have no tokens at all
+        right_a, right_b = (pa.array(self.right[t.word.to_numpy()]) for t in (in_a, in_b))
+        group_a, group_b = pa.array(group_a).filter(right_a), pa.array(group_b).filter(right_b)
+        number = np.arange(len(word) + 1)
+        sides = [texts(t.text.filter(r), np.searchsorted(g.to_numpy(), number), ",") for t, r, g in ((in_a, right_a, group_a), (in_b, right_b, group_b))]
+        groups = pc.binary_join_element_wise(*sides, "|")
+        self.text = texts(groups, np.searchsorted(word, np.arange(len(words) + 1)), ";")
+        self.links = self._links(pa.table({"group": group_a, "a": in_a.ids.filter(right_a)}), pa.table({"group": group_b, "b": in_b.ids.filter(right_b)}), word)
 
     def _links(self, a: pa.Table, b: pa.Table, word: np.ndarray) -> pa.Table:
         """Rows (word, a, b, n): how often ids are linked in a stretch. Tokens of one id in one group go together before they are joined."""
@@ -177,16 +175,20 @@ def digests(text: pa.Array, which: np.ndarray, first: np.ndarray) -> list[str]:
     """SHA-256 of the texts of each document's stretches, joined by semicolons; some stretches at a time."""
     out, now, row = [], hashlib.sha256(), 0
     rows = len(first) - 1
-    for left in range(0, len(which), WRITTEN):
-        right = min(len(which), left + WRITTEN)
-        inner = first[(first > left) & (first < right)]
-        for start, value in zip([left, *inner.tolist()], pc.binary_join(lists(text.take(pa.array(which[left:right])), np.unique([left, *inner, right]) - left), ";").to_pylist(), strict=True):
+    written = np.cumsum(pc.binary_length(text).to_numpy().astype(np.int64)[which])
+    left = 0
+    while left < len(which):
+        right = max(left + 1, int(np.searchsorted(written, (written[left - 1] if left else 0) + WRITTEN, "right")))
+        # pieces of the slice, a document each, with the stretch at which they start
+        starts = np.unique([left, *first[(first > left) & (first < right)], right])
+        for start, value in zip(starts[:-1].tolist(), texts(text.take(pa.array(which[left:right])), starts - left, ";").to_pylist(), strict=True):
             while row < rows and first[row + 1] <= start:
                 out.append(now.hexdigest())
                 now, row = hashlib.sha256(), row + 1
             if start > first[row]:
                 now.update(b";")
             now.update(value.encode())
+        left = right
     while row < rows:
         out.append(now.hexdigest())
         now, row = hashlib.sha256(), row + 1
@@ -196,7 +198,7 @@ def digests(text: pa.Array, which: np.ndarray, first: np.ndarray) -> list[str]:
 def chunk_rows(chunk: int, ids: pa.Array, texts: pa.Array, a: Vocabulary, b: Vocabulary) -> pa.RecordBatch:
     """The rows of one chunk's documents and the one of its tables."""
     filled = np.flatnonzero(pc.fill_null(pc.greater(pc.binary_length(texts), 0), False).to_numpy(zero_copy_only=False))
-    data, offsets = buffers(pc.binary_join_element_wise("", texts.take(pa.array(filled)).cast(pa.large_string()), " "))
+    data, offsets = buffers(pc.binary_join_element_wise(EMPTY, texts.take(pa.array(filled)).cast(pa.large_string()), BLANK))
     at, first = cuts(data, offsets)
     words, which = distinct(data, at)
     made = Aligned(words, a, b)
@@ -266,7 +268,7 @@ def aligned(docs: DataFrame, path_a: str, path_b: str, chunk_bytes: int = CHUNK_
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, ROWS)
 
 
-def scored(key, table: pa.Table) -> pa.Table:
+def scored(table: pa.Table) -> pa.Table:
     """A chunk's documents with the counts of their links."""
     documents = table.filter(pc.is_valid(table["row"]))
     looked = table.filter(pc.is_valid(table["pair"]))

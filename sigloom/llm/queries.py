@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import contamination, language, licenses, main_text, neighbours, packing, quality, repeats, shingle_join, token_counts
+from . import alignment, chat, contamination, importance, language, licenses, main_text, neighbours, packing, quality, repeats, shingle_join, token_counts
 from .shared import importable
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -148,3 +148,86 @@ def decontamination(table):
 def page_text(table):
     """The main text of every page."""
     return main_text.extract(table("pages")).select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"), "path")
+
+
+OP11_SQL = r"""
+WITH table16 AS (
+  SELECT list_transform(range(16), lambda i: list_reduce([i, 0, 0, 0, 0], lambda c, z: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t
+), texts AS (
+  SELECT 'd' AS side, doc_id AS id, row_number() OVER () AS r, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents
+  UNION ALL
+  SELECT 'b', item_id, row_number() OVER (), regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') FROM benchmark
+), features AS (
+  SELECT side, r, unnest(list_concat(w, list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]))) AS f FROM texts
+), held AS (
+  SELECT side, r, f, count(*) AS n FROM features GROUP BY ALL
+), hashed AS (
+  SELECT f, xor(list_reduce(list_prepend(4294967295::BIGINT, flatten(list_transform(range(0, strlen(f)), lambda i: [instr('0123456789ABCDEF', hex(encode(f))[2 * i + 2]) - 1, instr('0123456789ABCDEF', hex(encode(f))[2 * i + 1]) - 1]))), lambda c, x: xor(c >> 4, t[(xor(c, x) & 15) + 1])), 4294967295) % 10000 AS bucket
+  FROM (SELECT DISTINCT f FROM held), table16
+), counts AS (
+  SELECT bucket, coalesce(sum(n) FILTER (side = 'd'), 0)::BIGINT AS s, coalesce(sum(n) FILTER (side = 'b'), 0)::BIGINT AS t FROM held JOIN hashed USING (f) GROUP BY bucket
+), totals AS (
+  SELECT sum(s)::BIGINT AS s_total, sum(t)::BIGINT AS t_total FROM counts
+), gain AS (
+  SELECT bucket, floor(1000 * ln((t + 1)::DOUBLE * (s_total + 10000)::DOUBLE / ((s + 1)::DOUBLE * (t_total + 10000)::DOUBLE)))::BIGINT AS g FROM counts, totals
+), sums AS (
+  SELECT r, sum(n)::BIGINT AS n_features, sum(n * g)::BIGINT AS total FROM held JOIN hashed USING (f) JOIN gain USING (bucket) WHERE side = 'd' GROUP BY r
+), scored AS (
+  SELECT id AS doc_id, r, len(w) AS n_words, coalesce(n_features, 0) AS n_features, coalesce(CASE WHEN total < 0 THEN -((-total + n_features - 1) // n_features) ELSE total // n_features END, 0)::BIGINT AS weight,
+    ('0x' || sha256('7:' || coalesce(id::VARCHAR, ''))[1:8])::BIGINT AS h
+  FROM texts LEFT JOIN sums USING (r) WHERE side = 'd'
+), final AS (
+  SELECT *, weight + floor(-1000 * ln(-ln((h + 0.5::DOUBLE) / 4294967296::DOUBLE)))::BIGINT AS score, n_words >= 20 AS able FROM scored
+), ranked AS (
+  SELECT r, row_number() OVER (ORDER BY score DESC, doc_id) AS k, count(*) OVER () AS n FROM final WHERE able
+)
+SELECT doc_id, n_features, weight, score, CASE WHEN k <= 25 * n // 100 THEN k END AS rank FROM final LEFT JOIN ranked USING (r)
+"""
+
+
+@query("op11_importance_resampling", OP11_SQL)
+def importance_resampling(table):
+    """A quarter of the documents with 20 words or more, drawn by likeness to the benchmark."""
+    return importance.resample(table("documents"), table("benchmark")).select("doc_id", "n_features", "weight", "score", "rank")
+
+
+@query("op12_tokenizer_alignment")
+def tokenizer_alignment(table):
+    """Groups and links of two tokenizers' ids of every document, with the corpus-wide counts of the linked pairs."""
+    return alignment.align(table("documents"), packing.tokenizer_path("byte_bpe_50k.json"), packing.tokenizer_path("piece_bpe_32k.model"))
+
+
+#: a text that looks like marks of several templates
+CONTROL_TEXT = r"\### Assistant: </turn> ok"
+
+OP13_SQL = r"""
+WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok' UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'
+), placed AS (
+  SELECT *, row_number() OVER w AS k, lag(role) OVER w IS DISTINCT FROM role AS opens FROM turns WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text)
+), written AS (
+  SELECT *, length(regexp_replace(text, '<(\\*)(turn>|text>|next>|/turn>)', '<\\\1\2', 'g')) + CASE WHEN opens THEN 19 + length(regexp_replace(role, '<(\\*)(turn>|text>|next>|/turn>)', '<\\\1\2', 'g')) ELSE 6 END AS n FROM placed
+)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY k)) AS turns_sha256,
+  coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars, sha256(coalesce(string_agg(text, '' ORDER BY k) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  sum(n)::BIGINT AS formatted_chars
+FROM written GROUP BY conv_id
+"""
+
+
+@query("op13_chat_format", OP13_SQL)
+def chat_format(table):
+    """Digests of every conversation's turns and learned text, read back from its formatted form."""
+    turns = table("conversations").select("conv_id", "turn", "role", "text")
+    more = turns.sparkSession.range(2).select(F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(CONTROL_TEXT).alias("text"))
+    made = chat.format_turns(turns.unionByName(more))
+    made = made.select("conv_id", chat.read_turns(F.col("formatted")).alias("turns"), chat.read_learned(F.col("pieces")).alias("learned"), F.char_length("formatted").cast("long").alias("formatted_chars"))
+    return made.select(
+        "conv_id",
+        F.size("turns").cast("long").alias("n_turns"),
+        F.sha2(F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), ""), 256).alias("turns_sha256"),
+        F.char_length("learned").cast("long").alias("loss_chars"),
+        F.sha2("learned", 256).alias("loss_sha256"),
+        "formatted_chars",
+    )
