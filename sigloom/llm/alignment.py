@@ -30,7 +30,7 @@ from . import spans
 from .stretches import ByteLevel, buffers, byte_level, cuts, distinct, expand
 
 #: bytes of text in a chunk, or one document
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 5 << 19
 #: rows that a join of one step makes, or those of one token of a group
 JOINED = 1 << 21
 #: bytes of groups that are written out at a time, or one stretch
@@ -38,17 +38,25 @@ WRITTEN = 1 << 24
 
 EMPTY, BLANK = pa.scalar("", pa.large_string()), pa.scalar(" ", pa.large_string())
 
-#: a document, or (row null) a chunk's table of pairs and of the links of its stretches
-ROWS = (
-    "chunk long, row long, doc_id long, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, words array<int>, times array<int>, "
-    "a array<int>, b array<int>, docs array<int>, link_word array<int>, link_pair array<int>, link_times array<int>"
-)
-_DOC = ["words", "times"]
-_CHUNK = ["a", "b", "docs", "link_word", "link_pair", "link_times"]
-_NUMBERS = ["doc_id", "n_a", "n_b", "n_groups", "n_links"]
+#: a chunk: its documents and the links of its stretches as Arrow streams, its pairs of ids and how many documents have each linked
+ROWS = "chunk long, documents binary, links binary, a array<int>, b array<int>, docs array<int>"
 SCORED = "doc_id long, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups_sha256 string"
 
 
+def packed(columns: dict) -> bytes:
+    """Columns as a compressed Arrow stream: Spark moves one value for a chunk, not each number of it."""
+    table = pa.table(columns)
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, table.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+        out.write_table(table)
+    return sink.getvalue().to_pybytes()
+
+
+def unpacked(value: pa.Scalar) -> pa.Table:
+    with pa.ipc.open_stream(value.as_buffer()) as made:
+        return made.read_all().combine_chunks()
+
+
 class Pieces:
     """Ids of a sentence-piece vocabulary with bytes as a last resort."""
 
@@ -195,8 +203,8 @@ def digests(text: pa.Array, which: np.ndarray, first: np.ndarray) -> list[str]:
     return out
 
 
-def chunk_rows(chunk: int, ids: pa.Array, texts: pa.Array, a: Vocabulary, b: Vocabulary) -> pa.RecordBatch:
-    """The rows of one chunk's documents and the one of its tables."""
+def chunk_row(chunk: int, ids: pa.Array, texts: pa.Array, a: Vocabulary, b: Vocabulary) -> pa.RecordBatch:
+    """A chunk as a row of `ROWS`."""
     filled = np.flatnonzero(pc.fill_null(pc.greater(pc.binary_length(texts), 0), False).to_numpy(zero_copy_only=False))
     data, offsets = buffers(pc.binary_join_element_wise(EMPTY, texts.take(pa.array(filled)).cast(pa.large_string()), BLANK))
     at, first = cuts(data, offsets)
@@ -226,14 +234,13 @@ def chunk_rows(chunk: int, ids: pa.Array, texts: pa.Array, a: Vocabulary, b: Voc
     docs = count_documents(held["row"].to_numpy(), held["word"].to_numpy(), pair[order], place, len(pairs))
 
     held_at = np.searchsorted(filled[held["row"].to_numpy()], np.arange(n + 1))
-    doc = [pa.array([chunk] * n, pa.int64()), pa.array(range(n), pa.int64()), ids.cast(pa.int64()), *[pa.array(x) for x in numbers], pa.array(sha, pa.string())]
-    doc += [pa.ListArray.from_arrays(pa.array(held_at, pa.int32()), held[c].combine_chunks().cast(pa.int32())) for c in ("word", "n")]
-    empty = pa.nulls(n, pa.list_(pa.int32()))
-    own = [pa.array([chunk], pa.int64()), *[pa.nulls(1, pa.int64())] * 6, pa.nulls(1, pa.string()), *[pa.nulls(1, pa.list_(pa.int32()))] * 2]
-    values = [pairs >> 32, pairs & 0xFFFFFFFF, docs, links["word"].to_numpy()[order], pair[order], links["n"].to_numpy()[order]]
-    tables = [pa.array([v.astype(np.int32)], pa.list_(pa.int32())) for v in values]
-    names = ["chunk", "row", *_NUMBERS, "groups_sha256", *_DOC, *_CHUNK]
-    return pa.RecordBatch.from_arrays([pa.concat_arrays([x, y]) for x, y in zip([*doc, *[empty] * 6], [*own, *tables], strict=True)], names=names)
+    words_held = pa.ListArray.from_arrays(pa.array(held_at, pa.int32()), held["word"].combine_chunks().cast(pa.int32()))
+    times = pa.ListArray.from_arrays(pa.array(held_at, pa.int32()), held["n"].combine_chunks().cast(pa.int32()))
+    documents = {"doc_id": ids.cast(pa.int64()), **dict(zip(["n_a", "n_b", "n_groups", "n_links"], numbers, strict=True)), "groups_sha256": pa.array(sha, pa.string()), "words": words_held, "times": times}
+    linked = {"word": links["word"].to_numpy()[order].astype(np.int32), "pair": pair[order].astype(np.int32), "times": links["n"].to_numpy()[order]}
+    row = [pa.array([chunk]), *(pa.array([packed(x)], pa.binary()) for x in (documents, linked))]
+    row += [pa.array([v.astype(np.int32)], pa.list_(pa.int32())) for v in (pairs >> 32, pairs & 0xFFFFFFFF, docs)]
+    return pa.RecordBatch.from_arrays(row, names=["chunk", "documents", "links", "a", "b", "docs"])
 
 
 def count_documents(row: np.ndarray, word: np.ndarray, pair: np.ndarray, place: np.ndarray, pairs: int) -> np.ndarray:
@@ -253,7 +260,7 @@ def count_documents(row: np.ndarray, word: np.ndarray, pair: np.ndarray, place:
 
 
 def aligned(docs: DataFrame, path_a: str, path_b: str, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
-    """Rows `ROWS` of docs (doc_id, text): a row each, and one for each chunk."""
+    """Rows `ROWS` of docs (doc_id, text), one for each chunk."""
 
     def run(batches):
         a, b = vocabularies(path_a, path_b)
@@ -261,7 +268,7 @@ def aligned(docs: DataFrame, path_a: str, path_b: str, chunk_bytes: int = CHUNK_
         for table in batches:
             for part, _, _ in spans.chunks(table, "text", chunk_bytes):
                 ids, texts = (x.combine_chunks() if isinstance(x, pa.ChunkedArray) else x for x in (part.column("doc_id"), part.column("text")))
-                yield chunk_rows(chunk, ids, texts, a, b)
+                yield chunk_row(chunk, ids, texts, a, b)
                 spans.give_back()
                 chunk += 1
 
@@ -270,25 +277,23 @@ def aligned(docs: DataFrame, path_a: str, path_b: str, chunk_bytes: int = CHUNK_
 
 def scored(table: pa.Table) -> pa.Table:
     """A chunk's documents with the counts of their links."""
-    documents = table.filter(pc.is_valid(table["row"]))
     looked = table.filter(pc.is_valid(table["pair"]))
-    tables = table.filter(pc.is_valid(table["link_word"]))
+    own = table.filter(pc.is_valid(table["documents"]))
+    documents, links = unpacked(own["documents"][0]), unpacked(own["links"][0])
     at = looked["pair"].to_numpy()
     count, best = np.zeros(len(at), np.int64), np.zeros(len(at), np.int64)
-    count[at], best[at] = looked["count"].to_numpy(), looked["best"].to_numpy(zero_copy_only=False)
-    word, pair, times = (pc.list_flatten(tables[c]).to_numpy() for c in ("link_word", "link_pair", "link_times"))
-    size = int(word.max()) + 1 if len(word) else 1
-    sums, bests = np.zeros(size, np.int64), np.zeros(size, np.int64)
-    np.add.at(sums, word, times * count[pair])
-    np.add.at(bests, word, times * best[pair])
-    held = pc.list_flatten(documents["words"]).to_numpy()
-    times = pc.list_flatten(documents["times"]).to_numpy().astype(np.int64)
+    count[at], best[at] = looked["count"].to_numpy(), looked["best"].to_numpy()
+    held, times = (pc.list_flatten(documents[c]).to_numpy() for c in ("words", "times"))
     place = np.concatenate([np.zeros(1, np.int64), np.cumsum(pc.list_value_length(documents["words"]).to_numpy())])
+    size = max(held.max(initial=-1), links["word"].to_numpy().max(initial=-1)) + 1
     made = []
-    for values in (bests, sums):
-        total = np.concatenate([np.zeros(1, np.int64), np.cumsum(times * values[held])])
+    for values in (best, count):
+        per_word = np.zeros(size, np.int64)
+        np.add.at(per_word, links["word"].to_numpy(), links["times"].to_numpy() * values[links["pair"].to_numpy()])
+        total = np.concatenate([np.zeros(1, np.int64), np.cumsum(times * per_word[held])])
         made.append(pa.array(total[place[1:]] - total[place[:-1]]))
-    return pa.table([*[documents[c] for c in _NUMBERS], *made, documents["groups_sha256"]], names=[*_NUMBERS, "n_best", "count_sum", "groups_sha256"])
+    numbers = ["doc_id", "n_a", "n_b", "n_groups", "n_links"]
+    return pa.table([*(documents[c] for c in numbers), *made, documents["groups_sha256"]], names=[*numbers, "n_best", "count_sum", "groups_sha256"])
 
 
 def align(docs: DataFrame, path_a: str, path_b: str, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
@@ -305,11 +310,10 @@ def align(docs: DataFrame, path_a: str, path_b: str, chunk_bytes: int = CHUNK_BY
     folder = f"{ensure_checkpoint_dir(spark).rstrip('/')}/alignment-{uuid.uuid4().hex}"
     aligned(docs, path_a, path_b, chunk_bytes).write.option("compression", "zstd").parquet(folder)
     rows = spark.read.schema(ROWS).parquet(folder)
-    pairs = rows.filter("a IS NOT NULL").select("chunk", F.posexplode(F.arrays_zip("a", "b", "docs")).alias("pair", "x")).select("chunk", "pair", "x.a", "x.b", "x.docs")
+    pairs = rows.select("chunk", F.posexplode(F.arrays_zip("a", "b", "docs")).alias("pair", "x")).select("chunk", "pair", "x.a", "x.b", "x.docs")
     counts = pairs.groupBy("a", "b").agg(F.sum("docs").alias("count"))
     # a row for each id of A at most: the vocabulary bounds it
     highest = counts.groupBy("a").agg(F.max("count").alias("highest"))
     counts = counts.join(F.broadcast(highest), "a").withColumn("best", (F.col("count") == F.col("highest")).cast("long"))
     looked = pairs.join(counts, ["a", "b"]).select("chunk", "pair", "count", "best")
-    needed = rows.select("chunk", "row", *_NUMBERS, "groups_sha256", *_DOC, *_CHUNK[3:])
-    return needed.unionByName(looked, allowMissingColumns=True).groupBy("chunk").applyInArrow(scored, SCORED)
+    return rows.select("chunk", "documents", "links").unionByName(looked, allowMissingColumns=True).groupBy("chunk").applyInArrow(scored, SCORED)
