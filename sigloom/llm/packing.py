@@ -23,14 +23,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import spans
+from .stretches import byte_level
 
 CAPACITY = 2048
 END_ID = 1
 BLOCK_SEQUENCES = 256
 PIECE = 512
-CACHE_SIZE = 400_000
-#: fixed value: how a byte-level tokenizer of this kind splits text before it merges
-PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 TOKENIZER = "byte_bpe_50k.json"
 PIECES = "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
 
@@ -46,29 +44,21 @@ def tokenizer_path(name: str = TOKENIZER) -> str:
 
 
 class Encoder:
-    """Ids of whole texts, put together from stretches between blanks.
-
-    A byte-level pre-token never goes on past a single blank between two characters that are no white space, so the
-    stretches can be encoded apart. Each distinct one is encoded once, as little-endian 32-bit ids, and kept in a table of
-    bounded size. The new ones of a batch are encoded as one text, cut again by the tokens' lengths in bytes.
+    """Ids of whole texts, as little-endian 32-bit numbers.
 
     As in `tokenizers`, a special token's text is encoded like any other with `encode_special_tokens` and is that token without
     it (the default there). Texts are cut at such tokens first; what lies between two of them is encoded as a text of its own.
     """
 
     def __init__(self, path: str, encode_special_tokens: bool = True):
-        self.codec = codec(path)
+        self.level = byte_level(path)
         self.added = added_tokens(path, encode_special_tokens)
         # the longest first: of tokens that begin alike the longest is meant
         self.marks = re.compile("|".join(f"({re.escape(t)})" for t in sorted(self.added, key=len, reverse=True))) if self.added else None
-        self.length = np.array([len(self.codec.decode_single_token_bytes(i)) for i in range(self.codec.max_token_value + 1)], np.int64)
-        self.known: dict[str, bytes] = {}
-
-    def encode(self, text: str) -> bytes:
-        return np.array(self.codec.encode_ordinary(text), np.uint32).tobytes()
 
     def stretches(self, text: str) -> list[str]:
-        """The text cut before each safe blank; the blanks themselves are left out."""
+        """The text cut before each single blank between two characters that are no white space, where no pre-token goes on; the blanks
+        themselves are left out."""
         parts = text.split(" ")
         if not UNSAFE.search(text):
             return parts
@@ -80,53 +70,18 @@ class Encoder:
                 out[-1] += " " + part
         return out
 
-    def learn(self, parts: set[str]) -> None:
-        """Encodes stretches, each with the blank before it."""
-        safe = [p for p in parts if p and not p[0].isspace() and not p[-1].isspace()]
-        for p in parts.difference(safe):
-            self.known[p] = self.encode(" " + p)
-        for i in range(0, len(safe), 20_000):
-            some = safe[i : i + 20_000]
-            ids = np.array(self.codec.encode_ordinary(" " + " ".join(some)), np.uint32)
-            at = np.searchsorted(np.cumsum(self.length[ids]), np.cumsum([len(p.encode()) + 1 for p in some])) + 1
-            left = 0
-            for p, right in zip(some, at.tolist(), strict=True):
-                self.known[p] = ids[left:right].tobytes()
-                left = right
-
     def batch(self, texts: list[str]) -> list[bytes]:
-        """The ids of each text, as little-endian 32-bit numbers."""
-        if self.marks is None or not any(map(self.marks.search, texts)):
-            return self._between(texts)
-        parts, ids = [], []
-        for text in texts:
-            at = 0
-            for found in self.marks.finditer(text):
-                parts.append(text[at : found.start()])
-                ids.append(np.array([self.added[found[0]]], np.uint32).tobytes())
-                at = found.end()
-            parts.append(text[at:])
-            ids.append(None)
-        out, now = [], b""
-        for between, mark in zip(self._between(parts), ids, strict=True):
-            now += between + (mark or b"")
-            if mark is None:
-                out.append(now)
-                now = b""
-        return out
-
-    def _between(self, texts: list[str]) -> list[bytes]:
-        cut = [self.stretches(t) for t in texts]
-        new = set().union(*[c[1:] for c in cut]).difference(self.known)
-        if len(self.known) + len(new) > CACHE_SIZE:
-            self.known = {}
-            new = set().union(*[c[1:] for c in cut])
-        self.learn(new)
-        get = self.known.__getitem__
-        return [(self.encode(c[0]) if c[0] else b"") + b"".join(map(get, c[1:])) for c in cut]
+        """The ids of each text."""
+        return [self.bytes(t) for t in texts]
 
     def bytes(self, text: str) -> bytes:
-        return self.batch([text])[0]
+        if self.marks is None or not self.marks.search(text):
+            return self.level.encode(text).tobytes()
+        parts, at = [], 0
+        for found in self.marks.finditer(text):
+            parts += [self.level.encode(text[at : found.start()]).tobytes(), np.array([self.added[found[0]]], np.uint32).tobytes()]
+            at = found.end()
+        return b"".join([*parts, self.level.encode(text[at:]).tobytes()])
 
 
 @lru_cache(maxsize=1)
@@ -146,20 +101,6 @@ def added_tokens(path: str, encode_special_tokens: bool) -> dict[str, int]:
     return {t["content"]: t["id"] for t in made}
 
 
-def codec(path: str):
-    """The byte-level vocabulary of a tokenizer file, read for a faster encoder that gives the same ids."""
-    import tiktoken
-
-    with open(path, encoding="utf-8") as f:
-        made = json.load(f)
-    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
-    rest = [b for b in range(256) if b not in plain]
-    byte = {chr(c): b for b, c in [*((b, b) for b in plain), *((b, 256 + i) for i, b in enumerate(rest))]}
-    special = {t["content"] for t in made["added_tokens"]}
-    ranks = {bytes(byte[c] for c in token): i for token, i in made["model"]["vocab"].items() if token not in special}
-    return tiktoken.Encoding("byte level", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
-
-
 def difference(sizes: list[int], windows: int) -> list[list[int]]:
     """Indices of sizes in each of `windows` groups with nearly equal sums."""
     heap = [(-size, i, np.array([size]), [i]) for i, size in enumerate(sizes)]

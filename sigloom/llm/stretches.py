@@ -24,7 +24,8 @@ MAY_BEGIN[[0xC2, 0xE1, 0xE2, 0xE3]] = True
 #: fixed value: how a byte-level tokenizer of this kind splits text before it merges
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: a run of white space that the pattern's look-ahead can't go back through on the library's stack
-LONG_RUN = re.compile(r"\s{100000,}")
+LONG = 100_000
+LONG_RUN = re.compile(r"\s{%d,}" % LONG)
 
 
 def cuts(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -81,7 +82,7 @@ class ByteLevel:
 
     def encode(self, text: str) -> np.ndarray:
         """The ids of a whole text."""
-        long = LONG_RUN.search(text)
+        long = LONG_RUN.search(text) if len(text) >= LONG else None
         if not long:
             return self.codec.encode_to_numpy(text)
         if self._runs is None:
