@@ -1,35 +1,43 @@
 """Nearest neighbours by largest inner product, with randomly rotated one-bit codes.
 
-Vectors are centred, scaled to length 1 and rotated at random; a code keeps each component's sign, packed in bits, together with
-the vector's distance to the centre, its inner products with the centre and the one between the unit vector and its code. From
-the packed bits and these scalars the inner product with a query is estimated; its error stays, but for a tiny probability,
-within `EPSILON` standard deviations, known from the scalars. A query's candidates in a batch of vectors are those whose upper bound
-reaches the k-th largest lower bound; only these are ranked by the exact product.
-
-Queries go out in blocks of at most `QUERY_BLOCK`, one pass over the vectors each, and the best k of every task are merged by
-a window over each query. The centre is the mean of at most `SAMPLE` vectors; every vector is coded and searched.
+Vectors are centred, scaled to length 1 and turned at random into a space of `CODE_BITS` dimensions or more; a code keeps each component's sign, packed in
+bits, together with the vector's distance to the centre, its inner product with the centre and the one between the turned unit vector and its
+code. A query's turned components are rounded to four bits, so its inner product with a code is four popcounts a word of packed bits.
+From it and the scalars the inner product with the query is estimated; the estimate's error stays, but for a small
+probability, within `EPSILON` standard deviations, known from the scalars. A vector is ranked exactly only if its upper bound
+reaches the query's k-th best product so far in the task, or, in the task's first slice, the k-th largest lower bound.
+
+Queries go out in blocks of at most `QUERY_BLOCK`, one pass over the vectors each, whose result is written before the next begins; the best k of
+every task are merged by a window over each query. The centre is the mean of at most `SAMPLE` vectors; every vector is coded and searched.
 """
 
 from __future__ import annotations
 
+import uuid
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from sigloom.session import ensure_checkpoint_dir
+
 SAMPLE = 4096
 QUERY_BLOCK = 8192
-BATCH = 2048
-QUERIES_AT_ONCE = 256
-EPSILON = 4.0
+#: vectors that are coded at once; the first slice of a task is smaller, as no product is known there
+BATCH, FIRST = 4096, 512
+QUERIES_AT_ONCE = 16
+CODE_BITS = 256
+EPSILON = 3.0
 SEED = 5
 FOUND = "query_id long, vec_id long, score double"
 
 
 def rotation(dimensions: int) -> np.ndarray:
-    """A random orthogonal matrix, the same for each number of dimensions."""
-    q, r = np.linalg.qr(np.random.default_rng(SEED + dimensions).normal(size=(dimensions, dimensions)))
-    return q * np.sign(np.diag(r))
+    """Random orthonormal rows that turn vectors into codes' space, the same for each number of dimensions."""
+    size = max(CODE_BITS, -(-dimensions // 64) * 64)
+    q, r = np.linalg.qr(np.random.default_rng(SEED + dimensions).normal(size=(size, dimensions)))
+    return (q * np.sign(np.diag(r))).T
 
 
 class Codes:
@@ -39,29 +47,55 @@ class Codes:
         moved = vectors - centre
         self.norm = np.sqrt((moved * moved).sum(1))
         unit = (moved / np.maximum(self.norm, 1e-300)[:, None]) @ turn
-        self.bits = np.packbits(unit > 0, axis=1)
-        d = vectors.shape[1]
-        #: inner product of the unit vector and its code, a vector of +-1 / sqrt(d)
-        self.fit = np.maximum(np.abs(unit).sum(1) / np.sqrt(d), 1e-9)
+        packed = np.packbits(unit > 0, axis=1)
+        #: a row for each word of 64 bits
+        self.words = np.ascontiguousarray(packed.view(np.uint64).T)
+        self.ones = np.bitwise_count(self.words).sum(0, dtype=np.int64).astype(np.float32)
+        size = turn.shape[1]
+        #: inner product of the unit vector and its code, a vector of +-1 / sqrt(size)
+        self.fit = np.maximum(np.abs(unit).sum(1) / np.sqrt(size), 1e-9)
+        self.spread = np.sqrt(np.maximum(0.0, 1 / self.fit**2 - 1) / (size - 1))
         self.centred = moved @ centre
-        self.dimensions = d
 
-    def signs(self) -> np.ndarray:
-        return np.unpackbits(self.bits, axis=1, count=self.dimensions).astype(np.float32) * np.float32(2) - np.float32(1)
 
-    def bounds(self, queries: np.ndarray, centre: np.ndarray, turn: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Lower and upper bounds of the inner product of each query (rows) with each vector (columns)."""
-        d = self.dimensions
+class Asked:
+    """Queries, turned and rounded to four bits a component."""
+
+    def __init__(self, queries: np.ndarray, centre: np.ndarray, turn: np.ndarray):
         moved = queries - centre
-        length = np.sqrt((moved * moved).sum(1))
-        unit = (moved / np.maximum(length, 1e-300)[:, None]) @ turn
-        code = (unit.astype(np.float32) @ self.signs().T) / np.float32(np.sqrt(d))
-        cosine = code / self.fit.astype(np.float32)
-        error = EPSILON * np.sqrt(np.maximum(0.0, 1 / self.fit**2 - 1) / max(1, d - 1)) + 1e-6
-        scale = length[:, None] * self.norm[None, :]
+        self.length = np.sqrt((moved * moved).sum(1))
+        unit = (moved / np.maximum(self.length, 1e-300)[:, None]) @ turn
+        low = unit.min(1)
+        self.step = np.maximum((unit.max(1) - low) / 15, 1e-300)
+        level = np.rint((unit - low[:, None]) / self.step[:, None]).astype(np.uint8)
+        rounded = low[:, None] + level * self.step[:, None]
+        self.planes = [np.packbits(level >> p & 1, axis=1).view(np.uint64) for p in range(4)]
+        self.low, self.sum = low, rounded.sum(1)
+        self.rest = np.sqrt(((unit - rounded) ** 2).sum(1) / turn.shape[1])
+        self.centred = queries @ centre
+
+    def bounds(self, codes: Codes, rows: slice, lower: bool) -> tuple[np.ndarray | None, np.ndarray]:
+        """Lower (where asked for) and upper bounds of the inner product of each of these queries (rows) with each vector (columns)."""
+        size, shape = len(codes.words) * 64, (rows.stop - rows.start, codes.words.shape[1])
+        both, ones = np.empty(shape, np.uint64), np.empty(shape, np.uint8)
+        total = np.zeros(shape, np.float32)
+        for p, plane in enumerate(self.planes):
+            count = np.zeros(shape, np.uint16)
+            for w, word in enumerate(codes.words):
+                np.bitwise_and(word[None, :], plane[rows, w, None], out=both)
+                np.bitwise_count(both, out=ones)
+                count += ones
+            total += count * np.float32(1 << p)
+        narrow = lambda x: x[rows, None].astype(np.float32)
+        # <rounded query, code> = (2 <rounded query, bits> - its sum) / sqrt(size)
+        dot = total * narrow(2 * self.step) + codes.ones * narrow(2 * self.low) - narrow(self.sum)
+        cosine = dot * (1 / (np.sqrt(size) * codes.fit)).astype(np.float32)
+        error = np.float32(EPSILON) * (codes.spread.astype(np.float32) + narrow(self.rest) * (1 / codes.fit).astype(np.float32)) + np.float32(1e-5)
+        scale = narrow(self.length) * codes.norm.astype(np.float32)
         # <v, q> = <v - c, q - c> + <v - c, c> + <c, q>
-        base = self.centred[None, :] + (queries @ centre)[:, None]
-        return base + (cosine - error) * scale, base + (cosine + error) * scale
+        base = codes.centred.astype(np.float32) + narrow(self.centred)
+        margin = np.float32(1e-5) * np.abs(base)
+        return (base - margin + (cosine - error) * scale if lower else None), base + margin + (cosine + error) * scale
 
 
 def product(vectors: np.ndarray, query: np.ndarray) -> np.ndarray:
@@ -72,19 +106,50 @@ def product(vectors: np.ndarray, query: np.ndarray) -> np.ndarray:
     return out
 
 
-def best(vectors: np.ndarray, ids: np.ndarray, queries: np.ndarray, query_ids: np.ndarray, centre: np.ndarray, turn: np.ndarray, k: int):
-    """Per block of queries: (query row, ids, products) of at least the k nearest of these vectors."""
-    codes = Codes(vectors, centre, turn)
-    for i in range(0, len(queries), QUERIES_AT_ONCE):
-        block = queries[i : i + QUERIES_AT_ONCE]
-        low, high = codes.bounds(block, centre, turn)
-        own = ids[None, :] == query_ids[i : i + QUERIES_AT_ONCE, None]
-        low[own], high[own] = -np.inf, -np.inf
-        limit = np.partition(low, -k, axis=1)[:, -k] if len(ids) > k else np.full(len(block), -np.inf)
-        for r in range(len(block)):
-            near = np.flatnonzero((high[r] >= limit[r]) & ~own[r])
-            if len(near):
-                yield i + r, ids[near], product(vectors[near], block[r])
+class Best:
+    """The k best products of each query so far, and how many pairs were ranked exactly."""
+
+    def __init__(self, vectors: np.ndarray, ids: np.ndarray, centre: np.ndarray, turn: np.ndarray, k: int):
+        self.queries, self.ids, self.k = vectors, ids, k
+        self.centre, self.turn = centre, turn
+        self.asked = Asked(vectors, centre, turn) if len(ids) else None
+        self.kept: list = [(np.zeros(0, np.int64), np.zeros(0)) for _ in ids]
+        self.floor = np.full(len(ids), -np.inf)
+        self.ranked = 0
+
+    def add(self, ids: np.ndarray, vectors: np.ndarray) -> None:
+        if not len(self.ids) or not len(ids):
+            return
+        codes = Codes(vectors, self.centre, self.turn)
+        for i in range(0, len(self.ids), QUERIES_AT_ONCE):
+            rows = slice(i, min(i + QUERIES_AT_ONCE, len(self.ids)))
+            floor = self.floor[rows]
+            unknown = not np.isfinite(floor).all()
+            low, high = self.asked.bounds(codes, rows, unknown)
+            own = ids[None, :] == self.ids[rows, None]
+            high[own] = -np.inf
+            if unknown and len(ids) > self.k:
+                low[own] = -np.inf
+                floor = np.maximum(floor, np.partition(low, -self.k, axis=1)[:, -self.k])
+            near_by = high >= floor[:, None].astype(np.float32)
+            for r, near in zip(range(rows.start, rows.stop), map(np.flatnonzero, near_by & ~own), strict=True):
+                self.ranked += len(near)
+                if len(near):
+                    self._rank(r, near, ids, vectors)
+
+    def _rank(self, r: int, near: np.ndarray, ids: np.ndarray, vectors: np.ndarray) -> None:
+        # a quick product sorts out most, the others are added up in order
+        some = vectors[near]
+        quick = some @ self.queries[r]
+        stays = quick >= self.floor[r] - 1e-9 * (1 + np.abs(quick))
+        if not stays.any():
+            return
+        every = np.concatenate([self.kept[r][0], ids[near[stays]]])
+        scores = np.concatenate([self.kept[r][1], product(some[stays], self.queries[r])])
+        first = np.lexsort((every, -scores))[: self.k]
+        self.kept[r] = every[first], scores[first]
+        if len(first) == self.k:
+            self.floor[r] = scores[first[-1]]
 
 
 def matrix(column: pa.Array, dimensions: int) -> np.ndarray:
@@ -123,36 +188,39 @@ def nearest(vectors: DataFrame, queries: Column, k: int = 20, id_name: str = "ve
     centre, turn = matrix(some.column("v").combine_chunks(), d).mean(0), rotation(d)
     asked = rows.filter("asks").groupBy("id").agg(F.min("v").alias("v"))
     blocks = max(1, -(-asked.count() // QUERY_BLOCK))
-    parts = [_pass(rows, asked.filter(F.pmod(F.xxhash64("id"), F.lit(blocks)) == b), centre, turn, d, k) for b in range(blocks)]
-    found = parts[0]
-    for other in parts[1:]:
-        found = found.unionByName(other)
+    folder = f"{ensure_checkpoint_dir(rows.sparkSession).rstrip('/')}/neighbours-{uuid.uuid4().hex}"
+    for b in range(blocks):
+        shared = _share(asked.filter(F.pmod(F.xxhash64("id"), F.lit(blocks)) == b), centre, turn, d)
+        _pass(rows, shared, k).write.mode("append").parquet(folder)
+        shared.destroy()
+    found = rows.sparkSession.read.schema(FOUND).parquet(folder)
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 
-def _pass(rows: DataFrame, asked: DataFrame, centre: np.ndarray, turn: np.ndarray, d: int, k: int) -> DataFrame:
+def _share(asked: DataFrame, centre: np.ndarray, turn: np.ndarray, d: int):
+    """One block of queries on every executor; the driver holds one block at a time."""
     block = asked.orderBy("id").toArrow()
-    query_ids = block.column("id").to_numpy()
-    shared = rows.sparkSession.sparkContext.broadcast((matrix(block.column("v").combine_chunks(), d) if len(query_ids) else np.zeros((0, d)), query_ids, centre, turn))
+    ids = block.column("id").to_numpy()
+    vectors = matrix(block.column("v").combine_chunks(), d) if len(ids) else np.zeros((0, d))
+    return asked.sparkSession.sparkContext.broadcast((vectors, ids, centre, turn))
+
 
+def _pass(rows: DataFrame, shared, k: int) -> DataFrame:
     def run(batches):
-        asked_vectors, asked_ids, centre, turn = shared.value
-        kept: list = [None] * len(asked_ids)
+        best = Best(*shared.value, k)
+        d, size = best.queries.shape[1], FIRST
         for batch in batches:
-            for i in range(0, batch.num_rows, BATCH):
-                part = batch.slice(i, BATCH)
-                ids, x = part.column("id").to_numpy(), matrix(part.column("v"), d)
-                for r, near, score in best(x, ids, asked_vectors, asked_ids, centre, turn, k):
-                    if kept[r] is not None:
-                        near, score = np.concatenate([kept[r][0], near]), np.concatenate([kept[r][1], score])
-                    first = np.lexsort((near, -score))[:k]
-                    kept[r] = near[first], score[first]
-        full = [r for r in range(len(kept)) if kept[r] is not None]
+            i = 0
+            while i < batch.num_rows:
+                part = batch.slice(i, size)
+                best.add(part.column("id").to_numpy(), matrix(part.column("v"), d))
+                i, size = i + size, BATCH
+        full = [r for r in range(len(best.ids)) if len(best.kept[r][0])]
         for i in range(0, len(full), 4096):
             some = full[i : i + 4096]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.repeat(asked_ids[some], [len(kept[r][0]) for r in some])), pa.array(np.concatenate([kept[r][0] for r in some])), pa.array(np.concatenate([kept[r][1] for r in some]))],
+                [pa.array(np.repeat(best.ids[some], [len(best.kept[r][0]) for r in some])), pa.array(np.concatenate([best.kept[r][0] for r in some])), pa.array(np.concatenate([best.kept[r][1] for r in some]))],
                 names=["query_id", "vec_id", "score"],
             )
 
