@@ -114,7 +114,7 @@ def exact_quantiles(
     parts = names or ["__all"]
     counts = value_counts(finite, parts, "__v", "__n")
     kw = {"rows_per_slice": rows_per_slice} if rows_per_slice else {}
-    run = ordered(counts, parts, ["__v"], running_sum={"__cum": "__n"}, total={"__total": "__n"}, positive="__n", **kw)
+    run = ordered(counts, parts, ["__v"], running_sum={"__cum": "__n"}, total={"__total": "__n"}, **kw)
     aggs = [F.max("__total").alias(count)]
     for n, p in quantiles.items():
         h = (F.col("__total") - 1) * F.lit(float(p))

@@ -109,7 +109,7 @@ def spike_ratios(
 def spike_profile(ratios: DataFrame) -> DataFrame:
     """Quartiles, mean and deviation of the ratios, each counted `n_anchor` times. Equal ratios are added up before they are ordered."""
     counts = ratios.groupBy("spike_ratio").agg(F.sum("n_anchor").alias("__n")).withColumn("__all", one_key("spike_ratio"))
-    run = ordered(counts, ["__all"], ["spike_ratio"], running_sum={"__cum": "__n"}, total={"n_events": "__n"}, positive="__n")
+    run = ordered(counts, ["__all"], ["spike_ratio"], running_sum={"__cum": "__n"}, total={"n_events": "__n"})
     x, w = F.col("spike_ratio"), F.col("__n")
     quartiles = [F.min(F.when(F.col("__cum") >= F.ceil(F.col("n_events") * F.lit(p)), x)).alias(n) for n, p in percents("p25", "median", "p75").items()]
     out = run.agg(F.coalesce(F.max("n_events"), F.lit(0)).cast("long").alias("n_events"), *quartiles, F.sum(w * x).alias("__s"), F.sum(w * x * x).alias("__q"))

@@ -66,7 +66,7 @@ def ks(real: DataFrame, synth: DataFrame, features: Sequence[str], **kw) -> Data
     counts = _both(real, synth, features).groupBy("field", "value").agg(
         F.sum(n).alias("r"), F.sum(1 - n).alias("s"), F.count(F.lit(1)).alias("k")
     )
-    run = ordered(counts, ["field"], ["value"], running_sum={"cr": "r", "cs": "s"}, total={"nr": "r", "ns": "s"}, positive="k", **kw)
+    run = ordered(counts, ["field"], ["value"], running_sum={"cr": "r", "cs": "s"}, total={"nr": "r", "ns": "s"}, **kw)
     out = run.groupBy("field").agg(
         F.max(F.abs(F.col("cr") / F.col("nr") - F.col("cs") / F.col("ns"))).alias("ks"), F.max("nr").alias("n_real"), F.max("ns").alias("n_synth")
     )
@@ -132,7 +132,7 @@ def auc_from_counts(counts: DataFrame, keys: Sequence[str], min_rows: int = 0, m
     names = list(keys)
     if not names:
         counts, names = counts.withColumn("__all", one_key("score")), ["__all"]
-    run = ordered(counts, names, ["score"], running_sum={"cn": "neg"}, positive="k", **kw)
+    run = ordered(counts, names, ["score"], running_sum={"cn": "neg"}, **kw)
     out = run.groupBy(*names).agg(
         F.sum("pos").alias("n_pos"), F.sum("neg").alias("n_neg"), F.sum("k").alias("n"),
         F.sum(F.col("pos") * (F.col("cn") - F.col("neg") / 2)).alias("__u"),

@@ -42,25 +42,59 @@ def test_sliced_equals_plain(chain, limit):
 
 
 def sizes_of_slices(df, limit, order):
-    from sigloom.operators.ordered import hot_keys, with_slices
+    from sigloom.operators.ordered import borders, slice_of
 
-    hot = hot_keys(df, ["k"], order, limit)
-    return [r["k"] for r in hot.select(F.col("__h_k").alias("k")).collect()], with_slices(df, ["k"], order, hot).filter("k = 'hot'").groupBy("__ow_slice").count().collect()
+    columns = ["k", *order]
+    return df.filter("k = 'hot'").groupBy(slice_of(*borders(df, columns, limit), columns).alias("slice")).count().collect()
 
 
 def test_hot_key_is_really_cut(chain):
-    hot, sizes = sizes_of_slices(chain, 100, ["t", "id"])
-    assert hot == ["hot"]
+    sizes = sizes_of_slices(chain, 100, ["t", "id"])
     assert len(sizes) > 20 and max(r["count"] for r in sizes) < 250
 
 
 @pytest.mark.parametrize("spread", ["exp(3 * randn(5))", "cast(id % 3 as double)", "if(id % 4 = 0, null, 1.0)"])
 def test_slices_of_skewed_and_tied_orders(spark, spread):
     df = spark.range(200_000).select(F.lit("hot").alias("k"), F.expr(spread).alias("t"), "id")
-    _, sizes = sizes_of_slices(df, 1000, ["t", "id"])
+    sizes = sizes_of_slices(df, 1000, ["t", "id"])
     assert sum(r["count"] for r in sizes) == 200_000 and len(sizes) > 120 and max(r["count"] for r in sizes) < 2500
 
 
+def test_input_is_computed_once(spark):
+    """A counter in the input's plan: each row of a hot key is computed once, whatever reads it afterwards."""
+    made = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            made.add(b.num_rows)
+            yield b
+
+    df = spark.range(3000).selectExpr("'hot' AS k", "id", "id % 7 AS x").mapInArrow(count, "k string, id long, x long")
+    got = ordered(df, ["k"], ["id"], row_number="rn", running_sum={"s": "x"}, lead={"next": "x"}, rows_per_slice=100)
+    rows = sorted((r["id"], r["rn"], r["s"], r["next"]) for r in got.collect())
+    assert rows == [(i, i + 1, sum(j % 7 for j in range(i + 1)), (i + 1) % 7 if i < 2999 else None) for i in range(3000)]
+    assert made.value == 3000
+
+
+def test_plans_have_no_hints_and_few_exchanges(spark, sf):
+    df = spark.read.parquet(f"{sf}/lineitem.parquet")
+    small = ordered(df, ["l_suppkey"], ["l_shipdate", "l_orderkey", "l_linenumber"], row_number="rn")
+    cut = ordered(df, ["l_suppkey"], ["l_shipdate", "l_orderkey", "l_linenumber"], row_number="rn", rows_per_slice=300)
+    plans = [x._jdf.queryExecution().toString() for x in (small, cut)]
+    assert not any("ResolvedHint" in p or "strategy=broadcast" in p for p in plans)
+    assert plans[0].split("== Physical Plan ==")[1].count("Exchange hashpartitioning") == 1
+    assert sorted(small.collect()) == sorted(cut.collect())
+
+
+@pytest.mark.parametrize("kind", ["date", "timestamp", "double", "string", "decimal(20,3)"])
+def test_borders_of_any_order_type(spark, kind):
+    value = {"date": "date_add(date'2020-01-01', cast(id % 50 as int))", "timestamp": "timestamp_micros(id * 1234567 % 99991)", "double": "if(id % 9 = 0, double('nan'), 1 / (1 + id % 13))", "string": "concat('é\"', id % 40)", "decimal(20,3)": "cast(id % 70 / 3 as decimal(20,3))"}[kind]
+    df = spark.range(2000).selectExpr("if(id % 5 = 0, null, id % 2) AS k", f"if(id % 11 = 0, null, {value}) AS t", "id")
+    ask = dict(row_number="rn", running_sum={"s": "id"}, lag={"before": "id"})
+    cut, plain = (sorted(map(str, ordered(df, ["k"], ["t", "id"], **more, **ask).collect())) for more in ({"rows_per_slice": 50}, {}))
+    assert cut == plain
+
+
 def test_no_keys_no_nested_loop(spark):
     from sigloom.plans.fidelity import auc
 
