@@ -2,6 +2,11 @@
 
 Tables by name: project, schedule, rebaseline, task, event, budget; an absent table is None and
 its checks are left out. HARD allows no violation, SOFT 5 %, INFO always passes.
+
+Checks don't have plans of their own. Each says which measures of an entity it needs (`PARTS`) and how its result follows from
+all entities' measures. The measures that the wanted checks need are gathered in one aggregate per entity for each table, behind
+one window where rows are compared in order and one join for each other table that rows are held against; the tables' entities are
+stacked and added up to a card per entity, and one aggregate over the cards gives all results.
 """
 
 from __future__ import annotations
@@ -13,8 +18,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sigloom.functions import values
-from sigloom.operators import joins, windows
-from sigloom.operators.setops import missing_values, union_all
+from sigloom.operators import joins
+from sigloom.operators.ordered import ordered
+from sigloom.operators.setops import union_all
 
 HARD, SOFT, INFO = "HARD", "SOFT", "INFO"
 SOFT_LIMIT = 0.05
@@ -40,26 +46,39 @@ class Rule:
 
 @dataclass(frozen=True)
 class Check:
-    """A check with its own plan: one row (total, violations, optionally severity)."""
+    """A check of cards: the measures it needs, and its result as aggregates over the cards of all entities."""
 
     check_id: str
     layer: str
     category: str
     severity: str
     needs: tuple[str, ...]
-    plan: Callable[[Tables], DataFrame]
+    parts: tuple[str, ...]
+    total: Callable[[], Column]
+    violations: Callable[[], Column]
+    #: severity where it depends on the number of cards
+    graded: Callable[[], Column] | None = None
 
 
-def _one(spark, **scalars: Column) -> DataFrame:
-    return spark.range(1).select(*[c.alias(n) for n, c in scalars.items()])
+@dataclass(frozen=True)
+class Apart:
+    """A check whose rows belong to no entity or have an order of their own: one row (total, violations)."""
 
+    check_id: str
+    layer: str
+    category: str
+    severity: str
+    needs: tuple[str, ...]
+    plan: Callable[[Tables], DataFrame]
 
-def _count(df: DataFrame) -> Column:
-    return df.agg(F.count(F.lit(1))).scalar()
 
+@dataclass(frozen=True)
+class Part:
+    """A measure of an entity in one table, and the steps that bring the columns it reads."""
 
-def _row(df: DataFrame, total: Column, violations: Column) -> DataFrame:
-    return _one(df.sparkSession, total=total, violations=violations)
+    table: str
+    measure: Callable[[], Column]
+    steps: tuple[str, ...] = ()
 
 
 def _every() -> Column:
@@ -70,167 +89,194 @@ def _is_baseline() -> Column:
     return F.col("code").endswith("-BL")
 
 
-# plans of the cross-row and cross-table checks
+def _pct_complete() -> Column:
+    return F.when(F.col("n_total") > 0, F.col("n_completed") / F.col("n_total")).otherwise(0.0)
 
 
-def _orphans(child: str, parent: str, key: str, parent_key: str | None = None, only: Callable[[], Column] | None = None):
-    def plan(t: Tables) -> DataFrame:
-        rows = t[child].filter(only()) if only else t[child]
-        bad = joins.orphan_counts(rows, t[parent], key, parent_key)
-        # a NULL key has no parent: left_anti keeps it
-        return _row(rows, _count(rows), bad.agg(F.coalesce(F.sum("n_rows"), F.lit(0))).scalar())
+# steps: columns that rows get before they are aggregated
 
-    return plan
+#: table -> keys, order, value whose falls are counted
+CHAINS = {
+    "schedule": (["entity_id"], ["effective_from", "code"], lambda: F.col("dt_tco")),
+    "task": (["entity_id", "sow"], ["effective_from", "code"], _pct_complete),
+    "budget": (["entity_id", "division", "cost_code"], ["dt_budget"], lambda: F.col("amt_jtd")),
+}
 
 
-def _one_active(t: Tables) -> DataFrame:
-    n = t["schedule"].filter("is_active").groupBy("entity_id").agg(F.count(F.lit(1)).alias("n"))
-    p = t["project"].select("entity_id").distinct().join(n, "entity_id", "left")
-    return _row(p, _count(t["project"]), p.agg(F.count_if(F.coalesce(F.col("n"), F.lit(0)) != 1)).scalar())
+def _chain(df: DataFrame, t: Tables, table: str) -> DataFrame:
+    keys, order, value = CHAINS[table]
+    return ordered(df.withColumn("__x", value()), keys, order, row_number="__rn", lag={"__before": "__x"}, lead={"__next": order[0]})
 
 
-def _no_overlap(t: Tables) -> DataFrame:
-    s = t["schedule"].select("entity_id", "effective_from", "effective_to", "code")
-    bad = windows.overlaps(s, ["entity_id"], "effective_from", "effective_to", tie=["code"])
-    return _row(s, _count(s), _count(bad))
+def _spans(df: DataFrame, t: Tables, table: str) -> DataFrame:
+    dates = t["project"].groupBy("entity_id").agg(F.min(F.struct("dt_start", "dt_end")).alias("__p"))
+    return df.join(dates, "entity_id", "left")
 
 
-def _transitions(df: DataFrame, keys: list[str]) -> Column:
-    """Rows that have a predecessor, at least 1."""
-    per = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-    return per.agg(F.greatest(F.lit(1), F.coalesce(F.sum(F.col("n") - 1), F.lit(0)))).scalar()
+def _versions(df: DataFrame, t: Tables, table: str) -> DataFrame:
+    # a code names one version; were there several, each would count
+    by_code = t["schedule"].groupBy("code").agg(F.collect_list(F.struct("dt_tco")).alias("__versions"))
+    return df.join(by_code, "code", "left")
 
 
-def _target_monotone(t: Tables) -> DataFrame:
-    s = t["schedule"].select("entity_id", "effective_from", "code", "dt_tco")
-    bad = windows.regressions(s, ["entity_id"], ["effective_from", "code"], "dt_tco")
-    return _row(s, _transitions(s, ["entity_id"]), _count(bad))
+def _active(df: DataFrame, t: Tables, table: str) -> DataFrame:
+    last = t["schedule"].filter("is_active").groupBy("entity_id").agg(F.collect_list(F.struct("dt_tco")).alias("__active"))
+    return df.join(last, "entity_id", "left")
 
 
-def _sow_in_range(t: Tables, buffer: int = 90) -> DataFrame:
-    v = t["schedule"].select("code", "dt_tco")
-    p = t["project"].select("entity_id", "dt_start")
-    rows = t["task"].select("entity_id", "code", "sow_start", "sow_finish").join(v, "code").join(p, "entity_id")
-    early = F.col("sow_start") < F.date_sub("dt_start", buffer)
-    late = F.col("sow_finish") > F.date_add("dt_tco", buffer)
-    return _row(rows, _count(t["task"]), rows.agg(F.count_if(early | late)).scalar())
+STEPS: Mapping[str, Callable[[DataFrame, Tables, str], DataFrame]] = {"versions": _versions, "active": _active, "spans": _spans, "chain": _chain}
 
 
-def _pct_complete() -> Column:
-    return F.when(F.col("n_total") > 0, F.col("n_completed") / F.col("n_total")).otherwise(0.0)
+def _falls(eps: float = 0.0) -> Callable[[], Column]:
+    return lambda: F.count_if(F.col("__before").isNotNull() & (F.col("__x") < F.col("__before") - eps if eps else F.col("__x") < F.col("__before")))
 
 
-def _completion_progress(t: Tables) -> DataFrame:
-    keys = ["entity_id", "sow"]
-    d = t["task"].select(*keys, "effective_from", "code", _pct_complete().alias("pct"))
-    bad = windows.regressions(d, keys, ["effective_from", "code"], "pct", 0.01)
-    return _row(d, _transitions(d, keys), _count(bad))
+def _follows() -> Column:
+    """Rows that have a predecessor."""
+    return F.count_if(F.col("__rn") > 1)
 
 
-def _event_in_range(t: Tables, buffer: int = 30) -> DataFrame:
-    # events are counted per (entity, day) before the join
-    days = joins.daily_counts(t["event"], "entity_id", F.col("created"))
-    rows = days.join(t["project"].select("entity_id", "dt_start", "dt_end"), "entity_id")
-    bad = (F.col("day") < F.date_sub("dt_start", buffer)) | (F.col("day") > F.date_add("dt_end", buffer))
-    return _row(rows, _count(t["event"]), rows.agg(F.coalesce(F.sum(F.when(bad, F.col("n"))), F.lit(0))).scalar())
+def _task_out(buffer: int = 90) -> Column:
+    early = F.col("sow_start") < F.date_sub("__p.dt_start", buffer)
+    late = F.filter("__versions", lambda v: F.coalesce(early | (F.col("sow_finish") > F.date_add(v["dt_tco"], buffer)), F.lit(False)))
+    return F.sum(F.when(F.col("__p").isNotNull(), F.coalesce(F.size(late), F.lit(0))))
 
 
-def _budget_in_range(t: Tables, buffer: int = 90) -> DataFrame:
-    days = joins.daily_counts(t["budget"], "entity_id", F.col("dt_budget"))
-    last = t["schedule"].filter("is_active").groupBy("entity_id", F.col("dt_tco").alias("last_tco")).agg(F.count(F.lit(1)).alias("k"))
-    rows = days.join(t["project"].select("entity_id", "dt_start"), "entity_id").join(last, "entity_id", "left")
-    n = F.col("n") * F.coalesce(F.col("k"), F.lit(1))
-    bad = (F.col("day") < F.date_sub("dt_start", buffer)) | (F.col("day") > F.date_add("last_tco", buffer))
-    total = rows.agg(F.coalesce(F.sum(n), F.lit(0))).scalar()
-    return _row(rows, total, rows.agg(F.coalesce(F.sum(F.when(bad, n)), F.lit(0))).scalar())
+def _event_out(buffer: int = 30) -> Column:
+    return F.count_if((F.col("created") < F.date_sub("__p.dt_start", buffer)) | (F.col("created") > F.date_add("__p.dt_end", buffer)))
 
 
-def _cost_monotone(t: Tables) -> DataFrame:
-    keys = ["entity_id", "division", "cost_code"]
-    b = t["budget"].select(*keys, "dt_budget", "amt_jtd")
-    bad = windows.regressions(b, keys, ["dt_budget"], "amt_jtd", 0.01)
-    return _row(b, _transitions(b, keys), _count(bad))
+def _times() -> Column:
+    """How many active versions a budget row of a known project is held against, at least one."""
+    counted = F.col("__p").isNotNull() & F.col("dt_budget").isNotNull()
+    return F.when(counted, F.coalesce(F.size("__active"), F.lit(1)))
 
 
-def _task_one_active(t: Tables) -> DataFrame:
-    n = t["task"].filter("is_active").groupBy("entity_id").agg(F.count_distinct("code").alias("n"))
-    return _row(n, _count(t["project"]), n.agg(F.count_if(F.col("n") != 1)).scalar())
+def _budget_out(buffer: int = 90) -> Column:
+    early = F.col("dt_budget") < F.date_sub("__p.dt_start", buffer)
+    late = F.coalesce(F.size(F.filter("__active", lambda v: F.coalesce(F.col("dt_budget") > F.date_add(v["dt_tco"], buffer), F.lit(False)))), F.lit(0))
+    return F.sum(F.when(early, _times()).otherwise(F.when(_times().isNotNull(), late)))
 
 
-def _has_baseline(t: Tables) -> DataFrame:
-    with_bl = t["schedule"].filter(_is_baseline()).agg(F.count_distinct("entity_id")).scalar()
-    n = _count(t["project"])
-    return _row(t["project"], n, F.greatest(n - with_bl, F.lit(0)))
+PARTS: dict[str, Part] = {
+    **{f"{name}_n": Part(name, lambda: F.count(F.lit(1))) for name in ("project", "schedule", "rebaseline", "task", "event", "budget")},
+    "project_amount": Part("project", lambda: F.max("amt_contract")),
+    **{f"project_unit_{i}": Part("project", lambda u=u: F.count_if(F.lower(F.trim("sbu")) == u)) for i, u in enumerate(values.BUSINESS_UNITS)},
+    "schedule_active": Part("schedule", lambda: F.count_if("is_active")),
+    "schedule_baseline": Part("schedule", lambda: F.count_if(_is_baseline())),
+    "schedule_overlaps": Part("schedule", lambda: F.count_if(F.col("__next").isNotNull() & (F.col("effective_to") > F.col("__next"))), ("chain",)),
+    "schedule_falls": Part("schedule", _falls(), ("chain",)),
+    "schedule_follows": Part("schedule", _follows, ("chain",)),
+    "task_orphans": Part("task", lambda: F.count_if(F.col("__versions").isNull()), ("versions",)),
+    "task_out": Part("task", _task_out, ("versions", "spans")),
+    "task_falls": Part("task", _falls(0.01), ("chain",)),
+    "task_follows": Part("task", _follows, ("chain",)),
+    "task_codes": Part("task", lambda: F.count_distinct("code")),
+    "task_active": Part("task", lambda: F.count_if("is_active")),
+    "task_active_codes": Part("task", lambda: F.count_distinct(F.when(F.col("is_active"), F.col("code")))),
+    "task_active_sows": Part("task", lambda: F.count_distinct(F.when(F.col("is_active"), F.col("sow")))),
+    "event_out": Part("event", _event_out, ("spans",)),
+    "event_closed": Part("event", lambda: F.count_if(F.col("status") == "closed")),
+    "budget_times": Part("budget", lambda: F.sum(_times()), ("active", "spans")),
+    "budget_out": Part("budget", _budget_out, ("active", "spans")),
+    "budget_falls": Part("budget", _falls(0.01), ("chain",)),
+    "budget_follows": Part("budget", _follows, ("chain",)),
+}
 
 
-def _near_flag(t: Tables, limit: int = 60) -> DataFrame:
-    flagged = joins.daily_counts(t["event"].filter("is_near"), "entity_id", F.col("created"))
-    anchors = joins.daily_counts(t["schedule"].filter(~_is_baseline()), "entity_id", F.col("effective_from"))
-    dist = joins.nearest_distance(flagged, anchors, "entity_id").join(flagged, ["entity_id", "day"])
-    far = F.col("min_days").isNull() | (F.col("min_days") > limit)
-    return _row(dist, _count(t["event"].filter("is_near")), dist.agg(F.coalesce(F.sum(F.when(far, F.col("n"))), F.lit(0))).scalar())
+def cards(t: Tables, parts: Mapping[str, Part]) -> DataFrame:
+    """One row per entity with the wanted measures, 0 where a table doesn't know it; `project_amount` stays NULL there."""
+    by_table: dict[str, dict[str, Part]] = {}
+    for name, part in parts.items():
+        by_table.setdefault(part.table, {})[name] = part
+    frames = []
+    for table, wanted in by_table.items():
+        df = t[table]
+        for step, add in STEPS.items():
+            if any(step in p.steps for p in wanted.values()):
+                df = add(df, t, table)
+        frames.append(df.groupBy("entity_id").agg(*[p.measure().alias(n) for n, p in wanted.items()]))
+    out = union_all(frames).groupBy("entity_id").agg(*[F.max(n).alias(n) for n in parts])
+    return out.na.fill(0, [n for n in parts if n != "project_amount"])
 
 
-def _reconciled(a: DataFrame, b: DataFrame) -> DataFrame:
-    both = joins.reconcile_counts(a, b, "entity_id")
-    return both.agg(F.count(F.lit(1)).alias("total"), F.count_if(~F.col("is_match")).alias("violations"))
+# results over the cards
 
 
-def _rebaseline_count(t: Tables) -> DataFrame:
-    s = t["schedule"].groupBy("entity_id").agg((F.count(F.lit(1)) - 1).alias("n_a"))
-    return _reconciled(s, t["rebaseline"].groupBy("entity_id").agg(F.count(F.lit(1)).alias("n_b")))
+def _sum(c) -> Column:
+    return F.coalesce(F.sum(c), F.lit(0))
 
 
-def _size_scaling(t: Tables, low: float = 1.0, high: float = 100.0) -> DataFrame:
-    n = t["event"].groupBy("entity_id").agg(F.count(F.lit(1)).alias("n"))
-    x = n.join(t["project"].select("entity_id", "amt_contract"), "entity_id")
-    per_million = F.col("n") / (F.col("amt_contract") / 1e6)
-    total = F.count(F.lit(1))
-    return x.agg(
-        total.alias("total"), F.count_if((per_million < low) | (per_million > high)).alias("violations"),
-        F.when(total >= 10, SOFT).otherwise(INFO).alias("severity"),
-    )
+def _sums(name: str) -> Callable[[], Column]:
+    return lambda: _sum(name)
 
 
-def _version_match(t: Tables) -> DataFrame:
-    a = t["task"].groupBy("entity_id").agg(F.count_distinct("code").alias("n_a"))
-    return _reconciled(a, t["schedule"].groupBy("entity_id").agg(F.count(F.lit(1)).alias("n_b")))
+def _on(name: str) -> Column:
+    return F.col(name) > 0
 
 
-def _budget_coverage(t: Tables) -> DataFrame:
-    n = _count(t["project"])
-    return _row(t["budget"], n, n - t["budget"].agg(F.count_distinct("entity_id")).scalar())
+def _in_project() -> Column:
+    """A NULL key belongs to no project."""
+    return F.col("entity_id").isNotNull() & _on("project_n")
 
 
-def _units_present(t: Tables, expected: Iterable[str] = values.BUSINESS_UNITS) -> DataFrame:
-    expected = tuple(expected)
-    return _row(t["project"], F.lit(len(expected)).cast("long"), _count(missing_values(t["project"], "sbu", expected)))
+def _orphans(child: str) -> dict:
+    return {"parts": (f"{child}_n", "project_n"), "total": _sums(f"{child}_n"), "violations": lambda: _sum(F.when(~_in_project(), F.col(f"{child}_n")))}
 
 
-def _avg_versions(t: Tables) -> DataFrame:
-    mean = _count(t["schedule"]) / _count(t["project"])
-    return _row(t["schedule"], F.lit(1).cast("long"), F.when(mean.between(1.5, 4.0), 0).otherwise(1).cast("long"))
+def _transitions(table: str, found: str) -> dict:
+    return {"parts": (f"{table}_follows", found), "total": lambda: F.greatest(F.lit(1), _sum(f"{table}_follows")), "violations": _sums(found)}
 
 
-def _avg_sows(t: Tables) -> DataFrame:
-    per = t["task"].filter("is_active").groupBy("entity_id").agg(F.count_distinct("sow").alias("n"))
-    mean = per.agg(F.avg("n")).scalar()
-    return _row(per, F.lit(1).cast("long"), F.when(mean.between(15, 30), 0).otherwise(1).cast("long"))
+def _reconciled(a: Callable[[], Column], b: Callable[[], Column], in_a: Callable[[], Column], in_b: Callable[[], Column]) -> dict:
+    """Entities of two tables and those whose counts differ; NULL keys of the two sides don't meet."""
+    null = lambda: F.col("entity_id").isNull()
+    number = lambda c: F.when(c, 1).otherwise(0)
+    return {
+        "total": lambda: _sum(F.when(null(), number(in_a()) + number(in_b())).otherwise(number(in_a() | in_b()))),
+        "violations": lambda: _sum(F.when(null(), number(in_a() & (a() != 0)) + number(in_b() & (b() != 0))).otherwise(number((in_a() | in_b()) & (a() != b())))),
+    }
 
 
-def _status_mix(t: Tables) -> DataFrame:
-    e = t["event"].groupBy("entity_id").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("status") == "closed").alias("c"))
-    share = F.sum("c") / F.sum("n") * 100
-    return e.agg(
-        F.lit(1).cast("long").alias("total"), F.when(share.between(50, 95), 0).otherwise(1).cast("long").alias("violations"),
-        F.when(F.count(F.lit(1)) >= 10, SOFT).otherwise(INFO).alias("severity"),
-    )
+def _in_range(mean: Callable[[], Column], low: float, high: float) -> dict:
+    return {"total": lambda: F.lit(1), "violations": lambda: F.when(mean().between(low, high), 0).otherwise(1)}
+
+
+def _per_million() -> Column:
+    return F.try_divide(F.col("event_n").cast("double"), F.col("project_amount") / 1e6)
+
+
+def _sized() -> Column:
+    return _in_project() & _on("event_n")
+
+
+def _chain_parents(t: Tables) -> DataFrame:
+    # ids and the parents that rows name, counted under one key
+    own, named = F.struct(F.col("event_id").alias("key"), F.lit(0).alias("child")), F.struct(F.col("parent_id").alias("key"), F.lit(1).alias("child"))
+    per_key = t["event"].select(F.inline(F.array(own, named))).filter("key IS NOT NULL").groupBy("key").agg(F.sum("child").alias("n"), F.min("child").alias("orphan"))
+    return per_key.agg(_sum("n").alias("total"), _sum(F.when(F.col("orphan") == 1, F.col("n"))).alias("violations"))
+
+
+def _near_flag(t: Tables, limit: int = 60) -> DataFrame:
+    flagged = t["event"].filter("is_near")
+    days = joins.daily_counts(flagged, "entity_id", F.col("created"))
+    anchors = joins.daily_counts(t["schedule"].filter(~_is_baseline()), "entity_id", F.col("effective_from"))
+    dist = joins.nearest_distance(days, anchors, "entity_id").join(days, ["entity_id", "day"])
+    far = F.col("min_days").isNull() | (F.col("min_days") > limit)
+    # flagged events without a day are counted, and near to nothing that could be far
+    undated = flagged.filter("created IS NULL").agg(F.count(F.lit(1)).alias("n")).select("n", F.lit(False).alias("far"))
+    dated = dist.select("n", far.alias("far"))
+    return dated.unionByName(undated).agg(_sum("n").alias("total"), _sum(F.when(F.col("far"), F.col("n"))).alias("violations"))
 
 
 def _divisions(t: Tables) -> DataFrame:
     return t["budget"].agg(F.count_distinct("division").alias("total"), F.lit(0).cast("long").alias("violations"))
 
 
+def _known_units() -> Column:
+    return sum((F.when(_sum(f"project_unit_{i}") == 0, 1).otherwise(0) for i in range(len(values.BUSINESS_UNITS))), F.lit(0))
+
+
 REF, TEMP, DOM, CROSS, CARD = "Referential", "Temporal", "Domain", "Cross-Table", "Cardinality"
 
 
@@ -248,26 +294,26 @@ def _known(*names: str) -> Callable[[], Column]:
     return cond
 
 
-CHECKS: tuple[Rule | Check, ...] = (
-    Check("REF_SCHED_TO_PROJECT", "L1", REF, HARD, ("schedule", "project"), _orphans("schedule", "project", "entity_id")),
-    Check("REF_TASK_TO_PROJECT", "L1", REF, HARD, ("task", "project"), _orphans("task", "project", "entity_id")),
-    Check("REF_TASK_TO_SCHEDULE", "L1", REF, HARD, ("task", "schedule"), _orphans("task", "schedule", "code")),
-    Check("REF_RFI_TO_PROJECT", "L1", REF, HARD, ("event", "project"), _orphans("event", "project", "entity_id")),
-    Check("REF_RFI_CHAIN_PARENT", "L1", REF, HARD, ("event",), _orphans("event", "event", "parent_id", "event_id", lambda: _c("parent_id").isNotNull())),
-    Check("REF_BUDGET_TO_PROJECT", "L1", REF, HARD, ("budget", "project"), _orphans("budget", "project", "entity_id")),
-    Check("REF_REBASELINE_TO_PROJECT", "L1", REF, HARD, ("rebaseline", "project"), _orphans("rebaseline", "project", "entity_id")),
-    Check("TEMP_SCHED_ONE_ACTIVE", "L1", TEMP, HARD, ("schedule", "project"), _one_active),
-    Check("TEMP_SCD2_NO_OVERLAP", "L1", TEMP, HARD, ("schedule",), _no_overlap),
-    Check("TEMP_TCO_MONOTONIC", "L1", TEMP, HARD, ("schedule",), _target_monotone),
+CHECKS: tuple[Rule | Check | Apart, ...] = (
+    Check("REF_SCHED_TO_PROJECT", "L1", REF, HARD, ("schedule", "project"), **_orphans("schedule")),
+    Check("REF_TASK_TO_PROJECT", "L1", REF, HARD, ("task", "project"), **_orphans("task")),
+    Check("REF_TASK_TO_SCHEDULE", "L1", REF, HARD, ("task", "schedule"), ("task_n", "task_orphans"), _sums("task_n"), _sums("task_orphans")),
+    Check("REF_RFI_TO_PROJECT", "L1", REF, HARD, ("event", "project"), **_orphans("event")),
+    Apart("REF_RFI_CHAIN_PARENT", "L1", REF, HARD, ("event",), _chain_parents),
+    Check("REF_BUDGET_TO_PROJECT", "L1", REF, HARD, ("budget", "project"), **_orphans("budget")),
+    Check("REF_REBASELINE_TO_PROJECT", "L1", REF, HARD, ("rebaseline", "project"), **_orphans("rebaseline")),
+    Check("TEMP_SCHED_ONE_ACTIVE", "L1", TEMP, HARD, ("schedule", "project"), ("project_n", "schedule_active"), _sums("project_n"), lambda: F.count_if(_on("project_n") & (F.col("entity_id").isNull() | (F.col("schedule_active") != 1)))),
+    Check("TEMP_SCD2_NO_OVERLAP", "L1", TEMP, HARD, ("schedule",), ("schedule_n", "schedule_overlaps"), _sums("schedule_n"), _sums("schedule_overlaps")),
+    Check("TEMP_TCO_MONOTONIC", "L1", TEMP, HARD, ("schedule",), **_transitions("schedule", "schedule_falls")),
     Rule("TEMP_NTP_BEFORE_TCO", "L1", TEMP, HARD, "schedule", _every, lambda: _c("dt_ntp") > _c("dt_tco")),
-    Check("TEMP_SOW_IN_PROJECT_RANGE", "L1", TEMP, SOFT, ("task", "schedule", "project"), _sow_in_range),
+    Check("TEMP_SOW_IN_PROJECT_RANGE", "L1", TEMP, SOFT, ("task", "schedule", "project"), ("task_n", "task_out"), _sums("task_n"), _sums("task_out")),
     Rule("TEMP_BASELINE_ZERO_COMPLETION", "L1", TEMP, HARD, "task", _is_baseline, lambda: _c("n_completed") > 0),
-    Check("TEMP_COMPLETION_PROGRESSION", "L1", TEMP, SOFT, ("task",), _completion_progress),
-    Check("TEMP_RFI_IN_PROJECT_RANGE", "L1", TEMP, HARD, ("event", "project"), _event_in_range),
+    Check("TEMP_COMPLETION_PROGRESSION", "L1", TEMP, SOFT, ("task",), **_transitions("task", "task_falls")),
+    Check("TEMP_RFI_IN_PROJECT_RANGE", "L1", TEMP, HARD, ("event", "project"), ("event_n", "event_out"), _sums("event_n"), _sums("event_out")),
     Rule("TEMP_RFI_DUE_AFTER_CREATED", "L1", TEMP, HARD, "event", _every, lambda: _c("due") < _c("created")),
     Rule("TEMP_RFI_RESOLVED_AFTER_CREATED", "L1", TEMP, HARD, "event", _known("resolved"), lambda: _c("resolved") < _c("created")),
-    Check("TEMP_BUDGET_IN_PROJECT_RANGE", "L1", TEMP, SOFT, ("budget", "project", "schedule"), _budget_in_range),
-    Check("TEMP_BUDGET_JTD_MONOTONIC", "L1", TEMP, HARD, ("budget",), _cost_monotone),
+    Check("TEMP_BUDGET_IN_PROJECT_RANGE", "L1", TEMP, SOFT, ("budget", "project", "schedule"), ("budget_times", "budget_out"), _sums("budget_times"), _sums("budget_out")),
+    Check("TEMP_BUDGET_JTD_MONOTONIC", "L1", TEMP, HARD, ("budget",), **_transitions("budget", "budget_falls")),
     Rule("DOMAIN_RFI_STATUS_RESOLVED", "L2", DOM, HARD, "event", lambda: _c("status").isin("open", "overdue", "draft"), lambda: _c("resolved").isNotNull()),
     Rule("DOMAIN_RFI_CLOSED_HAS_RESOLVED", "L2", DOM, HARD, "event", lambda: _c("status") == "closed", lambda: _c("resolved").isNull()),
     Rule("DOMAIN_BUDGET_FTC_NONNEG", "L2", DOM, HARD, "budget", _every, lambda: _c("amt_ftc") < -0.01),
@@ -279,24 +325,36 @@ CHECKS: tuple[Rule | Check, ...] = (
         "DOMAIN_BUDGET_REVISED_CALC", "L2", DOM, SOFT, "budget", _known("amt_original", "amt_revised"),
         lambda: F.abs(_c("amt_revised") - (_c("amt_original") + _c("amt_in") + _c("amt_out"))) > F.greatest(F.abs("amt_revised") * 0.01, F.lit(100.0)),
     ),
-    Check("DOMAIN_TASK_ONE_ACTIVE_VERSION", "L2", DOM, HARD, ("task", "project"), _task_one_active),
+    Check("DOMAIN_TASK_ONE_ACTIVE_VERSION", "L2", DOM, HARD, ("task", "project"), ("project_n", "task_active", "task_active_codes"), _sums("project_n"), lambda: F.count_if(_on("task_active") & (F.col("task_active_codes") != 1))),
     Rule("DOMAIN_TASK_COUNT_IDENTITY", "L2", DOM, HARD, "task", _every, lambda: _c("n_total") != _c("n_completed") + _c("n_active") + _c("n_not_started")),
     Rule("DOMAIN_TASK_PCT_RANGE", "L2", DOM, HARD, "task", _every, lambda: (_pct_complete() < -0.001) | (_pct_complete() > 1.001)),
-    Check("DOMAIN_SCHED_HAS_BASELINE", "L2", DOM, HARD, ("schedule", "project"), _has_baseline),
+    Check("DOMAIN_SCHED_HAS_BASELINE", "L2", DOM, HARD, ("schedule", "project"), ("project_n", "schedule_baseline"), _sums("project_n"), lambda: F.greatest(_sum("project_n") - F.count_if(_on("schedule_baseline") & F.col("entity_id").isNotNull()), F.lit(0))),
     Rule("DOMAIN_PROJ_DATE_ORDER", "L2", DOM, HARD, "project", _every, lambda: _c("dt_end") < _c("dt_start")),
     Rule("DOMAIN_PROJ_POSITIVE_AMOUNTS", "L2", DOM, HARD, "project", _every, lambda: (_c("amt_contract") <= 0) | (_c("gross_area") <= 0)),
     Rule("DOMAIN_RFI_VALID_TIMING", "L2", DOM, HARD, "event", _every, lambda: ~_c("timing").isin(*values.TIMING_LABELS)),
     Rule("DOMAIN_RFI_VALID_TRADE", "L2", DOM, HARD, "event", _every, lambda: ~F.trim(_c("trade")).isin(*values.TRADES)),
-    Check("CROSS_RFI_REBASELINE_FLAG", "L2", CROSS, SOFT, ("event", "rebaseline", "schedule"), _near_flag),
-    Check("CROSS_SCHED_RB_COUNT_MATCH", "L2", CROSS, HARD, ("schedule", "rebaseline"), _rebaseline_count),
-    Check("CROSS_RFI_SIZE_SCALING", "L2", CROSS, SOFT, ("event", "project"), _size_scaling),
-    Check("CROSS_TASK_SCHED_VERSION_MATCH", "L2", CROSS, HARD, ("task", "schedule"), _version_match),
-    Check("CROSS_BUDGET_PROJECT_COVERAGE", "L2", CROSS, INFO, ("budget", "project"), _budget_coverage),
-    Check("CARD_ALL_SBUS_PRESENT", "L2", CARD, INFO, ("project",), _units_present),
-    Check("CARD_SCHED_AVG_VERSIONS", "L2", CARD, SOFT, ("schedule", "project"), _avg_versions),
-    Check("CARD_TASK_AVG_SOWS", "L2", CARD, SOFT, ("task",), _avg_sows),
-    Check("CARD_RFI_STATUS_DIST", "L2", CARD, SOFT, ("event",), _status_mix),
-    Check("CARD_BUDGET_DIVISIONS", "L2", CARD, INFO, ("budget",), _divisions),
+    Apart("CROSS_RFI_REBASELINE_FLAG", "L2", CROSS, SOFT, ("event", "rebaseline", "schedule"), _near_flag),
+    Check(
+        "CROSS_SCHED_RB_COUNT_MATCH", "L2", CROSS, HARD, ("schedule", "rebaseline"), ("schedule_n", "rebaseline_n"),
+        **_reconciled(lambda: F.greatest(_c("schedule_n") - 1, F.lit(0)), lambda: _c("rebaseline_n"), lambda: _on("schedule_n"), lambda: _on("rebaseline_n")),
+    ),
+    Check(
+        "CROSS_RFI_SIZE_SCALING", "L2", CROSS, SOFT, ("event", "project"), ("event_n", "project_n", "project_amount"), lambda: F.count_if(_sized()),
+        lambda: F.count_if(_sized() & ~_per_million().between(1.0, 100.0)), lambda: F.when(F.count_if(_sized()) >= 10, SOFT).otherwise(INFO),
+    ),
+    Check(
+        "CROSS_TASK_SCHED_VERSION_MATCH", "L2", CROSS, HARD, ("task", "schedule"), ("task_n", "task_codes", "schedule_n"),
+        **_reconciled(lambda: _c("task_codes"), lambda: _c("schedule_n"), lambda: _on("task_n"), lambda: _on("schedule_n")),
+    ),
+    Check("CROSS_BUDGET_PROJECT_COVERAGE", "L2", CROSS, INFO, ("budget", "project"), ("project_n", "budget_n"), _sums("project_n"), lambda: _sum("project_n") - F.count_if(_on("budget_n") & F.col("entity_id").isNotNull())),
+    Check("CARD_ALL_SBUS_PRESENT", "L2", CARD, INFO, ("project",), tuple(f"project_unit_{i}" for i in range(len(values.BUSINESS_UNITS))), lambda: F.lit(len(values.BUSINESS_UNITS)), _known_units),
+    Check("CARD_SCHED_AVG_VERSIONS", "L2", CARD, SOFT, ("schedule", "project"), ("schedule_n", "project_n"), **_in_range(lambda: F.try_divide(_sum("schedule_n"), _sum("project_n")), 1.5, 4.0)),
+    Check("CARD_TASK_AVG_SOWS", "L2", CARD, SOFT, ("task",), ("task_active", "task_active_sows"), **_in_range(lambda: F.avg(F.when(_on("task_active"), _c("task_active_sows"))), 15, 30)),
+    Check(
+        "CARD_RFI_STATUS_DIST", "L2", CARD, SOFT, ("event",), ("event_n", "event_closed"), **_in_range(lambda: F.try_divide(_sum("event_closed"), _sum("event_n")) * 100, 50, 95),
+        graded=lambda: F.when(F.count_if(_on("event_n")) >= 10, SOFT).otherwise(INFO),
+    ),
+    Apart("CARD_BUDGET_DIVISIONS", "L2", CARD, INFO, ("budget",), _divisions),
 )
 BY_ID = {c.check_id: c for c in CHECKS}
 RESULT = ("check_id", "layer", "category", "severity", "total_checked", "violations", "violation_pct", "passed")
@@ -311,37 +369,38 @@ def _graded(df: DataFrame) -> DataFrame:
     )
 
 
-def fused_rules(df: DataFrame, rules: list[Rule]) -> DataFrame:
-    """All row rules of one table in a single pass."""
-    counts = []
-    for r in rules:
-        ok = r.applies()
-        counts.append(
-            F.struct(
-                F.lit(r.check_id).alias("check_id"), F.lit(r.layer).alias("layer"), F.lit(r.category).alias("category"), F.lit(r.severity).alias("severity"),
-                F.count_if(ok).alias("total"), F.count_if(ok & r.violates()).alias("violations"),
-            )
-        )
-    return df.agg(F.array(*counts).alias("r")).select(F.inline("r"))
+def rule_parts(rule: Rule) -> dict[str, Part]:
+    """How many rows of an entity a rule applies to, and how many of them violate it."""
+    return {
+        f"{rule.check_id}:n": Part(rule.table, lambda: F.count_if(rule.applies())),
+        f"{rule.check_id}:bad": Part(rule.table, lambda: F.count_if(rule.applies() & rule.violates())),
+    }
+
+
+def fused(tables: Tables, wanted: list[Rule | Check]) -> DataFrame:
+    """Results of rules and checks from one set of cards."""
+    parts: dict[str, Part] = {}
+    results = []
+    for c in wanted:
+        own = rule_parts(c) if isinstance(c, Rule) else {n: PARTS[n] for n in c.parts}
+        parts |= own
+        total, bad = ((_sum(f"`{n}`")) for n in own) if isinstance(c, Rule) else (c.total(), c.violations())
+        severity = c.graded() if isinstance(c, Check) and c.graded else F.lit(c.severity)
+        row = {"check_id": F.lit(c.check_id), "layer": F.lit(c.layer), "category": F.lit(c.category), "severity": severity, "total": total.cast("long"), "violations": bad.cast("long")}
+        results.append(F.struct(*[v.alias(n) for n, v in row.items()]))
+    return cards(tables, parts).agg(F.array(*results).alias("r")).select(F.inline("r"))
 
 
 def run(tables: Tables, ids: Iterable[str] | None = None) -> DataFrame:
     """Result rows of the checks whose tables are all present."""
     wanted = [BY_ID[i] for i in ids] if ids is not None else list(CHECKS)
     ready = [c for c in wanted if all(tables.get(n) is not None for n in c.needs)]
-    parts, by_table = [], {}
+    together = [c for c in ready if not isinstance(c, Apart)]
+    parts = [fused(tables, together)] if together else []
     for c in ready:
-        if isinstance(c, Rule):
-            by_table.setdefault(c.table, []).append(c)
-            continue
-        df = c.plan(tables)
-        severity = F.col("severity") if "severity" in df.columns else F.lit(c.severity)
-        parts.append(
-            df.select(
-                F.lit(c.check_id).alias("check_id"), F.lit(c.layer).alias("layer"), F.lit(c.category).alias("category"), severity.alias("severity"), "total", "violations"
-            )
-        )
-    parts += [fused_rules(tables[name], rules) for name, rules in by_table.items()]
+        if isinstance(c, Apart):
+            labels = {"check_id": c.check_id, "layer": c.layer, "category": c.category, "severity": c.severity}
+            parts.append(c.plan(tables).select(*[F.lit(v).alias(n) for n, v in labels.items()], F.col("total").cast("long").alias("total"), F.col("violations").cast("long").alias("violations")))
     return _graded(union_all(parts))
 
 

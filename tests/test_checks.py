@@ -101,8 +101,30 @@ def test_absent_tables_skip_their_checks(tables):
 
 def test_row_rules_share_one_scan(tables):
     rules = [c for c in checks.CHECKS if isinstance(c, checks.Rule) and c.table == "event"]
-    plan = checks.fused_rules(tables["event"], rules)._jdf.queryExecution().optimizedPlan().toString()
-    assert plan.count("Aggregate") == 1 and len(rules) == 6
+    plan = checks.fused({"event": tables["event"]}, rules)._jdf.queryExecution().optimizedPlan().toString()
+    # per entity, the stacked cards, all of them
+    assert plan.count("Aggregate") == 3 and plan.count("InMemoryRelation") == 1 and len(rules) == 6
+
+
+def test_all_checks_read_few_times(spark, tables, tmp_path):
+    """Each table is read once for its measures, and once for each other order or key that its rows are looked up by."""
+    stored = {}
+    for name, df in tables.items():
+        df.write.parquet(f"{tmp_path}/{name}")
+        stored[name] = spark.read.parquet(f"{tmp_path}/{name}")
+    plan = checks.run(stored)._jdf.queryExecution().optimizedPlan()
+    leaves = plan.collectLeaves()
+    read = [leaves.apply(i).toString() for i in range(leaves.size())]
+    assert len(read) <= 18 and "ScalarSubquery" not in plan.toString()
+    assert checks.run(stored).filter("violations > 0 AND severity <> 'INFO'").count() == 0
+
+
+def test_keys_that_are_null_and_empty_tables(spark, tables):
+    lost = {**tables, "task": change(tables["task"], "entity_id = 'P1'", entity_id="CAST(NULL AS STRING)")}
+    assert failing(lost)["REF_TASK_TO_PROJECT"] == 32
+    empty = {k: df.limit(0) for k, df in tables.items()}
+    got = {r["check_id"]: (r["total_checked"], r["violations"]) for r in checks.run(empty).collect()}
+    assert len(got) == 42 and got["REF_TASK_TO_PROJECT"] == (0, 0) and got["TEMP_TCO_MONOTONIC"] == (1, 0)
 
 
 def test_scorecard_totals(tables):
