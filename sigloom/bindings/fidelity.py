@@ -1,10 +1,13 @@
 """Fidelity statistics: orders before a cut-off date as the real rows, later ones as the synthetic."""
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from sigloom.bindings.aggregating import rounded
 from sigloom.bindings.registry import query
 from sigloom.bindings.views import with_
+from sigloom.functions import draws
+from sigloom.plans import boosting
 from sigloom.plans import fidelity as fi
 
 CUT = "1998-04-01"
@@ -94,16 +97,55 @@ def halves(v):
     return df.filter("entity_id % 2 = 0"), df.filter("entity_id % 2 = 1")
 
 
+#: a search in the reference's shape, five outer and three inner folds, over shorter models
+CANDIDATES = boosting.drawn_candidates(6, rounds=(6, 16), depth=(2, 3), rate=(0.05, 0.3))
+
+
 @query("F7_trtr_cross_validation")
 def _(v):
-    return rounded(fi.trtr(halves(v)[0], "entity_id", ML_FEATURES, "is_overrun", k=3, rounds=8))
+    return rounded(fi.trtr(halves(v)[0], "entity_id", ML_FEATURES, "is_overrun", candidates=CANDIDATES))
 
 
 @query("F8_tstr_utility")
 def _(v):
-    real, syn = halves(v)
-    scored = fi.tstr(real, syn, ML_FEATURES, "is_overrun", rounds=8)
-    return rounded(fi.utility(fi.trtr(real, "entity_id", ML_FEATURES, "is_overrun", k=3, rounds=8), fi.auc(scored, "score", "is_overrun")))
+    return rounded(fi.tstr_utility(*halves(v), "entity_id", ML_FEATURES, "is_overrun", candidates=CANDIDATES))
+
+
+LABELLED = OVERRUN + """,
+la AS (SELECT entity_id, amt_contract::DOUBLE AS amt_contract, date_diff('day', dt_start, dt_end)::DOUBLE AS duration, n_orders::DOUBLE AS n_orders, CASE WHEN delay_days > 2500 THEN 1 ELSE 0 END AS y
+ FROM project JOIN ov USING (entity_id) WHERE dt_end IS NOT NULL AND dt_start IS NOT NULL AND entity_id % 2 = 0),
+lo AS (SELECT entity_id, y, CAST(floor(""" + draws.uniform_sql(["entity_id"], "fold") + """ * 5) AS INTEGER) AS fold, f.i, f.x FROM la, unnest([{'i': 0, 'x': amt_contract}, {'i': 1, 'x': duration}, {'i': 2, 'x': n_orders}]) AS t(f)
+ WHERE amt_contract IS NOT NULL AND n_orders IS NOT NULL),
+cu AS (SELECT f.i, list_transform(quantile_cont(f.x, [k / CAST(16 AS DOUBLE) FOR k IN range(1, 16)]), lambda q: round(q, 6)) AS q FROM la, unnest([{'i': 0, 'x': amt_contract}, {'i': 1, 'x': duration}, {'i': 2, 'x': n_orders}]) AS t(f) WHERE f.x IS NOT NULL GROUP BY 1),
+bi AS (SELECT entity_id, y, fold, i, len(list_filter(q, lambda b: x > b)) AS bin FROM lo JOIN cu USING (i))"""
+
+
+@query("F7_bin_counts", with_("project", "version", extra=LABELLED, body="SELECT fold, i AS feature, CAST(bin AS INTEGER) AS bin, count(*) AS n, CAST(sum(y) AS BIGINT) AS n_pos FROM bi GROUP BY 1, 2, 3"))
+def _(v):
+    real = halves(v)[0]
+    rows = boosting.binned(real, "entity_id", ML_FEATURES, "is_overrun", boosting.borders(real, ML_FEATURES), 5, 3, boosting.REAL)
+    each = rows.select("fold", "y", F.posexplode("bins").alias("feature", "bin"))
+    return each.groupBy("fold", "feature", "bin").agg(F.count(F.lit(1)).alias("n"), F.sum("y").cast("long").alias("n_pos"))
+
+
+#: the first tree's first split of the five outer models without subsampling: gradients of a balanced prior are a half, their curvature a quarter of the weight
+FIRST = LABELLED + """,
+sz AS (SELECT f.fold AS model, y, count(*) AS n, sum(count(*)) OVER (PARTITION BY f.fold) AS total FROM (SELECT DISTINCT entity_id, fold, y FROM bi) b, range(5) AS f(fold) WHERE b.fold <> f.fold GROUP BY 1, 2),
+hi AS (SELECT s.model, i, bin, sum(total / (2 * s.n)::DOUBLE * (b.y - 0.5)) AS g, sum(total / (2 * s.n)::DOUBLE * 0.25) AS h, count(*) AS n FROM bi b JOIN sz s ON b.y = s.y AND b.fold <> s.model GROUP BY 1, 2, 3),
+cm AS (SELECT *, sum(g) OVER w AS gl, sum(h) OVER w AS hl, sum(n) OVER w AS nl, sum(g) OVER p AS gt, sum(h) OVER p AS ht, sum(n) OVER p AS nt FROM hi WINDOW w AS (PARTITION BY model, i ORDER BY bin), p AS (PARTITION BY model, i)),
+ga AS (SELECT *, round(gl * gl / hl + (gt - gl) * (gt - gl) / (ht - hl) - gt * gt / ht, 9) AS gain FROM cm WHERE nl >= 10 AND nt - nl >= 10)"""
+
+
+@query("F7_first_split", with_("project", "version", extra=FIRST, body="""
+SELECT CAST(model AS BIGINT) AS fold, CAST(i AS BIGINT) AS feature, CAST(bin AS BIGINT) AS bin, round(gain, 6) AS gain, CAST(nl AS BIGINT) AS n_left, CAST(nt - nl AS BIGINT) AS n_right
+ FROM ga QUALIFY row_number() OVER (PARTITION BY model ORDER BY gain DESC, i, bin) = 1"""))
+def _(v):
+    real = halves(v)[0]
+    rows = boosting.binned(real, "entity_id", ML_FEATURES, "is_overrun", boosting.borders(real, ML_FEATURES), 5, 3, boosting.REAL)
+    models = boosting.Boosted(boosting.stored(rows), [boosting.Candidate(1, 1, 0.1, 1.0, 10)], [boosting.Spec(boosting.REAL, f, boosting.ALL, 0) for f in range(5)], len(ML_FEATURES))
+    empty = boosting.Tree(np.full(3, -1), np.zeros(3, np.int64), np.zeros(3))
+    found = models.splits(dict.fromkeys(range(5), empty), 0, 0)
+    return found.select(F.col("model").alias("fold"), "feature", "bin", F.round("gain", 6).alias("gain"), "n_left", "n_right")
 
 
 def auc_sql(keys, table, having=""):
@@ -137,4 +179,4 @@ def _(v):
 
 @query("F12_importance_preservation")
 def _(v):
-    return rounded(fi.importance_preservation(*halves(v), ML_FEATURES, "is_overrun"))
+    return rounded(fi.importance_preservation(*halves(v), "entity_id", ML_FEATURES, "is_overrun", candidates=CANDIDATES))

@@ -4,10 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml.classification import GBTClassifier
-from pyspark.ml.evaluation import BinaryClassificationEvaluator
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -18,6 +14,8 @@ from sigloom.operators.ordered import one_key, ordered
 from sigloom.operators.quantiles import exact_quantiles
 from sigloom.operators.setops import union_all
 from sigloom.operators.windows import changes
+from sigloom.plans import boosting
+from sigloom.plans.boosting import ALL, REAL, SYNTHETIC, Boosted, Candidate, Spec
 from sigloom.session import cut_lineage
 
 
@@ -181,63 +179,99 @@ def folds(df: DataFrame, key: str, label: str, k: int = 5, seed: int = draws.SEE
     return df.withColumn("fold", F.floor(draws.uniform([key], "fold", seed=seed) * k).cast("int"))
 
 
-def _assembled(df: DataFrame, features: Sequence[str]) -> DataFrame:
-    return VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="skip").transform(df)
-
-
-def fit_classifier(df: DataFrame, features: Sequence[str], label: str, *, depth: int = 3, rounds: int = 20, seed: int = draws.SEED):
-    """Boosted trees on class-balanced weights."""
-    train = _assembled(balanced_weights(df, label), features)
-    gbt = GBTClassifier(featuresCol="features", labelCol=label, weightCol="weight", maxDepth=depth, maxIter=rounds, stepSize=0.1, seed=seed, maxBins=64)
-    return gbt.fit(train)
-
-
-def scored(model, df: DataFrame, features: Sequence[str], keep: Sequence[str]) -> DataFrame:
-    out = model.transform(_assembled(df, features))
-    return out.select(*keep, vector_to_array("probability")[1].alias("score"))
-
-
-def _auc_of(model, df: DataFrame, features: Sequence[str], label: str) -> float:
-    ev = BinaryClassificationEvaluator(labelCol=label, rawPredictionCol="rawPrediction", metricName="areaUnderROC")
-    return ev.evaluate(model.transform(_assembled(df, features)))
-
-
-def choose_depth(df: DataFrame, features: Sequence[str], label: str, grid: Sequence[int], k: int = 3) -> int:
-    """Tree depth with the best mean AUC over inner folds; a small fixed grid."""
-    if len(grid) == 1:
-        return grid[0]
-    means = []
-    for depth in grid:
-        aucs = []
-        for f in range(k):
-            inner = F.pmod(F.col("fold_key"), F.lit(k)) == f
-            model = fit_classifier(df.filter(~inner), features, label, depth=depth)
-            aucs.append(_auc_of(model, df.filter(inner), features, label))
-        means.append(sum(aucs) / k)
-    return grid[means.index(max(means))]
-
-
-def trtr(df: DataFrame, key: str, features: Sequence[str], label: str, k: int = 5, grid: Sequence[int] = (3,), rounds: int = 20) -> DataFrame:
-    """Cross-validated AUC on real rows: mean, standard deviation and normal interval."""
-    df = folds(df.select(key, *features, label), key, label, k).withColumn("fold_key", F.pmod(F.xxhash64(F.col(key), F.lit("inner")), F.lit(1_000_000)))
-    df = cut_lineage(df)
-    parts = []
-    for f in range(k):
-        train = df.filter(F.col("fold") != f)
-        model = fit_classifier(train, features, label, depth=choose_depth(train, features, label, grid), rounds=rounds)
-        parts.append(scored(model, df.filter(F.col("fold") == f), features, ["fold", label]))
-    per = auc(cut_lineage(union_all(parts)), "score", label, ["fold"])
-    half = 1.96 * F.stddev_pop("auc") / F.sqrt(F.count(F.lit(1)))
-    return per.agg(
-        F.count(F.lit(1)).alias("n_folds"), F.avg("auc").alias("auc"), F.stddev_pop("auc").alias("auc_std"),
-        (F.avg("auc") - half).alias("ci_low"), (F.avg("auc") + half).alias("ci_high"),
-    )
+class Search:
+    """A searched classifier for each purpose, all grown in one run.
 
+    For every source, outer fold (and none) and candidate there is a model for each inner fold and one without: the inner ones choose the
+    candidate by their mean AUC on the rows they left out, the other one is the choice fitted on all rows of the training part.
+    """
 
-def tstr(real: DataFrame, synth: DataFrame, features: Sequence[str], label: str, keep: Sequence[str] = (), rounds: int = 20) -> DataFrame:
-    """Real rows scored by a model that saw synthetic rows only."""
-    model = fit_classifier(cut_lineage(synth.select(*features, label)), features, label, rounds=rounds)
-    return scored(model, real, features, [*keep, label])
+    def __init__(self, real: DataFrame, synth: DataFrame | None, key: str, features: Sequence[str], label: str, candidates: Sequence[Candidate], k: int = 5, inner: int = 3, outer: bool = True, whole: bool = False, bins: int = boosting.BINS):
+        both = real.select(*features) if synth is None else real.select(*features).unionByName(synth.select(*features))
+        self.key, self.features, self.label, self.k = key, list(features), label, k
+        self.cuts = boosting.borders(both, features, bins)
+        parts = [boosting.binned(real, key, features, label, self.cuts, k, inner, REAL)]
+        if synth is not None:
+            parts.append(boosting.binned(synth, key, features, label, self.cuts, k, inner, SYNTHETIC))
+        groups = [(REAL, f) for f in (range(k) if outer else ())] + [(REAL, ALL)] * whole + [(SYNTHETIC, ALL)] * (synth is not None)
+        specs = [Spec(s, f, i, c) for s, f in groups for c in range(len(candidates)) for i in (*range(inner), ALL)]
+        self.table = boosting.stored(union_all(parts))
+        self.models = Boosted(self.table, candidates, specs, len(features), bins).fit()
+        self.chosen = self._choose()
+
+    def _choose(self) -> dict[tuple[int, int], int]:
+        """(source, outer fold) -> the model of the candidate with the best mean inner AUC, the first of equal ones."""
+        specs = self.models.specs
+        inner = [m for m, s in enumerate(specs) if s.inner != ALL]
+        aucs = {r["model"]: r["auc"] for r in auc(self.models.held_out(inner), "score", "y", ["model"], digits=9).collect()}
+        found: dict[tuple[int, int], dict[int, list[float]]] = {}
+        for m in inner:
+            s = specs[m]
+            found.setdefault((s.source, s.fold), {}).setdefault(s.candidate, []).append(aucs.get(m, 0.5))
+        best = {g: max(sorted(c), key=lambda x: round(sum(c[x]) / len(c[x]), 9)) for g, c in found.items()}
+        return {g: specs.index(Spec(*g, ALL, c)) for g, c in best.items()}
+
+    def cross_validated(self) -> DataFrame:
+        """Mean, deviation and normal interval of the outer folds' AUC."""
+        rows = self.models.held_out([m for (source, fold), m in self.chosen.items() if source == REAL and fold != ALL])
+        per = auc(rows, "score", "y", ["fold"])
+        half = 1.96 * F.stddev_pop("auc") / F.sqrt(F.count(F.lit(1)))
+        return per.agg(
+            F.count(F.lit(1)).alias("n_folds"), F.avg("auc").alias("auc"), F.stddev_pop("auc").alias("auc_std"),
+            (F.avg("auc") - half).alias("ci_low"), (F.avg("auc") + half).alias("ci_high"),
+        )
+
+    def scored_by_synthetic(self) -> DataFrame:
+        """All real rows (key, y, score), scored by the model that saw synthetic rows only."""
+        real = self.table.filter(F.col("source") == REAL)
+        return self.models.score(real, self.chosen[SYNTHETIC, ALL], f"key {dict(real.dtypes)['key']}, y int")
+
+    def permuted(self) -> DataFrame:
+        """Real rows, a copy for each feature (and one, -1, as they are), whose bin of that feature is another row's.
+
+        Each feature has two orders of the rows, by two draws; the rows with one number in both give and get the bin.
+        """
+        real = self.table.filter(F.col("source") == REAL).select("key", "y", "bins")
+        copies = real.withColumn("feature", F.explode(F.sequence(F.lit(0), F.lit(len(self.features) - 1))))
+        take = draws.uniform(["key", "feature"], "permute:take")
+        give = draws.uniform(["key", "feature"], "permute:give")
+        got = ordered(copies.withColumn("__t", take), ["feature"], ["__t", "key"], row_number="__i")
+        gave = ordered(copies.select("feature", "key", F.get("bins", F.col("feature")).alias("__b"), give.alias("__g")), ["feature"], ["__g", "key"], row_number="__i")
+        both = got.join(gave.select("feature", "__i", "__b"), ["feature", "__i"])
+        other = F.transform("bins", lambda b, j: F.when(j == F.col("feature"), F.col("__b")).otherwise(b))
+        return real.select(F.lit(-1).alias("feature"), "y", "bins").unionByName(both.select("feature", "y", other.alias("bins")))
+
+    def importances(self) -> DataFrame:
+        """Rows (feature, real_importance, synth_importance): what permuting a feature of the real rows takes from both models' AUC."""
+        rows = boosting.stored(self.permuted())
+        names = F.array(*map(F.lit, self.features))
+        out = None
+        for source, name in ((REAL, "real_importance"), (SYNTHETIC, "synth_importance")):
+            aucs = auc(self.models.score(rows, self.chosen[source, ALL], "feature int, y int"), "score", "y", ["feature"], digits=9)
+            base = aucs.filter("feature < 0").agg(F.max("auc")).scalar()
+            lost = aucs.filter("feature >= 0").select(F.get(names, F.col("feature")).alias("feature"), F.round(base - F.col("auc"), 9).alias(name))
+            out = lost if out is None else out.join(lost, "feature")
+        return out
+
+
+#: how many candidates the searches draw
+SEARCHED, SEARCHED_WHOLE = 30, 50
+
+
+def trtr(df: DataFrame, key: str, features: Sequence[str], label: str, k: int = 5, inner: int = 3, candidates: Sequence[Candidate] | None = None) -> DataFrame:
+    """Nested cross-validation on real rows: AUC of the outer folds, candidates chosen in inner ones."""
+    return Search(df, None, key, features, label, candidates or boosting.drawn_candidates(SEARCHED), k, inner).cross_validated()
+
+
+def tstr(real: DataFrame, synth: DataFrame, key: str, features: Sequence[str], label: str, inner: int = 3, candidates: Sequence[Candidate] | None = None) -> DataFrame:
+    """Real rows (key, y, score) scored by a searched model that saw synthetic rows only."""
+    return Search(real, synth, key, features, label, candidates or boosting.drawn_candidates(SEARCHED_WHOLE), inner=inner, outer=False).scored_by_synthetic()
+
+
+def tstr_utility(real: DataFrame, synth: DataFrame, key: str, features: Sequence[str], label: str, k: int = 5, inner: int = 3, candidates: Sequence[Candidate] | None = None) -> DataFrame:
+    """Both in one run: TSTR AUC, TRTR AUC, their ratio."""
+    found = Search(real, synth, key, features, label, candidates or boosting.drawn_candidates(SEARCHED), k, inner)
+    return utility(found.cross_validated(), auc(found.scored_by_synthetic(), "score", "y"))
 
 
 def utility(real_auc: DataFrame, synth_auc: DataFrame, target: float = 0.75) -> DataFrame:
@@ -249,12 +283,10 @@ def utility(real_auc: DataFrame, synth_auc: DataFrame, target: float = 0.75) ->
     return out.withColumns({"utility_ratio": ratio, "passed": ratio >= target})
 
 
-def importance_preservation(real: DataFrame, synth: DataFrame, features: Sequence[str], label: str, target: float = 0.70) -> DataFrame:
-    """Feature importances of both models, their ranks, and Spearman's correlation of the ranks."""
-    models = [fit_classifier(cut_lineage(d.select(*features, label)), features, label) for d in (real, synth)]
-    rows = [(f, *[float(m.featureImportances[i]) for m in models]) for i, f in enumerate(features)]
-    imp = real.sparkSession.createDataFrame(rows, "feature string, real_importance double, synth_importance double")
-    return spearman(imp, "feature", "real_importance", "synth_importance", target)
+def importance_preservation(real: DataFrame, synth: DataFrame, key: str, features: Sequence[str], label: str, target: float = 0.70, inner: int = 3, candidates: Sequence[Candidate] | None = None) -> DataFrame:
+    """Permutation importances of two searched models on the real rows, their ranks, and Spearman's correlation of the ranks."""
+    found = Search(real, synth, key, features, label, candidates or boosting.drawn_candidates(SEARCHED_WHOLE), inner=inner, outer=False, whole=True)
+    return spearman(found.importances(), "feature", "real_importance", "synth_importance", target)
 
 
 def spearman(df: DataFrame, name: str, a: str, b: str, target: float = 0.70) -> DataFrame:
