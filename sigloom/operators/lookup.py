@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # level -> keys, most specific first
@@ -26,50 +26,68 @@ CONSTRAINT_CHAIN = (
 ALWAYS = ("SBU", "GLOBAL")
 
 
-def fallback(
+def lookups(
     rows: DataFrame,
     table: DataFrame,
-    field: str,
-    take: Sequence[str],
+    wanted: Mapping[str, tuple[str, Sequence[str]]],
     *,
     chain: Sequence[tuple[str, Sequence[str]]] = PROFILE_CHAIN,
     count: str | None = "n",
     min_n: int = 5,
     always: Sequence[str] = ALWAYS,
-    prefix: str = "",
     extra_keys: Sequence[str] = (),
 ) -> DataFrame:
-    """First level of the chain that has a usable row; its values and its name (`<prefix>level_used`).
+    """For each prefix its field's values at the first level of the chain that has a usable row, and that level (`<prefix>level_used`).
 
-    Levels below `min_n` are passed over, except the ones in `always`. One join per level:
-    the level tables have one row per group, so the planner broadcasts them while they are
-    small and shuffles both sides by key when they are not.
+    Levels below `min_n` are passed over, except the ones in `always`. The table is read once for all levels and fields, as one
+    row per (level, key). The rows' distinct combinations of keys - a vocabulary, not data - each probe it with the whole chain, and the
+    first level that answers is kept per field; rows then take the answer of their combination.
     """
-    base = table.filter(F.col("field") == field)
-    out, found = rows, []
-    for level, keys in chain:
-        keys = [k for k in (*keys, *extra_keys)]
-        if not set(keys) <= set(rows.columns) or not set(keys) <= set(table.columns):
-            continue
-        part = base.filter(F.col("level") == level)
-        if count and level not in always:
-            part = part.filter(F.col(count) >= min_n)
-        values = F.struct(*[F.col(c) for c in take])
-        if keys:
-            part = part.groupBy(*keys).agg(F.max(values).alias(f"__v_{level}"))
-            out = out.join(part, keys, "left")
-        else:
-            one = part.agg(F.max(values).alias("v")).scalar()
-            out = out.withColumn(f"__v_{level}", one)
-        found.append(level)
-    best = F.coalesce(*[F.col(f"__v_{lv}") for lv in found])
-    used = None
-    for lv in found:
-        hit = F.col(f"__v_{lv}").isNotNull()
-        used = F.when(hit, lv) if used is None else used.when(hit, lv)
-    return out.select(
-        *rows.columns, *[best[c].alias(f"{prefix}{c}") for c in take], used.alias(f"{prefix}level_used")
+    levels = [(lv, [*keys, *extra_keys]) for lv, keys in chain]
+    levels = [(lv, keys) for lv, keys in levels if set(keys) <= set(rows.columns) and set(keys) <= set(table.columns)]
+    names = list(dict.fromkeys(k for _, keys in levels for k in keys))
+
+    def key(level: str, keys: Sequence[str]) -> Column:
+        """NULL where a key is: it matches nothing."""
+        return F.concat(F.lit(level), *[x for k in keys for x in (F.lit("\x1f"), F.col(k).cast("string"))])
+
+    enough = F.col("level").isin(*always) | (F.col(count) >= min_n) if count else F.lit(True)
+    keyed = F.coalesce(*[F.when(F.col("level") == lv, key(lv, keys)) for lv, keys in levels])
+    take = list(dict.fromkeys(c for _, cs in wanted.values() for c in cs))
+    usable = table.filter(F.col("field").isin(*{f for f, _ in wanted.values()}) & F.col("level").isin(*[lv for lv, _ in levels]) & enough)
+    answers = usable.select("field", keyed.alias("__key"), *take).filter("__key IS NOT NULL").groupBy("__key").agg(
+        *[F.max(F.when(F.col("field") == f, F.struct(*cs))).alias(f"__v_{p}") for p, (f, cs) in wanted.items()]
+    )
+
+    def level_of(number: Column) -> Column:
+        return F.get(F.array(*[F.lit(lv) for lv, _ in levels]), number)
+
+    if not names:
+        found = answers.agg(F.struct(*[F.max(f"__v_{p}").alias(f"__v_{p}") for p in wanted])).scalar()
+        values = {p: found[f"__v_{p}"] for p in wanted}
+        columns = [c for p, (_, cs) in wanted.items() for c in (*[values[p][x].alias(f"{p}{x}") for x in cs], F.when(values[p].isNotNull(), levels[0][0]).alias(f"{p}level_used"))]
+        return rows.select("*", *columns)
+    probes = F.array(*[F.struct(F.lit(i).alias("rank"), key(lv, keys).alias("__key")) for i, (lv, keys) in enumerate(levels)])
+    combos = rows.select(*names).distinct().withColumn("__probe", F.explode(probes)).select(*names, "__probe.*")
+    hit = combos.join(answers, "__key").groupBy(*names).agg(
+        *[F.min_by(F.struct("rank", f"__v_{p}"), F.when(F.col(f"__v_{p}").isNotNull(), F.col("rank"))).alias(f"__b_{p}") for p in wanted]
     )
+    hit = hit.select(*[F.col(n).alias(f"__k_{n}") for n in names], *[f"__b_{p}" for p in wanted])
+    same = F.lit(True)
+    for n in names:
+        same = same & F.col(n).eqNullSafe(F.col(f"__k_{n}"))
+    out = rows.join(hit, same, "left")
+    columns = []
+    for p, (_, cs) in wanted.items():
+        best = F.col(f"__b_{p}")
+        columns += [best[f"__v_{p}"][c].alias(f"{p}{c}") for c in cs]
+        columns.append(level_of(best["rank"]).alias(f"{p}level_used"))
+    return out.select(*rows.columns, *columns)
+
+
+def fallback(rows: DataFrame, table: DataFrame, field: str, take: Sequence[str], *, prefix: str = "", **rules) -> DataFrame:
+    """`lookups` of one field."""
+    return lookups(rows, table, {prefix: (field, take)}, **rules)
 
 
 def fallback_bounds(

@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sigloom.functions import clean, draws, values
-from sigloom.operators.lookup import fallback
+from sigloom.operators.lookup import fallback, lookups
+from sigloom.session import cut_lineage
 
 MIN_CLOSE_DAYS = 14
 MIN_DELAY = 7
@@ -17,12 +18,20 @@ GAP, LAST_TIMING = 0.05, 0.95
 NEXT_TARGET_SHARE = 0.35
 
 
+#: prefix -> field of the profile and the statistics that its draw reads
+COUNT = {"__": ("n_rebaselines", ["mean", "p99", "max"])}
+OFFSETS = {"__co_": ("tco_to_co_days", ["p25", "median", "p75"]), "__nx_": ("tco_to_next_tco_days", ["p25", "median", "p75"])}
+
+
 def rebaseline_count(entities: DataFrame, profile: DataFrame, entity: str = "entity_id") -> DataFrame:
     """Poisson count with the group's mean, capped at its p99 and maximum."""
-    got = fallback(entities, profile, "n_rebaselines", ["mean", "p99", "max"], count="n_projects", prefix="__")
+    return _counted(lookups(entities, profile, COUNT, count="n_projects"), entity).select(*entities.columns, "n_rebaselines")
+
+
+def _counted(got: DataFrame, entity: str) -> DataFrame:
     cap = F.least("__p99", "__max")
     n = draws.poisson(draws.uniform([entity], "n_rebaselines"), F.coalesce("__mean", F.lit(0.0)), cap)
-    return got.withColumn("n_rebaselines", n).select(*entities.columns, "n_rebaselines")
+    return got.withColumn("n_rebaselines", n)
 
 
 def milestone_offset(keys, purpose: str, p25, median, p75, floor: int | None = None) -> Column:
@@ -43,13 +52,14 @@ def milestone_offset(keys, purpose: str, p25, median, p75, floor: int | None = N
 
 def with_offsets(entities: DataFrame, profile: DataFrame, entity: str = "entity_id") -> DataFrame:
     """Days from target to close-out, and to a next target for about a third of the entities."""
-    q = ["p25", "median", "p75"]
-    got = fallback(entities, profile, "tco_to_co_days", q, count="n_projects", prefix="__co_")
-    got = fallback(got, profile, "tco_to_next_tco_days", q, count="n_projects", prefix="__nx_")
+    return _offset(lookups(entities, profile, OFFSETS, count="n_projects"), entity).select(*entities.columns, "co_offset", "next_offset")
+
+
+def _offset(got: DataFrame, entity: str) -> DataFrame:
     co = milestone_offset([entity], "co", "__co_p25", "__co_median", "__co_p75", MIN_CLOSE_DAYS)
     nxt = milestone_offset([entity], "next", "__nx_p25", "__nx_median", "__nx_p75")
     has_next = draws.chance([entity], "has_next", NEXT_TARGET_SHARE)
-    return got.select(*entities.columns, co.alias("co_offset"), F.when(has_next, nxt).alias("next_offset"))
+    return got.withColumns({"co_offset": co, "next_offset": F.when(has_next, nxt)})
 
 
 def delay_days(raw: Column, slack: Column, p95: Column, p99: Column, u_slack: Column, u_over: Column, u_jitter: Column, known: Column, default: Column) -> Column:
@@ -118,7 +128,9 @@ def generate(entities: DataFrame, profile: DataFrame, constraints: DataFrame, en
 
     The chain of an entity is an array of at most 64 draws, folded in one expression.
     """
-    base = with_offsets(rebaseline_count(entities, profile, entity), profile, entity)
+    drawn = _offset(_counted(lookups(entities, profile, COUNT | OFFSETS, count="n_projects"), entity), entity)
+    # the draws are made once: what follows reads the entities twice
+    base = cut_lineage(drawn.select(*entities.columns, "n_rebaselines", "co_offset", "next_offset"))
     d = version_draws(base, constraints, entity)
     cols = [c for c in d.columns if c not in (entity, "t")]
     arr = d.groupBy(entity).agg(F.sort_array(F.collect_list(F.struct("t", *cols))).alias("__draws"))
