@@ -3,6 +3,7 @@
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from sigloom.bindings import generating_sql as exact
 from sigloom.bindings import profiling_events as pe
 from sigloom.bindings import profiling_ledger as pl
 from sigloom.bindings import profiling_versions as pv
@@ -192,7 +193,7 @@ def stored_versions(v):
     return v.stored("generated_versions", lambda: generated_versions(v))
 
 
-@query("G13_versioned_schedules")
+@query("G13_versioned_schedules", exact.G13)
 def _(v):
     return generated_versions(v)
 
@@ -206,7 +207,7 @@ def _(v):
     return v.table("orders", "o_orderkey").select("o_orderkey", d.alias("delay_days"))
 
 
-@query("G15_milestone_offsets")
+@query("G15_milestone_offsets", exact.G15)
 def _(v):
     return gen_versions.with_offsets(entities(v), version_profile(v)).select("entity_id", "co_offset", "next_offset")
 
