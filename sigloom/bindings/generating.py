@@ -594,13 +594,13 @@ SHIFT = {"promo": 0.25, "small": -0.125}
 
 
 @query("G40_monthly_cost", with_("ledger", "project", extra=CURVE + "," + GRIDX + """,
-ln AS (SELECT entity_id, division, cost_code, category, sum(amt_original) AS amt FROM ledger WHERE division IN ('Brand#1', 'Brand#2', 'Brand#3') GROUP BY 1, 2, 3, 4),
+ln AS (SELECT entity_id, division, cost_code, category, sum(amt_original) AS amt FROM ledger GROUP BY 1, 2, 3, 4),
 cl AS (SELECT ln.*, m, m / CAST(8 AS DOUBLE) AS x, least(1, greatest(0, m / CAST(8 AS DOUBLE) + CASE category WHEN 'promo' THEN 0.25 WHEN 'small' THEN -0.125 ELSE 0 END)) AS x2 FROM ln, (SELECT unnest(generate_series(0, 8)) AS m)),
-sh AS (SELECT cl.*, CASE WHEN cl.division = 'Brand#1' OR (cl.division = 'Brand#2' AND cl.x BETWEEN 0.25 AND 0.75) OR (cl.division = 'Brand#3' AND cl.x BETWEEN 0.5 AND 1) THEN least(CAST(1 AS DOUBLE), greatest(CAST(0 AS DOUBLE), 0.7::DOUBLE * a.share + 0.3::DOUBLE * b.share)) * amt END AS c
+sh AS (SELECT cl.*, CASE WHEN cl.division NOT IN ('Brand#2', 'Brand#3') OR (cl.division = 'Brand#2' AND cl.x BETWEEN 0.25 AND 0.75) OR (cl.division = 'Brand#3' AND cl.x BETWEEN 0.5 AND 1) THEN least(CAST(1 AS DOUBLE), greatest(CAST(0 AS DOUBLE), 0.7::DOUBLE * a.share + 0.3::DOUBLE * b.share)) * amt END AS c
  FROM cl JOIN g2 a ON a.division = cl.division AND a.x = cl.x JOIN g2 b ON b.division = cl.division AND b.x = CAST(cl.x2 AS DOUBLE))""", body="""
 SELECT entity_id, division, cost_code, category, m AS month, round(coalesce(max(c) OVER (PARTITION BY entity_id, division, cost_code, category ORDER BY m ROWS UNBOUNDED PRECEDING), 0), 3) AS amt_jtd FROM sh"""))
 def _(v):
-    lines = v.ledger.filter(F.col("division").isin("Brand#1", "Brand#2", "Brand#3")).groupBy("entity_id", "division", "cost_code", "category").agg(F.sum("amt_original").alias("amt_original"))
+    lines = v.ledger.groupBy("entity_id", "division", "cost_code", "category").agg(F.sum("amt_original").alias("amt_original"))
     months = v.project.select("entity_id", F.explode(F.sequence(F.lit(0), F.lit(8))).alias("month")).withColumn("lifecycle", F.col("month") / 8.0)
     out = gen_budget.monthly_cost(lines, months, gen_budget.shapes(curve_profile(v)), windows=WIN, shifts=SHIFT, mandatory=("Brand#1",))
     return out.select("entity_id", "division", "cost_code", "category", "month", F.round("amt_jtd", 3).alias("amt_jtd"))

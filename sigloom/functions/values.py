@@ -30,22 +30,12 @@ TRADES = (
     "G SITEWORK",
     "Z GENERAL",
 )
-DIVISIONS = (
-    "01", "02", "03", "04", "05", "06", "07", "08", "09", "10", "11", "12", "13", "14",
-    "21", "22", "23", "26", "27", "28", "31", "32", "33", "95", "98", "99",
-)
 MANDATORY_DIVISIONS = ("01", "98", "99")
 CLOSED_STATUSES = ("closed", "closed_draft", "closed_with_revision")
 TIMING_LABELS = ("Pre-SOW", "During", "Post-SOW")
 BUSINESS_UNITS = (
     "commercial", "healthcare", "education", "mission critical", "life sciences", "aviation", "federal",
 )
-CATEGORY_PREFIXES = {
-    "subcontract": "subcontractor",
-    "value engine": "value engineering",
-    "liberty equip": "liberty equipment",
-    "change order f": "change order fee",
-}
 CODE_PATTERN = "^[A-Z][0-9]"
 CODE_FORBIDDEN = "[?!@#$%]"
 CODE_MAX_LENGTH = 60
@@ -153,6 +143,14 @@ OVERRUNS = {
 }
 DRIFT_CAP_DEFAULT_DAYS = 180.0
 
+# --- fixed values: place of a work package in the order where nothing is known of it, by what its label holds ---
+LABEL_POSITIONS = (
+    (("Foundation", "Below Grade"), 6),
+    (("Finishes", "Punch", "Close"), 18),
+    (("Precon", "Buys", "Submittals"), 3),
+)
+LABEL_POSITION_DEFAULT = 10
+
 # --- fixed values: spend windows by division and shifts by category (shares of the lifecycle) ---
 DIVISION_WINDOWS = {
     "01": (0.0, 1.0), "02": (0.0, 0.3), "03": (0.0, 0.5), "04": (0.0, 0.5), "05": (0.1, 0.5),
@@ -165,7 +163,6 @@ DIVISION_WINDOWS = {
 CATEGORY_SHIFTS = {
     "materials": -0.16, "labor": -0.12, "lit": -0.09, "glpd": -0.01, "subcontractor": 0.0, "other": 0.0,
     "ccip": 0.08, "subguard": 0.10, "contingency": 0.05, "fee": 0.0, "allowance": 0.41,
-    "liberty builds": 0.16, "liberty equipment": 0.28,
 }
 
 # --- fixed values: root-entity ratio rules ---

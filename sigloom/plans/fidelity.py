@@ -4,6 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -39,10 +42,10 @@ def clean_category(x: str, default: str = "unknown") -> Column:
 
 
 def encode(frames: Sequence[DataFrame], category: str, out: str) -> list[DataFrame]:
-    """Alphabetical code of a category over all frames. The vocabulary is one small array."""
-    vocab = union_all([f.select(clean_category(category).alias("c")) for f in frames]).distinct()
-    words = vocab.agg(F.sort_array(F.collect_list("c"))).scalar()
-    return [f.withColumn(out, (F.array_position(words, clean_category(category)) - 1).cast("int")) for f in frames]
+    """Alphabetical code of a category over all frames: the row number in the sorted vocabulary, joined back."""
+    vocab = union_all([f.select(clean_category(category).alias("__c")) for f in frames]).distinct().withColumn("__all", one_key("__c"))
+    codes = ordered(vocab, ["__all"], ["__c"], row_number="__i").select("__c", (F.col("__i") - 1).alias(out))
+    return [f.withColumn("__c", clean_category(category)).join(codes, "__c", "left").select(*f.columns, out) for f in frames]
 
 
 # distances
@@ -147,18 +150,30 @@ def auc(df: DataFrame, score: str, label: str, keys: Sequence[str] = (), **kw) -
 def bootstrap_auc(df: DataFrame, score: str, label: str, replicates: int = 1000, seed: int = draws.SEED) -> DataFrame:
     """Percentile interval of the AUC over Poisson bootstrap replicates.
 
-    Rows with one score share a sum of Poisson(1) weights, which is Poisson(count): replicates
-    multiply the distinct scores, not the rows.
+    Rows with one score share a sum of Poisson(1) weights, which is Poisson(count), drawn from the score. Scores are dealt in ranges; a task
+    walks its range once for all replicates and hands on (positives, negatives, wins over negatives below) for each. These add up along the
+    ranges: a range's positives also win over all negatives of the ranges below it.
     """
-    counts = score_counts(df, score, label)
-    reps = counts.withColumn("rep", F.explode(F.sequence(F.lit(1), F.lit(replicates))))
-
-    def redraw(n: str) -> Column:
-        u = draws.uniform(["rep", "score"], f"boot:{n}", seed=seed)
-        return draws.poisson(u, F.col(n), F.lit(None).cast("int"))
-
-    boot = reps.select("rep", "score", "k", redraw("pos").alias("pos"), redraw("neg").alias("neg"))
-    aucs = auc_from_counts(boot, ["rep"])
+    counts = score_counts(df, score, label).select("score", F.col("pos").cast("double").alias("pos"), F.col("neg").cast("double").alias("neg"))
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+    def walk(batches):
+        pos, neg, wins = np.zeros(replicates), np.zeros(replicates), np.zeros(replicates)
+        for batch in batches:
+            for s, p, n in zip(*(batch.column(c).to_numpy() for c in ("score", "pos", "neg")), strict=True):
+                rng = np.random.default_rng([seed, int(np.float64(s).view(np.uint64))])
+                drawn_pos, drawn_neg = rng.poisson(p, replicates), rng.poisson(n, replicates)
+                wins += drawn_pos * (neg + drawn_neg / 2)
+                pos += drawn_pos
+                neg += drawn_neg
+        part = TaskContext.get().partitionId()
+        yield pa.RecordBatch.from_arrays([pa.array(np.full(replicates, part)), pa.array(np.arange(replicates)), pa.array(pos), pa.array(neg), pa.array(wins)], names=["part", "rep", "pos", "neg", "wins"])
+
+    ranged = counts.repartitionByRange(parts, "score").sortWithinPartitions("score")
+    states = ranged.mapInArrow(walk, "part long, rep long, pos double, neg double, wins double")
+    below = F.coalesce(F.sum("neg").over(W.partitionBy("rep").orderBy("part").rowsBetween(W.unboundedPreceding, -1)), F.lit(0.0))
+    total = states.withColumn("wins", F.col("wins") + F.col("pos") * below).groupBy("rep").agg(*[F.sum(c).alias(c) for c in ("pos", "neg", "wins")])
+    aucs = total.filter("pos > 0 AND neg > 0").select((F.col("wins") / (F.col("pos") * F.col("neg"))).alias("auc"))
     ci = exact_quantiles(aucs, [], "auc", {"ci_low": 0.025, "ci_high": 0.975}, count="n_replicates")
     return ci.withColumn("auc", auc(df, score, label).agg(F.max("auc")).scalar())
 

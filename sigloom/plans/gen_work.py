@@ -56,12 +56,24 @@ def choose(entities: DataFrame, profile: DataFrame, frequency: DataFrame) -> Dat
     return rows.withColumn("__r", rank).filter("__r <= __n").drop("__r", "__n", "w")
 
 
+def label_position(sow: str = S) -> Column:
+    """Where a label stands whose positions were never seen: the first listed word that it holds decides."""
+    out = None
+    for words, place in values.LABEL_POSITIONS:
+        holds = F.lit(False)
+        for word in words:
+            holds = holds | F.col(sow).contains(word)
+        out = F.when(holds, place) if out is None else out.when(holds, place)
+    return out.otherwise(values.LABEL_POSITION_DEFAULT).cast("double")
+
+
 def arrange(rows: DataFrame, constraints: DataFrame) -> DataFrame:
-    """Order by a drawn position; milestones are anchored at both ends."""
+    """Order by a drawn position, without bounds by the label's place; milestones are anchored at both ends."""
     got = fallback_bounds(rows, constraints, "sequence_position", chain=(("SOW_SBU", (S, "sbu")), ("GLOBAL", (S,))), out="__b")
     b = F.col("__b")
     drawn = F.round(draws.normal(KEY, "position") * F.coalesce(b["stddev"], F.lit(3.0)) + F.coalesce(b["mean"], F.lit(10.0)))
     drawn = F.least(F.greatest(drawn, F.coalesce(b["min"], F.lit(1.0))), F.coalesce(b["max"], F.lit(30.0)))
+    drawn = F.when(F.size(b) > 0, drawn).otherwise(label_position())
     at = F.coalesce(F.try_element_at(literal_map(values.ANCHOR_POSITIONS), F.col(S)), drawn)
     got = got.withColumn("__at", at)
     w = W.partitionBy(E)

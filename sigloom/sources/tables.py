@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Mapping, Sequence
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sigloom.session import ensure_checkpoint_dir
+
 
 def scan(spark: SparkSession, name: str, columns: Sequence[str] | None = None) -> DataFrame:
     """A catalog table, or a Parquet path when the name has a slash; columns are pruned at the scan."""
@@ -72,22 +75,31 @@ def not_done(todo: DataFrame, done: DataFrame | None, key: str) -> DataFrame:
     return todo if done is None else todo.join(done.select(key).distinct(), key, "left_anti")
 
 
-def in_batches(df: DataFrame, key: str, batches: int) -> DataFrame:
-    """Stable batch number per entity, so one run can be flushed in several appends."""
-    return df.withColumn("batch", F.pmod(F.xxhash64(F.col(key)), F.lit(batches)).cast("int"))
+#: buckets of entities in which a flush is staged: no batch is smaller than one
+FLUSH_BUCKETS = 256
 
 
 def flush(df: DataFrame, name: str, key: str, every: int, spark: SparkSession | None = None, **kw) -> int:
-    """Append entities in batches of about `every` rows, skipping the ones already written.
+    """Append entities in batches of about `every` rows, skipping the ones already written; returns the number of batches.
 
-    Each batch is one append job; a run that dies is resumed by calling it again.
+    The input is computed once and staged in the shared folder by buckets of entities; a batch is a run of buckets, read from
+    their files alone. Each batch is one append job; a run that dies is resumed by calling it again.
     """
     spark = spark or df.sparkSession
-    done = optional_scan(spark, name)
-    todo = not_done(df, done, key)
-    rows = todo.count()
-    batches = max(1, -(-rows // every))
-    parts = in_batches(todo, key, batches)
-    for b in range(batches):
-        append(parts.filter(F.col("batch") == b).drop("batch"), name, **kw)
-    return batches
+    todo = not_done(df, optional_scan(spark, name), key)
+    folder = f"{ensure_checkpoint_dir(spark).rstrip('/')}/flush-{uuid.uuid4().hex}"
+    bucket = F.pmod(F.xxhash64(F.col(key)), F.lit(FLUSH_BUCKETS)).cast("int")
+    todo.withColumn("__bucket", bucket).repartition("__bucket").write.partitionBy("__bucket").parquet(folder)
+    staged = spark.read.schema(todo.select("*", bucket.alias("__bucket")).schema).parquet(folder)
+    batches: list[tuple[int, int]] = []
+    first = rows = 0
+    for r in staged.groupBy("__bucket").count().orderBy("__bucket").collect():
+        rows += r["count"]
+        if rows >= every:
+            batches.append((first, r["__bucket"]))
+            first, rows = r["__bucket"] + 1, 0
+    if rows:
+        batches.append((first, FLUSH_BUCKETS - 1))
+    for low, high in batches:
+        append(staged.filter(F.col("__bucket").between(low, high)).drop("__bucket"), name, **kw)
+    return len(batches)

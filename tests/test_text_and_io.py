@@ -48,6 +48,21 @@ def test_flush_writes_once_and_resumes(spark, tmp_path):
     assert out.count() == 500 and out.distinct().count() == 500
 
 
+def test_flush_computes_its_input_once_and_keeps_entities_whole(spark, tmp_path):
+    made = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            made.add(b.num_rows)
+            yield b
+
+    df = spark.range(600).selectExpr("id % 60 AS k", "id").mapInArrow(count, "k long, id long")
+    n = tables.flush(df, f"{tmp_path}/out", "k", every=100)
+    assert 3 <= n <= 6 and made.value == 600
+    assert tables.flush(df, f"{tmp_path}/out", "k", every=100) == 0
+    assert spark.read.parquet(f"{tmp_path}/out").groupBy("k").count().filter("count <> 10").count() == 0
+
+
 def test_stream_keeps_entities_of_several_batches(spark, tmp_path):
     src, out, ckpt = (f"{tmp_path}/{n}" for n in ("src", "out", "ckpt"))
     spark.range(10).select(F.col("id").alias("k")).write.parquet(src)
