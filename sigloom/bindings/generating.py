@@ -265,12 +265,12 @@ def baseline(v):
     return gen_work.baseline(entities(v), **work_tables(v))
 
 
-@query("G17_sow_set_and_order")
+@query("G17_sow_set_and_order", exact.G17)
 def _(v):
     return chosen(v).select("entity_id", "sow", "seq", "n_sows")
 
 
-@query("G18_chained_placement")
+@query("G18_chained_placement", exact.G18)
 def _(v):
     t = work_tables(v)
     rows = gen_work.overlaps(gen_work.durations(chosen(v).withColumn("boundary", F.col("dt_end")), t["constraints"]), t["pairs"])
@@ -306,7 +306,7 @@ def _(v):
     return gen_work.stretch_to_boundary(placed(v, 3500)).select("entity_id", "sow", "sow_start", "sow_days", "sow_finish")
 
 
-@query("G20_overrun_or_clip")
+@query("G20_overrun_or_clip", exact.G20)
 def _(v):
     t = work_tables(v)
     rows = gen_work.overlaps(gen_work.durations(chosen(v).withColumn("boundary", F.col("dt_end")), t["constraints"]), t["pairs"])

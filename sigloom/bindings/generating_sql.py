@@ -4,6 +4,7 @@ The profile tables that the generators read are built from the views here too, s
 """
 
 from sigloom.bindings import profiling_versions as pv
+from sigloom.bindings import profiling_work as pw
 from sigloom.bindings.views import with_
 from sigloom.functions import draws, values
 from sigloom.plans import gen_versions as gv
@@ -106,3 +107,76 @@ G13 = with_("version", "project", "entity", extra=VERSIONS, body=f"""
 SELECT entity_id, entity_id || CASE WHEN k = 0 THEN '-000.01-BL' ELSE '-' || lpad(k::VARCHAR, 3, '0') || '.MO-RB' END AS code, k AS version, dt_start AS dt_ntp, target AS dt_tco, target + next_offset AS dt_next_tco, target + co_offset AS dt_co,
  n + 1 - k AS n_recent, date AS effective_from, CASE WHEN k = n THEN DATE '{values.OPEN_END}' ELSE greatest(date, lead(date) OVER (PARTITION BY entity_id ORDER BY k) - 1) END AS effective_to, k = n AS is_active, delay AS delay_days, category AS delay_category, dt_end AS dt_tco_original
 FROM vd""").replace("WITH ", "WITH RECURSIVE ", 1)
+
+
+# work packages
+
+
+def from_bounds(keys, purpose: str, p25: str, median: str, p75: str, p95: str | None = None) -> str:
+    """Triangular draw with jitter and cap; a side that equals the median is opened by a half, unless both do."""
+    lo, hi = f"coalesce({p25}, {median})", f"coalesce({p75}, {median})"
+    a = f"(CASE WHEN {lo} >= {median} THEN greatest(0, {median} - 0.5::DOUBLE) ELSE {lo} END)"
+    b = f"(CASE WHEN {hi} <= {median} THEN {median} + 0.5::DOUBLE ELSE {hi} END)"
+    v = f"({triangular(u(keys, purpose), a, median, b)}) * (1 + {u(keys, purpose + ':jitter', -0.05, 0.05)})"
+    return f"CASE WHEN {lo} = {median} AND {hi} = {median} THEN {median} ELSE {f'least({v}, {p95})' if p95 else v} END"
+
+
+def doubles(names, sql: str, more: str) -> str:
+    return f"SELECT {more}, {', '.join(f'CAST({n} AS DOUBLE) AS {n}' for n in names)} FROM ({sql})"
+
+
+WORKED = [("SBU_CONTRACT", ("sbu", "contract_bucket"), ENOUGH), ("SBU_SIZE", ("sbu", "size_category"), ENOUGH), ("SBU", ("sbu",), None)]
+SOW = ["entity_id", "sow"]
+POSITION = [("SOW_SBU", ("sow", "sbu"), None), ("GLOBAL", ("sow",), None)]
+SPAN = [("SOW_SBU", ("sbu", "sow"), None), ("SOW_TYPE", ("sow",), None)]
+LABEL = "CASE " + " ".join(f"WHEN {' OR '.join(f'contains(c.sow, {w!r})' for w in words)} THEN {place}" for words, place in values.LABEL_POSITIONS) + f" ELSE {values.LABEL_POSITION_DEFAULT} END"
+ANCHORED = "CASE c.sow " + " ".join(f"WHEN '{k}' THEN {v}" for k, v in values.ANCHOR_POSITIONS.items()) + " END"
+
+CHOSEN = pw.WORK + f""",
+en AS (SELECT * FROM project WHERE dt_end > dt_start),
+np AS ({doubles(Q, pw.SOW_COUNT_SQL, 'level, sbu, size_category, contract_bucket, n_projects')}),
+nb AS ({first_level('en', 'np', 'entity_id', WORKED, Q)}),
+nn AS (SELECT e.*, CAST(least(40, greatest(5, round(coalesce({from_bounds(['e.entity_id'], 'n_sows', 'nb.p25', 'nb.median', 'nb.p75')}, 20)))) AS INTEGER) AS n FROM en e LEFT JOIN nb USING (entity_id)),
+fr AS (SELECT sbu, sow, round(count(DISTINCT entity_id) * CAST(100 AS DOUBLE) / (SELECT count(DISTINCT entity_id) FROM w x WHERE x.sbu = w.sbu), 2) AS pct FROM w GROUP BY 1, 2),
+mn AS (SELECT sbu, sow, pct FROM fr UNION ALL SELECT e.sbu, f.sow, f.pct FROM (SELECT DISTINCT sbu FROM en WHERE sbu NOT IN (SELECT sbu FROM fr)) e, (SELECT sow, avg(pct) AS pct FROM fr GROUP BY 1) f),
+ch AS (SELECT * FROM (SELECT e.*, m.sow, row_number() OVER (PARTITION BY e.entity_id ORDER BY -ln({u(['e.entity_id', 'm.sow'], 'choose')}) / m.pct, m.sow) AS r FROM nn e JOIN mn m ON m.sbu = e.sbu) WHERE r <= n),
+ci AS (SELECT *, entity_id || '|' || sow AS id FROM ch),
+sq AS (SELECT 'SOW_SBU' AS level, sow, sbu, avg(seq) AS mean, stddev_samp(seq) AS stddev, CAST(min(seq) AS DOUBLE) AS min, CAST(max(seq) AS DOUBLE) AS max FROM w GROUP BY sow, sbu HAVING count(DISTINCT entity_id) >= 5
+ UNION ALL SELECT 'GLOBAL', sow, NULL, avg(seq), stddev_samp(seq), min(seq), max(seq) FROM w GROUP BY sow HAVING count(DISTINCT entity_id) >= 10),
+sb AS ({first_level('ci', 'sq', 'id', POSITION, ('mean', 'stddev', 'min', 'max'))}),
+po AS (SELECT c.*, coalesce({ANCHORED}, CASE WHEN sb.id IS NOT NULL THEN least(greatest(round({draws.normal_sql(['c.entity_id', 'c.sow'], 'position')} * coalesce(sb.stddev, 3) + coalesce(sb.mean, 10)), coalesce(sb.min, 1)), coalesce(sb.max, 30)) ELSE {LABEL} END) AS pos
+ FROM ci c LEFT JOIN sb USING (id)),
+ar AS (SELECT *, CAST(row_number() OVER (PARTITION BY entity_id ORDER BY pos, {u(SOW, 'position:tie')}) AS INTEGER) AS place, count(*) OVER (PARTITION BY entity_id) AS n_sows FROM po)"""
+
+G17 = with_("project", "task", extra=CHOSEN, body="SELECT entity_id, sow, place AS seq, n_sows FROM ar")
+
+PLACED = CHOSEN + "," + pw.PAIRS.removeprefix(pw.WORK + ",") + f""",
+dq AS ({doubles((*Q, 'p95'), pw.DUR_SQL, 'level, sow, sbu')}),
+db AS ({first_level('ar', 'dq', 'id', SPAN, (*Q, 'p95'))}),
+du AS (SELECT a.*, dt_end AS boundary, CAST(least(1000, greatest(30, round(coalesce({from_bounds(['a.entity_id', 'a.sow'], 'duration', 'db.p25', 'db.median', 'db.p75', 'db.p95')}, 180)))) AS INTEGER) AS days, lag(sow) OVER (PARTITION BY entity_id ORDER BY place) AS before FROM ar a LEFT JOIN db USING (id)),
+ge AS (SELECT quantile_disc(overlap_pct, 0.25) AS p25, quantile_disc(overlap_pct, 0.5) AS median, quantile_disc(overlap_pct, 0.75) AS p75 FROM cp),
+pp AS (SELECT sow_first, sow_second, quantile_disc(overlap_pct, 0.25) AS p25, quantile_disc(overlap_pct, 0.5) AS median, quantile_disc(overlap_pct, 0.75) AS p75 FROM cp GROUP BY 1, 2 HAVING count(*) >= 5),
+ov AS (SELECT * EXCLUDE (p25, median, p75), least(100, greatest(-50, coalesce({triangular(u(SOW, 'overlap'), 'p25', 'median', 'p75')}, 84))) / 100.0::DOUBLE AS overlap FROM
+ (SELECT d.*, coalesce(p.p25, g.p25) AS p25, coalesce(p.median, g.median) AS median, coalesce(p.p75, g.p75) AS p75 FROM du d LEFT JOIN pp p ON p.sow_first = d.before AND p.sow_second = d.sow, ge g)),
+wp AS (SELECT entity_id, place, dt_start AS start, days FROM ov WHERE place = 1
+ UNION ALL SELECT entity_id, place, CASE WHEN start > boundary + 60 THEN boundary - 60 ELSE start END, days FROM (
+  SELECT o.entity_id, o.place, o.boundary, o.days, p.start + greatest(0, CAST(trunc(p.days * (1 - o.overlap)) AS INTEGER)) AS start FROM wp p JOIN ov o ON o.entity_id = p.entity_id AND o.place = p.place + 1)),
+pl AS (SELECT o.*, p.start, p.start + o.days AS finish FROM ov o JOIN wp p USING (entity_id, place))"""
+
+G18 = with_("project", "task", extra=PLACED, body="SELECT entity_id, sow, place AS seq, start AS sow_start, finish AS sow_finish, days AS sow_days, overlap FROM pl").replace("WITH ", "WITH RECURSIVE ", 1)
+
+
+def overrun(i: int) -> str:
+    return "CASE sow " + " ".join(f"WHEN '{k}' THEN {v[i]!r}::DOUBLE" for k, v in values.OVERRUNS.items()) + " END"
+
+
+CLIPPED = PLACED + f""",
+sc AS (SELECT *, CASE WHEN last > boundary AND date_diff('day', dt_start, boundary) > 0 AND date_diff('day', dt_start, last) > 0
+  THEN greatest(date_diff('day', dt_start, boundary) / CAST(date_diff('day', dt_start, last) AS DOUBLE), 0.5) ELSE 1 END AS f FROM (SELECT *, max(finish) OVER (PARTITION BY entity_id) AS last FROM pl)),
+s2 AS (SELECT * REPLACE (CASE WHEN last > boundary THEN dt_start + greatest(0, CAST(trunc(date_diff('day', dt_start, start) * f) AS INTEGER)) ELSE start END AS start, CASE WHEN last > boundary THEN greatest(30, CAST(trunc(days * f) AS INTEGER)) ELSE days END AS days), f < 0.99 AS was_scaled FROM sc),
+s3 AS (SELECT * REPLACE (start + days AS finish) FROM s2),
+s4 AS (SELECT *, coalesce(chance IS NOT NULL AND (date_diff('day', boundary, finish) > -30 OR (was_scaled AND place - 1 >= floor(n_sows * 0.6::DOUBLE))) AND {u(SOW, 'overrun')} < chance, false) AS hit,
+ CAST(greatest(7, trunc({triangular(u(SOW, 'overrun:days'), '7.0::DOUBLE', 'mode', 'longest')})) AS INTEGER) AS over FROM (SELECT *, {overrun(0)} AS chance, {overrun(1)} AS mode, {overrun(2)} AS longest FROM s3)),
+s5 AS (SELECT entity_id, sow, place AS seq, CASE WHEN NOT hit AND finish > boundary AND start >= boundary THEN boundary - 30 ELSE start END AS sow_start, CASE WHEN hit THEN boundary + over WHEN finish > boundary THEN boundary ELSE finish END AS sow_finish, boundary FROM s4)"""
+
+G20 = with_("project", "task", extra=CLIPPED, body="SELECT entity_id, sow, seq, sow_start, sow_finish, CAST(date_diff('day', sow_start, sow_finish) AS INTEGER) AS sow_days, boundary FROM s5").replace("WITH ", "WITH RECURSIVE ", 1)
