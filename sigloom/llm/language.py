@@ -14,6 +14,7 @@ import pyarrow as pa
 import regex
 import zstandard
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from . import spans
@@ -33,21 +34,25 @@ NAMED = "doc_id long, lang_pred string, score double, rejected boolean, runner_u
 def learn(docs: DataFrame, sample: int = SAMPLE) -> dict[str, bytes]:
     """A dictionary for each non-null value of lang in docs (doc_id, text, lang).
 
-    From each language the `sample` rows with the smallest hashes are taken, `SHARE` bytes from the middle of each, up to 96 kB;
-    all rows take part in the choice. Null and empty texts are left out. More than `LANGUAGES` languages are refused.
+    From each language apart the `sample` rows with the smallest hashes of id and text are taken, `SHARE` characters from the middle of each, up
+    to 96 kB; all rows take part in the choice, rows that repeat as one. Null and empty texts are left out. More than `LANGUAGES` languages are
+    refused.
     """
     rows = docs.filter("lang IS NOT NULL AND text IS NOT NULL AND text <> ''")
-    count = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().orderBy("lang").limit(LANGUAGES + 1).collect()}
+    mark: Column = F.pmod(F.xxhash64("doc_id", "text", F.lit(3)), F.lit(1 << 40))
+    marked = rows.groupBy("lang").agg(F.approx_count_distinct(mark).alias("count"))
+    count = {r["lang"]: r["count"] for r in marked.orderBy("lang").limit(LANGUAGES + 1).collect()}
     if len(count) > LANGUAGES:
         raise ValueError(f"more than {LANGUAGES} languages")
     if not count:
         return {}
-    mark: Column = F.pmod(F.xxhash64("doc_id", F.lit(3)), F.lit(1 << 30))
-    bound = F.create_map(*[F.lit(x) for lang, n in count.items() for x in (lang, int(min(1.0, (3.0 * sample + 40) / n) * (1 << 30)))])
+    # about three times the sample passes, so that few rows are sorted
+    bound = F.create_map(*[F.lit(x) for lang, n in count.items() for x in (lang, int(min(1.0, (3.0 * sample + 40) / max(1, n)) * (1 << 40)))])
     middle = F.expr(f"substring(text, greatest(1, cast(length(text) / 2 as int) - {SHARE // 2}), {SHARE})")
-    few = rows.filter(mark < bound[F.col("lang")]).select("lang", mark.alias("mark"), "doc_id", middle.alias("part"))
+    few = rows.filter(mark < bound[F.col("lang")]).groupBy("lang", mark.alias("mark")).agg(F.min(middle).alias("part"))
+    first = F.row_number().over(W.partitionBy("lang").orderBy("mark"))
     parts: dict[str, list] = {}
-    for r in few.orderBy("mark", "doc_id", "part").limit(len(count) * (6 * sample + 80)).collect():
+    for r in few.withColumn("i", first).filter(F.col("i") <= sample).orderBy("lang", "i").collect():
         parts.setdefault(r["lang"], []).append(r["part"].lower().encode())
     made = {}
     for lang, own in sorted(parts.items()):

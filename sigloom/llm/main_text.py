@@ -10,23 +10,31 @@
 3. Pages are joined with their host's path (those of a very large host are spread) and read again: the main text is what the
    containers with that path hold, and in a page whose own best container is another one (the article goes on beside the
    host's, or the layout is its own) also that one's blocks that are no more than half links. A page
-   that has none of the host's path, or less than half of its own best container's text there, is taken by its own best path.
+   that has none of the host's path, or less than half of its own best container's text there, is taken by its own best path, with the
+   host's path's blocks that are no more than half links.
 """
 
 from __future__ import annotations
 
+import hashlib
 import html as entities
 import re
+from collections import Counter
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-TAG = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*>", re.DOTALL)
-ATTRIBUTE = re.compile(r"([a-zA-Z_:-]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))")
+#: attributes go on to the next angle bracket; a few quoted values of bounded length may hold some, so a tag without an end costs no second look at the page
+_PLAIN = r"(?:[^<>\"']|\"[^\"<]*\"|'[^'<]*')*+"
+_QUOTED = r"(?:\"[^\"]{0,2000}\"|'[^']{0,2000}')"
+TAG = re.compile(rf"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*+)({_PLAIN}(?:{_QUOTED}{_PLAIN}){{0,8}}+)>|<[!?][^<>]*+>", re.DOTALL)
+ATTRIBUTE = re.compile(r"(?<![a-zA-Z_:-])([a-zA-Z_:-]++)\s*+=\s*+(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))")
 #: elements whose content is no text
 RAW = {"script", "style", "noscript", "template", "svg", "iframe", "object", "canvas", "textarea", "select", "title", "video", "audio"}
+#: where such an element ends, in any case of ASCII letters
+SHUT = {name: re.compile(f"</{name}", re.IGNORECASE | re.ASCII) for name in RAW}
 #: elements that never hold main text
 APART = {"nav", "footer", "aside", "form", "button", "menu", "dialog", "head", "label", "input", "fieldset"}
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
@@ -46,10 +54,14 @@ MARKS = re.compile(
 #: roles, and classes or whole ids with a word of the first kind and none but of both kinds, that are never main text. Slugs of headings (related-work, side-effects) aren't
 ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "dialog", "alertdialog", "menu", "menubar", "toolbar"}
 BOILERPLATE = re.compile(
-    r"ads?|advert\w*|adsense|sponsor\w*|promo|promos|promotions?|banners?|nav\w*|menus?|menubar|breadcrumbs?|masthead|topbar|footer|sidebars?|widgets?|related|recommended|recommendations?"
+    r"ads?|advert\w*|adsense|sponsor\w*|promo|promos|promotions?|banners?|notices?|alerts?|nav\w*|menus?|menubar|breadcrumbs?|masthead|topbar|footer|sidebars?|widgets?|related|recommended|recommendations?"
     r"|comments?|commentlist|replies|disqus|respond|cookies?|consent|gdpr|popup|modal|overlay|newsletter|subscribe|signup|login|share|sharing|social|pagination|pager|copyright|toolbar|tags|skip|skiplinks?"
 )
-NEUTRAL = re.compile(r"\d*|posts?|pages?|site|main|entry|articles?|stories|blog|lists?|items?|box(?:es)?|bar|buttons?|btns?|icons?|links?|wrap|wrapper|container|inner|outer|area|section|block|slot|unit|top|bottom|left|right|header|side|media|form|follow|notice|reply|us|this|text|meta|primary|secondary|global|mobile|desktop")
+NEUTRAL = re.compile(r"\d*|posts?|pages?|site|main|entry|articles?|stories|blog|lists?|items?|box(?:es)?|bar|buttons?|btns?|icons?|links?|wrap|wrapper|container|inner|outer|area|section|block|slot|unit|top|bottom|left|right|header|side|media|form|follow|notice|reply|us|this|text|meta|primary|secondary|global|mobile|desktop|info|warning|danger|success|error")
+#: whole ids of readers' comments, also inside <article> and <main>
+COMMENTS = {"comments", "comment-list", "commentlist", "comments-section", "comments-area", "disqus_thread", "respond"}
+#: a path longer than this goes on from its hash
+LONG_PATH = 240
 #: a tag that the page's end cuts off
 BROKEN = re.compile(r"<[/a-zA-Z!].*\Z", re.DOTALL)
 #: a class like has-sidebar speaks of the layout, not of the part
@@ -76,6 +88,7 @@ class Page:
     def __init__(self, source: str):
         self.paths: list[str] = [""]
         self.parents: list[int] = [-1]
+        self.depths: list[int] = [0]
         self.blocks: list[tuple[int, str, int, int]] = []  # container, text, characters of links, container around a doubtful mark or -1
         self._read(source)
 
@@ -84,6 +97,7 @@ class Page:
         container, apart, doubt, links = 0, False, -1, 0
         words: list[str] = []
         linked = 0
+        opened: Counter[str] = Counter()  # names on the stack
 
         def end_block():
             nonlocal words, linked
@@ -99,10 +113,11 @@ class Page:
             if any(t[0] not in INLINE for t in stack[k:]):
                 end_block()
             links -= sum(t[0] == "a" for t in stack[k:])
+            opened.subtract(t[0] for t in stack[k:])
             del stack[k:]
             container, apart, doubt = container_, apart_, doubt_
 
-        at, lower = 0, source.lower()
+        at = 0
         for found in TAG.finditer(source):
             if found.start() < at:
                 continue
@@ -119,18 +134,17 @@ class Page:
             if found[1]:
                 if name == "br" or name in VOID:
                     continue
-                k = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == name), None)
-                if k is not None:
-                    close(k)
+                if opened[name] > 0:
+                    close(next(i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == name))
                 elif name == "p":
                     end_block()
                 continue
             if name in RAW:
-                shut = lower.find(f"</{name}", at)
-                if shut < 0:
+                shut = SHUT[name].search(source, at)
+                if not shut:
                     at = len(source)
                     break
-                at = source.find(">", shut) + 1 or len(source)
+                at = source.find(">", shut.end()) + 1 or len(source)
                 continue
             if name in VOID:
                 if name == "br":
@@ -142,36 +156,43 @@ class Page:
                 continue
             if name not in INLINE:
                 # a paragraph ends before the next block, and what is open in it goes with it
-                k = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == "p" or stack[i][0] in CONTAINERS), None)
-                if k is not None and stack[k][0] == "p":
-                    close(k)
+                if opened["p"] > 0:
+                    k = next(i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == "p" or stack[i][0] in CONTAINERS)
+                    if stack[k][0] == "p":
+                        close(k)
                 for other in CLOSES.get(name, ()):
+                    if opened[other] <= 0:
+                        continue
                     k = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == other or stack[i][0] in ("ul", "ol", "dl", "table", "tbody")), None)
                     if k is not None and stack[k][0] == other:
                         close(k)
                 end_block()
             stack.append((name, container, apart, doubt))
+            opened[name] += 1
             if name == "a":
                 links += 1
             if name not in INLINE:
                 marks = found[3]
                 named = dict((a.lower(), b or c or d) for a, b, c, d in ATTRIBUTE.findall(marks)) if marks.strip() else {}
-                within = any(t[0] in ("article", "main") for t in stack)
+                within = opened["article"] > 0 or opened["main"] > 0
                 whole = name in ("body", "html", "article", "main")
                 known = LAYOUT.sub(" ", named.get("class", ""))
                 marked = not whole and (any(boilerplate(c) for c in known.split()) or any(c in ROLES for c in named.get("role", "").lower().split()))
                 if not within and not whole and name != "section" and name not in HEADINGS:
                     own = named.get("id", "").strip()
                     marked = marked or boilerplate(own) or own.lower() in SITE
-                marked = marked or "site-header" in known.split()
+                marked = marked or "site-header" in known.split() or (name in ("div", "section", "ol", "ul") and named.get("id", "").strip().lower() in COMMENTS)
                 if name in APART or (name == "header" and not within) or "hidden" in named or named.get("aria-hidden") == "true" or marked:
                     apart = True
                 elif not within and not whole and doubt < 0 and MARKS.search(" ".join([known, LAYOUT.sub(" ", named.get("id", "")), named.get("role", "")])):
                     doubt = container
                 elif name in CONTAINERS:
                     first = DIGITS.sub("#", (named.get("class", "").split() or [""])[0].lower())
-                    self.paths.append(f"{self.paths[container]}/{name}{'.' + first if first else ''}")
+                    above = self.paths[container]
+                    above = above if len(above) <= LONG_PATH else "#" + hashlib.md5(above.encode(), usedforsecurity=False).hexdigest()
+                    self.paths.append(f"{above}/{name}{'.' + first[:LONG_PATH] if first else ''}")
                     self.parents.append(container)
+                    self.depths.append(self.depths[container] + 1)
                     container = len(self.paths) - 1
         if at < len(source) and not apart:
             words.append(BROKEN.sub("", source[at:]))
@@ -193,7 +214,7 @@ class Page:
             if total[k] > 0:
                 share = min(1.0, total[k] / whole)
                 # of containers with the same text the innermost wins; one that lacks a tenth of the text loses to its parent
-                depth = path.count("/")
+                depth = self.depths[k]
                 kind = 0.25 if path.rpartition("/")[2].split(".")[0] in ("article", "main") else 0.0
                 out[path] = max(out.get(path, 0.0), whole * (share**4 + 0.002 * depth + kind * share))
         return out
@@ -255,8 +276,8 @@ def extract(pages: DataFrame, large_host: int = LARGE_HOST) -> DataFrame:
                     own = page.best()
                     if own == used:
                         text = page.text(used)
-                    elif 2 * len(page.text(used)) < len(other := page.text(own)):
-                        text, used = other, own
+                    elif 2 * len(page.text(used)) < len(page.text(own)):
+                        text, used = page.text(own, used), own
                     else:
                         text = page.text(used, own)
                 texts.append(text)
