@@ -18,7 +18,7 @@ from sigloom.session import ensure_checkpoint_dir
 
 #: documents below this score are rejected
 LEAST_QUALITY = 0.3
-#: the network, the MinHash forest and the tokenizer have no SQL form; tests hold the operators against brute-force versions, not the stages' rows
+#: the network, the MinHash bands and the tokenizer have no SQL form; tests hold the operators against brute-force versions, not the stages' rows
 ORACLE_SQL = None
 
 
