@@ -1,12 +1,12 @@
 """Benchmark passages in documents: SimHash of item-sized windows, multi-index Hamming search, exact verification.
 
-Texts are read as lower-cased words, items in blocks of at most `ITEM_BLOCK` (each block is one pass over the documents, and all
-that a pass broadcasts). For an item of L words the windows are all stretches of L words of a document. A window's
-fingerprint is the 64-bit SimHash of its five-word shingles, from running sums over the document. The 64 bits are cut into
-eleven blocks; a fingerprint within 22 bits of an item's differs by two bits at most in one block, so looking up
-each block with up to two bits flipped finds every fingerprint within that radius. A weighted Jaccard
-similarity of 0.8 is 9.7 differing bits on average (deviation 2.9). What is found is verified by the exact weighted similarity
-of the shingles' counts.
+Texts are read as lower-cased words, items in blocks of about `ITEM_BLOCK` and `ITEM_BYTES` (each block is one pass over the
+documents, and all that a pass broadcasts). For an item of L words the windows are all stretches of L words of a document. A
+window's fingerprint is the 64-bit SimHash of its five-word shingles, from running sums over the document. The 64 bits are cut
+into five blocks; a fingerprint within 19 bits of an item's differs by three bits at most in one block, so looking up each
+block with up to three bits flipped finds every fingerprint within that radius. Of random pairs 21 % share such a block and
+0.1 % are within the radius. A weighted Jaccard similarity of 0.8 is 9.7 differing bits on average (deviation 2.9). What is
+found is verified by the exact weighted similarity of the shingles' counts. Pairs are arrays throughout.
 
 A document shorter than an item is the one window for it, as long as the item's length lets the similarity be reached. It is
 compared with all items of that length by counts of shared shingles, without fingerprints.
@@ -17,6 +17,7 @@ shingles only; that leaves out nothing that verification would keep.
 
 from __future__ import annotations
 
+from functools import cache
 from itertools import combinations
 from typing import NamedTuple
 
@@ -30,32 +31,38 @@ from .shared import NO_ID
 
 SHINGLE = 5
 SIMILARITY = 0.8
-RADIUS = 22
-BLOCKS = 11
+RADIUS = 19
+BLOCKS = 5
 FLIPS = RADIUS // BLOCKS
 ITEM_BLOCK = 20_000
-#: bounds what is looked up at once: windows times items of one length, or windows times 256 bytes of running sums
-LOOKED_UP = 1 << 24
-WIDTHS = [6] * 9 + [5] * 2
+ITEM_BYTES = 32 << 20
+#: bounds what is looked up at once: windows times items of one length, windows times masks, shingles of pairs
+LOOKED_UP = 1 << 22
+WIDTHS = [13] * 4 + [12]
 LEAKS = "doc_id long, item_id long, n_windows long, first_word long, n_words long, hamming long, similarity double"
 
 
 class Items(NamedTuple):
-    """Benchmark items of one length in words: sorted shingle hashes with counts, fingerprints, lookup tables by block."""
+    """Benchmark items of one length in words: sorted distinct shingle hashes of each with counts (item k has those from first[k] to
+    first[k + 1]), fingerprints, and by block the items in order of their value there, the distinct values and where each starts."""
 
     ids: np.ndarray
-    shingles: list[np.ndarray]
-    counts: list[np.ndarray]
+    first: np.ndarray
+    shingles: np.ndarray
+    counts: np.ndarray
     prints: np.ndarray
-    tables: list[np.ndarray]
+    index: list[tuple[np.ndarray, np.ndarray, np.ndarray]]
 
     def shared(self, values: np.ndarray, counts: np.ndarray) -> np.ndarray:
         """What each item has in common with shingles of these counts."""
-        of = np.repeat(np.arange(len(self.ids)), [len(x) for x in self.shingles])
-        every = np.concatenate(self.shingles)
-        place = np.minimum(np.searchsorted(values, every), len(values) - 1)
-        least = np.where(values[place] == every, np.minimum(counts[place], np.concatenate(self.counts)), 0)
-        return np.bincount(of, least, len(self.ids)).astype(np.int64)
+        place = np.minimum(np.searchsorted(values, self.shingles), len(values) - 1)
+        least = np.where(values[place] == self.shingles, np.minimum(counts[place], self.counts), 0)
+        return np.add.reduceat(least, self.first[:-1])
+
+
+def stretched(first: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """first[0], first[0] + 1, ... size[0] of them, then those of first[1], and so on."""
+    return np.repeat(first - (np.cumsum(size) - size), size) + np.arange(size.sum())
 
 
 def signs(shingles: np.ndarray) -> np.ndarray:
@@ -77,9 +84,10 @@ def block_values(prints: np.ndarray) -> list[np.ndarray]:
     return out
 
 
-def flipped(width: int) -> list[int]:
+@cache
+def flipped(width: int) -> tuple[int, ...]:
     """Masks of up to FLIPS bits."""
-    return [sum(1 << b for b in bits) for k in range(FLIPS + 1) for bits in combinations(range(width), k)]
+    return tuple(sum(1 << b for b in bits) for k in range(FLIPS + 1) for bits in combinations(range(width), k))
 
 
 def read_words(texts: pa.Array):
@@ -109,14 +117,14 @@ def prepare(ids: list[int], texts: list[str | None]) -> tuple[dict[int, Items],
     made, keys, lengths = {}, [], []
     for length, rows in by_length.items():
         prints = packed(np.stack([(signs(v) * c[:, None]).sum(0) for _, v, c in rows]))
-        tables = []
-        for width, values in zip(WIDTHS, block_values(prints), strict=True):
-            table = np.zeros((1 << width, len(rows)), bool)
-            for mask in flipped(width):
-                table[values ^ mask, np.arange(len(rows))] = True
-            tables.append(table)
-        made[length] = Items(np.array([r[0] for r in rows]), [r[1] for r in rows], [r[2] for r in rows], prints, tables)
-        own = np.unique(np.concatenate([r[1] for r in rows]))
+        index = []
+        for values in block_values(prints):
+            order = np.argsort(values, kind="stable").astype(np.int32)
+            distinct, start = np.unique(values[order], return_index=True)
+            index.append((order, distinct, np.append(start, len(rows))))
+        first = np.concatenate([[0], np.cumsum([len(r[1]) for r in rows])])
+        made[length] = Items(np.array([r[0] for r in rows]), first, np.concatenate([r[1] for r in rows]), np.concatenate([r[2] for r in rows]), prints, index)
+        own = np.unique(made[length].shingles)
         keys.append(own)
         lengths.append(np.full(len(own), length))
     if not keys:
@@ -126,8 +134,48 @@ def prepare(ids: list[int], texts: list[str | None]) -> tuple[dict[int, Items],
     return made, keys[order], lengths[order]
 
 
+def within(items: Items, prints: np.ndarray) -> np.ndarray:
+    """Sorted pairs (print's number * items + item's number) of all fingerprints within RADIUS of an item's."""
+    n, found = len(items.ids), [np.zeros(0, np.int64)]
+    for width, values, (order, distinct, start) in zip(WIDTHS, block_values(prints), items.index, strict=True):
+        slot = np.full(1 << width, -1, np.int32)
+        slot[distinct] = np.arange(len(distinct))
+        masks = np.array(flipped(width))
+        step = max(1, LOOKED_UP // max(n, len(masks)))
+        for i in range(0, len(prints), step):
+            known = slot[values[i : i + step, None] ^ masks]
+            w, m = np.nonzero(known >= 0)
+            value = known[w, m]
+            size = start[value + 1] - start[value]
+            w, k = np.repeat(w + i, size), order[stretched(start[value], size)]
+            near = np.bitwise_count(prints[w] ^ items.prints[k]) <= RADIUS
+            found.append(w[near] * n + k[near])
+    return np.unique(np.concatenate(found))
+
+
+def in_common(items: Items, grams: np.ndarray, count: int, at: np.ndarray, k: np.ndarray) -> np.ndarray:
+    """How many shingles the windows of `count` shingles from `at` on share with items k, by pair."""
+    values, number = np.unique(grams, return_inverse=True)
+    width = len(grams) + 1
+    places = np.sort(number * width + np.arange(len(grams)))
+    size = items.first[k + 1] - items.first[k]
+    ends, out, i = np.cumsum(size), np.zeros(len(k), np.int64), 0
+    while i < len(k):
+        j = max(i + 1, int(np.searchsorted(ends, ends[i] - size[i] + LOOKED_UP, "right")))
+        each = stretched(items.first[k[i:j]], size[i:j])
+        pair = np.repeat(np.arange(j - i), size[i:j])
+        place = np.minimum(np.searchsorted(values, items.shingles[each]), len(values) - 1)
+        same = np.flatnonzero(values[place] == items.shingles[each])
+        each, pair, low = each[same], pair[same], place[same] * width + at[i:j][pair[same]]
+        here = np.searchsorted(places, low + count) - np.searchsorted(places, low)
+        out[i:j] = np.bincount(pair, np.minimum(here, items.counts[each]), j - i)
+        i = j
+    return out
+
+
 def search(items: Items, h: np.ndarray, length: int, starts: np.ndarray, similarity: float):
-    """Verified (item, window start, differing bits, similarity) among the windows of one document."""
+    """Verified pairs of an item and a window of one document, by window: arrays of item numbers, window starts, differing bits,
+    similarities."""
     n = min(SHINGLE, length)
     count = length - n + 1
     low, high = int(starts[0]), int(starts[-1]) + length
@@ -135,21 +183,12 @@ def search(items: Items, h: np.ndarray, length: int, starts: np.ndarray, similar
     sums = np.zeros((len(grams) + 1, 64), np.int32)
     np.cumsum(signs(grams), axis=0, out=sums[1:])
     prints = packed(sums[starts - low + count] - sums[starts - low])
-    near = np.zeros((len(starts), len(items.ids)), bool)
-    for table, values in zip(items.tables, block_values(prints), strict=True):
-        near |= table[values]
-    for w, k in zip(*np.nonzero(near), strict=True):
-        bits = int(prints[w] ^ items.prints[k]).bit_count()
-        if bits > RADIUS:
-            continue
-        at = starts[w] - low
-        values, counts = np.unique(grams[at : at + count], return_counts=True)
-        place = np.minimum(np.searchsorted(items.shingles[k], values), len(items.shingles[k]) - 1)
-        same = items.shingles[k][place] == values
-        least = np.minimum(counts[same], items.counts[k][place[same]]).sum()
-        score = float(least) / float(2 * count - least)
-        if score >= similarity - 1e-12:
-            yield int(items.ids[k]), int(starts[w]), bits, score
+    w, k = np.divmod(within(items, prints), len(items.ids))
+    least = in_common(items, grams, count, starts[w] - low, k)
+    score = least / (2 * count - least)
+    sure = score >= similarity - 1e-12
+    w, k, score = w[sure], k[sure], score[sure]
+    return k, starts[w], np.bitwise_count(prints[w] ^ items.prints[k]).astype(np.int64), score
 
 
 def compare(items: Items, h: np.ndarray, length: int, similarity: float):
@@ -189,17 +228,19 @@ def find(h: np.ndarray, hit: np.ndarray, lengths: np.ndarray, n_of: dict[int, It
         if not len(starts):
             continue
         items = n_of[int(length)]
-        at_once = max(int(length), LOOKED_UP // max(256, len(items.ids)))
+        at_once = max(int(length), LOOKED_UP // 256)  # a running sum has 256 bytes
         for stretch in np.split(starts, np.flatnonzero(np.diff(starts) > length) + 1):
             for i in range(0, len(stretch), at_once):
-                for item, start, bits, score in search(items, h, int(length), stretch[i : i + at_once], similarity):
-                    old = out.get(item)
-                    if old is None:
-                        out[item] = [1, start, int(length), bits, score]
-                    else:
-                        old[0] += 1
-                        if score > old[4]:
-                            old[1:] = [start, int(length), bits, score]
+                found, at, bits, score = search(items, h, int(length), stretch[i : i + at_once], similarity)
+                order = np.lexsort((at, -score, found))  # an item's best window first, of equal ones the first
+                head = np.flatnonzero(np.diff(found[order], prepend=-1))
+                times = np.diff(head, append=len(order))
+                for j, windows in zip(order[head], times, strict=True):
+                    item = int(items.ids[found[j]])
+                    old = out.setdefault(item, [0, int(at[j]), int(length), int(bits[j]), float(score[j])])
+                    old[0] += int(windows)
+                    if score[j] > old[4]:
+                        old[1:] = [int(at[j]), int(length), int(bits[j]), float(score[j])]
     return out
 
 
@@ -213,8 +254,8 @@ def leaks(docs: DataFrame, items: DataFrame, similarity: float = SIMILARITY) ->
     then the document's; hamming may be above the radius, as fingerprints don't choose there). Repeated items are found each;
     repeated documents give a row each. Other columns are ignored.
     """
-    bounds = items.select(F.col("item_id").cast("long").alias("item_id")).filter("item_id IS NOT NULL")
-    blocks = max(1, -(-bounds.count() // ITEM_BLOCK))
+    size = items.filter(F.col("item_id").cast("long").isNotNull()).agg(F.count("*").alias("n"), F.sum(F.octet_length("text")).alias("bytes")).first()
+    blocks = max(1, -(-size["n"] // ITEM_BLOCK), -(-(size["bytes"] or 0) // ITEM_BYTES))
     parts = []
     for k in range(blocks):
         block = items.select(F.col("item_id").cast("long").alias("item_id"), "text").filter("item_id IS NOT NULL").filter(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == k)
