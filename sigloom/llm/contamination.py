@@ -3,10 +3,12 @@
 Texts are read as lower-cased words, items in blocks of about `ITEM_BLOCK` and `ITEM_BYTES` (each block is one pass over the
 documents, and all that a pass broadcasts). For an item of L words the windows are all stretches of L words of a document. A
 window's fingerprint is the 64-bit SimHash of its five-word shingles, from running sums over the document. The 64 bits are cut
-into five blocks; a fingerprint within 19 bits of an item's differs by three bits at most in one block, so looking up each
-block with up to three bits flipped finds every fingerprint within that radius. Of random pairs 21 % share such a block and
-0.1 % are within the radius. A weighted Jaccard similarity of 0.8 is 9.7 differing bits on average (deviation 2.9). What is
-found is verified by the exact weighted similarity of the shingles' counts. Pairs are arrays throughout.
+into six blocks; a fingerprint within 23 bits of an item's differs by three bits at most in one block, so looking up each
+block with up to three bits flipped finds every fingerprint within that radius. A weighted Jaccard similarity of 0.8 is 9.5
+differing bits on average (deviation 2.9), so the radius is 4.7 deviations wide. It is too wide for the blocks alone to sort
+much out (random pairs: 58 % share a block, 1.6 % are within the radius), so items that have too few shingles in the
+document's stretch for any window are left out before. What is found is verified by the exact weighted similarity of the
+shingles' counts. Pairs are arrays throughout.
 
 A document shorter than an item is the one window for it, as long as the item's length lets the similarity be reached. It is
 compared with all items of that length by counts of shared shingles, without fingerprints.
@@ -31,27 +33,26 @@ from .shared import NO_ID
 
 SHINGLE = 5
 SIMILARITY = 0.8
-RADIUS = 19
-BLOCKS = 5
+RADIUS = 23
+BLOCKS = 6
 FLIPS = RADIUS // BLOCKS
 ITEM_BLOCK = 20_000
 ITEM_BYTES = 32 << 20
 #: bounds what is looked up at once: windows times items of one length, windows times masks, shingles of pairs
 LOOKED_UP = 1 << 22
-WIDTHS = [13] * 4 + [12]
+WIDTHS = [11] * 4 + [10] * 2
 LEAKS = "doc_id long, item_id long, n_windows long, first_word long, n_words long, hamming long, similarity double"
 
 
 class Items(NamedTuple):
     """Benchmark items of one length in words: sorted distinct shingle hashes of each with counts (item k has those from first[k] to
-    first[k + 1]), fingerprints, and by block the items in order of their value there, the distinct values and where each starts."""
+    first[k + 1]) and fingerprints."""
 
     ids: np.ndarray
     first: np.ndarray
     shingles: np.ndarray
     counts: np.ndarray
     prints: np.ndarray
-    index: list[tuple[np.ndarray, np.ndarray, np.ndarray]]
 
     def shared(self, values: np.ndarray, counts: np.ndarray) -> np.ndarray:
         """What each item has in common with shingles of these counts."""
@@ -117,13 +118,8 @@ def prepare(ids: list[int], texts: list[str | None]) -> tuple[dict[int, Items],
     made, keys, lengths = {}, [], []
     for length, rows in by_length.items():
         prints = packed(np.stack([(signs(v) * c[:, None]).sum(0) for _, v, c in rows]))
-        index = []
-        for values in block_values(prints):
-            order = np.argsort(values, kind="stable").astype(np.int32)
-            distinct, start = np.unique(values[order], return_index=True)
-            index.append((order, distinct, np.append(start, len(rows))))
         first = np.concatenate([[0], np.cumsum([len(r[1]) for r in rows])])
-        made[length] = Items(np.array([r[0] for r in rows]), first, np.concatenate([r[1] for r in rows]), np.concatenate([r[2] for r in rows]), prints, index)
+        made[length] = Items(np.array([r[0] for r in rows]), first, np.concatenate([r[1] for r in rows]), np.concatenate([r[2] for r in rows]), prints)
         own = np.unique(made[length].shingles)
         keys.append(own)
         lengths.append(np.full(len(own), length))
@@ -134,23 +130,23 @@ def prepare(ids: list[int], texts: list[str | None]) -> tuple[dict[int, Items],
     return made, keys[order], lengths[order]
 
 
-def within(items: Items, prints: np.ndarray) -> np.ndarray:
-    """Sorted pairs (print's number * items + item's number) of all fingerprints within RADIUS of an item's."""
-    n, found = len(items.ids), [np.zeros(0, np.int64)]
-    for width, values, (order, distinct, start) in zip(WIDTHS, block_values(prints), items.index, strict=True):
-        slot = np.full(1 << width, -1, np.int32)
-        slot[distinct] = np.arange(len(distinct))
+def within(prints: np.ndarray, own: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """All pairs (number of a print, number of an own one) within RADIUS bits, in order."""
+    n, found = len(own), [np.zeros(0, np.int64)]
+    for width, values, there in zip(WIDTHS, block_values(prints), block_values(own), strict=True):
+        order = np.argsort(there, kind="stable")
+        start = np.searchsorted(there[order], np.arange((1 << width) + 1))
         masks = np.array(flipped(width))
         step = max(1, LOOKED_UP // max(n, len(masks)))
-        for i in range(0, len(prints), step):
-            known = slot[values[i : i + step, None] ^ masks]
-            w, m = np.nonzero(known >= 0)
-            value = known[w, m]
+        for i in range(0, len(prints) if n else 0, step):
+            value = values[i : i + step, None] ^ masks
+            w, m = np.nonzero(start[value + 1] > start[value])
+            value = value[w, m]
             size = start[value + 1] - start[value]
             w, k = np.repeat(w + i, size), order[stretched(start[value], size)]
-            near = np.bitwise_count(prints[w] ^ items.prints[k]) <= RADIUS
+            near = np.bitwise_count(prints[w] ^ own[k]) <= RADIUS
             found.append(w[near] * n + k[near])
-    return np.unique(np.concatenate(found))
+    return np.divmod(np.unique(np.concatenate(found)), max(n, 1))
 
 
 def in_common(items: Items, grams: np.ndarray, count: int, at: np.ndarray, k: np.ndarray) -> np.ndarray:
@@ -180,10 +176,16 @@ def search(items: Items, h: np.ndarray, length: int, starts: np.ndarray, similar
     count = length - n + 1
     low, high = int(starts[0]), int(starts[-1]) + length
     grams = spans.grams(h[low:high], n)
+    most = items.shared(*np.unique(grams, return_counts=True))
+    able = np.flatnonzero(most / (2 * count - np.minimum(most, count)) >= similarity - 1e-12)
+    if not len(able):
+        none = np.zeros(0, np.int64)
+        return none, none, none, np.zeros(0)
     sums = np.zeros((len(grams) + 1, 64), np.int32)
     np.cumsum(signs(grams), axis=0, out=sums[1:])
     prints = packed(sums[starts - low + count] - sums[starts - low])
-    w, k = np.divmod(within(items, prints), len(items.ids))
+    w, k = within(prints, items.prints[able])
+    k = able[k]
     least = in_common(items, grams, count, starts[w] - low, k)
     score = least / (2 * count - least)
     sure = score >= similarity - 1e-12
