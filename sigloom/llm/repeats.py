@@ -1,21 +1,23 @@
-"""Removal of word sequences that an earlier document already has, with prefix-partitioned suffix trees.
+"""Removal of word sequences that an earlier document already has, by groups of suffixes with a common prefix.
 
-Every word position starts a suffix. Only the tree's nodes at the depth of a window (13 words) count, so suffixes are
-cut there, and the tree is built by prefix groups that Spark shuffles:
+Every word position starts a suffix. Only nodes at the depth of a window (13 words) count, so suffixes are cut there; no tree is
+stored, its nodes are groups of rows that Spark shuffles:
 
 1. *Prefixes.* Of each window the least seed (6 words) is its prefix. Neighbouring windows mostly share theirs, so a
    prefix stands for a run of suffixes; equal windows have equal prefixes at equal places. Blocks of documents (6 MB)
-   emit each (prefix, continuation) once, with the smallest document in the block: a passage that a third of all
-   documents share makes one row a block, not one a document.
-2. *Path compression.* Under a prefix that always continues in the same way the tree has a single edge: the smallest
-   document of that prefix answers for all its windows. A prefix seen in one block only is answered inside the block.
+   emit each prefix once, with its continuation (null if the block has several) and the smallest document: a passage that a
+   third of all documents share makes one row a block, not one a document.
+2. *One continuation.* Where a prefix always continues in the same way, the smallest document of that prefix answers for all its
+   windows. A prefix seen in one block only is answered inside the block.
 3. *Branching.* Where continuations differ the prefix is lengthened to the whole window: its windows become a group
    each, again one row a block, and get their own smallest document.
-4. The answers go back to the blocks. A window with an answer below its document's id is a deep internal node's
-   later leaf; neighbouring ones make up the maximal repeats, whose words are removed.
+4. The answers go back to the blocks. A window with an answer below its document's id is a repeat; neighbouring ones make up
+   the maximal repeats, whose words are removed.
 
-A block's text is shuffled once and read three times (Spark reuses the exchange). No group is larger than a block, or
-one row for each block. Sequences are compared by 64-bit hashes of words, seeds and continuations together.
+A block's text is shuffled once and read three times (Spark reuses the exchange). A group has a row a block at most. With more
+than `FAN` blocks a group is summed up by parts of `FAN` blocks first, then over its parts, and the sums are joined back part
+by part, so no task holds more than `FAN` rows of a prefix in either step (up to FAN * FAN blocks, 100 TB). Sequences are compared by
+64-bit hashes of words, seeds and continuations together.
 """
 
 from __future__ import annotations
@@ -31,6 +33,8 @@ from .shared import BLOCK_BYTES, NO_ID, block_count, block_of
 
 WINDOW = 13
 SEED = 6
+#: blocks whose rows of one prefix may meet in a task
+FAN = 4096
 FOUND = "block int, prefix long, rest long, least long"
 RESULT = "n_words long, n_removed long, removed array<struct<first:long,last:long>>, kept string"
 
@@ -70,6 +74,17 @@ class Suffixes:
         self.first, self.run_prefix, self.run_rest, self.run_doc = first, least[first], spans.mix(rest), self.doc[first]
         self.h, self.window = h, window
 
+    def prefixes(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Distinct prefixes, a continuation of each, its smallest document, whether it has several continuations; each run's prefix."""
+        order = np.lexsort((self.run_rest, self.run_prefix))
+        prefix, rest = self.run_prefix[order], self.run_rest[order]
+        head = np.flatnonzero(np.append(True, prefix[1:] != prefix[:-1])) if len(order) else np.zeros(0, np.int64)
+        last = np.append(head[1:], len(order))[: len(head)] - 1
+        group = np.empty(len(order), np.int64)
+        group[order] = np.repeat(np.arange(len(head)), last - head + 1)
+        least = np.minimum.reduceat(self.run_doc[order], head) if len(head) else np.zeros(0, np.int64)
+        return prefix[head], rest[head], least, rest[head] != rest[last], group
+
     def path(self, which: np.ndarray) -> np.ndarray:
         """Hash of all the words of the windows in `which`."""
         m = len(self.h) - self.window + 1
@@ -88,8 +103,8 @@ def least_by(keys: list[np.ndarray], doc: np.ndarray) -> tuple[np.ndarray, np.nd
     return head, group, doc[head]
 
 
-def signed(x: np.ndarray) -> pa.Array:
-    return pa.array(x.view(np.int64))
+def signed(x: np.ndarray, null: np.ndarray | None = None) -> pa.Array:
+    return pa.array(x.view(np.int64), mask=null)
 
 
 def _read(table, window: int, seed: int) -> Suffixes:
@@ -98,8 +113,8 @@ def _read(table, window: int, seed: int) -> Suffixes:
     return Suffixes(data, at, spans.integers(table.column("doc_id"), NO_ID), window, seed)
 
 
-def _found(block: int, prefix, rest, doc) -> pa.Table:
-    return pa.table({"block": pa.array(np.full(len(doc), block, np.int32)), "prefix": signed(prefix), "rest": signed(rest), "least": pa.array(doc)})
+def _found(block: int, prefix, rest, doc, several=None) -> pa.Table:
+    return pa.table({"block": pa.array(np.full(len(doc), block, np.int32)), "prefix": signed(prefix), "rest": signed(rest, several), "least": pa.array(doc)})
 
 
 def _block(*tables) -> int:
@@ -120,7 +135,23 @@ def _ints(table, name: str) -> np.ndarray:
     return spans.integers(table.column(name), NO_ID)
 
 
-def remove_repeats(docs: DataFrame, window: int = WINDOW, seed: int = SEED, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+def over_blocks(found: DataFrame, keys: list[str], blocks: int, fan: int = FAN) -> DataFrame:
+    """Rows of found (block, keys) whose keys are in several blocks, with least and branches (several continuations) over all of them."""
+    parts = -(-blocks // fan)
+    every = Window.partitionBy(*keys)
+    sums = {"n": F.count("*"), "told": F.count("rest"), "least": F.min("least"), "low": F.min("rest"), "high": F.max("rest")}
+    if parts == 1:
+        told = found.select("block", *keys, *[x.over(every).alias(name) for name, x in sums.items()])
+    else:
+        rows = found.withColumn("part", F.pmod("block", F.lit(parts)))
+        some = rows.groupBy(*keys, "part").agg(*[x.alias(name) for name, x in sums.items()])
+        sums = {"n": F.sum("n"), "told": F.sum("told"), "least": F.min("least"), "low": F.min("low"), "high": F.max("high")}
+        merged = some.select(*keys, "part", *[x.over(every).alias(name) for name, x in sums.items()]).filter("n > 1")
+        told = rows.select("block", *keys, "part").join(merged, [*keys, "part"])
+    return told.filter("n > 1").select("block", *keys, "least", (F.expr("told < n") | F.coalesce(F.expr("low <> high"), F.lit(False))).alias("branches"))
+
+
+def remove_repeats(docs: DataFrame, window: int = WINDOW, seed: int = SEED, block_bytes: int = BLOCK_BYTES, fan: int = FAN) -> DataFrame:
     """One row for each row of docs (doc_id, text): doc_id, carried (a struct of all its columns but the text), n_words,
     n_removed, removed (ranges of word numbers, the last one included) and kept (the words left, joined by one space).
 
@@ -138,15 +169,11 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, seed: int = SEED, bloc
 
     def prefixes(table: pa.Table) -> pa.Table:
         s = _read(table, window, seed)
-        head, _, doc = least_by([s.run_rest, s.run_prefix], s.run_doc)
-        return _found(_block(table), s.run_prefix[head], s.run_rest[head], doc)
+        prefix, rest, least, several, _ = s.prefixes()
+        return _found(_block(table), prefix, rest, least, several)
 
-    every = Window.partitionBy("prefix")
-    seen = by_block.applyInArrow(prefixes, FOUND).select(
-        "block", "prefix", F.count("*").over(every).alias("n"), F.min("least").over(every).alias("least"),
-        (F.min("rest").over(every) != F.max("rest").over(every)).alias("branches"),
-    )
-    nodes = seen.filter("n > 1").groupBy("block", "prefix").agg(F.when(F.max("branches"), F.lit(None)).otherwise(F.min("least")).alias("least"))
+    seen = over_blocks(by_block.applyInArrow(prefixes, FOUND), ["prefix"], blocks, fan)
+    nodes = seen.select("block", "prefix", F.when(~F.col("branches"), F.col("least")).alias("least"))
 
     def branches(texts: pa.Table, below: pa.Table) -> pa.Table:
         wanted = below.filter(below.column("least").is_null())
@@ -159,8 +186,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, seed: int = SEED, bloc
         head, _, least = least_by([path, prefix], doc)
         return _found(_block(texts), prefix[head], path[head], least)
 
-    same = Window.partitionBy("rest", "prefix")
-    deep = by_block.cogroup(nodes.groupBy("block")).applyInArrow(branches, FOUND).select("block", "prefix", "rest", F.count("*").over(same).alias("n"), F.min("least").over(same).alias("least")).filter("n > 1")
+    deep = over_blocks(by_block.cogroup(nodes.groupBy("block")).applyInArrow(branches, FOUND), ["prefix", "rest"], blocks, fan)
     answers = nodes.select("block", "prefix", F.lit(None).cast("long").alias("rest"), "least", F.lit(False).alias("deep")).unionByName(deep.select("block", "prefix", "rest", "least", F.lit(True).alias("deep")))
 
     def cut(texts: pa.Table, told: pa.Table) -> pa.Table:
@@ -174,7 +200,8 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, seed: int = SEED, bloc
         value, hit = _lookup(_ints(top, "prefix"), np.where(open_, -1, np.arange(len(open_))), s.prefix.view(np.int64))
         direct = hit & (value >= 0)
         least[direct] = np.minimum(least[direct], _ints(top, "least")[value[direct]])
-        which = np.flatnonzero(hit & (value < 0))
+        *_, several, of = s.prefixes()
+        which = np.flatnonzero(hit & (value < 0) | several[of][s.run]) if len(hit) else np.zeros(0, np.int64)
         if len(which):
             path = s.path(which)
             _, group, low = least_by([path, s.prefix[which]], s.doc[which])
