@@ -433,7 +433,7 @@ def _(v):
     return v.event_full.select("event_id", st.alias("status"))
 
 
-@query("G30_spike_uplift")
+@query("G30_spike_uplift", exact.G30)
 def _(v):
     return gen_events.event_count(event_entities(v), event_constraints(v), v.event.filter("trade = 'error'").select("entity_id").distinct()).select("entity_id", "n_events")
 

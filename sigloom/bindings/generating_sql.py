@@ -3,6 +3,7 @@
 The profile tables that the generators read are built from the views here too, so a query's rows follow from the given tables alone.
 """
 
+from sigloom.bindings import profiling_events as pe
 from sigloom.bindings import profiling_versions as pv
 from sigloom.bindings import profiling_work as pw
 from sigloom.bindings.views import with_
@@ -180,3 +181,26 @@ s4 AS (SELECT *, coalesce(chance IS NOT NULL AND (date_diff('day', boundary, fin
 s5 AS (SELECT entity_id, sow, place AS seq, CASE WHEN NOT hit AND finish > boundary AND start >= boundary THEN boundary - 30 ELSE start END AS sow_start, CASE WHEN hit THEN boundary + over WHEN finish > boundary THEN boundary ELSE finish END AS sow_finish, boundary FROM s4)"""
 
 G20 = with_("project", "task", extra=CLIPPED, body="SELECT entity_id, sow, seq, sow_start, sow_finish, CAST(date_diff('day', sow_start, sow_finish) AS INTEGER) AS sow_days, boundary FROM s5").replace("WITH ", "WITH RECURSIVE ", 1)
+
+
+# events
+
+COUNTED = [("SBU_SIZE", ("sbu", "size_category"), None), ("SBU", ("sbu",), None), ("GLOBAL", (), None)]
+COUNT = {k: f"coalesce(b.{k}, {values.DEFAULT_COUNT_BOUNDS[k]!r})::DOUBLE AS {k}" for k in Q}
+SPIKE = {k: repr(v) + "::DOUBLE" for k, v in values.DEFAULT_SPIKE_BOUNDS.items()}
+
+
+def lognormal(purpose: str, p25: str, median: str, p75: str, shift: str) -> str:
+    sigma = f"((ln({p75} + {shift}) - ln({p25} + {shift})) / (2 * 0.6745::DOUBLE))"
+    return f"exp(ln({median} + {shift}) + {sigma} * {draws.normal_sql(['entity_id'], purpose)})"
+
+
+G30 = with_("event", "event_project", extra=pe.CNT + f""",
+es AS (SELECT entity_id, sbu, CASE WHEN duration < 29 THEN 'short' ELSE 'long' END AS size_category FROM event_project),
+cp AS ({pe.CNT_SQL}),
+cb AS ({first_level('es', 'cp', 'entity_id', COUNTED, Q)}),
+cq AS (SELECT e.entity_id, {', '.join(COUNT.values())} FROM es e LEFT JOIN cb b USING (entity_id)),
+cn AS (SELECT *, floor(p75 * 1.15::DOUBLE) AS cap, {lognormal('n_events', 'p25', 'median', 'p75', '1.0::DOUBLE')} AS v,
+ least(2.0::DOUBLE, greatest(0.5::DOUBLE, {lognormal('spike', SPIKE['p25'], SPIKE['median'], SPIKE['p75'], '0.01::DOUBLE')})) AS lift, entity_id IN (SELECT entity_id FROM event WHERE trade = 'error') AS has FROM cq),
+cm AS (SELECT *, greatest(1, least(floor(v), cap)) AS n FROM cn)""", body="""
+SELECT entity_id, CAST(CASE WHEN has THEN greatest(1, least(trunc(n * lift), cap)) ELSE n END AS INTEGER) AS n_events FROM cm""")
