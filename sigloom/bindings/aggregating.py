@@ -7,7 +7,7 @@ from sigloom.bindings.views import qd, with_
 from sigloom.functions import clean
 from sigloom.operators import aggregates as ag
 from sigloom.operators.levels import Level, profile_levels, unpivot_fields
-from sigloom.operators.quantiles import Stats, exact_quantiles, group_stats, percents
+from sigloom.operators.quantiles import Stats, exact_quantiles, first_of, group_stats, percents
 
 
 def rounded(df, digits=6, skip=()):
@@ -105,8 +105,9 @@ SELECT sow, count(*) AS n_occurrences, count(DISTINCT entity_id) AS n_projects,
  round(avg(seq), 6) AS mean, round(stddev_samp(seq), 6) AS stddev, min(seq) AS min, max(seq) AS max FROM w GROUP BY 1 HAVING count(DISTINCT entity_id) >= 10""", extra=SEQ_EXTRA))
 def _(v):
     st = Stats("seq", percents("p10", "p25", "median", "p75", "p90"), ("mean", "stddev", "min", "max"))
-    extra = {"n_projects": F.count_distinct("entity_id")}
-    return rounded(group_stats(work_sequence(v), ["sow"], [st], count="n_occurrences", extra=extra, min_rows=10, min_on="n_projects"))
+    extra = {"n_projects": F.count_if("first")}
+    seq = work_sequence(v).withColumn("first", first_of(["sow"], "entity_id"))
+    return rounded(group_stats(seq, ["sow"], [st], count="n_occurrences", extra=extra, min_rows=10, min_on="n_projects"))
 
 
 @query("A9_two_measure_profile", with_("project", body=f"""

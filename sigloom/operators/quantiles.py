@@ -6,6 +6,7 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from sigloom.functions.clean import col
@@ -83,6 +84,14 @@ def group_stats(
     return out.select(*keys, count, *extra, *cols)
 
 
+def first_of(keys: Sequence[str], value: str) -> Column:
+    """True in one row of each distinct value of a group, so that `count_if` counts the values.
+
+    Beside a sketch a distinct aggregate would keep one sketch for each value of each group.
+    """
+    return F.col(value).isNotNull() & (F.row_number().over(W.partitionBy(*keys, value).orderBy(value)) == 1)
+
+
 def value_counts(df: DataFrame, keys: Sequence[str], value: str, count: str = "n") -> DataFrame:
     """Rows per distinct value. A hot group is spread over tasks by its values."""
     return df.filter(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias(count))

@@ -16,7 +16,7 @@ from sigloom.functions import buckets, clean
 from sigloom.operators.aggregates import bounds_json, pivot_shares
 from sigloom.operators.joins import active_on_spine
 from sigloom.operators.levels import Level, profile_levels
-from sigloom.operators.quantiles import Stats, group_stats, percents
+from sigloom.operators.quantiles import Stats, first_of, group_stats, percents
 from sigloom.operators.setops import union_all
 
 FULL = percents("p1", "p5", "p10", "p25", "median", "p75", "p90", "p95", "p99")
@@ -74,9 +74,10 @@ def sow_count_profile(counts: DataFrame, levels: Sequence[Level] = ENTITY_LEVELS
 
 def sequence_profile(seq: DataFrame, entity: str = "entity_id") -> DataFrame:
     levels = (Level("SOW_SBU", ("sow", "sbu"), 5), Level("GLOBAL", ("sow",), 10))
+    marked = seq.withColumns({"__of_sow": first_of(["sow"], entity), "__of_unit": first_of(["sow", "sbu"], entity)})
+    n = F.when(F.grouping("sbu") == 1, F.count_if("__of_sow")).otherwise(F.count_if("__of_unit"))
     return profile_levels(
-        seq, levels, [Stats("seq", FIVE, ("mean", "stddev", "min", "max"))], count="n_occurrences",
-        extra={"n_projects": F.count_distinct(entity)}, min_on="n_projects",
+        marked, levels, [Stats("seq", FIVE, ("mean", "stddev", "min", "max"))], count="n_occurrences", extra={"n_projects": n}, min_on="n_projects"
     )
 
 
