@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -100,6 +102,11 @@ def version_draws(entities: DataFrame, constraints: DataFrame, entity: str = "en
     )
 
 
+def _let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """`use(value)` with the value computed once; a column that is used several times in a fold is computed several times."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def _fold(rows: Column, start: Column, end: Column, span: Column) -> Column:
     """Walk the sorted draws: space the timings, date them, size the delays by the slack left."""
     item = "struct<i:int,date:date,target:date,delay:int,category:string>"
@@ -110,13 +117,18 @@ def _fold(rows: Column, start: Column, end: Column, span: Column) -> Column:
 
     def step(acc: Column, x: Column) -> Column:
         t = F.least(F.lit(LAST_TIMING), F.greatest(x["t"], acc["t"] + GAP))
-        at = F.date_add(start, (span * t).cast("int"))
-        at = F.when(acc["date"].isNotNull() & (at <= acc["date"]), F.date_add(acc["date"], 1)).otherwise(at)
-        left = F.datediff(acc["target"], at)
-        slack = F.when(left <= 0, 30).otherwise(left).cast("double")
-        days = delay_days(x["raw"], slack, x["p95"], x["p99"], x["u_slack"], x["u_over"], x["u_jitter"], x["known"], x["fixed_days"])
-        target = F.date_add(acc["target"], days)
-        i = acc["i"] + 1
+        spaced = F.struct(t.alias("t"), F.date_add(start, (span * t).cast("int")).alias("at"))
+        return _let(spaced, lambda s: _let(
+            F.when(acc["date"].isNotNull() & (s["at"] <= acc["date"]), F.date_add(acc["date"], 1)).otherwise(s["at"]),
+            lambda at: _let(F.datediff(acc["target"], at), lambda left: _let(
+                F.when(left <= 0, 30).otherwise(left).cast("double"), lambda slack: _let(delay(x, slack), lambda days: dated(acc, x, s["t"], at, days)))),
+        ))
+
+    def delay(x: Column, slack: Column) -> Column:
+        return delay_days(x["raw"], slack, x["p95"], x["p99"], x["u_slack"], x["u_over"], x["u_jitter"], x["known"], x["fixed_days"])
+
+    def dated(acc: Column, x: Column, t: Column, at: Column, days: Column) -> Column:
+        target, i = F.date_add(acc["target"], days), acc["i"] + 1
         row = F.struct(i.alias("i"), at.alias("date"), target.alias("target"), days.alias("delay"), x["category"].alias("category"))
         return F.struct(t.alias("t"), at.alias("date"), target.alias("target"), i.alias("i"), F.concat(acc["out"], F.array(row)).alias("out"))
 
