@@ -14,6 +14,7 @@ from sigloom.operators.lookup import fallback_bounds
 from sigloom.operators.ordered import ordered
 
 E = "entity_id"
+NEAR_DAYS = 30
 COUNT_CHAIN = (("SBU_SIZE", ("sbu", "size_category")), ("SBU", ("sbu",)), ("GLOBAL", ()))
 
 
@@ -84,18 +85,23 @@ def generate(
     overall = trades.filter("level = 'GLOBAL'").agg(F.sort_array(F.collect_list(F.struct(F.col("trade").alias("i"), F.col("pct_of_sbu").alias("w"))))).scalar()
     status = _shares(statuses, "sbu", "status_simplified", "pct", "__st")
     e = event_count(entities.filter(F.datediff("dt_end", "dt_start") > 0), constraints, anchors)
-    e = e.join(sows, E, "left").join(weights, "sbu", "left").join(status, "sbu", "left").withColumn("__tw", F.coalesce("__tw", overall))
+    days = anchors.filter("day IS NOT NULL").groupBy(E).agg(F.collect_set("day").alias("__anchors"))
+    e = e.join(sows, E, "left").join(days, E, "left").join(weights, "sbu", "left").join(status, "sbu", "left").withColumn("__tw", F.coalesce("__tw", overall))
     df = e.withColumn("seq", F.explode(F.sequence(F.lit(1), F.col("n_events")))).drop("n_events")
     df = df.withColumn("trade", _draw(F.col("__tw"), draws.uniform(key, "trade"))).drop("__tw")
     beta = lifecycle.select("trade", *[F.col(c).alias(f"__{c}") for c in ("p10", "p25", "median", "p75", "p90")])
     df = df.join(beta, "trade", "left").join(_shares(zones, "trade", "zone", "pct_of_trade", "__zw"), "trade", "left")
     df = df.join(flags.select("trade", F.col("pct_flag").alias("__flag")), "trade", "left")
-    pct = draws.beta(key, "lifecycle", "__p10", "__p25", "__median", "__p75", "__p90")
+    # a trade without a profile: a symmetric draw over the whole span
+    shape = draws.beta_parameters("__p10", "__p25", "__median", "__p75", "__p90")
+    known = shape["low"].isNotNull() | shape["top"].isNotNull()
+    x = draws.beta_quantile(draws.uniform(key, "lifecycle"), F.when(known, shape["alpha"]).otherwise(2.0), F.when(known, shape["beta"]).otherwise(2.0))
+    df = df.withColumn("__x", x)
+    pct = F.least(F.greatest(shape["low"] + F.col("__x") * shape["width"], shape["low"]), shape["top"])
     default_zone = draws.categorical(draws.uniform(key, "zone"), values.DEFAULT_ZONE_SHARES, None)
     df = df.withColumns(
         {
-            # a trade without a profile: a symmetric draw over the whole span
-            "lifecycle_pct": F.coalesce(pct, 165.0 * draws.beta_quantile(draws.uniform(key, "lifecycle"), F.lit(2.0), F.lit(2.0))),
+            "lifecycle_pct": F.coalesce(pct, 165.0 * F.col("__x")),
             "zone": F.coalesce(_draw(F.col("__zw"), draws.uniform(key, "zone")), default_zone),
             "__fit": matching_sows(F.col("trade"), F.coalesce(F.col("__sows"), F.array().cast("array<struct<sow:string,sow_start:date,sow_finish:date>>")), mapping or values.TRADE_TO_SOW),
         }
@@ -118,7 +124,9 @@ def generate(
             "timing": F.when(F.col("zone") == "pre_sow", "Pre-SOW").when(F.col("zone") == "post_sow", "Post-SOW").otherwise("During"),
         }
     )
-    df = with_near_flag(df, anchors)
+    # an entity's re-versioning days are as few as its versions, and its events are not dealt anew for them
+    near = F.exists("__anchors", lambda day: F.datediff("created", day).between(0, NEAR_DAYS))
+    df = df.withColumn("is_near", F.coalesce(near, F.lit(False)))
     return df.select(
         E, "seq", event_key("sbu", E, "seq").alias("event_id"), "sbu", "dt_start", "dt_end", "created", "due", "resolved", "status", "trade", "sow",
         "timing", "zone", "is_flagged", "is_near", F.lit(None).cast("string").alias("parent_id"),
@@ -129,7 +137,7 @@ def event_key(unit, entity, number) -> Column:
     return F.concat_ws("-", F.lit("SYN"), clean.short_code(unit), F.col(entity).cast("string"), F.lit("RFI"), clean.zero_filled(number, 4))
 
 
-def with_near_flag(df: DataFrame, anchors: DataFrame, window: int = 30, created: str = "created", entity: str = E) -> DataFrame:
+def with_near_flag(df: DataFrame, anchors: DataFrame, window: int = NEAR_DAYS, created: str = "created", entity: str = E) -> DataFrame:
     """True within 30 days after an anchor. Decided per (entity, day), then joined on both."""
     days = df.select(entity, F.col(created).alias("day")).distinct()
     near = near_anchor(days, anchors.select(entity, "day").distinct(), entity, 0, window)
