@@ -16,3 +16,52 @@ def test_sequence_profile_counts_entities_without_a_sketch_for_each(spark):
     counts = {(r["level"], r["sow"], r["sbu"]): (r["n_occurrences"], r["n_projects"]) for r in got.collect()}
     assert counts[("GLOBAL", "a", None)] == (32, 30) and counts[("SOW_SBU", "a", "u")] == (17, 15) and counts[("SOW_SBU", "a", None)] == (15, 15)
     assert "distinct" not in plan_of(got).lower()
+
+
+def scans(df, name: str) -> int:
+    """How often the plan reads rows that carry a column of this name."""
+    return sum(line.count(f"{name}#") > 0 for line in plan_of(df).splitlines() if "LogicalRDD" in line or "LocalRelation" in line)
+
+
+def test_lookup_reads_its_rows_once_and_keeps_the_first_level(spark):
+    from sigloom.operators.lookup import CONSTRAINT_CHAIN, fallback_bounds
+
+    table = spark.createDataFrame(
+        [("SOW_SBU", "u", "a", "f", '{"p25": 1.0}'), ("SOW_TYPE", None, "a", "f", '{"p25": 2.0}'), ("SOW_TYPE", None, "b", "f", "no json"), ("GLOBAL", None, None, "f", '{"p25": 9.0}')],
+        "level string, sbu string, sow string, field string, bounds_json string",
+    )
+    rows = spark.createDataFrame([(1, "u", "a"), (2, "v", "a"), (3, "u", "c"), (4, None, None), (5, None, "a"), (5, None, "a")], "id int, sbu string, sow string")
+    got = fallback_bounds(rows, table, "f", chain=CONSTRAINT_CHAIN, out="b")
+    assert sorted((r["id"], r["b"].get("p25"), r["b_level_used"]) for r in got.collect()) == [
+        (1, 1.0, "SOW_SBU"), (2, 2.0, "SOW_TYPE"), (3, 9.0, "GLOBAL"), (4, 9.0, "GLOBAL"), (5, 2.0, "SOW_TYPE"), (5, 2.0, "SOW_TYPE")
+    ]
+    assert scans(got, "id") == 1 and "distinct" not in plan_of(got).lower()
+
+
+def test_codes_are_chosen_inside_the_row(views):
+    from sigloom.bindings import generating as g
+    from sigloom.functions import draws
+    from sigloom.plans import gen_budget
+
+    t = g.budget_tables(views)
+    got = gen_budget.lines(g.entities(views), **t, mandatory=g.pl.MANDATORY)
+    plan = plan_of(got)
+    assert "slice(" in plan and plan.count("inline(__menu") >= 1
+    one = got.groupBy("entity_id", "division").agg(F.collect_set("cost_code").alias("c")).orderBy("entity_id", "division").limit(20)
+    codes = t["frequency"].join(one, "division").withColumn("k", draws.sampling_key(["entity_id", "division", "cost_code"], "code", "n_projects"))
+    taken = codes.withColumn("in", F.expr("array_contains(c, cost_code)")).groupBy("entity_id", "division").agg(
+        F.max(F.when(F.col("in"), F.col("k"))).alias("worst"), F.min(F.when(~F.col("in"), F.col("k"))).alias("best_left")
+    )
+    assert taken.filter("worst > best_left").count() == 0
+
+
+def test_month_shares_are_computed_once_a_lifecycle(spark):
+    from sigloom.plans import gen_budget
+
+    budget = spark.createDataFrame([(1, "d", 1, "promo", 100.0), (1, "d", 2, "x", 10.0), (2, "none", 1, "x", 10.0), (2, None, 1, "x", 10.0)], "entity_id int, division string, cost_code int, category string, amt_original double")
+    months = spark.createDataFrame([(e, m, m / 2) for e in (1, 2) for m in range(3)], "entity_id int, month int, lifecycle double")
+    curves = spark.createDataFrame([("d", [(0.0, 0.2), (1.0, 1.0)])], "division string, curve array<struct<x:double,y:double>>")
+    got = gen_budget.monthly_cost(budget, months, curves, windows={"w": (0.0, 1.0)}, shifts={"promo": 0.25}, mandatory=())
+    assert "filter(curve" not in plan_of(got)
+    x = {(r["entity_id"], r["division"], r["cost_code"], r["month"]): round(r["amt_jtd"], 6) for r in got.collect()}
+    assert len(x) == 12 and x[(1, "d", 1, 0)] == 26.0 and x[(1, "d", 1, 1)] == 66.0 and x[(1, "d", 2, 1)] == 6.0 and x[(2, "none", 1, 1)] == 5.0 and x[(2, None, 1, 2)] == 0.0 + x[(2, None, 1, 2)]
