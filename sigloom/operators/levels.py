@@ -6,6 +6,7 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from sigloom.operators.quantiles import Stats, exact_quantiles
@@ -129,3 +130,28 @@ def exact_profile_levels(
     for lv in levels:
         keep = keep | ((F.col("level") == lv.name) & (F.col(count) >= lv.min_rows))
     return out.filter(keep)
+
+
+def counted_levels(
+    df: DataFrame, levels: Sequence[Level], stats: Stats, *, common: Sequence[str] = (), count: str = "n", mean: tuple[str, int] | None = None
+) -> DataFrame:
+    """`profile_levels` for one measure with few distinct values, without a sketch for each group and task: rows are counted per value
+    once, and all levels are read from these counts. A quantile is the value at rank ceil(p * n). `mean` names a rounded mean."""
+    keys, value = level_keys(levels), stats.value
+    counts = df.groupBy(*common, *keys, value).agg(F.count(F.lit(1)).alias("__n"))
+    per = stack_levels(counts, levels).groupBy(*common, "level", *keys, value).agg(F.sum("__n").alias("__n"))
+    held = F.when(F.col(value).isNotNull(), F.col("__n"))
+    whole = W.partitionBy(*common, "level", *keys)
+    upto = whole.orderBy(value).rowsBetween(W.unboundedPreceding, W.currentRow)
+    run = per.withColumns({"__upto": F.sum(held).over(upto), "__of": F.sum(held).over(whole)})
+    avg = F.sum(F.col(value) * F.col("__n")) / F.sum(held)
+    makers = {"min": F.min(value), "max": F.max(value), "mean": avg}
+    aggs = {count: F.sum("__n")} | ({mean[0]: F.round(avg, mean[1])} if mean else {})
+    for n, p in stats.quantiles.items():
+        aggs[f"{stats.prefix}{n}{stats.suffix}"] = F.min(F.when(F.col("__upto") >= F.ceil(F.lit(float(p)) * F.col("__of")), F.col(value)))
+    aggs |= {stats._name(b): makers[b] for b in stats.basics}
+    out = run.groupBy(*common, "level", *keys).agg(*[a.alias(n) for n, a in aggs.items()])
+    keep = F.lit(False)
+    for lv in levels:
+        keep = keep | ((F.col("level") == lv.name) & (F.col(count) >= lv.min_rows))
+    return out.filter(keep).select("level", *common, *keys, *aggs)

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from sigloom.functions import buckets, clean
 from sigloom.operators.aggregates import bounds_json, pivot_shares
 from sigloom.operators.joins import active_on_spine
-from sigloom.operators.levels import Level, profile_levels
+from sigloom.operators.levels import Level, counted_levels, profile_levels
 from sigloom.operators.quantiles import Stats, first_of, group_stats, percents
 from sigloom.operators.setops import union_all
 
@@ -90,7 +90,7 @@ def sow_frequency(seq: DataFrame, entity: str = "entity_id") -> DataFrame:
 
 def task_count_profile(tasks: DataFrame, levels: Sequence[Level] = SOW_LEVELS, entity: str = "entity_id") -> DataFrame:
     per = labelled(tasks).groupBy(entity, "sow", "sbu").agg(F.count_distinct("task_code").alias("n_tasks"))
-    return profile_levels(per, levels, [Stats("n_tasks", SHORT, ("mean", "min", "max"))], count="n_observations")
+    return counted_levels(per, levels, Stats("n_tasks", SHORT, ("mean", "min", "max")), count="n_observations")
 
 
 def duration_profile(wins: DataFrame, levels: Sequence[Level] = SOW_LEVELS) -> DataFrame:
@@ -205,9 +205,8 @@ def completion_progression(snaps: DataFrame, entities: DataFrame, entity: str =
     ).filter(F.col("timing").between(0, 1.2) & F.col("pos").between(0, 1.2))
     df = df.withColumns({"progress": buckets.progress("timing"), "position": buckets.position("pos", 5)})
     levels = (Level("SBU", ("sbu",), 5), Level("GLOBAL", (), 10))
-    return profile_levels(
-        df, levels, [Stats("pct_complete", THREE, suffix="_complete")], common=["progress", "position"],
-        count="n_observations", extra={"avg_pct_complete": F.round(F.avg("pct_complete"), 2)},
+    return counted_levels(
+        df, levels, Stats("pct_complete", THREE, suffix="_complete"), common=["progress", "position"], count="n_observations", mean=("avg_pct_complete", 2)
     )
 
 
@@ -217,9 +216,8 @@ def count_change_profile(snaps: DataFrame, entities: DataFrame, entity: str = "e
     df = snaps.withColumn("n_next", nxt).filter(F.col("n_next").isNotNull() & (F.col("n_tasks") >= min_base))
     df = df.withColumn("ratio", F.round(F.col("n_next") / F.col("n_tasks").cast("double"), 3)).filter(F.col("ratio").between(0.2, 5.0))
     df = df.join(entities.select(entity, "sbu"), entity)
-    return profile_levels(
-        df, (Level("SBU", ("sbu",), 5), Level("GLOBAL", ())), [Stats("ratio", FIVE, suffix="_ratio")],
-        count="n_transitions", extra={"avg_ratio": F.round(F.avg("ratio"), digits)},
+    return counted_levels(
+        df, (Level("SBU", ("sbu",), 5), Level("GLOBAL", ())), Stats("ratio", FIVE, suffix="_ratio"), count="n_transitions", mean=("avg_ratio", digits)
     )
 
 

@@ -65,3 +65,18 @@ def test_month_shares_are_computed_once_a_lifecycle(spark):
     assert "filter(curve" not in plan_of(got)
     x = {(r["entity_id"], r["division"], r["cost_code"], r["month"]): round(r["amt_jtd"], 6) for r in got.collect()}
     assert len(x) == 12 and x[(1, "d", 1, 0)] == 26.0 and x[(1, "d", 1, 1)] == 66.0 and x[(1, "d", 2, 1)] == 6.0 and x[(2, "none", 1, 1)] == 5.0 and x[(2, None, 1, 2)] == 0.0 + x[(2, None, 1, 2)]
+
+
+def test_levels_from_counts_equal_those_from_sketches(spark):
+    from sigloom.operators.levels import Level, counted_levels, profile_levels
+    from sigloom.operators.quantiles import Stats
+
+    rows = [(("u", "v", None)[i % 3], "ab"[i % 2], None if i % 11 == 0 else round((i * 37 % 101) / 8, 2)) for i in range(700)]
+    df = spark.createDataFrame(rows, "sbu string, part string, x double")
+    levels, st = (Level("SBU", ("sbu",), 5), Level("GLOBAL", ())), Stats("x", {"p10": 0.1, "m": 0.5, "p75": 0.75}, ("mean", "min", "max"), suffix="_x")
+    got, old = counted_levels(df, levels, st, common=["part"], count="k", mean=("avg", 2)), profile_levels(df, levels, [st], common=["part"], count="k", extra={"avg": F.round(F.avg("x"), 2)})
+    key = lambda rows: sorted(str([round(c, 9) if isinstance(c, float) else c for c in r]) for r in rows)
+    assert got.columns == old.columns and got.dtypes == old.dtypes and key(got.collect()) == key(old.collect())
+    assert "approx" not in plan_of(got)
+    for made in (work.task_count_profile, work.completion_progression, work.count_change_profile):
+        assert "counted_levels" in made.__code__.co_names
