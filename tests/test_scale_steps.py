@@ -67,6 +67,44 @@ def test_month_shares_are_computed_once_a_lifecycle(spark):
     assert len(x) == 12 and x[(1, "d", 1, 0)] == 26.0 and x[(1, "d", 1, 1)] == 66.0 and x[(1, "d", 2, 1)] == 6.0 and x[(2, "none", 1, 1)] == 5.0 and x[(2, None, 1, 2)] == 0.0 + x[(2, None, 1, 2)]
 
 
+def test_labels_are_chosen_inside_the_row_and_an_id_draws_once(spark):
+    from sigloom.functions import draws
+    from sigloom.plans import gen_work
+
+    entities = spark.createDataFrame([(1, "u"), (2, "u"), (2, "u"), (3, "v"), (None, None)], "entity_id long, sbu string")
+    profile = spark.createDataFrame([("GLOBAL", None, "n_sows_per_project", 9, 6.0, 6.0, 6.0)], "level string, sbu string, field string, n_projects long, p25 double, median double, p75 double")
+    frequency = spark.createDataFrame([(u, f"s{i}", 5.0 + 7 * i) for u in "uv" for i in range(12)], "sbu string, sow string, pct_projects double")
+    got = gen_work.choose(entities, profile, frequency)
+    assert "slice(" in plan_of(got)
+    keyed = entities.crossJoin(frequency.filter("sbu = 'u'").drop("sbu")).withColumn("k", draws.sampling_key(["entity_id", "sow"], "choose", "pct_projects"))
+    best = {}
+    for r in keyed.collect():
+        best.setdefault(r["entity_id"], []).append((r["k"], r["sow"]))
+    want = sorted((str(e), s) for e, x in best.items() for _, s in sorted(x)[:6])
+    assert sorted((str(r["entity_id"]), r["sow"]) for r in got.collect()) == want
+
+
+def test_dates_are_carried_without_a_fold(spark):
+    from datetime import date, timedelta
+
+    from sigloom.plans import gen_work
+
+    moves = {1: [(0, 0), (3, -40), (-5, 2), (0, 9), (10, -3)], 2: [(0, 0), (1, 30), (400, 0), (0, -1)]}
+    rows = [(e, "s", v, "x", date(2020, 1, 1), date(2020, 2, 1), 31, ds, df, 7) for e, m in moves.items() for v, (ds, df) in enumerate(m)]
+    rows += [(3, None, v, "x", date(2020, 1, 1), None, None, 1, 1, 7) for v in range(2)]
+    df = spark.createDataFrame(rows, "entity_id int, sow string, version int, code string, sow_start date, sow_finish date, sow_days int, __ds int, __df int, __least int")
+    got = gen_work._moved(df)
+    assert "collect_list" not in plan_of(got) and got.columns == ["entity_id", "sow", "version", "code", "sow_start", "sow_finish", "sow_days"]
+    dates = {(r["entity_id"], r["version"]): (r["sow_start"], r["sow_finish"]) for r in got.collect()}
+    for e, m in moves.items():
+        s, f = date(2020, 1, 1), date(2020, 2, 1)
+        for v, (ds, df_) in enumerate(m):
+            s = s + timedelta(ds)
+            f = f if v == 0 else max(f + timedelta(df_), s + timedelta(7))
+            assert dates[(e, v)] == (s, f)
+    assert dates[(3, 1)] == (date(2020, 1, 3), None)
+
+
 def test_levels_from_counts_equal_those_from_sketches(spark):
     from sigloom.operators.levels import Level, counted_levels, profile_levels
     from sigloom.operators.quantiles import Stats
@@ -80,3 +118,16 @@ def test_levels_from_counts_equal_those_from_sketches(spark):
     assert "approx" not in plan_of(got)
     for made in (work.task_count_profile, work.completion_progression, work.count_change_profile):
         assert "counted_levels" in made.__code__.co_names
+
+
+def test_long_methods_are_not_left_to_the_interpreter(spark, sf):
+    from sigloom.bindings.registry import QUERIES
+    from sigloom.session import METHOD_LIMIT_CONF
+
+    spark.conf.unset(METHOD_LIMIT_CONF)
+    QUERIES["A1_basic_group_stats"](spark, sf)
+    assert spark.conf.get(METHOD_LIMIT_CONF) == "8000"
+    spark.conf.set(METHOD_LIMIT_CONF, "9000")
+    QUERIES["A1_basic_group_stats"](spark, sf)
+    assert spark.conf.get(METHOD_LIMIT_CONF) == "9000"
+    spark.conf.unset(METHOD_LIMIT_CONF)
