@@ -13,20 +13,21 @@ from pyspark.sql import functions as F
 
 from sigloom.functions import clean, draws, values
 from sigloom.operators.aggregates import pmf, quotas
-from sigloom.operators.ordered import ordered
+from sigloom.operators.ordered import ordered, written
 from sigloom.operators.quantiles import exact_quantiles
 from sigloom.session import cut_lineage
 
 GRID = 200
-CHUNK = 10_000
+CHUNK = 2_000
 
 
 def expand(df: DataFrame, n: Column, out: str, chunk: int = CHUNK) -> DataFrame:
     """n rows per input row, made in chunks that are spread over the cluster first."""
     total = df.withColumn("__total", n.cast("long")).filter("__total > 0")
     chunks = total.withColumn("__chunk", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("__total") - 1) / chunk))))
-    # one row per chunk is moved, never the generated rows
-    spread = chunks.repartition(*[c for c in df.columns if dict(df.dtypes)[c] in ("string", "bigint", "int")], "__chunk")
+    # one row per chunk is moved, never the generated rows; a given number, as the few bytes would be put into one partition
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spread = chunks.repartition(parts, *[c for c in df.columns if dict(df.dtypes)[c] in ("string", "bigint", "int")], "__chunk")
     first = F.col("__chunk") * chunk + 1
     last = F.least(F.col("__total"), (F.col("__chunk") + 1) * chunk)
     return spread.withColumn(out, F.explode(F.sequence(first, last))).drop("__total", "__chunk")
@@ -39,7 +40,14 @@ def grids(real: DataFrame, group: str, fields: Sequence[str], accuracy: int = 20
 
 
 def _score(grid: Column, x: Column) -> Column:
-    below = F.size(F.filter(grid, lambda g: g <= x))
+    """Normal score of the number of grid points up to x, by binary search in the ascending grid."""
+
+    def search(passed: Column, step: Column) -> Column:
+        reached = passed + step
+        return F.when((reached <= F.size(grid)) & (F.get(grid, reached - 1) <= x), reached).otherwise(passed)
+
+    steps = [1 << b for b in reversed(range((GRID + 1).bit_length()))]
+    below = F.aggregate(F.array(*map(F.lit, steps)), F.lit(0), search)
     return draws.probit((below - 0.5) / float(GRID + 1))
 
 
@@ -79,16 +87,21 @@ def _from_grid(grid: Column, u: Column) -> Column:
 def sample_entities(
     real: DataFrame, total: int, *, group: str = "sbu", fields: Sequence[str], categories: Sequence[str] = (), oversample: int = 2, seed: int = draws.SEED
 ) -> DataFrame:
-    """Copula draw of `oversample` times the quota of each group; `quota` and `draw` ride along."""
+    """Copula draw of `oversample` times the quota of each group; `quota` and `draw` ride along.
+
+    Grids and model are written: the planner sees that a row a group is little, and rows are not dealt by their few groups.
+    """
     q = quotas(real, group, total)
-    grid = grids(real, group, fields)
+    grid = written(grids(real, group, fields))
     factor = with_factor(correlations(real, grid, group, fields), len(fields))
     model = q.join(grid, group).join(factor, group)
     for c in categories:
         shares = pmf(real, [group], c).groupBy(group).agg(F.sort_array(F.collect_list(F.struct(c, "prob"))).alias(f"__c_{c}"))
         model = model.join(shares, group)
-    rows = expand(q.select(group, "quota"), F.col("quota") * oversample, "draw")
-    df = rows.join(model.drop("quota", "n_real"), group)
+    model = written(model)
+    rows = expand(model.select(group, "quota"), F.col("quota") * oversample, "draw")
+    # each row's group is in the model; a left join, as the planner sizes the rows by their chunks and would send them round
+    df = rows.join(model.drop("quota", "n_real"), group, "left")
     key = [group, "draw"]
     z = [draws.normal(key, f"copula:{f}", seed=seed) for f in fields]
     df = df.withColumns({f"__z_{i}": zi for i, zi in enumerate(z)})
@@ -103,20 +116,29 @@ def sample_entities(
     return df.select(group, "draw", "quota", *[v.alias(k) for k, v in out.items()])
 
 
+STATS_FIELDS = ("n_floors", "gross_area", "amt_contract", "amt_cost")
+
+
 def field_stats(real: DataFrame, group: str = "sbu") -> DataFrame:
-    """Quartiles of area per floor, contract per area and cost per contract, bounds, and the floor PMF."""
-    df = real.filter("gross_area > 0 AND n_floors > 0 AND amt_contract > 0 AND amt_cost > 0").select(
-        group, (F.col("gross_area") / F.col("n_floors")).alias("apf"), (F.col("amt_contract") / F.col("gross_area")).alias("cps"), (F.col("amt_cost") / F.col("amt_contract")).alias("rat")
-    )
-    out = None
-    for m in ("apf", "cps", "rat"):
-        one = exact_quantiles(df, [group], m, {f"{m}_lo": 0.25, f"{m}_mid": 0.5, f"{m}_hi": 0.75}).drop("n")
-        out = one if out is None else out.join(one, group)
+    """Quartiles of area per floor, contract per area and cost per contract, bounds, and the floor PMF.
+
+    The rows are computed once for all of them, and so are the statistics for all that read them.
+    """
+    return _field_stats(written(real.select(group, *STATS_FIELDS)), group)
+
+
+def _field_stats(real: DataFrame, group: str) -> DataFrame:
+    ratios = {"apf": F.col("gross_area") / F.col("n_floors"), "cps": F.col("amt_contract") / F.col("gross_area"), "rat": F.col("amt_cost") / F.col("amt_contract")}
+    each = F.inline(F.array(*[F.struct(F.lit(m).alias("m"), r.alias("x")) for m, r in ratios.items()]))
+    df = real.filter("gross_area > 0 AND n_floors > 0 AND amt_contract > 0 AND amt_cost > 0").select(group, each)
+    parts = exact_quantiles(df, [group, "m"], "x", {"lo": 0.25, "mid": 0.5, "hi": 0.75})
+    out = parts.groupBy(group).agg(*[F.max(F.when(F.col("m") == m, F.col(e))).alias(f"{m}_{e}") for m in ratios for e in ("lo", "mid", "hi")])
+    out = out.dropna(subset=[f"{m}_mid" for m in ratios])
     edge = real.groupBy(group).agg(
-        *[F.percentile_approx(F.col(f).cast("double"), F.array(F.lit(0.01), F.lit(0.99)), 10_000).alias(f"{f}_b") for f in ("n_floors", "gross_area", "amt_contract", "amt_cost")]
+        *[F.percentile_approx(F.col(f).cast("double"), F.array(F.lit(0.01), F.lit(0.99)), 10_000).alias(f"{f}_b") for f in STATS_FIELDS]
     )
     floors = pmf(real, [group], "n_floors").groupBy(group).agg(F.map_from_entries(F.collect_list(F.struct(F.col("n_floors").cast("int"), "prob"))).alias("floor_pmf"))
-    return out.join(edge, group).join(floors, group)
+    return written(out.join(edge, group).join(floors, group))
 
 
 def with_overall(rows: DataFrame, stats: DataFrame, group: str) -> DataFrame:
@@ -198,13 +220,13 @@ def generate(real: DataFrame, total: int, start_year_grid: str = "start_day") ->
     `real` has sbu, region, asset, n_floors, gross_area, amt_contract, amt_cost, dt_start, dt_end.
     """
     base = real.withColumns({"start_day": F.unix_date("dt_start").cast("double"), "duration": F.datediff("dt_end", "dt_start").cast("double")})
-    base = base.filter("duration >= 0")
+    base = written(base.filter("duration >= 0"))  # read for every statistic
     fields = ("gross_area", "amt_contract", "n_floors", "start_day", "duration")
     rows = sample_entities(base, total, fields=fields, categories=("region", "asset"))
     key = ["sbu", "draw"]
     start = F.date_from_unix_date(F.round("start_day").cast("int"))
     rows = rows.withColumns({"dt_start": start, "dt_end": F.date_add(start, F.round("duration").cast("int"))}).drop("start_day", "duration")
-    rows = business_rules(field_chain(rows, field_stats(base), key), key).drop("inflation_factor")
+    rows = business_rules(field_chain(rows, _field_stats(base, "sbu"), key), key).drop("inflation_factor")
     rows = fill_quota(cut_lineage(rows))  # the quota looks at the rows more than once
     rows = rows.withColumn("entity_id", clean.readable_key("SYN", "sbu", "draw"))
     cols = ("entity_id", "sbu", "region", "asset", "n_floors", "gross_area", "amt_contract", "amt_cost", "dt_start", "dt_end")
