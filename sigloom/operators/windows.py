@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from sigloom.functions.values import OPEN_END
-from sigloom.operators.ordered import ordered
+from sigloom.operators.ordered import PLAIN_BYTES, bytes_below, ordered, written
 
 
 def sequence_number(df: DataFrame, keys: Sequence[str], order: Sequence[str], out: str = "seq", **kw) -> DataFrame:
@@ -115,12 +115,17 @@ def thirds(df: DataFrame, keys: Sequence[str], order: Sequence[str], labels: Seq
     return got.withColumn(out, phase).drop("__i", "__n")
 
 
-def inversions(df: DataFrame, key: str, order: str, x: str, **kw) -> DataFrame:
+#: rows of a key up to which its pairs are counted inside one row
+FEW_ROWS = 64
+
+
+def inversions(df: DataFrame, key: str, order: str, x: str, *, few_rows: int = FEW_ROWS, **kw) -> DataFrame:
     """(key, n_rows, n_pairs, n_inversions): pairs in order whose values go down.
 
-    Counted bit by bit instead of pair by pair: two values compare by their highest differing
-    bit, so within rows that share the bits above b, every 1 at bit b that stands before a 0 is
-    one inversion. That is rows x bits work, and the running counts are sliced for hot keys.
+    Keys of up to `few_rows` rows are counted pair by pair inside one row. The others are counted bit by bit: two values
+    compare by their highest differing bit, so within rows that share the bits above b, every 1 at bit b that stands before a 0
+    is one inversion. That is rows x bits work; the bits are dealt by (key, bit), so that a task's share follows from them and not from the rows,
+    and the running counts are sliced for hot keys.
     `order` and `x` must be whole numbers or dates, the range of `x` in a key below 2 ** 63; rows with equal
     order make no pair.
     """
@@ -128,7 +133,26 @@ def inversions(df: DataFrame, key: str, order: str, x: str, **kw) -> DataFrame:
         return F.unix_date(name).cast("long") if dict(df.dtypes)[name] == "date" else F.col(name).cast("long")
 
     base = df.select(key, number(order).alias("__o"), number(x).alias("__x")).dropna()
+    if bytes_below(df) > PLAIN_BYTES:
+        base = written(base)  # read for the sizes of the keys, the small and the large ones
     lows = base.groupBy(key).agg(F.min("__x").alias("__lo"), F.max("__x").alias("__hi"), F.count(F.lit(1)).alias("n_rows"))
+    few = _few_inversions(base.join(lows.filter(F.col("n_rows") <= few_rows).select(key), key, "left_semi"), key)
+    return few.unionByName(_many_inversions(base, lows.filter(F.col("n_rows") > few_rows), key, **kw))
+
+
+def _few_inversions(base: DataFrame, key: str) -> DataFrame:
+    rows = base.groupBy(key).agg(F.collect_list(F.struct("__o", "__x")).alias("__r"))
+
+    def pairs(goes_down: bool) -> Column:
+        def after(a: Column) -> Column:
+            return F.size(F.filter("__r", lambda b: (b["__o"] > a["__o"]) & (b["__x"] < a["__x"]) if goes_down else b["__o"] > a["__o"]))
+
+        return F.aggregate("__r", F.lit(0).cast("long"), lambda n, a: n + after(a))
+
+    return rows.select(key, F.size("__r").cast("long").alias("n_rows"), pairs(False).alias("n_pairs"), pairs(True).alias("n_inversions"))
+
+
+def _many_inversions(base: DataFrame, lows: DataFrame, key: str, **kw) -> DataFrame:
     base = base.join(lows.select(key, "__lo", "__hi"), key)
     bits = F.length(F.bin(F.col("__hi") - F.col("__lo")))
     v = F.col("__x") - F.col("__lo")
@@ -141,6 +165,7 @@ def inversions(df: DataFrame, key: str, order: str, x: str, **kw) -> DataFrame:
             F.expr("shiftright(__v, __b + 1)").alias("__p"),
             F.expr("shiftright(__v, __b) & 1").alias("__bit"),
         )
+        .repartition(key, "__b")
         .groupBy(key, "__b", "__p", "__o")
         .agg(F.sum("__bit").alias("__ones"), F.sum(1 - F.col("__bit")).alias("__zeros"))
     )
