@@ -38,12 +38,15 @@ def spine(v):
 
 def snapshot(v):
     """Monthly state per customer: spend, progress, versions."""
-    key = ["entity_id", "month"]
     led = v.ledger.groupBy("entity_id", evm.month_index("dt_budget").alias("month")).agg(F.sum("amt_original").alias("spend"), F.count(F.lit(1)).alias("n"))
-    tot = led.groupBy("entity_id").agg(F.sum("n").alias("total"))
+    led = led.groupBy("entity_id").agg(F.sum("n").alias("total"), evm.month_map("month", ("spend", "n")).alias("__led"))
     vs = v.version.groupBy("entity_id", evm.month_index("effective_from").alias("month")).agg(F.count(F.lit(1)).alias("n_v"), F.max("target_date").alias("t"))
+    vs = vs.groupBy("entity_id").agg(evm.month_map("month", ("n_v", "t")).alias("__vs"))
     p = v.project.select("entity_id", "dt_start", "dt_end", F.col("amt_cost").alias("budget"), "amt_contract")
-    df = spine(v).join(p, "entity_id").join(tot, "entity_id").join(led, key, "left").join(vs, key, "left")
+    # months are looked up in their entity's row, so the many months are not dealt anew for each table
+    df = spine(v).join(p, "entity_id").join(led, "entity_id").join(vs, "entity_id", "left")
+    of = {"spend": "__led", "n": "__led", "n_v": "__vs", "t": "__vs"}
+    df = df.withColumns({c: F.try_element_at(m, F.col("month"))[c] for c, m in of.items()}).drop("__led", "__vs")
     u = W.partitionBy("entity_id").orderBy("month").rowsBetween(W.unboundedPreceding, W.currentRow)
     first = evm.month_index("dt_start")
     df = df.withColumns(

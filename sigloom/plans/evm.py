@@ -25,6 +25,12 @@ def month_spine(entities: DataFrame, entity: str, start: str, end: str, month: s
     return e.select(entity, F.explode(F.sequence(month_index(start), month_index(end))).alias(month))
 
 
+def month_map(month: str, names: Sequence[str]) -> Column:
+    """The columns of an entity's months as a map, for rows with one row per entity and month; bounded by its months."""
+    entry = F.when(F.col(month).isNotNull(), F.struct(F.col(month).alias("key"), F.struct(*names).alias("value")))
+    return F.map_from_entries(F.collect_list(entry))
+
+
 def _by_month(entity: str, month: str):
     return W.partitionBy(entity).orderBy(month)
 
@@ -106,7 +112,8 @@ def open_backlog(spine: DataFrame, events: DataFrame, entity: str, created: str,
     both = spine.select(entity, month, F.lit(1).alias("__s"), F.lit(0).cast("long").alias("__d")).unionByName(
         marks.select(entity, month, F.lit(0).alias("__s"), "__d")
     )
-    both = both.groupBy(entity, month).agg(F.max("__s").alias("__s"), F.sum("__d").alias("__d"))
+    # dealt once, by what the window needs
+    both = both.repartition(entity).groupBy(entity, month).agg(F.max("__s").alias("__s"), F.sum("__d").alias("__d"))
     w = _by_month(entity, month).rowsBetween(W.unboundedPreceding, W.currentRow)
     return both.withColumn("open_items", F.sum("__d").over(w)).filter("__s = 1").select(entity, month, "open_items")
 
