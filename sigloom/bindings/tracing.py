@@ -13,8 +13,8 @@ NEEDED = ("project", "version")
 NAMED = ("D SERVICES", "C INTERIORS")
 
 
-def t1(v):
-    s = tables(v)["schedule"]
+def t1(t):
+    s = t["schedule"]
     return traces.sequencing(s, "effective_from", "dt_tco", limit=0.50, digits=6)
 
 
@@ -26,11 +26,10 @@ r1 AS (SELECT *, round(n_inversions / CAST(n_pairs AS DOUBLE), 6) AS inversion_r
 
 @query("T1_sequence_inversions", with_(*NEEDED, extra=V + "," + T1, body="SELECT entity_id, n_rows, n_pairs, n_inversions, inversion_rate, passed FROM r1"))
 def _(v):
-    return t1(v)
+    return t1(tables(v))
 
 
-def t2(v):
-    t = tables(v)
+def t2(t):
     return traces.envelope_alignment(t["event"], t["task"].filter("is_active"), "due", "sow_start", "sow_finish", floor=0.6, digits=6)
 
 
@@ -41,11 +40,11 @@ r2 AS (SELECT entity_id, count(*) AS n_events, count(*) FILTER (WHERE due BETWEE
 
 @query("T2_envelope_alignment", with_(*NEEDED, extra=V + "," + T2, body="SELECT * FROM r2"))
 def _(v):
-    return t2(v)
+    return t2(tables(v))
 
 
-def t3(v):
-    return traces.scurve_shape(tables(v)["budget"], "dt_budget", "amt_jtd", digits=6)
+def t3(t):
+    return traces.scurve_shape(t["budget"], "dt_budget", "amt_jtd", digits=6)
 
 
 T3 = f"""
@@ -57,11 +56,10 @@ r3 AS (SELECT entity_id, n_months, round(q1 / peak * 100, 6) AS q1_pct, round(q3
 
 @query("T3_scurve_shape", with_(*NEEDED, extra=V + "," + T3, body="SELECT * FROM r3"))
 def _(v):
-    return t3(v)
+    return t3(tables(v))
 
 
-def t4(v):
-    t = tables(v)
+def t4(t):
     return traces.anchor_spike(t["event"], t["schedule"].filter(~F.col("code").endswith("-BL")), t["project"], "due", "effective_from", digits=6)
 
 
@@ -75,11 +73,11 @@ r4 AS (SELECT entity_id, n_anchors, n_events, near, round(near / (n_events * (n_
 
 @query("T4_anchor_spike", with_(*NEEDED, extra=V + "," + T4, body="SELECT * FROM r4"))
 def _(v):
-    return t4(v)
+    return t4(tables(v))
 
 
-def t5(v):
-    return traces.phase_progression(tables(v)["schedule"], "effective_from", "dt_tco", tie="code")
+def t5(t):
+    return traces.phase_progression(t["schedule"], "effective_from", "dt_tco", tie="code")
 
 
 T5 = """
@@ -90,11 +88,10 @@ r5 AS (SELECT entity_id, n_rows, CAST(e AS DOUBLE) AS early_median, CAST(m AS DO
 
 @query("T5_phase_progression", with_(*NEEDED, extra=V + "," + T5, body="SELECT * FROM r5"))
 def _(v):
-    return t5(v)
+    return t5(tables(v))
 
 
-def t6(v):
-    t = tables(v)
+def t6(t):
     return traces.budget_alignment(t["task"].filter("is_active"), t["budget"], "dt_budget", "amt_jtd", "amt_ecac", digits=6)
 
 
@@ -106,11 +103,11 @@ r6 AS (SELECT entity_id, round(s * 100, 6) AS schedule_pct, round(j / x * 100, 6
 
 @query("T6_budget_alignment", with_(*NEEDED, extra=V + "," + T6, body="SELECT * FROM r6"))
 def _(v):
-    return t6(v)
+    return t6(tables(v))
 
 
-def t7(v):
-    return traces.trade_mix(tables(v)["event"], "trade", NAMED, digits=6)
+def t7(t):
+    return traces.trade_mix(t["event"], "trade", NAMED, digits=6)
 
 
 T7 = """
@@ -121,11 +118,10 @@ r7 AS (SELECT entity_id, CAST(sum(n) AS BIGINT) AS n_events, round(coalesce(sum(
 
 @query("T7_trade_mix", with_(*NEEDED, extra=V + "," + T7, body="SELECT * FROM r7"))
 def _(v):
-    return t7(v)
+    return t7(tables(v))
 
 
-def line(v):
-    t = tables(v)
+def line(t):
     return traces.timeline(t["project"], t["event"], t["task"].filter("is_active"), t["budget"])
 
 
@@ -139,7 +135,7 @@ r8 AS (SELECT s.entity_id, s.month, CAST(s.month // 12 AS VARCHAR) || '-' || lpa
 
 @query("T8_monthly_timeline", with_(*NEEDED, extra=V + "," + T8, body="SELECT entity_id, month, month_str, n_events, n_active_sows, round(spend, 2) AS spend FROM r8"))
 def _(v):
-    return rounded(line(v), 2)
+    return rounded(line(tables(v)), 2)
 
 
 T9 = T8 + """,
@@ -147,13 +143,13 @@ r9 AS (SELECT entity_id, max(t) AS total_months, count(*) AS core_months, count(
  count(*) FILTER (WHERE n_active_sows = 0) / CAST(count(*) AS DOUBLE) <= 0.1 AS passed FROM (SELECT *, min(month) OVER p AS lo, max(month) OVER p AS hi, count(*) OVER p AS t FROM r8 WINDOW p AS (PARTITION BY entity_id)) WHERE t > 2 AND month > lo AND month < hi GROUP BY 1)"""
 
 
-def t9(v):
-    return traces.event_density(line(v), digits=6)
+def t9(t):
+    return traces.event_density(line(t), digits=6)
 
 
 @query("T9_dead_months", with_(*NEEDED, extra=V + "," + T9, body="SELECT * FROM r9"))
 def _(v):
-    return t9(v)
+    return t9(tables(v))
 
 
 PARTS = {"sequencing": ("r1", t1), "alignment": ("r2", t2), "scurve": ("r3", t3), "spike": ("r4", t4), "phases": ("r5", t5), "budget": ("r6", t6), "trade mix": ("r7", t7), "density": ("r9", t9)}
@@ -162,4 +158,5 @@ SUMMARY = " UNION ALL ".join(f"SELECT '{n}' AS \"check\", count(*) FILTER (WHERE
 
 @query("T10_trace_summary", with_(*NEEDED, extra=",".join([V, T1, T2, T3, T4, T5, T6, T7, T9]), body=SUMMARY))
 def _(v):
-    return traces.summary({n: f(v) for n, (_r, f) in PARTS.items()})
+    t = tables(v, stored=True)  # read by several checks each
+    return traces.summary({n: f(t) for n, (_r, f) in PARTS.items()})
