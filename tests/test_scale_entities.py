@@ -54,8 +54,8 @@ def test_chains_carry_only_what_their_measures_read(views):
     from sigloom.plans import checks
 
     t = tables(views)
-    assert set(checks._chain(t["budget"], t, "budget").columns) == {"entity_id", "division", "cost_code", "dt_budget", "__x", "__rn", "__before", "__next"}
-    assert {"effective_to", "__next"} <= set(checks._chain(t["schedule"], t, "schedule").columns)
+    assert set(checks._chain(t["budget"], t, "budget", True).columns) == {"entity_id", "division", "cost_code", "dt_budget", "__x", "__rn", "__before", "__next"}
+    assert {"effective_to", "__next"} <= set(checks._chain(t["schedule"], t, "schedule", True).columns)
 
 
 def test_tables_read_by_many_checks_are_written_once(spark, sf):
