@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from sigloom.operators.quantiles import Stats, exact_quantiles
+from sigloom.operators.quantiles import Stats, finite_counts, quantiles_of_counts
 
 
 @dataclass(frozen=True)
@@ -122,10 +122,13 @@ def stack_levels(df: DataFrame, levels: Sequence[Level]) -> DataFrame:
 def exact_profile_levels(
     df: DataFrame, levels: Sequence[Level], value: str, quantiles: Mapping[str, float], *, common: Sequence[str] = (), min_values: int = 3, count: str = "n", digits: int | None = None
 ) -> DataFrame:
-    """Interpolated quantiles per level; `Level.min_rows` is the HAVING on rows with a value."""
+    """Interpolated quantiles per level; `Level.min_rows` is the HAVING on rows with a value.
+
+    Values are counted once, by the keys of all levels; the levels are copies of these counts.
+    """
     keys = [*common, "level", *level_keys(levels)]
-    stacked = stack_levels(df, levels)
-    out = exact_quantiles(stacked, keys, value, quantiles, min_rows=min_values, count=count, digits=digits)
+    stacked = stack_levels(finite_counts(df, [*common, *level_keys(levels)], value), levels)
+    out = quantiles_of_counts(stacked, keys, quantiles, min_rows=min_values, count=count, digits=digits)
     keep = F.lit(False)
     for lv in levels:
         keep = keep | ((F.col("level") == lv.name) & (F.col(count) >= lv.min_rows))

@@ -3,7 +3,8 @@
 A window partitioned by an entity puts the whole entity in one task. That is the plan where the input's tables are small; it
 spills, so the size it starts from is no limit. Else the input is computed once, written to the shared folder, and its rows are cut
 into slices of like size by borders in the order of (keys, order): sampled rows, compared by all columns, so slices are even
-however the values are spread and however many rows share a key or the first order column. The window runs inside each
+however the values are spread and however many rows share a key or the first order column. Where no two borders lie in one key,
+every key is short (three slices of one would show two) and a plain window over the written rows deals them evenly. Else the window runs inside each
 slice, after one exchange by slice. Only the first and the last key of a slice can reach over a border: one row for each of them is
 aggregated in the same pass, carried along the slices and joined back by slice number, with which the rows are already partitioned.
 """
@@ -66,6 +67,17 @@ def borders(df: DataFrame, columns: Sequence[str], rows_per_slice: int) -> tuple
     return F.sort_array(F.from_json(F.lit(found["json"]), kind)), found["n"]
 
 
+def holds_two(df: DataFrame, borders: Column, keys: Sequence[str]) -> bool:
+    """Whether two borders that follow each other lie in one key."""
+    def again(x: Column, i: Column) -> Column:
+        same = i > 0
+        for k in keys:
+            same = same & x[k].eqNullSafe(F.get(borders, i - 1)[k])
+        return same
+
+    return df.sparkSession.range(1).select(F.exists(F.transform(borders, again), lambda x: x).alias("two")).first()["two"]
+
+
 def slice_of(borders: Column, n: int, columns: Sequence[str]) -> Column:
     """The number of borders up to the row, by binary search."""
     at = F.struct(*columns)
@@ -107,6 +119,10 @@ def ordered(
     found = borders(base, columns, rows_per_slice or ROWS_PER_SLICE)
     if found is None:
         return base.withColumns(wanted.plain([]))
+    if rows_per_slice is None and not holds_two(base, found[0], keys):
+        if found[1] >= int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")):  # tasks as long as a slice
+            base = base.repartition(found[1] + 1, *keys)
+        return base.withColumns(wanted.plain([]))
     return wanted.sliced(base, *found, columns)
 
 

@@ -114,14 +114,26 @@ def exact_quantiles(
     groups and the final pick is a conditional minimum. Infinities are dropped; groups with
     fewer than `min_rows` values get NULL quantiles.
     """
-    names = list(keys)
-    finite = df.select(*names, F.col(value).cast("double").alias("__v")).filter(
+    counts = finite_counts(df, keys, value)
+    return quantiles_of_counts(counts, keys, quantiles, min_rows=min_rows, count=count, digits=digits, rows_per_slice=rows_per_slice)
+
+
+def finite_counts(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
+    """Rows (*keys, `__v`, `__n`): how often a group holds each finite value."""
+    finite = df.select(*keys, F.col(value).cast("double").alias("__v")).filter(
         F.col("__v").isNotNull() & ~F.isnan("__v") & (F.abs("__v") != float("inf"))
     )
+    return value_counts(finite, keys, "__v", "__n")
+
+
+def quantiles_of_counts(
+    counts: DataFrame, keys: Sequence[str], quantiles: Mapping[str, float], *, min_rows: int = 1, count: str = "n", digits: int | None = None, rows_per_slice: int | None = None
+) -> DataFrame:
+    """`exact_quantiles` of the groups' `finite_counts`. A value may come in several rows, whose counts then add up."""
+    names = list(keys)
     if not names:
-        finite = finite.withColumn("__all", one_key("__v"))
+        counts = counts.withColumn("__all", one_key("__v"))
     parts = names or ["__all"]
-    counts = value_counts(finite, parts, "__v", "__n")
     kw = {"rows_per_slice": rows_per_slice} if rows_per_slice else {}
     run = ordered(counts, parts, ["__v"], running_sum={"__cum": "__n"}, total={"__total": "__n"}, **kw)
     aggs = [F.max("__total").alias(count)]

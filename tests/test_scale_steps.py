@@ -131,3 +131,34 @@ def test_long_methods_are_not_left_to_the_interpreter(spark, sf):
     QUERIES["A1_basic_group_stats"](spark, sf)
     assert spark.conf.get(METHOD_LIMIT_CONF) == "9000"
     spark.conf.unset(METHOD_LIMIT_CONF)
+
+
+def test_values_are_counted_before_they_are_copied_for_the_levels(spark, monkeypatch):
+    from sigloom.operators import ordered as o
+    from sigloom.operators.levels import Level, exact_profile_levels, stack_levels
+    from sigloom.operators.quantiles import exact_quantiles
+
+    monkeypatch.setattr(o, "PLAIN_BYTES", 1 << 70)
+    rows = [(("u", "v", None)[i % 3], "ab"[i % 2], "pqr"[i // 7 % 3], None if i % 11 == 0 else float("inf") if i % 97 == 0 else (i * 37 % 23) / 8) for i in range(600)]
+    df = spark.createDataFrame(rows, "sbu string, part string, common string, x double")
+    levels, qs = (Level("BOTH", ("sbu", "part"), 30, ("sbu",)), Level("SBU", ("sbu",), 5, ("sbu",)), Level("GLOBAL", ())), {"p10": 0.1, "m": 0.5, "p90": 0.9}
+    got = exact_profile_levels(df, levels, "x", qs, common=["common"], digits=6)
+    plan = plan_of(got)
+    assert plan.index("Generate ") < plan.rindex("count(1)")  # the copies are above the count
+    keys = ["common", "level", "sbu", "part"]
+    want = exact_quantiles(stack_levels(df, levels), keys, "x", qs, min_rows=3, digits=6).filter("n >= CASE level WHEN 'BOTH' THEN 30 WHEN 'SBU' THEN 5 ELSE 0 END")
+    order = lambda d: sorted(str(r) for r in d.select(*keys, "n", *qs).collect())
+    assert order(got) == order(want) and len(order(got)) > 9
+
+
+def test_short_keys_of_a_large_table_are_not_searched_for_slices(spark, monkeypatch):
+    from sigloom.operators import ordered as o
+
+    monkeypatch.setattr(o, "PLAIN_BYTES", 0)
+    monkeypatch.setattr(o, "ROWS_PER_SLICE", 200)
+    df = spark.range(4000).select(F.when(F.col("id") % 100 > 0, F.col("id") % 100).alias("k"), F.col("id").alias("t"), (F.col("id") % 7).alias("x"))
+    made = lambda d: o.ordered(d, ["k"], ["t"], row_number="i", running_sum={"s": "x"}, lag={"b": "x"}, lead={"a": "x"}, total={"all": "x"})
+    short, hot = made(df), made(df.withColumn("k", F.when(F.col("t") % 2 == 0, F.lit(0)).otherwise(F.col("k"))))
+    assert o._SLICE not in plan_of(short) and o._SLICE in plan_of(hot)
+    monkeypatch.setattr(o, "PLAIN_BYTES", 1 << 70)
+    assert sorted(map(str, short.collect())) == sorted(map(str, made(df).collect()))
