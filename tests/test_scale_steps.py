@@ -133,6 +133,35 @@ def test_long_methods_are_not_left_to_the_interpreter(spark, sf):
     spark.conf.unset(METHOD_LIMIT_CONF)
 
 
+def test_change_orders_are_reduced_once_for_rates_and_both_sides(spark):
+    from datetime import date
+
+    from sigloom.plans import ledger
+
+    rows = [(e, d, date(2020, 1, 1 + m), float(e % 3 * m), -float(m % 2 * e)) for e in range(6) for d in "xy" for m in range(4) for _ in range(2)]
+    rows += [(None, "x", date(2020, 1, 1), 5.0, 0.0), (99, "x", date(2020, 1, 1), 5.0, 0.0), (1, None, date(2020, 1, 1), None, None)]
+    led = spark.createDataFrame(rows, "entity_id long, division string, dt_budget date, pending_in double, pending_out double")
+    entities = spark.createDataFrame([(e, "uv"[e % 2] if e else None, 10.0 * (e + 1)) for e in range(6)] + [(3, "u", 20.0), (3, "v", 40.0)], "entity_id long, sbu string, amt_contract double")
+    out = ledger.change_order_rates(led, entities, min_rows=1)
+    assert "pending_in" not in plan_of(out) and "distinct" not in plan_of(out).lower()
+    got = {(r["division"], r["level"], r["sbu"]): r for r in out.collect()}
+    assert set(got) == {(d, lv, s) for d in "xy" for lv, s in (("SBU", "u"), ("SBU", "v"), ("GLOBAL", None))} | {(None, "SBU", "v"), (None, "GLOBAL", None)}
+    per = [(e, s, a, m) for e, s, a in entities.collect() for m in range(4)]
+    for s in ("u", "v", None):
+        some = [p for p in per if s in (p[1], None)]
+        r = got["x", "SBU" if s else "GLOBAL", s]
+        assert (r["n_rows"], r["n_projects"]) == (len(some), len({p[0] for p in some}))
+        assert r["prob_in"] == round(sum(e % 3 * m > 0 for e, _, _, m in some) / len(some), 6)
+        assert r["prob_out"] == round(sum(m % 2 * e > 0 for e, _, _, m in some) / len(some), 6)
+        for side, x in (("in", [2.0 * (e % 3 * m) / a for e, _, a, m in some if e % 3 * m]), ("out", [2.0 * (m % 2 * e) / a for e, _, a, m in some if m % 2 * e])):
+            for name, p in (("p50", 0.5), ("p90", 0.9)):
+                x.sort()
+                h = (len(x) - 1) * p
+                lo, hi = x[int(h)], x[min(int(h) + 1, len(x) - 1)]
+                assert abs(r[f"{name}_{side}"] - (lo + (hi - lo) * (h - int(h)))) < 2e-6
+    assert got[None, "GLOBAL", None]["n_rows"] == 1 and got[None, "GLOBAL", None]["p50_in"] is None
+
+
 def test_values_are_counted_before_they_are_copied_for_the_levels(spark, monkeypatch):
     from sigloom.operators import ordered as o
     from sigloom.operators.levels import Level, exact_profile_levels, stack_levels
