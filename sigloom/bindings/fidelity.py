@@ -7,6 +7,7 @@ from sigloom.bindings.aggregating import rounded
 from sigloom.bindings.registry import query
 from sigloom.bindings.views import with_
 from sigloom.functions import draws
+from sigloom.operators.ordered import written
 from sigloom.plans import boosting
 from sigloom.plans import fidelity as fi
 
@@ -93,7 +94,7 @@ ML_FEATURES = ("amt_contract", "duration", "n_orders")
 
 
 def halves(v):
-    df = labelled(v)
+    df = written(labelled(v))  # bin borders and bins read both halves
     return df.filter("entity_id % 2 = 0"), df.filter("entity_id % 2 = 1")
 
 

@@ -1,8 +1,9 @@
 """Boosted trees on binned features, many models at a time.
 
-All models of a nested search - outer fold, inner fold, candidate - grow side by side: one Spark job a level scans the rows once, adds each row's
-gradient to the histograms of every model that it trains, and chooses each model's splits from the merged histograms. A task hands on at
-most one row for each (model, node, feature, bin); the splits, a few rows a model, come to the driver. Rows carry their scores as far
+All models of a nested search - outer fold, inner fold, candidate - grow side by side. Rows with the same bins, folds and label have the same
+gradient in every model, so they are packed into one row with the list of their draws: one Spark job a level counts the drawn ones of each
+packed row, adds that many gradients to the histograms of every model that it trains, and chooses each model's splits from the merged histograms. A task hands on at
+most one row for each (model, node, feature, bin); the splits, a few rows a model, come to the driver. Packed rows carry their scores as far
 as the last kept round, so a job evaluates few trees.
 
 Everything is decided by draws and sums of the rows: a run repeats bit by bit but for the order of floating sums, which gains are rounded
@@ -36,6 +37,8 @@ REAL, SYNTHETIC = 0, 1
 ALL = -1
 #: rounds after which the rows' scores are written with them
 KEEP_EVERY = 8
+#: rows in all for each part into which packed rows are cut, so the longest list
+PACKED = 2_000_000
 
 
 class Candidate(NamedTuple):
@@ -115,12 +118,24 @@ def scores(trees: Sequence[Tree], candidate: Candidate, bins: np.ndarray) -> np.
     return out
 
 
+def packed(table: DataFrame, parts: int) -> DataFrame:
+    """Rows (source, fold, inner, y, bins, us): one for the rows that differ in their draws alone, cut into parts by these."""
+    u = F.coalesce("u", F.lit(float("nan")))
+    part = F.when(F.isnan(u), 0).otherwise(F.floor(u * parts)).alias("part")
+    return table.groupBy("source", "fold", "inner", "y", "bins", part).agg(F.collect_list(u).alias("us")).drop("part")
+
+
 def arrays(batch) -> tuple[np.ndarray, ...]:
-    """bins (rows x features), the other number columns, kept scores (rows x models)."""
+    """bins (rows x features), kept scores (rows x models), the number columns, and where each row's draws end."""
     n = batch.num_rows
     bins = np.asarray(batch.column("bins").flatten()).reshape(n, -1)
     kept = np.asarray(batch.column("kept").flatten()).reshape(n, -1)
-    return bins, kept, *(np.asarray(batch.column(c)) for c in ("source", "fold", "inner", "y", "u"))
+    return bins, kept, *(np.asarray(batch.column(c)) for c in ("source", "fold", "inner", "y")), np.cumsum(np.asarray(batch.column("us").value_lengths()))
+
+
+def counted(taken: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """How many of each row's draws are taken."""
+    return np.diff(np.concatenate([[0], np.cumsum(taken)])[np.concatenate([[0], ends])])
 
 
 def trains(spec: Spec, source, fold, inner):
@@ -135,8 +150,9 @@ class Boosted:
         self.n_features, self.bins = n_features, bins
         self.trees: list[list[Tree]] = [[] for _ in self.specs]
         self.kept = [0] * len(self.specs)
-        self.table = table.withColumn("kept", F.array_repeat(F.lit(0.0), len(self.specs)))
         counts = table.groupBy("source", "fold", "inner", "y").agg(F.count(F.lit(1)).alias("n")).collect()
+        rows = stored(packed(table, 1 + sum(r["n"] for r in counts) // PACKED))
+        self.table = rows.withColumn("kept", F.array_repeat(F.lit(0.0), len(self.specs)))
         #: weights of the two classes, balanced over the rows that train a model
         self.weights = []
         for s in self.specs:
@@ -188,17 +204,18 @@ class Boosted:
         def histograms(batches):
             total = {m: np.zeros((3, width * n_features * n_bins)) for m in growing}
             for batch in batches:
-                bins, kept, source, fold, inner, y, u = arrays(batch)
-                drawn = np.modf(u * (104_729 + 7_919 * round_))[0]
+                bins, kept, source, fold, inner, y, ends = arrays(batch)
+                drawn = np.modf(np.asarray(batch.column("us").flatten()) * (104_729 + 7_919 * round_))[0]
+                often = {s: counted(drawn < s, ends) for s in {candidates[specs[m].candidate].subsample for m in growing}}
                 for m, tree in growing.items():
                     c = candidates[specs[m].candidate]
-                    rows = np.flatnonzero(trains(specs[m], source, fold, inner) & (drawn < c.subsample))
-                    x, label = bins[rows], y[rows]
+                    rows = np.flatnonzero(trains(specs[m], source, fold, inner) & (often[c.subsample] > 0))
+                    x, label, times = bins[rows], y[rows], often[c.subsample][rows]
                     p = 1 / (1 + np.exp(-(kept[rows, m] + scores(pending[m], c, x))))
                     at = places(tree, x, level) - first
                     here = at >= 0
-                    w = np.where(label == 1, weights[m][1], weights[m][0])
-                    values = (w * (label - p))[here], (w * p * (1 - p))[here], None
+                    w = np.where(label == 1, weights[m][1], weights[m][0]) * times
+                    values = (w * (label - p))[here], (w * p * (1 - p))[here], times[here]
                     for j in range(n_features):
                         cell = (at[here] * n_features + j) * n_bins + x[here, j]
                         for k, v in enumerate(values):
@@ -232,20 +249,25 @@ class Boosted:
         found = self.table.mapInArrow(histograms, "model long, cell long, g double, h double, n double")
         return found.groupBy("model").applyInArrow(choose, "model long, node long, feature long, bin long, gain double, left double, right double, n_left long, n_right long")
 
-    def held_out(self, models: Sequence[int]) -> DataFrame:
-        """Rows (model, fold, y, score) of the models' own held-out rows: the inner fold's, or the outer fold's where no inner one is left out."""
+    def held_out(self, models: Sequence[int], packed: bool = False) -> DataFrame:
+        """Rows (model, fold, y, score) of the models' own held-out rows: the inner fold's, or the outer fold's where no inner one is left out.
+
+        `packed` gives rows of one packed row once, with their number `n`.
+        """
         trees, specs, candidates = self.trees, self.specs, self.candidates
 
         def run(batches):
             for batch in batches:
-                bins, _, source, fold, inner, y, _ = arrays(batch)
+                bins, _, source, fold, inner, y, ends = arrays(batch)
+                times = np.diff(ends, prepend=0)
                 for m in models:
                     s = specs[m]
                     rows = np.flatnonzero((source == s.source) & ((inner == s.inner) & (fold != s.fold) if s.inner != ALL else fold == s.fold))
-                    score = scores(trees[m], candidates[s.candidate], bins[rows])
-                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(rows), m)), pa.array(fold[rows].astype(np.int64)), pa.array(y[rows].astype(np.int64)), pa.array(np.round(score, 9))], names=["model", "fold", "y", "score"])
+                    score = np.round(scores(trees[m], candidates[s.candidate], bins[rows]), 9)
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(rows), m)), *(pa.array(a[rows].astype(np.int64)) for a in (fold, y)), pa.array(score), pa.array(times[rows])], names=["model", "fold", "y", "score", "n"])
 
-        return self.table.mapInArrow(run, "model long, fold long, y long, score double")
+        found = self.table.mapInArrow(run, "model long, fold long, y long, score double, n long")
+        return found if packed else found.withColumn("n", F.explode(F.array_repeat(F.lit(1), F.col("n").cast("int")))).drop("n")
 
     def score(self, df: DataFrame, model: int, keep: str) -> DataFrame:
         """Rows (*keep, score) of one model for any table with `bins`; keep is their DDL schema."""

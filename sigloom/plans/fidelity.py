@@ -218,7 +218,7 @@ class Search:
         """(source, outer fold) -> the model of the candidate with the best mean inner AUC, the first of equal ones."""
         specs = self.models.specs
         inner = [m for m, s in enumerate(specs) if s.inner != ALL]
-        aucs = {r["model"]: r["auc"] for r in auc(self.models.held_out(inner), "score", "y", ["model"], digits=9).collect()}
+        aucs = {r["model"]: r["auc"] for r in self._held_out_auc(inner, "model", digits=9).collect()}
         found: dict[tuple[int, int], dict[int, list[float]]] = {}
         for m in inner:
             s = specs[m]
@@ -226,10 +226,12 @@ class Search:
         best = {g: max(sorted(c), key=lambda x: round(sum(c[x]) / len(c[x]), 9)) for g, c in found.items()}
         return {g: specs.index(Spec(*g, ALL, c)) for g, c in best.items()}
 
+    def _held_out_auc(self, models: Sequence[int], key: str, **kw) -> DataFrame:
+        return auc_from_counts(score_counts(self.models.held_out(models, packed=True), "score", "y", [key], "n"), [key], **kw)
+
     def cross_validated(self) -> DataFrame:
         """Mean, deviation and normal interval of the outer folds' AUC."""
-        rows = self.models.held_out([m for (source, fold), m in self.chosen.items() if source == REAL and fold != ALL])
-        per = auc(rows, "score", "y", ["fold"])
+        per = self._held_out_auc([m for (source, fold), m in self.chosen.items() if source == REAL and fold != ALL], "fold")
         half = 1.96 * F.stddev_pop("auc") / F.sqrt(F.count(F.lit(1)))
         return per.agg(
             F.count(F.lit(1)).alias("n_folds"), F.avg("auc").alias("auc"), F.stddev_pop("auc").alias("auc_std"),

@@ -133,3 +133,25 @@ def test_drawn_candidates_lie_in_their_ranges():
     for c in drawn:
         assert 100 <= c.rounds < 500 and 2 <= c.depth <= 5 and 0.01 <= c.rate <= 0.21 and 0.6 <= c.subsample <= 1 and 5 <= c.min_leaf < 30
     assert np.array_equal(boosting.places(boosting.Tree(np.array([0, -1, -1]), np.array([2, 0, 0]), np.zeros(3)), np.array([[1], [3]]), 1), [1, 2])
+
+
+@pytest.mark.parametrize("most", [60, 2_000_000])
+def test_rows_of_the_same_bins_are_packed(spark, monkeypatch, most):
+    """Models see one row for the rows that differ in their draws alone; trees and held-out rows are those of all rows."""
+    monkeypatch.setattr(boosting, "PACKED", most)
+    rows = spark.range(900).select("id", F.when(F.col("id") % 90 > 0, (F.col("id") % 4).cast("double")).alias("a"), (F.col("id") % 3).cast("double").alias("b"), (F.hash("id") % 5 + F.col("id") % 4 > 2).cast("int").alias("y"))
+    rows = rows.unionByName(rows.filter("id < 9 OR id > 800")).unionByName(spark.createDataFrame([(None, 1.0, 2.0, 1)] * 3, "id long, a double, b double, y int"))
+    stored = boosting.stored(boosting.binned(rows, "id", ["a", "b"], "y", {"a": [0.5, 1.5, 2.5], "b": [0.5, 1.5]}, 5, 3, REAL))
+    candidates, specs = [Candidate(3, 2, 0.3, 0.7, 5), Candidate(2, 2, 0.5, 1.0, 9)], [Spec(REAL, 1, ALL, 0), Spec(REAL, 2, 0, 1)]
+    monkeypatch.setattr(boosting, "KEEP_EVERY", 2)
+    made = Boosted(stored, candidates, specs, 2, 4).fit()
+    held = made.held_out([0, 1], packed=True)
+    assert made.table.count() < stored.count() if most > 60 else made.table.agg(F.max(F.size("us"))).first()[0] < 10
+    assert made.table.agg(F.sum(F.size("us"))).first()[0] == stored.count()
+    assert held.groupBy("model", "fold", "y", "score").agg(F.sum("n").alias("n")).exceptAll(made.held_out([0, 1]).groupBy("model", "fold", "y", "score").agg(F.count("score").alias("n"))).count() == 0
+    monkeypatch.setattr("test_boosting.FEATURES", ["a", "b"])
+    data = [r.asDict() | {"key": i} for i, r in enumerate(stored.collect())]
+    for m, s in enumerate(specs):
+        want = plain([r | {"u": float("inf") if r["u"] is None else r["u"]} for r in data], s, candidates[s.candidate], 4)
+        got = sorted(r["score"] for r in made.score(stored, m, "key long").collect())
+        assert len(got) == len(want) and max(abs(a - b) for a, b in zip(got, sorted(want.values()), strict=True)) < 1e-6
