@@ -191,3 +191,21 @@ def test_short_keys_of_a_large_table_are_not_searched_for_slices(spark, monkeypa
     assert o._SLICE not in plan_of(short) and o._SLICE in plan_of(hot)
     monkeypatch.setattr(o, "PLAIN_BYTES", 1 << 70)
     assert sorted(map(str, short.collect())) == sorted(map(str, made(df).collect()))
+
+
+def test_curve_points_take_the_latest_day_of_a_decile_in_one_sorted_window(spark):
+    from datetime import date
+
+    from sigloom.plans import ledger
+
+    days = [("x", 1, 10.0), ("x", 9, -50.0), ("x", 25, 80.0), ("x", 25, 5.0), ("x", 40, None), ("x", 95, 500.0), ("y", 3, float("nan")), (None, 3, 7.0)]
+    rows = [(e, d, date.fromordinal(date(2020, 1, 1).toordinal() + 10 * n), 100.0, j) for e in (1, 2, 4) for d, n, j in days] + [(e, "x", None, 300.0, 9.0) for e in (1, 2)] + [(3, "x", date(2020, 1, 1), 1.0, 1.0), (1, "x", date(2020, 5, 1), 0.0, 9e9)]
+    led = spark.createDataFrame(rows, "entity_id long, division string, dt_budget date, amt_original double, amt_jtd double")
+    entities = spark.createDataFrame([(1, date(2020, 1, 1), date(2022, 9, 1)), (2, None, date(2022, 9, 1)), (4, date(2020, 1, 1), date(2022, 9, 1)), (4, date(2020, 1, 1), date(2022, 9, 1))], "entity_id long, dt_start date, dt_end date")
+    out = ledger.scurve_points(led, entities)
+    assert "max_by" not in plan_of(out)
+    got = sorted((r["entity_id"], str(r["division"]), r["decile"], round(r["cume_share"], 9)) for r in out.collect())
+    want = [(None, 0.0, 7 / 100), ("x", 0.0, 0.0), ("x", 0.2, 85 / 900), ("x", 0.4, 85 / 900), ("x", 0.9, 500 / 900), ("y", 0.0, 1.0)]
+    assert [g for g in got if g[0] == 1] == [(1, str(d), q, round(s, 9)) for d, q, s in want]
+    assert {g[0] for g in got} == {1, 4} and [g[:3] for g in got if g[0] == 4] == [(4, *g[1:3]) for g in got if g[0] == 1]
+    assert [g[3] for g in got if g[0] == 4 and g[1] == "x"] == [0.0, *[round(x / 1200, 9) for x in (85, 85, 500)]]  # an entity that comes twice counts its amounts twice
