@@ -80,14 +80,17 @@ def holds_two(df: DataFrame, borders: Column, keys: Sequence[str]) -> bool:
 
 def slice_of(borders: Column, n: int, columns: Sequence[str]) -> Column:
     """The number of borders up to the row, by binary search."""
-    at = F.struct(*columns)
+    steps = [1 << b for b in reversed(range(max(1, n.bit_length())))]
 
-    def search(passed: Column, step: Column) -> Column:
-        reached = passed + step
-        return F.when((reached <= n) & (F.get(borders, reached - 1) <= at), reached).otherwise(passed)
+    def search(at: Column) -> Column:
+        def step(passed: Column, by: Column) -> Column:
+            reached = passed + by
+            return F.when((reached <= n) & (F.get(borders, reached - 1) <= at), reached).otherwise(passed)
 
-    steps = [1 << b for b in reversed(range(max(1, n.bit_length())))]
-    return F.aggregate(F.array(*map(F.lit, steps)), F.lit(0), search)
+        return F.aggregate(F.array(*map(F.lit, steps)), F.lit(0), step)
+
+    # the row's struct is made once, not in each step
+    return F.get(F.transform(F.array(F.struct(*columns)), search), 0)
 
 
 def ordered(
