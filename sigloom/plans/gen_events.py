@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from sigloom.functions import clean, draws, values
 from sigloom.operators.joins import daily_counts, near_anchor
 from sigloom.operators.lookup import fallback_bounds
-from sigloom.operators.ordered import ordered
+from sigloom.operators.ordered import ordered, spread
 
 E = "entity_id"
 NEAR_DAYS = 30
@@ -41,12 +41,7 @@ def event_count(entities: DataFrame, constraints: DataFrame, anchors: DataFrame
 
 
 def _shares(table: DataFrame, key: str, item: str, weight: str, out: str) -> DataFrame:
-    """Items and weights of a key as one array; the items are a vocabulary."""
-    return table.groupBy(key).agg(F.sort_array(F.collect_list(F.struct(F.col(item).alias("i"), F.col(weight).alias("w")))).alias(out))
-
-
-def _draw(arr: Column, u: Column) -> Column:
-    return draws.categorical(u, F.transform(arr, lambda x: x["i"]), F.transform(arr, lambda x: x["w"]))
+    return table.groupBy(key).agg(draws.menu(item, weight).alias(out))
 
 
 def event_date(zone: Column, pct: Column, start: Column, end: Column, sow: Column, u: Column) -> Column:
@@ -82,13 +77,14 @@ def generate(
     res = dict(resolution or values.DEFAULT_RESOLUTION_BOUNDS)
     sows = work.groupBy(E).agg(F.sort_array(F.collect_list(F.struct("sow", "sow_start", "sow_finish"))).alias("__sows"))  # a vocabulary per entity
     weights = _shares(trades.filter("level = 'SBU'"), "sbu", "trade", "pct_of_sbu", "__tw")
-    overall = trades.filter("level = 'GLOBAL'").agg(F.sort_array(F.collect_list(F.struct(F.col("trade").alias("i"), F.col("pct_of_sbu").alias("w"))))).scalar()
+    overall = trades.filter("level = 'GLOBAL'").agg(draws.menu("trade", "pct_of_sbu")).scalar()
     status = _shares(statuses, "sbu", "status_simplified", "pct", "__st")
     e = event_count(entities.filter(F.datediff("dt_end", "dt_start") > 0), constraints, anchors)
     days = anchors.filter("day IS NOT NULL").groupBy(E).agg(F.collect_set("day").alias("__anchors"))
     e = e.join(sows, E, "left").join(days, E, "left").join(weights, "sbu", "left").join(status, "sbu", "left").withColumn("__tw", F.coalesce("__tw", overall))
-    df = e.withColumn("seq", F.explode(F.sequence(F.lit(1), F.col("n_events")))).drop("n_events")
-    df = df.withColumn("trade", _draw(F.col("__tw"), draws.uniform(key, "trade"))).drop("__tw")
+    df = spread(e, E).withColumn("seq", F.explode(F.sequence(F.lit(1), F.col("n_events")))).drop("n_events")
+    # draws that folds read are made below the joins, in compiled code
+    df = df.withColumns({"trade": draws.from_menu(draws.uniform(key, "trade"), "__tw"), "__uz": draws.uniform(key, "zone"), "__us": draws.uniform(key, "status")}).drop("__tw")
     beta = lifecycle.select("trade", *[F.col(c).alias(f"__{c}") for c in ("p10", "p25", "median", "p75", "p90")])
     df = df.join(beta, "trade", "left").join(_shares(zones, "trade", "zone", "pct_of_trade", "__zw"), "trade", "left")
     df = df.join(flags.select("trade", F.col("pct_flag").alias("__flag")), "trade", "left")
@@ -98,11 +94,11 @@ def generate(
     x = draws.beta_quantile(draws.uniform(key, "lifecycle"), F.when(known, shape["alpha"]).otherwise(2.0), F.when(known, shape["beta"]).otherwise(2.0))
     df = df.withColumn("__x", x)
     pct = F.least(F.greatest(shape["low"] + F.col("__x") * shape["width"], shape["low"]), shape["top"])
-    default_zone = draws.categorical(draws.uniform(key, "zone"), values.DEFAULT_ZONE_SHARES, None)
+    default_zone = draws.categorical(F.col("__uz"), values.DEFAULT_ZONE_SHARES, None)
     df = df.withColumns(
         {
             "lifecycle_pct": F.coalesce(pct, 165.0 * F.col("__x")),
-            "zone": F.coalesce(_draw(F.col("__zw"), draws.uniform(key, "zone")), default_zone),
+            "zone": F.coalesce(draws.from_menu(F.col("__uz"), "__zw"), default_zone),
             "__fit": matching_sows(F.col("trade"), F.coalesce(F.col("__sows"), F.array().cast("array<struct<sow:string,sow_start:date,sow_finish:date>>")), mapping or values.TRADE_TO_SOW),
         }
     )
@@ -113,7 +109,7 @@ def generate(
     created = event_date(F.col("zone"), F.col("lifecycle_pct"), F.col("dt_start"), F.col("dt_end"), F.col("__sow"), draws.uniform(key, "day"))
     df = df.withColumns({"created": created, "sow": F.col("__sow.sow")})
     due = F.least(F.date_add("created", draws.pick(key, "due", values.DUE_DAY_OPTIONS)), F.col("dt_end"))
-    drawn = F.coalesce(_draw(F.col("__st"), draws.uniform(key, "status")), draws.categorical(draws.uniform(key, "status"), values.DEFAULT_STATUS_SHARES, None))
+    drawn = F.coalesce(draws.from_menu(F.col("__us"), "__st"), draws.categorical(F.col("__us"), values.DEFAULT_STATUS_SHARES, None))
     df = df.withColumns({"due": due, "__drawn": drawn})
     days = draws.count_from_quartiles(key, "resolution", F.lit(res["p25"]), F.lit(res["median"]), F.lit(res["p75"]), cap_of=F.lit(res["p90"]))
     df = df.withColumns(

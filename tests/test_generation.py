@@ -1,5 +1,7 @@
 """Generated rows: same on every partitioning, valid keys, valid histories, plausible draws."""
 
+import datetime
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -211,3 +213,25 @@ def test_spikes_are_weighted_by_their_anchors(spark):
     assert got["mean"] == pytest.approx(x.mean()) and got["stddev"] == pytest.approx(x.std(ddof=1))
     none = events.spike_profile(spark.createDataFrame([], "spike_ratio double, n_anchor long")).first()
     assert none["n_events"] == 0 and none["mean"] is None
+
+
+def test_menu_draws_what_categorical_draws(spark):
+    """Weights added up once give the same items, also with nulls, ties at the borders and one item."""
+    weights = spark.createDataFrame([("k", "b", 0.25), ("k", "a", 0.25), ("k", "c", 0.5), ("n", "a", 1.0), ("n", "b", None), ("o", "x", 0.0), ("p", "y", 2.0)], "key string, item string, w double")
+    rows = F.sort_array(F.collect_list(F.struct(F.col("item").alias("i"), F.col("w").alias("w"))))
+    df = weights.groupBy("key").agg(draws.menu("item", "w").alias("menu"), rows.alias("arr")).withColumn("u", F.explode(F.array(*[F.lit(i / 8) for i in range(9)])))
+    old = draws.categorical(F.col("u"), F.transform("arr", lambda x: x["i"]), F.transform("arr", lambda x: x["w"]))
+    got = df.select("key", "u", draws.from_menu(F.col("u"), "menu").alias("got"), old.alias("want"), draws.categorical(F.col("u"), {"a": 0.25, "b": 0.25, "c": 0.5}, None).alias("fixed")).collect()
+    assert len(got) == 36 and all(r["got"] == r["want"] for r in got)
+    assert [r["got"] for r in sorted(got, key=lambda r: r["u"]) if r["key"] == "k"] == ["a", "a", "b", "b", "c", "c", "c", "c", "c"] == [r["fixed"] for r in sorted(got, key=lambda r: r["u"]) if r["key"] == "k"]
+
+
+def test_few_entities_are_spread_before_they_become_many_rows(spark):
+    """The adaptive planner joins small partitions into one; generated rows must not all come from that one task."""
+    entities = spark.createDataFrame([(i, "u", "s", "c", "a", datetime.date(2020, 1, 1), datetime.date(2022, 1, 1)) for i in range(40)], "entity_id long, sbu string, size_category string, contract_bucket string, asset string, dt_start date, dt_end date")
+    entities = entities.groupBy(*entities.columns).agg(F.count(F.lit(1)).alias("n")).drop("n")
+    profile = spark.createDataFrame([], "level string, field string, sbu string, size_category string, contract_bucket string, n_projects long, p25 double, median double, p75 double")
+    frequency = spark.createDataFrame([("u", w, 50.0) for w in "vwxyz"], "sbu string, sow string, pct_projects double")
+    rows = gen_work.choose(entities, profile, frequency)
+    assert len([n for n in rows.rdd.glom().map(len).collect() if n]) > 1
+    assert rows.count() == 200
