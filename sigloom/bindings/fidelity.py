@@ -109,7 +109,8 @@ def _(v):
 
 @query("F8_tstr_utility")
 def _(v):
-    return rounded(fi.tstr_utility(*halves(v), "entity_id", ML_FEATURES, "is_overrun", candidates=CANDIDATES))
+    """The library's whole search: 30 candidates of 100 to 499 rounds."""
+    return rounded(fi.tstr_utility(*halves(v), "entity_id", ML_FEATURES, "is_overrun"))
 
 
 LABELLED = OVERRUN + """,

@@ -41,6 +41,10 @@ KEEP_EVERY = 8
 PACKED = 2_000_000
 
 
+#: combinations of bins, and rows of a source, up to which one task grows a candidate's models; it holds a few arrays of that length
+CELLS, DRAWS = 1 << 16, 4_000_000
+
+
 class Candidate(NamedTuple):
     """Parameters of one model."""
 
@@ -138,10 +142,97 @@ def counted(taken: np.ndarray, ends: np.ndarray) -> np.ndarray:
     return np.diff(np.concatenate([[0], np.cumsum(taken)])[np.concatenate([[0], ends])])
 
 
+def one_by_one(rows: DataFrame) -> DataFrame:
+    """Rows with a number `n` so many times, without it."""
+    return rows.withColumn("n", F.explode(F.array_repeat(F.lit(1), F.col("n").cast("int")))).drop("n")
+
+
 def trains(spec: Spec, source, fold, inner):
     return (source == spec.source) & (fold != spec.fold) & (inner != spec.inner)
 
 
+def grown(batch: pa.Table, specs: dict[int, Spec], candidate: Candidate, weights: dict[int, tuple[float, float]], n_features: int, n_bins: int) -> pa.Table:
+    """A row for each model of one source and candidate: its trees, and the scores of its held-out rows with their numbers.
+
+    All models grow together over counts per combination of bins: a round counts the drawn rows per fold, inner fold, combination and label once,
+    and a model's counts are the sum over the folds that train it.
+    """
+    bins = np.asarray(batch["bins"].combine_chunks().flatten()).reshape(batch.num_rows, -1)
+    fold, inner, y = (batch[c].to_numpy() for c in ("fold", "inner", "y"))
+    lists = batch["us"].combine_chunks()
+    us, ends = np.asarray(lists.flatten()), np.cumsum(np.asarray(lists.value_lengths()))
+    cells, cell = np.unique(bins, axis=0, return_inverse=True)
+    parts, part = np.unique(np.column_stack([fold, inner]), axis=0, return_inverse=True)
+    n_cells, n_parts, n_models = len(cells), len(parts), len(specs)
+    place = (part.reshape(-1) * 2 + y) * n_cells + cell.reshape(-1)
+
+    def per_part(times: np.ndarray) -> np.ndarray:
+        """Rows of each part, label and combination."""
+        return np.bincount(place, times, n_parts * 2 * n_cells).reshape(n_parts, 2 * n_cells)
+
+    taught = np.array([[trains(s, s.source, f, i) for f, i in parts] for s in specs.values()], float)
+    weight = np.array([weights[m] for m in specs])[:, :, None]
+    score = np.zeros((n_models, n_cells))
+    model = np.arange(n_models)[:, None]
+    nodes = 2 ** (candidate.depth + 1) - 1
+    features, borders_, values = (np.zeros((candidate.rounds, n_models, nodes), kind) for kind in (np.int32, np.int32, np.float64))
+    for r in range(candidate.rounds):
+        times = counted(np.modf(us * (104_729 + 7_919 * r))[0] < candidate.subsample, ends)
+        n = (taught @ per_part(times)).reshape(n_models, 2, n_cells)
+        p = 1 / (1 + np.exp(-score))
+        g = weight[:, 1] * n[:, 1] * (1 - p) - weight[:, 0] * n[:, 0] * p
+        h = (weight[:, 1] * n[:, 1] + weight[:, 0] * n[:, 0]) * p * (1 - p)
+        feature, border, value = np.full((n_models, nodes), -1), np.zeros((n_models, nodes), np.int64), np.zeros((n_models, nodes))
+        at = np.zeros((n_models, n_cells), np.int64)
+        for level in range(candidate.depth):
+            first, width = 2**level - 1, 2**level
+            here = at >= first
+            if not here.any():
+                break
+            slot = (np.broadcast_to(model, at.shape)[here] * width + at[here] - first) * n_bins
+            size, of = n_models * width * n_bins, np.nonzero(here)[1]
+            sums = [np.stack([np.bincount(slot + cells[of, j], v[here], size).reshape(n_models, width, n_bins) for j in range(n_features)], 2) for v in (g, h, n.sum(1))]
+            gain, left, right = gains(*sums, candidate.min_leaf)
+            flat = gain.reshape(n_models, width, -1)
+            best = flat.argmax(2)  # of equal gains the first feature and bin
+            m, node = np.nonzero(np.take_along_axis(flat, best[:, :, None], 2)[:, :, 0] > 0)
+            f, b = np.divmod(best[m, node], n_bins - 1)
+            feature[m, first + node], border[m, first + node] = f, b
+            for side, a in ((1, left), (2, right)):
+                value[m, 2 * (first + node) + side] = a[0][m, node, f, b] / np.maximum(a[1][m, node, f, b], 1e-12)
+            split = feature[model, at]
+            goes_right = cells[np.arange(n_cells), np.maximum(split, 0)] > border[model, at]
+            at = np.where(here & (split >= 0), 2 * at + 1 + goes_right, at)
+        score += candidate.rate * value[model, at]
+        features[r], borders_[r], values[r] = feature, border, value
+    all_rows, out = per_part(np.diff(ends, prepend=0)), []
+    score = np.round(score, 9)
+    for k, (m, s) in enumerate(specs.items()):
+        left_out = np.array([(i == s.inner and f != s.fold) if s.inner != ALL else f == s.fold for f, i in parts], bool)
+        some = np.flatnonzero(left_out)
+        part_, at_ = np.nonzero(all_rows[some])
+        label, c = np.divmod(at_, n_cells)
+        held = [parts[some[part_], 0], label, score[k, c], all_rows[some][part_, at_].astype(np.int64)]
+        out.append({"model": m, "feature": features[:, k].tobytes(), "bin": borders_[:, k].tobytes(), "value": values[:, k].tobytes()} | dict(zip(("fold", "y", "score", "n"), held, strict=True)))
+    lists_ = {c: pa.list_(k) for c, k in (("fold", pa.int64()), ("y", pa.int64()), ("score", pa.float64()), ("n", pa.int64()))}
+    kinds = {"model": pa.int64(), "feature": pa.binary(), "bin": pa.binary(), "value": pa.binary()} | lists_
+    return pa.table({c: pa.array([row[c] for row in out], k) for c, k in kinds.items()})
+
+
+GROWN = "model long, feature binary, bin binary, value binary, fold array<long>, y array<long>, score array<double>, n array<long>"
+
+
+def gains(g: np.ndarray, h: np.ndarray, n: np.ndarray, least: int) -> tuple[np.ndarray, list[np.ndarray], list[np.ndarray]]:
+    """Gain of each border in histograms whose last axis is the bin, and the sums (g, h, n) on both sides of it."""
+    left = [a.cumsum(-1)[..., :-1] for a in (g, h, n)]
+    whole = [a.sum(-1, keepdims=True) for a in (g, h, n)]
+    right = [w - a for w, a in zip(whole, left, strict=True)]
+    part = lambda a: a[0] ** 2 / np.maximum(a[1], 1e-12)
+    gain = np.round(part(left) + part(right) - part(whole), 9)
+    gain[(left[2] < least) | (right[2] < least)] = -np.inf
+    return gain, left, right
+
+
 class Boosted:
     """Trees of all models over one stored table of binned rows."""
 
@@ -153,6 +244,8 @@ class Boosted:
         counts = table.groupBy("source", "fold", "inner", "y").agg(F.count(F.lit(1)).alias("n")).collect()
         rows = stored(packed(table, 1 + sum(r["n"] for r in counts) // PACKED))
         self.table = rows.withColumn("kept", F.array_repeat(F.lit(0.0), len(self.specs)))
+        self.rows = max((sum(r["n"] for r in counts if r["source"] == s) for s in {r["source"] for r in counts}), default=0)
+        self.grown: DataFrame | None = None
         #: weights of the two classes, balanced over the rows that train a model
         self.weights = []
         for s in self.specs:
@@ -160,6 +253,8 @@ class Boosted:
             self.weights.append(tuple(sum(n) / (2 * x) if x else 0.0 for x in n))
 
     def fit(self) -> Boosted:
+        if 0 < self.rows <= DRAWS and self.table.select("bins").distinct().count() <= CELLS:
+            return self._fit_whole()
         for r in range(max(c.rounds for c in self.candidates)):
             growing = [m for m, s in enumerate(self.specs) if r < self.candidates[s.candidate].rounds]
             size = {m: 2 ** (self.candidates[self.specs[m].candidate].depth + 1) - 1 for m in growing}
@@ -178,6 +273,33 @@ class Boosted:
                 self._keep()
         return self
 
+    def _fit_whole(self) -> Boosted:
+        """Each source and candidate in one task."""
+        jobs: dict[tuple[int, int], dict[int, Spec]] = {}
+        for m, s in enumerate(self.specs):
+            jobs.setdefault((s.source, s.candidate), {})[m] = s
+        numbered, candidates, weights, n_features, n_bins = list(jobs.items()), self.candidates, self.weights, self.n_features, self.bins
+        mine = F.element_at(F.create_map(*[x for s in sorted({s for s, _ in jobs}) for x in (F.lit(s), F.array(*[F.lit(j) for j, ((source, _), _) in enumerate(numbered) if source == s]))]), F.col("source"))
+        known = self.table.filter(F.col("source").isin(*{s for s, _ in jobs}))
+        dealt = known.select("fold", "inner", "y", "bins", "us", F.explode(mine).alias("job")).repartition(4 * len(jobs), "job")
+
+        def run(key, batch):
+            (_, candidate), specs = numbered[key[0].as_py()]
+            return grown(batch, specs, candidates[candidate], {m: weights[m] for m in specs}, n_features, n_bins)
+
+        self.grown = stored(dealt.groupBy("job").applyInArrow(run, GROWN))
+        return self
+
+    def trees_of(self, model: int) -> list[Tree]:
+        if self.grown is None:
+            return self.trees[model]
+        c = self.candidates[self.specs[model].candidate]
+        row = self.grown.filter(F.col("model") == model).select("feature", "bin", "value").first()
+        if row is None:  # no row of its source
+            return []
+        feature, border, value = (np.frombuffer(row[n], k).reshape(c.rounds, -1) for n, k in (("feature", np.int32), ("bin", np.int32), ("value", np.float64)))
+        return [Tree(*x) for x in zip(feature, border, value, strict=True)]
+
     def _pending(self) -> list[list[Tree]]:
         return [t[k:] for t, k in zip(self.trees, self.kept, strict=True)]
 
@@ -228,13 +350,7 @@ class Boosted:
             m = table["model"][0].as_py()
             cell = table["cell"].to_numpy()
             g, h, n = (np.bincount(cell, table[c].to_numpy(), width * n_features * n_bins).reshape(width, n_features, n_bins) for c in "ghn")
-            left = [a.cumsum(2)[:, :, :-1] for a in (g, h, n)]
-            whole = [a.sum(2, keepdims=True) for a in (g, h, n)]
-            right = [w - a for w, a in zip(whole, left, strict=True)]
-            part = lambda a: a[0] ** 2 / np.maximum(a[1], 1e-12)
-            gain = np.round(part(left) + part(right) - part(whole), 9)
-            least = candidates[specs[m].candidate].min_leaf
-            gain[(left[2] < least) | (right[2] < least)] = -np.inf
+            gain, left, right = gains(g, h, n, candidates[specs[m].candidate].min_leaf)
             flat = gain.reshape(width, -1)
             best = flat.argmax(1)  # of equal gains the first feature and bin
             out = []
@@ -255,6 +371,9 @@ class Boosted:
         `packed` gives rows of one packed row once, with their number `n`.
         """
         trees, specs, candidates = self.trees, self.specs, self.candidates
+        if self.grown is not None:
+            rows = self.grown.filter(F.col("model").isin(*models)).select("model", F.inline(F.arrays_zip("fold", "y", "score", "n")))
+            return rows if packed else one_by_one(rows)
 
         def run(batches):
             for batch in batches:
@@ -267,16 +386,17 @@ class Boosted:
                     yield pa.RecordBatch.from_arrays([pa.array(np.full(len(rows), m)), *(pa.array(a[rows].astype(np.int64)) for a in (fold, y)), pa.array(score), pa.array(times[rows])], names=["model", "fold", "y", "score", "n"])
 
         found = self.table.mapInArrow(run, "model long, fold long, y long, score double, n long")
-        return found if packed else found.withColumn("n", F.explode(F.array_repeat(F.lit(1), F.col("n").cast("int")))).drop("n")
+        return found if packed else one_by_one(found)
 
     def score(self, df: DataFrame, model: int, keep: str) -> DataFrame:
         """Rows (*keep, score) of one model for any table with `bins`; keep is their DDL schema."""
-        trees, candidate = self.trees[model], self.candidates[self.specs[model].candidate]
+        trees, candidate = self.trees_of(model), self.candidates[self.specs[model].candidate]
 
         def run(batches):
             for batch in batches:
                 bins = np.asarray(batch.column("bins").flatten()).reshape(batch.num_rows, -1)
-                column = pa.array(np.round(scores(trees, candidate, bins), 9))
+                each, at = np.unique(bins, axis=0, return_inverse=True)
+                column = pa.array(np.round(scores(trees, candidate, each), 9)[at.reshape(-1)])
                 yield batch.drop_columns(["bins"]).append_column("score", column)
 
         names = [x.split()[0] for x in keep.split(", ")]

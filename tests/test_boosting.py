@@ -155,3 +155,46 @@ def test_rows_of_the_same_bins_are_packed(spark, monkeypatch, most):
         want = plain([r | {"u": float("inf") if r["u"] is None else r["u"]} for r in data], s, candidates[s.candidate], 4)
         got = sorted(r["score"] for r in made.score(stored, m, "key long").collect())
         assert len(got) == len(want) and max(abs(a - b) for a, b in zip(got, sorted(want.values()), strict=True)) < 1e-6
+
+
+@pytest.mark.parametrize("limit", ["CELLS", "DRAWS"])
+def test_models_grown_in_one_task_equal_those_grown_level_by_level(rows, monkeypatch, limit):
+    """Also with a source without rows, and models of both sources; the whole search is one job."""
+    synth = rows.withColumn("id", F.col("id") + 1000).withColumn("b", -F.col("b"))
+    stored = boosting.stored(table(rows).unionByName(table(synth, SYNTHETIC)))
+    candidates = [Candidate(12, 3, 0.3, 0.7, 5), Candidate(9, 2, 0.2, 1.0, 9)]
+    specs = [Spec(s, f, i, c) for s, f, i, c in ((REAL, ALL, ALL, 0), (REAL, 1, ALL, 1), (REAL, 2, 0, 0), (SYNTHETIC, ALL, 2, 1), (SYNTHETIC, ALL, ALL, 0))]
+    whole = Boosted(stored, candidates, specs, 3, 8).fit()
+    assert whole.grown is not None and not any(whole.trees)
+    monkeypatch.setattr(boosting, limit, 1)
+    slow = Boosted(stored, candidates, specs, 3, 8).fit()
+    assert slow.grown is None
+    for m, s in enumerate(specs):
+        a, b = whole.trees_of(m), slow.trees_of(m)
+        assert len(a) == len(b) == candidates[s.candidate].rounds
+        assert all((x.feature == y.feature).all() and (x.bin == y.bin).all() and np.allclose(x.value, y.value, atol=1e-9) for x, y in zip(a, b, strict=True))
+    found = [sorted((*r[:3], round(r["score"], 7), r["n"]) for r in x.held_out(range(len(specs)), packed=True).groupBy("model", "fold", "y", F.round("score", 7).alias("score")).agg(F.sum("n").alias("n")).collect()) for x in (whole, slow)]
+    assert found[0] == found[1] and len(found[0]) > 20
+    assert whole.held_out([1]).count() == sum(n for m, *_, n in found[0] if m == 1)
+
+
+def test_utility_searches_the_whole_range(monkeypatch):
+    """The bound query takes the library's 30 candidates of 100 to 499 rounds, not fewer or shorter ones."""
+    from sigloom.bindings import QUERIES
+    from sigloom.bindings import fidelity as bf
+
+    taken = {}
+
+    class Stop(Exception):
+        pass
+
+    def search(real, synth, key, features, label, candidates, *rest, **named):
+        taken["candidates"] = candidates
+        raise Stop
+
+    monkeypatch.setattr(fi, "Search", search)
+    monkeypatch.setattr(bf, "halves", lambda v: (None, None))
+    monkeypatch.setattr("sigloom.bindings.registry.compiled_methods", lambda spark: None)
+    with pytest.raises(Stop):
+        QUERIES["F8_tstr_utility"](None, "")
+    assert taken["candidates"] == boosting.drawn_candidates(30) and min(c.rounds for c in taken["candidates"]) >= 100 and max(c.depth for c in taken["candidates"]) == 5
