@@ -235,3 +235,45 @@ def test_few_entities_are_spread_before_they_become_many_rows(spark):
     rows = gen_work.choose(entities, profile, frequency)
     assert len([n for n in rows.rdd.glom().map(len).collect() if n]) > 1
     assert rows.count() == 200
+
+
+def test_entities_are_spread_before_their_divisions(spark):
+    entities = spark.range(60).groupBy(F.col("id").alias("entity_id")).agg(F.count(F.lit(1)).alias("n")).withColumn("sbu", F.lit("u"))
+    presence = spark.createDataFrame([("GLOBAL", None, d, 1.0) for d in "abc"] + [("SBU", "u", d, 1.0) for d in "ab"], "level string, sbu string, division string, presence_prob double")
+    rows = gen_budget.present_divisions(entities, presence, ())
+    assert len([n for n in rows.rdd.glom().map(len).collect() if n]) > 1
+    assert rows.count() == 180
+
+
+def test_codes_are_drawn_by_their_sampling_key(spark):
+    """The draw whose text is put together inside the row is the draw of (entity, division, code)."""
+    kinds = "level string, sbu string, division string, category string, contract_bucket string, asset string, n_projects long, p10 double, p25 double, median double, p75 double, p90 double, p99 double"
+    empty = spark.createDataFrame([], kinds)
+    entities = spark.range(30).select(F.col("id").alias("entity_id"), F.lit("u").alias("sbu"), F.lit(100.0).alias("amt_contract"), F.lit(None).cast("date").alias("dt_start"), F.lit(None).cast("date").alias("dt_end"))
+    presence = spark.createDataFrame([("GLOBAL", None, d, 1.0) for d in "ab"], "level string, sbu string, division string, presence_prob double")
+    frequency = spark.createDataFrame([(d, f"{c:02d}", 1 + c if c % 4 else None) for d in "a" for c in range(12)], "division string, cost_code string, n_projects int")
+    mix = spark.createDataFrame([("a", "labor", 1.0)], "division string, category string, weight double")
+    got = gen_budget.lines(entities, presence, empty, frequency, mix, empty, empty, mandatory=()).select("entity_id", "division", "cost_code")
+    key = draws.sampling_key(["entity_id", "division", "cost_code"], "code", F.coalesce("n_projects", F.lit(1)))
+    every = entities.select("entity_id").crossJoin(frequency).withColumn("k", key)
+    lists = {r["entity_id"]: r["codes"] for r in every.groupBy("entity_id").agg(F.transform(F.sort_array(F.collect_list(F.struct("k", "cost_code"))), lambda x: x["cost_code"]).alias("codes")).collect()}
+    taken: dict = {}
+    for r in got.filter("division = 'a'").collect():
+        taken.setdefault(r["entity_id"], set()).add(r["cost_code"])
+    assert len(taken) == 30 and all(codes == set(lists[e][: len(codes)]) for e, codes in taken.items()) and max(map(len, taken.values())) > 2
+    assert {r["cost_code"] for r in got.filter("division = 'b'").collect()} == {"GENERAL"}
+
+
+def test_checks_of_task_records_write_none(spark, monkeypatch):
+    """A query that reads the records once reads them as they are made; stored ones are read where there are any."""
+    from sigloom.bindings import QUERIES
+    from sigloom.bindings.views import Views
+
+    day = F.lit("2020-01-01").cast("date")
+    columns = {"sow": F.lit("a"), "version": F.lit(0), "effective_from": day, "effective_to": day, "sow_start": day, "sow_finish": F.date_add(day, 90), "sow_days": F.lit(90)}
+    records = spark.range(3).select(F.col("id").alias("entity_id"), *[c.alias(n) for n, c in columns.items()], *[F.lit(0).alias(f"n_{n}") for n in ("total", "completed", "active", "not_started")])
+    monkeypatch.setattr(g, "generated_work", lambda v: records)
+    monkeypatch.setattr(Views, "stored", lambda self, name, make: pytest.fail(f"{name} is written"))
+    assert QUERIES["G41_work_self_checks"](spark, "/nowhere").first()["n_rows"] == 3
+    assert QUERIES["G41_work_rules"](spark, "/nowhere").first()["n_bad_counts"] == 0
+    assert QUERIES["G25_record_rules"](spark, "/nowhere").first()["n_entities"] == 3
